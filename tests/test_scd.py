@@ -1,0 +1,163 @@
+import pytest
+from conftest import rows_of
+from pyspark.sql import functions as F
+
+from tidemark.operators.scd import ACTOR_SCD, PLAYER_SCD, scd2_build, scd2_step
+
+SNAPSHOT = "player_name string, current_season int, scoring_class string, is_active boolean"
+SCD = (
+    "player_name string, scoring_class string, is_active boolean, current_season int, "
+    "start_season int, end_season int"
+)
+
+
+def spans(df):
+    return rows_of(df, "player_name", "scoring_class", "is_active", "start_season", "end_season")
+
+
+STATES = {
+    "steady": [(y, "star", True) for y in range(2000, 2004)],
+    "moving": [
+        (2000, "star", True),
+        (2001, "star", False),
+        (2002, "bad", True),
+        (2003, "bad", True),
+    ],
+    "back": [
+        (2000, "good", True),
+        (2001, "bad", True),
+        (2002, "good", True),
+        (2003, "good", False),
+    ],
+    "late": [(2003, "good", True)],
+}
+
+
+@pytest.fixture
+def snapshots(frame):
+    return frame(SNAPSHOT, [(n, *s) for n, rows in STATES.items() for s in rows])
+
+
+def test_build(snapshots):
+    got = scd2_build(snapshots, PLAYER_SCD, 2002)
+    assert {r.current_season for r in got.collect()} == {2002}
+    assert spans(got) == [
+        ("back", "bad", True, 2001, 2001),
+        ("back", "good", True, 2000, 2000),
+        ("back", "good", True, 2002, 2002),
+        ("moving", "bad", True, 2002, 2002),
+        ("moving", "star", False, 2001, 2001),
+        ("moving", "star", True, 2000, 2000),
+        ("steady", "star", True, 2000, 2002),
+    ]
+
+
+def test_steps_equal_build(snapshots):
+    history = scd2_build(snapshots, PLAYER_SCD, 2000)
+    for year in (2001, 2002, 2003):
+        this = snapshots.where(F.col("current_season") == year)
+        history = scd2_step(history, this, PLAYER_SCD, year - 1)
+    assert rows_of(history) == rows_of(scd2_build(snapshots, PLAYER_SCD, 2003))
+
+
+def test_intervals_cover_each_period_once(snapshots):
+    built = scd2_build(snapshots, PLAYER_SCD, 2003)
+    days = built.select(
+        "player_name", F.explode(F.sequence("start_season", "end_season")).alias("current_season")
+    )
+    assert rows_of(days) == rows_of(snapshots, "player_name", "current_season")
+
+
+def test_unchanged_rows_may_keep_their_end(snapshots):
+    history = scd2_build(snapshots, PLAYER_SCD, 2002)
+    this = snapshots.where("current_season = 2003")
+    got = scd2_step(history, this, PLAYER_SCD, 2002, extend_unchanged=False)
+    assert ("steady", "star", True, 2000, 2002) in spans(got)
+
+
+def test_missing_keys(snapshots):
+    history = scd2_build(snapshots, PLAYER_SCD, 2002)
+    this = snapshots.where("current_season = 2003 and player_name != 'steady'")
+    dropped = scd2_step(history, this, PLAYER_SCD, 2002)
+    kept = scd2_step(history, this, PLAYER_SCD, 2002, keep_missing=True)
+    assert ("steady", "star", True, 2000, 2002) not in spans(dropped)
+    assert ("steady", "star", True, 2000, 2002) in spans(kept)
+
+
+def test_nulls_are_no_change_unless_null_safe(frame):
+    rows = [
+        ("n", 2000, None, True),
+        ("n", 2001, "star", True),
+        ("n", 2002, "star", False),
+    ]
+    snapshots = frame(SNAPSHOT, rows)
+    as_defined = scd2_build(snapshots, PLAYER_SCD, 2001)
+    # One streak, but grouped by value.
+    assert spans(as_defined) == [
+        ("n", "star", True, 2001, 2001),
+        ("n", None, True, 2000, 2000),
+    ]
+    back = frame(SNAPSHOT, [("n", 2000, "star", True), ("n", 2001, None, True), ("n", 2002, "star", True)])
+    assert spans(scd2_build(back, PLAYER_SCD, 2002)) == [
+        ("n", "star", True, 2000, 2002),
+        ("n", None, True, 2001, 2001),
+    ]
+    assert spans(scd2_build(back, PLAYER_SCD, 2002, null_safe=True)) == [
+        ("n", "star", True, 2000, 2000),
+        ("n", "star", True, 2002, 2002),
+        ("n", None, True, 2001, 2001),
+    ]
+
+
+def test_nulls_in_the_step(frame):
+    history = frame(
+        SCD,
+        [
+            ("vanishes", None, True, 2000, 2000, 2000),
+            ("changes", None, True, 2000, 2000, 2000),
+        ],
+    )
+    this = frame(
+        SNAPSHOT, [("vanishes", 2001, "star", True), ("changes", 2001, "star", False)]
+    )
+    assert spans(scd2_step(history, this, PLAYER_SCD, 2000)) == [
+        ("changes", "star", False, 2001, 2001),
+        ("changes", None, True, 2000, 2000),
+    ]
+    safe = scd2_step(history, this, PLAYER_SCD, 2000, null_safe=True)
+    assert ("vanishes", "star", True, 2001, 2001) in spans(safe)
+    assert ("vanishes", None, True, 2000, 2000) in spans(safe)
+
+
+def test_closed_rows_of_other_versions(frame):
+    history = frame(
+        SCD,
+        [
+            ("p", "bad", True, 1999, 1997, 1998),
+            ("p", "star", True, 2000, 2000, 2000),
+        ],
+    )
+    this = frame(SNAPSHOT, [("p", 2001, "star", True)])
+    assert spans(scd2_step(history, this, PLAYER_SCD, 2000)) == [("p", "star", True, 2000, 2001)]
+    every = scd2_step(history, this, PLAYER_SCD, 2000, closed_of_all_versions=True)
+    assert len(spans(every)) == 2
+
+
+def test_actor_names(frame):
+    snapshot = "actorid string, actor string, current_year int, is_active boolean, quality_class string"
+    rows = frame(
+        snapshot,
+        [
+            ("A1", "Old Name", 1980, True, "star"),
+            ("A1", "New Name", 1981, True, "star"),
+            ("A2", "Bo", 1980, True, "bad"),
+            ("A2", "Bow", 1981, False, "bad"),
+        ],
+    )
+    history = scd2_build(rows, ACTOR_SCD, 1980)
+    got = scd2_step(history, rows.where("current_year = 1981"), ACTOR_SCD, 1980)
+    assert rows_of(got, "actorid", "actor", "start_year", "end_year") == [
+        ("A1", "Old Name", 1980, 1981),
+        ("A2", "Bow", 1980, 1980),
+        ("A2", "Bow", 1981, 1981),
+    ]

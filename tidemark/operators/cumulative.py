@@ -97,13 +97,23 @@ def single_elements(facts: DataFrame, h: History) -> DataFrame:
     )
 
 
-def folded_elements(facts: DataFrame, h: History) -> DataFrame:
+def folded_elements(facts: DataFrame, h: History, elements: bool = True) -> DataFrame:
     """Facts with many rows per key and period, folded into one array.
 
     The score is averaged per key, while attributes split a key's rows: an id
     with two names gives two rows that share one average. One aggregation does
-    both, and its partitioning by key also serves the join that follows.
+    both, and its partitioning by key also serves the join that follows. Without
+    ``elements`` only scores and attributes are folded, whose size does not grow
+    with the facts.
     """
+    if not elements:
+        folded = facts.groupBy(h.key, h.period).agg(
+            F.avg(h.score).alias("_score"),
+            F.collect_set(F.struct(*h.carry)).alias("_carried"),
+        )
+        return folded.withColumn("_carry", F.explode("_carried")).select(
+            h.key, "_carry.*", h.period, F.lit(None).alias("_new"), "_score"
+        )
     row = F.struct(F.col(h.sort).alias("_sort"), *h.carry, F.struct(*h.element).alias("_e"))
     folded = facts.groupBy(h.key, h.period).agg(
         F.avg(h.score).alias("_score"),
@@ -159,19 +169,22 @@ def cumulate_backfill(
     start: int | None = None,
     fold: bool = False,
     attributes: str = "max",
+    elements: bool = True,
 ) -> DataFrame:
     """Every snapshot up to ``end`` in one pass and, unfolded, one shuffle.
 
     Each key's periods are collected once; the spine from its first period to
     ``end`` is generated beside them, and each snapshot is the prefix of the
     collected rows. ``attributes`` is ``max`` (over all facts) or ``latest`` (the
-    last known value as of each period, as the step carries it).
+    last known value as of each period, as the step carries it). Without
+    ``elements`` the history column is left out and its rows are not collected.
     """
-    rows = folded_elements(facts, h) if fold else single_elements(facts, h)
+    rows = folded_elements(facts, h, elements) if fold else single_elements(facts, h)
     in_span = F.col(h.period) <= end
     if start is not None:
         in_span = in_span & (F.col(h.period) >= start)
-    row = F.struct(F.col(h.period).alias("_p"), "_score", "_new", *h.carry)
+    new = ["_new"] if elements else []
+    row = F.struct(F.col(h.period).alias("_p"), "_score", *new, *h.carry)
     keys = rows.groupBy(h.key).agg(
         F.min(h.period).alias("_first"),
         F.sort_array(F.collect_list(F.when(in_span, row))).alias("_rows"),
@@ -192,12 +205,14 @@ def cumulate_backfill(
     columns = {h.key: F.col(h.key), h.as_of: F.col(h.as_of)}
     for c in h.carry:
         columns[c] = latest(c) if attributes == "latest" else F.col(c)
-    columns[h.history] = F.flatten(F.transform("_past", lambda r: r["_new"]))
+    if elements:
+        columns[h.history] = F.flatten(F.transform("_past", lambda r: r["_new"]))
     columns[h.class_column] = threshold_class(F.col("_last._score"), h.thresholds)
     if h.idle:
         columns[h.idle] = F.col(h.as_of) - F.col("_last._p")
     columns[h.active] = F.col("_last._p") == F.col(h.as_of)
-    return past.select(*[columns[c].alias(c) for c in h.columns])
+    kept = [c for c in h.columns if elements or c != h.history]
+    return past.select(*[columns[c].alias(c) for c in kept])
 
 
 def unnest_history(snapshots: DataFrame, keys: list[str], history: str) -> DataFrame:

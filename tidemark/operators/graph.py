@@ -70,24 +70,19 @@ def vertex_counts(vertices: DataFrame) -> DataFrame:
     return vertices.groupBy("type").agg(F.count(F.lit(1)).alias("n_vertices"))
 
 
-def player_games(details: DataFrame) -> DataFrame:
+# Of several rows of a player and game, the first in this order is kept.
+EDGE_ORDER = ("start_position", "pts", "team_id", "team_abbreviation")
+
+
+def player_games(details: DataFrame, *extra: str) -> DataFrame:
     """One row per player and game, with the columns edges are made of."""
-    rows = details.select(
-        "player_id",
-        "game_id",
-        "player_name",
-        "start_position",
-        "pts",
-        "team_id",
-        "team_abbreviation",
-    )
-    return one_per_key(rows, ["player_id", "game_id"])
+    keys = ["player_id", "game_id"]
+    return one_per_key(details.select(*keys, *EDGE_ORDER, *extra), keys, EDGE_ORDER)
 
 
 def plays_in_edges(details: DataFrame) -> DataFrame:
-    names = ("start_position", "pts", "team_id", "team_abbreviation")
     return player_games(details).select(
-        *_edge("player_id", "game_id", "game", F.lit("plays_in"), *map(F.col, names))
+        *_edge("player_id", "game_id", "game", F.lit("plays_in"), *map(F.col, EDGE_ORDER))
     )
 
 
@@ -99,7 +94,7 @@ def player_edges(details: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     pair of blocks is a join key of its own. Smaller games are one block, which
     is a plain join by game.
     """
-    seen = player_games(details).select(
+    seen = player_games(details, "player_name").select(
         "game_id", "player_id", "player_name", "team_abbreviation", "pts"
     )
     large = (

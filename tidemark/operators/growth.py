@@ -68,39 +68,40 @@ def growth_step(prev: DataFrame, today: DataFrame, corrected: bool = False) -> D
 def growth_backfill(active: DataFrame, end: date, corrected: bool = False) -> DataFrame:
     """Every day's table up to ``end`` in one pass, equal to the chained steps.
 
-    Each user's distinct days are collected once, at most one per calendar day;
-    a day's state follows from the last active day before it.
+    Each user's distinct days are collected once, at most one per calendar day.
+    Every active day then covers the days up to the next one, so a day's state
+    takes no search through the list.
     """
     users = (
         active.where(F.col("date_active") <= F.lit(end))
         .groupBy("user_id")
         .agg(F.sort_array(F.collect_list("date_active")).alias("_days"))
-        .withColumn("first_active_date", F.element_at("_days", 1))
     )
-    spine = users.withColumn(
-        "date", F.explode(F.sequence("first_active_date", F.lit(end)))
+    spans = users.select(
+        "user_id",
+        "_days",
+        F.element_at("_days", 1).alias("first_active_date"),
+        F.posexplode("_days").alias("_i", "last_active_date"),
     )
-    known = (
-        spine.withColumn("dates_active", F.filter("_days", lambda d: d <= F.col("date")))
-        .withColumn("_is_active", F.array_contains("dates_active", F.col("date")))
-        .withColumn("last_active_date", F.element_at("dates_active", -1))
-        .withColumn(
-            "_before",
-            F.when(~F.col("_is_active"), F.col("last_active_date")).otherwise(
-                F.try_element_at("dates_active", F.lit(-2))
-            ),
-        )
+    until = F.coalesce(
+        F.date_sub(F.try_element_at("_days", F.col("_i") + 2), 1), F.lit(end)
+    )
+    previous = F.when(F.col("_i") > 0, F.element_at("_days", F.greatest("_i", F.lit(1))))
+    spine = spans.withColumn("_previous", previous).withColumn(
+        "date", F.explode(F.sequence("last_active_date", until))
     )
-    day = F.when(F.col("_is_active"), F.col("date"))
+    is_active = F.col("date") == F.col("last_active_date")
+    day = F.when(is_active, F.col("date"))
+    last = F.when(is_active, F.col("_previous")).otherwise(F.col("last_active_date"))
     is_new, yesterday = F.col("date") == F.col("first_active_date"), F.date_sub("date", 1)
-    states = (is_new, day, F.col("_before"), yesterday)
-    return known.select(
+    states = (is_new, day, last, yesterday)
+    return spine.select(
         "user_id",
         "first_active_date",
         "last_active_date",
         _daily_state(*states).alias("daily_active_state"),
         _weekly_state(*states, corrected).alias("weekly_active_state"),
-        "dates_active",
+        F.slice("_days", F.lit(1), F.col("_i") + 1).alias("dates_active"),
         "date",
     )
 

@@ -27,23 +27,23 @@ def totals_before(
 ) -> DataFrame:
     """Cells with ``_before``, the key's sum of ``total`` over all earlier cells.
 
-    ``cells`` has one row per keys and levels, none of them null.
+    ``cells`` has one row per keys and levels, none of them null. Each level's
+    totals come off the last level's windows, so cells are shuffled once per level.
     """
     *outer, last = levels
-    w = (
-        Window.partitionBy(*keys, *outer)
-        .orderBy(last)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    inner = cells.withColumn("_before", F.coalesce(F.sum(total).over(w), F.lit(0)))
+    group = Window.partitionBy(*keys, *outer)
+    earlier = group.orderBy(last).rowsBetween(Window.unboundedPreceding, -1)
+    inner = cells.withColumn("_before", F.coalesce(F.sum(total).over(earlier), F.lit(0)))
     if not outer:
         return inner
-    coarse = cells.groupBy(*keys, *outer).agg(F.sum(total).alias(total))
-    earlier = totals_before(coarse, keys, outer, total).select(
+    whole = inner.withColumn("_whole", F.sum(total).over(group))
+    first = whole.withColumn("_is_first", F.lag(last).over(group.orderBy(last)).isNull())
+    coarse = first.where("_is_first").select(*keys, *outer, F.col("_whole").alias(total))
+    offsets = totals_before(coarse, keys, outer, total).select(
         *keys, *outer, F.col("_before").alias("_earlier")
     )
     return (
-        inner.join(earlier, [*keys, *outer])
+        inner.join(offsets, [*keys, *outer])
         .withColumn("_before", F.col("_before") + F.col("_earlier"))
         .select(*cells.columns, "_before")
     )

@@ -72,45 +72,107 @@ def rolling_wins_of_games(games: DataFrame, n: int = 90, top: int | None = 1) ->
 def longest_streak(
     rows: DataFrame, key: str, day: str, order_id: str, hit: str, top: int | None = 1
 ) -> DataFrame:
-    """Longest runs of consecutive hits per key, in order of day and id.
+    """Longest run of consecutive hits per key, in order of day and id.
 
-    Rows are unique by key and id. A run is named by the number of misses before
-    it: counted inside each cell, plus the misses of earlier cells. Both the runs
-    and the cell totals come from one shuffle of the rows.
+    Rows are unique by key and id. Runs are summarised per cell of a day, then per
+    day, then per key; each level reads one row per group of the level below, so
+    the rows are shuffled once and no task sees all rows of a key. Of equal runs
+    the earliest is kept.
     """
     cell = [key, "_day", "_cell"]
-    missed = 1 - F.col(hit).cast("int")
-    w = Window.partitionBy(*cell).orderBy("_id")
-    pieces = (
+    so_far = (
+        Window.partitionBy(*cell).orderBy("_id").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    runs = (
         rows.select(
             key,
             F.col(day).alias("_day"),
             id_cell(order_id).alias("_cell"),
             F.col(order_id).alias("_id"),
-            missed.alias("_missed"),
+            (1 - F.col(hit).cast("int")).alias("_missed"),
         )
-        .withColumn("_misses", F.sum("_missed").over(w))
-        .groupBy(*cell, "_misses")
-        .agg(F.sum(1 - F.col("_missed")).alias("_hits"))
-    )
-    totals = pieces.groupBy(*cell).agg(F.max("_misses").alias("_total"))
-    offsets = totals_before(totals, [key], ["_day", "_cell"], "_total")
-    streaks = (
-        pieces.where(F.col("_hits") > 0)
-        .join(offsets.select(*cell, "_before"), cell)
-        .groupBy(key, (F.col("_before") + F.col("_misses")).alias("_streak"))
-        .agg(
-            F.min("_day").alias("streak_start_date"),
-            F.max("_day").alias("streak_end_date"),
-            F.sum("_hits").alias("streak_length"),
-        )
-        .drop("_streak")
+        .withColumn("run", F.sum("_missed").over(so_far))
+        .groupBy(*cell, "run")
+        .agg(F.sum(1 - F.col("_missed")).alias("length"))
+    )
+    # Within a cell all dates are equal, so lengths alone are aggregated.
+    cells = runs.groupBy(*cell).agg(
+        F.max("run").alias("misses"),
+        F.max(F.when(F.col("run") == 0, F.col("length"))).alias("_head"),
+        F.max_by("length", "run").alias("_tail"),
+        F.max("length").alias("_best"),
     )
+    one_day = [F.col("_day").alias("start"), F.col("_day").alias("end")]
+    summaries = cells.select(
+        *cell,
+        "misses",
+        F.struct(F.coalesce("_head", F.lit(0)).alias("length"), *one_day).alias("head"),
+        F.struct(F.col("_tail").alias("length"), *one_day).alias("tail"),
+        F.struct((-F.col("_best")).alias("shortfall"), *one_day).alias("best"),
+    )
+    for group, order in (([key, "_day"], "_cell"), ([key], "_day")):
+        summaries = _merged_runs(summaries, group, order)
+    streaks = summaries.select(
+        key,
+        F.col("best.start").alias("streak_start_date"),
+        F.col("best.end").alias("streak_end_date"),
+        (-F.col("best.shortfall")).alias("streak_length"),
+    ).where(F.col("streak_length") > 0)
     return _top(
         streaks, [F.desc("streak_length"), F.asc(key), F.asc("streak_start_date")], top
     )
 
 
+def _merged_runs(parts: DataFrame, group: list[str], order: str) -> DataFrame:
+    """One run summary per group from the summaries of its consecutive parts.
+
+    A summary holds the number of misses, the run before the first and the run
+    after the last miss, and the longest run. A run is named by the misses before
+    it, so the last run of one part and the first of the next share a name.
+    """
+    earlier = (
+        Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    before = F.coalesce(F.sum("misses").over(earlier), F.lit(0))
+    first = F.struct(F.col("_before").alias("run"), F.col("head").alias("part"), "best")
+    last = F.struct(
+        (F.col("_before") + F.col("misses")).alias("run"),
+        F.col("tail").alias("part"),
+        F.lit(None).alias("best"),
+    )
+    ends = F.when(F.col("misses") > 0, F.array(first, last)).otherwise(F.array(first))
+
+    def if_hit(column: str) -> Column:
+        return F.when(F.col("part.length") > 0, F.col(column))
+
+    runs = (
+        parts.withColumn("_before", before)
+        .select(*group, F.inline(ends))
+        .groupBy(*group, "run")
+        .agg(
+            F.sum("part.length").alias("length"),
+            F.min(if_hit("part.start")).alias("start"),
+            F.max(if_hit("part.end")).alias("end"),
+            F.min("best").alias("_best"),
+        )
+    )
+    piece = F.struct("length", "start", "end")
+    merged = F.when(
+        F.col("length") > 0, F.struct((-F.col("length")).alias("shortfall"), "start", "end")
+    )
+    nothing = F.struct(
+        F.lit(0).cast("long").alias("length"),
+        F.lit(None).cast("date").alias("start"),
+        F.lit(None).cast("date").alias("end"),
+    )
+    return runs.groupBy(*group).agg(
+        F.max("run").alias("misses"),
+        F.coalesce(F.max(F.when(F.col("run") == 0, piece)), nothing).alias("head"),
+        F.max_by(piece, F.col("run")).alias("tail"),
+        F.min(F.least("_best", merged)).alias("best"),
+    )
+
+
 def funnel(
     events: DataFrame, urls: Sequence[str], target: str, corrected: bool = False
 ) -> DataFrame:

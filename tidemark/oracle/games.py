@@ -42,7 +42,7 @@ def _leaderboard(source: str, other: str, inputs: list[str], corrected: bool) ->
 
 
 WITH_SEASON = (
-    "(SELECT gd.player_id, g.season, gd.pts FROM game_details gd "
+    "(SELECT gd.player_id, g.season, gd.pts FROM game_rows gd "
     "JOIN games g ON g.game_id = gd.game_id) AS points"
 )
 WINNER = "CASE WHEN home_team_wins = 1 THEN home_team_id ELSE visitor_team_id END"
@@ -103,9 +103,9 @@ ORACLES = {
         """,
     ),
     "duplicate_keys": with_inputs(
-        ["game_details"],
+        ["game_rows"],
         [],
-        "SELECT game_id, team_id, player_id, count(*) AS n_rows FROM game_details "
+        "SELECT game_id, team_id, player_id, count(*) AS n_rows FROM game_rows "
         "GROUP BY game_id, team_id, player_id HAVING count(*) > 1",
     ),
     "actor_name_audit": _name_audit("count(actor)"),
@@ -116,17 +116,17 @@ ORACLES = {
         "SELECT actorid, filmid, count(*) AS n_rows FROM actor_films GROUP BY actorid, filmid",
     ),
     "points_by_player_season": _leaderboard(
-        WITH_SEASON, "season", ["game_details", "games"], False
+        WITH_SEASON, "season", ["game_rows", "games"], False
     ),
     "points_by_player_season_corrected": _leaderboard(
-        WITH_SEASON, "season", ["game_details", "games"], True
+        WITH_SEASON, "season", ["game_rows", "games"], True
     ),
-    "points_by_player_team": _leaderboard("game_details", "team_id", ["game_details"], False),
+    "points_by_player_team": _leaderboard("game_rows", "team_id", ["game_rows"], False),
     "points_by_player_team_corrected": _leaderboard(
-        "game_details", "team_id", ["game_details"], True
+        "game_rows", "team_id", ["game_rows"], True
     ),
     "team_wins": _wins(
-        "games g JOIN game_details gd ON gd.game_id = g.game_id", ["games", "game_details"]
+        "games g JOIN game_rows gd ON gd.game_id = g.game_id", ["games", "game_rows"]
     ),
     "team_wins_corrected": _wins("games", ["games"]),
     "rolling_wins": with_inputs(
@@ -161,12 +161,12 @@ ORACLES = {
         "ORDER BY most_wins DESC, team_id LIMIT 1",
     ),
     "longest_streak": with_inputs(
-        ["game_details", "games"],
+        ["game_rows", "games"],
         [
             (
                 "played",
                 "SELECT player_id, game_id, pts FROM (SELECT *, row_number() OVER (PARTITION BY "
-                "player_id, game_id ORDER BY pts NULLS FIRST) AS row_num FROM game_details) "
+                "player_id, game_id ORDER BY pts NULLS FIRST) AS row_num FROM game_rows) "
                 "AS ranked WHERE row_num = 1",
             ),
             (
@@ -207,9 +207,9 @@ ORACLES = {
         "GROUP BY team_id HAVING count(*) > 1 OR team_id IS NULL",
     ),
     "enum_audit": with_inputs(
-        ["game_details"],
+        ["game_rows"],
         [],
-        "SELECT game_id, team_id, player_id, start_position FROM game_details "
+        "SELECT game_id, team_id, player_id, start_position FROM game_rows "
         "WHERE start_position NOT IN ('A', 'N')",
     ),
 }

@@ -7,13 +7,18 @@ from tidemark.oracle.inputs import with_inputs
 WINNER = "CASE WHEN home_team_wins = 1 THEN home_team_id ELSE visitor_team_id END"
 ORDER = ", ".join(
     f"{c} NULLS FIRST"
-    for c in ("player_name", "start_position", "pts", "team_id", "team_abbreviation")
+    for c in ("start_position", "pts", "team_id", "team_abbreviation")
 )
 
 FILTERED = (
     "filtered",
     "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY player_id, game_id "
-    f"ORDER BY {ORDER}) AS row_num FROM game_details) AS ranked WHERE row_num = 1",
+    f"ORDER BY {ORDER}, player_name) AS row_num FROM game_details) AS ranked WHERE row_num = 1",
+)
+EDGE_ROWS = (
+    "filtered",
+    "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY player_id, game_id "
+    f"ORDER BY {ORDER}) AS row_num FROM game_rows) AS ranked WHERE row_num = 1",
 )
 PLAYERS = (
     "players_agg",
@@ -74,8 +79,8 @@ ORACLES = {
         "SELECT 'team', count(DISTINCT team_id) FROM teams",
     ),
     "plays_in_edges": with_inputs(
-        ["game_details"],
-        [FILTERED],
+        ["game_rows"],
+        [EDGE_ROWS],
         "SELECT CAST(player_id AS VARCHAR) AS subject_identifier, 'player' AS subject_type, "
         "CAST(game_id AS VARCHAR) AS object_identifier, 'game' AS object_type, "
         "'plays_in' AS edge_type, start_position, "
@@ -90,7 +95,7 @@ ORACLES = {
     ),
     "best_game": with_inputs(
         ["game_details"],
-        [FILTERED, PLAYERS],
+        [EDGE_ROWS, PLAYERS],
         "SELECT p.player_name, max(f.pts) AS max_points FROM players_agg p "
         "JOIN filtered f ON p.identifier = CAST(f.player_id AS VARCHAR) GROUP BY p.player_name",
     ),

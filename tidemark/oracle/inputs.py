@@ -49,7 +49,7 @@ INPUTS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM orders
         """,
     ),
-    "game_details_once": (
+    "game_rows_once": (
         ("games",),
         """
         SELECT game_id,
@@ -58,7 +58,6 @@ INPUTS: dict[str, tuple[tuple[str, ...], str]] = {
                'T' || CAST(CASE WHEN l_linenumber % 2 = 0 THEN home_team_id
                                 ELSE visitor_team_id END AS VARCHAR) AS team_abbreviation,
                l_partkey AS player_id,
-               p_name || '#' || CAST(p_partkey AS VARCHAR) AS player_name,
                l_returnflag AS start_position,
                CASE l_linenumber WHEN 5 THEN 'DNP - Coach' WHEN 6 THEN 'DND - Injury'
                                  WHEN 7 THEN 'NWT - Personal' END AS comment,
@@ -83,15 +82,21 @@ INPUTS: dict[str, tuple[tuple[str, ...], str]] = {
                CAST(l_quantity AS INTEGER) % 41 - 20 AS plus_minus
         FROM lineitem
         JOIN games ON l_orderkey = game_id
-        JOIN part ON l_partkey = p_partkey
         """,
     ),
-    "game_details": (
-        ("game_details_once",),
+    "game_rows": (
+        ("game_rows_once",),
         """
-        SELECT * FROM game_details_once
+        SELECT * FROM game_rows_once
         UNION ALL
-        SELECT * FROM game_details_once WHERE game_id % 100 = 0
+        SELECT * FROM game_rows_once WHERE game_id % 100 = 0
+        """,
+    ),
+    "game_details": (
+        ("game_rows",),
+        """
+        SELECT g.*, p_name || '#' || CAST(p_partkey AS VARCHAR) AS player_name
+        FROM game_rows g JOIN part ON player_id = p_partkey
         """,
     ),
     "teams": (

@@ -20,7 +20,7 @@ def fact_game_details(table: Reader) -> DataFrame:
 
 
 def duplicate_keys(table: Reader) -> DataFrame:
-    return quality.duplicate_keys(views.game_details(table), facts.GRAIN)
+    return quality.duplicate_keys(views.game_details(table, names=False), facts.GRAIN)
 
 
 def actor_name_audit(table: Reader) -> DataFrame:
@@ -36,7 +36,7 @@ def actor_film_pairs(table: Reader) -> DataFrame:
 
 
 def _points_by_season(table: Reader, corrected: bool) -> DataFrame:
-    points = cubes.season_points(views.game_details(table), views.games(table))
+    points = cubes.season_points(views.game_details(table, names=False), views.games(table))
     return cubes.leaderboard(points, "player_id", "season", "pts", corrected)
 
 
@@ -49,17 +49,17 @@ def points_by_player_season_corrected(table: Reader) -> DataFrame:
 
 
 def points_by_player_team(table: Reader) -> DataFrame:
-    return cubes.leaderboard(views.game_details(table), "player_id", "team_id", "pts")
+    return cubes.leaderboard(views.game_details(table, names=False), "player_id", "team_id", "pts")
 
 
 def points_by_player_team_corrected(table: Reader) -> DataFrame:
     return cubes.leaderboard(
-        views.game_details(table), "player_id", "team_id", "pts", corrected=True
+        views.game_details(table, names=False), "player_id", "team_id", "pts", corrected=True
     )
 
 
 def team_wins(table: Reader) -> DataFrame:
-    return cubes.wins_leaderboard(views.games(table), views.game_details(table))
+    return cubes.wins_leaderboard(views.games(table), views.game_details(table, names=False))
 
 
 def team_wins_corrected(table: Reader) -> DataFrame:
@@ -76,7 +76,7 @@ def rolling_wins_corrected(table: Reader) -> DataFrame:
 
 def longest_streak(table: Reader) -> DataFrame:
     played = quality.one_per_key(
-        views.game_details(table).select("player_id", "game_id", "pts"),
+        views.game_details(table, names=False).select("player_id", "game_id", "pts"),
         ["player_id", "game_id"],
     )
     dated = played.join(views.games(table).select("game_id", "game_date_est"), "game_id")
@@ -104,7 +104,7 @@ def key_audit(table: Reader) -> DataFrame:
 
 def enum_audit(table: Reader) -> DataFrame:
     return quality.domain_audit(
-        views.game_details(table), "start_position", POSITIONS
+        views.game_details(table, names=False), "start_position", POSITIONS
     ).select("game_id", "team_id", "player_id", "start_position")
 
 

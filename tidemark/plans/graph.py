@@ -42,7 +42,7 @@ def vertex_counts(table: Reader) -> DataFrame:
 
 
 def plays_in_edges(table: Reader) -> DataFrame:
-    edges = graph.plays_in_edges(views.game_details(table))
+    edges = graph.plays_in_edges(views.game_details(table, names=False))
     return _with_fields(edges, "start_position", "pts", "team_id", "team_abbreviation")
 
 
@@ -52,8 +52,9 @@ def player_pair_edges(table: Reader) -> DataFrame:
 
 
 def best_game(table: Reader) -> DataFrame:
-    details = views.game_details(table)
-    return graph.best_game(graph.player_vertices(details), graph.plays_in_edges(details))
+    vertices = graph.player_vertices(views.game_details(table))
+    edges = graph.plays_in_edges(views.game_details(table, names=False))
+    return graph.best_game(vertices, edges)
 
 
 def pair_stats(table: Reader) -> DataFrame:

@@ -21,9 +21,14 @@ def _players(table: Reader, end: int = SPINE_END) -> DataFrame:
     return cumulative.cumulate_backfill(views.player_seasons(table), PLAYER_HISTORY, end)
 
 
-def _actors(table: Reader, end: int) -> DataFrame:
+def _actors(table: Reader, end: int, elements: bool = True) -> DataFrame:
     return cumulative.cumulate_backfill(
-        views.actor_films(table), ACTOR_HISTORY, end, fold=True, attributes="latest"
+        views.actor_films(table),
+        ACTOR_HISTORY,
+        end,
+        fold=True,
+        attributes="latest",
+        elements=elements,
     )
 
 
@@ -85,7 +90,7 @@ def scd2_build_players(table: Reader) -> DataFrame:
 
 
 def scd2_build_actors(table: Reader) -> DataFrame:
-    return scd.scd2_build(_actors(table, BUILD), ACTOR_SCD, BUILD)
+    return scd.scd2_build(_actors(table, BUILD, elements=False), ACTOR_SCD, BUILD)
 
 
 def scd2_step_players(table: Reader) -> DataFrame:
@@ -96,7 +101,7 @@ def scd2_step_players(table: Reader) -> DataFrame:
 
 
 def scd2_step_actors(table: Reader) -> DataFrame:
-    actors = _actors(table, BUILD + 1)
+    actors = _actors(table, BUILD + 1, elements=False)
     history = scd.scd2_build(actors, ACTOR_SCD, BUILD)
     snapshot = actors.where(F.col("current_year") == BUILD + 1)
     return scd.scd2_step(

@@ -9,15 +9,23 @@ from pyspark.sql import SparkSession
 # Joins carry no broadcast hints: the planner broadcasts a side only when its
 # measured size is under autoBroadcastJoinThreshold, first from file statistics
 # and again at run time from shuffle statistics. Skewed joins beyond that are
-# split by AQE.
-SETTINGS = {
+# split by AQE; forced, also where a later aggregation or window would otherwise
+# reuse the join's partitioning and keep a busy key in one task.
+QUERY_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.parquet.filterPushdown": "true",
-    "spark.ui.enabled": "false",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
+SETTINGS = {**QUERY_SETTINGS, "spark.ui.enabled": "false"}
+
+
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """Set what the operators rely on in a session built elsewhere."""
+    for name, value in QUERY_SETTINGS.items():
+        spark.conf.set(name, value)
+    return spark
 
 
 def get_session(

@@ -99,22 +99,29 @@ def games(table: Reader) -> DataFrame:
     )
 
 
-def game_details(table: Reader) -> DataFrame:
-    """One row per item of a game; games divisible by 100 are given twice."""
+def game_details(table: Reader, names: bool = True) -> DataFrame:
+    """One row per item of a game; games divisible by 100 are given twice.
+
+    Player names need a join of their own, left out where nobody reads them.
+    """
     lineitem, part = table("lineitem"), table("part")
     match = games(table).select("game_id", "home_team_id", "visitor_team_id")
     q, n = F.col("l_quantity").cast("int"), F.col("l_linenumber")
     absent = n >= 5
     team = F.when(n % 2 == 0, F.col("home_team_id")).otherwise(F.col("visitor_team_id"))
+    items = lineitem.join(match, lineitem.l_orderkey == match.game_id)
+    name = []
+    if names:
+        items = items.join(part, lineitem.l_partkey == part.p_partkey)
+        full = F.concat("p_name", F.lit("#"), F.col("p_partkey").cast("string"))
+        name = [full.alias("player_name")]
     rows = (
-        lineitem.join(match, lineitem.l_orderkey == match.game_id)
-        .join(part, lineitem.l_partkey == part.p_partkey)
-        .select(
+        items.select(
             "game_id",
             team.alias("team_id"),
             F.concat(F.lit("T"), team.cast("string")).alias("team_abbreviation"),
             F.col("l_partkey").alias("player_id"),
-            F.concat("p_name", F.lit("#"), F.col("p_partkey").cast("string")).alias("player_name"),
+            *name,
             F.col("l_returnflag").alias("start_position"),
             F.when(n == 5, "DNP - Coach")
             .when(n == 6, "DND - Injury")
