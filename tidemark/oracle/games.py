@@ -165,9 +165,8 @@ ORACLES = {
         [
             (
                 "played",
-                "SELECT player_id, game_id, pts FROM (SELECT *, row_number() OVER (PARTITION BY "
-                "player_id, game_id ORDER BY pts NULLS FIRST) AS row_num FROM game_rows) "
-                "AS ranked WHERE row_num = 1",
+                "SELECT player_id, game_id, max(pts) AS pts FROM game_rows "
+                "GROUP BY player_id, game_id",
             ),
             (
                 "scoring",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
@@ -9,9 +10,14 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import cubes, datelist, growth, monthly, quality, sequences
 from tidemark.plans.flat import flat_dates
+from tidemark.session import shared_folder
 from tidemark.sources import views
-from tidemark.sources.schemas import HOST_ACTIVITY_REDUCED
-from tidemark.sources.store import upsert_rows
+from tidemark.sources.schemas import (
+    HOST_ACTIVITY_REDUCED,
+    HOSTS_CUMULATED,
+    USERS_CUMULATED,
+)
+from tidemark.sources.store import SnapshotStore, upsert_rows
 from tidemark.sources.views import Reader
 
 FIRST = date(2024, 1, 1)
@@ -58,6 +64,43 @@ def hosts_cumulated(table: Reader) -> DataFrame:
     return _stepped(views.events_web(table), USER_HOST, "host_activity_datelist")
 
 
+def _new_store(table_rows: DataFrame) -> SnapshotStore:
+    """Empty tables in a folder of their own, where all executors can write."""
+    spark = table_rows.sparkSession
+    return SnapshotStore(spark, f"{shared_folder(spark)}/{uuid.uuid4()}")
+
+
+def _days(last: date) -> list[date]:
+    return [FIRST + timedelta(days=n) for n in range((last - FIRST).days + 1)]
+
+
+def users_cumulated_daily(table: Reader) -> DataFrame:
+    """As users_cumulated, by one stored step per day; each write cuts the lineage."""
+    events = views.events_web(table)
+    store = _new_store(events)
+    for day in _days(STEP):
+        prev = store.read(USERS_CUMULATED, day - timedelta(days=1))
+        today = datelist.active_days(events, USER, day, day)
+        step = datelist.datelist_step(prev, today, USER, "dates_active")
+        store.replace(USERS_CUMULATED, step)
+    return flat_dates(store.read(USERS_CUMULATED, STEP))
+
+
+def host_activity_daily(table: Reader) -> DataFrame:
+    """As host_activity_reduced, by stored steps and an upsert per day."""
+    events = views.events_web(table)
+    store = _new_store(events)
+    for day in _days(MONTH_STEP):
+        prev = store.read(HOSTS_CUMULATED, day - timedelta(days=1))
+        today = datelist.active_days(events, USER_HOST, day, day)
+        step = datelist.datelist_step(prev, today, USER_HOST, "host_activity_datelist")
+        store.replace(HOSTS_CUMULATED, step)
+        hosts = store.read(HOSTS_CUMULATED, day)
+        month = store.read(HOST_ACTIVITY_REDUCED, day.month)
+        store.upsert(HOST_ACTIVITY_REDUCED, monthly.reduce_month_step(month, hosts, day))
+    return flat_dates(store.read(HOST_ACTIVITY_REDUCED))
+
+
 def _bits(table: Reader, keep_today: bool) -> DataFrame:
     users = _through(views.events_web(table), USER, "dates_active", LAST)
     return datelist.activity_bits(
@@ -94,11 +137,9 @@ def _reduced(table: Reader, last: date) -> DataFrame:
     hosts = _through(views.events_web(table), USER_HOST, dates, MONTH_STEP)
     spark = hosts.sparkSession
     reduced = spark.createDataFrame([], HOST_ACTIVITY_REDUCED.schema)
-    day = FIRST
-    while day <= last:
+    for day in _days(last):
         as_of = datelist.datelist_as_of(hosts, dates, day)
         reduced = monthly.reduce_month_step(reduced, as_of, day)
-        day += timedelta(days=1)
     return reduced
 
 
@@ -177,6 +218,8 @@ QUERIES = {
         users_cumulated,
         user_devices_cumulated,
         hosts_cumulated,
+        users_cumulated_daily,
+        host_activity_daily,
         activity_bits,
         activity_bits_corrected,
         device_activity_bits,

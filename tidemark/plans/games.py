@@ -75,9 +75,11 @@ def rolling_wins_corrected(table: Reader) -> DataFrame:
 
 
 def longest_streak(table: Reader) -> DataFrame:
-    played = quality.one_per_key(
-        views.game_details(table, names=False).select("player_id", "game_id", "pts"),
-        ["player_id", "game_id"],
+    """Of several rows of a player and game the one with most points counts."""
+    played = (
+        views.game_details(table, names=False)
+        .groupBy("player_id", "game_id")
+        .agg(F.max("pts").alias("pts"))
     )
     dated = played.join(views.games(table).select("game_id", "game_date_est"), "game_id")
     hits = dated.withColumn("hit", F.coalesce(F.col("pts") > STREAK_POINTS, F.lit(False)))
