@@ -6,7 +6,7 @@ from conftest import rows_of
 from tidemark import session
 from tidemark.operators import datelist
 from tidemark.sources.schemas import HOST_ACTIVITY_REDUCED, PLAYERS_SCD, USERS_CUMULATED
-from tidemark.sources.store import SnapshotStore, upsert_rows
+from tidemark.sources.store import BucketedStore, SnapshotStore, upsert_rows
 
 
 @pytest.fixture
@@ -14,23 +14,30 @@ def store(spark, tmp_path):
     return SnapshotStore(spark, str(tmp_path))
 
 
-def test_never_written_is_empty(store):
-    assert store.read(USERS_CUMULATED).count() == 0
-    assert store.read(USERS_CUMULATED, date(2024, 1, 1)).columns == USERS_CUMULATED.schema.names
+@pytest.fixture(params=["plain", "bucketed"])
+def any_store(request, spark, tmp_path):
+    if request.param == "plain":
+        return SnapshotStore(spark, str(tmp_path))
+    return BucketedStore(spark, str(tmp_path), 3)
 
 
-def test_daily_steps_are_repeatable(store, frame):
+def test_never_written_is_empty(any_store):
+    assert any_store.read(USERS_CUMULATED).count() == 0
+    assert any_store.read(USERS_CUMULATED, date(2024, 1, 1)).columns == USERS_CUMULATED.schema.names
+
+
+def test_daily_steps_are_repeatable(any_store, frame):
     """Building a day again from the day before leaves the same table."""
     active = frame(
         "user_id string, date_active date",
         [("a", date(2024, 1, 1)), ("a", date(2024, 1, 2)), ("b", date(2024, 1, 2))],
     )
     for n in (1, 2, 2, 3, 2):
-        prev = store.read(USERS_CUMULATED, date(2024, 1, n - 1) if n > 1 else date(2023, 12, 31))
+        prev = any_store.read(USERS_CUMULATED, date(2024, 1, n - 1) if n > 1 else date(2023, 12, 31))
         today = active.where(active.date_active == date(2024, 1, n))
         step = datelist.datelist_step(prev, today, ["user_id"], "dates_active")
-        store.replace(USERS_CUMULATED, step)
-    assert rows_of(store.read(USERS_CUMULATED)) == rows_of(
+        any_store.replace(USERS_CUMULATED, step)
+    assert rows_of(any_store.read(USERS_CUMULATED)) == rows_of(
         frame(
             USERS_CUMULATED.schema,
             [
@@ -44,34 +51,35 @@ def test_daily_steps_are_repeatable(store, frame):
     )
 
 
-def test_one_period_is_a_pruned_read(store, frame):
+def test_one_period_is_a_pruned_read(any_store, frame):
     rows = [("u", [date(2024, 1, n)], date(2024, 1, n)) for n in (1, 2, 3)]
-    store.replace(USERS_CUMULATED, frame(USERS_CUMULATED.schema, rows))
-    one = store.read(USERS_CUMULATED, date(2024, 1, 2))
-    assert len(one.inputFiles()) == 3
+    any_store.replace(USERS_CUMULATED, frame(USERS_CUMULATED.schema, rows))
+    one = any_store.read(USERS_CUMULATED, date(2024, 1, 2))
+    assert len(one.inputFiles()) == 1
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan
     assert rows_of(one, "date") == [(date(2024, 1, 2),)]
 
 
-def test_columns_are_written_by_name(store, frame):
+def test_columns_are_written_by_name(any_store, frame):
     shuffled = frame(
         "end_season int, start_season int, is_active boolean, current_season int, "
         "player_name string, scoring_class string",
         [(2001, 2000, True, 2001, "p", "star")],
     )
-    store.replace(PLAYERS_SCD, shuffled)
-    assert rows_of(store.read(PLAYERS_SCD)) == [("p", "star", True, 2001, 2000, 2001)]
+    any_store.replace(PLAYERS_SCD, shuffled)
+    assert rows_of(any_store.read(PLAYERS_SCD)) == [("p", "star", True, 2001, 2000, 2001)]
 
 
-def test_upsert(store, frame):
+@pytest.mark.parametrize("periods", [None, [1]])
+def test_upsert(store, frame, periods):
     schema = HOST_ACTIVITY_REDUCED.schema
     before = [(1, "a", [1], [1]), (1, "b", [2], [2]), (2, "a", [3], [3])]
-    source = [(1, "b", [9, 2], [9, 2]), (1, "c", [5], [5])]
-    want = [(1, "a", [1], [1]), (1, "b", [9, 2], [9, 2]), (1, "c", [5], [5]), (2, "a", [3], [3])]
-    store.replace(HOST_ACTIVITY_REDUCED, frame(schema, before))
+    source = [(1, "b", [9, 2], [9, 2]), (1, "c", [5], None)]
+    want = [(1, "a", [1], [1]), (1, "b", [9, 2], [9, 2]), (1, "c", [5], None), (2, "a", [3], [3])]
+    store.replace(HOST_ACTIVITY_REDUCED, frame(schema, before), many_periods=True)
     untouched = store.read(HOST_ACTIVITY_REDUCED, 2).inputFiles()
-    store.upsert(HOST_ACTIVITY_REDUCED, frame(schema, source))
+    store.upsert(HOST_ACTIVITY_REDUCED, frame(schema, source), periods)
     assert rows_of(store.read(HOST_ACTIVITY_REDUCED)) == want
     kept = [f for f in store.read(HOST_ACTIVITY_REDUCED, 2).inputFiles() if "month=2" in f]
     assert kept == [f for f in untouched if "month=2" in f]
@@ -79,6 +87,31 @@ def test_upsert(store, frame):
     assert rows_of(merged) == want
 
 
+def test_bucketed_snapshot_is_not_shuffled(spark, tmp_path, frame):
+    """Only the new facts move; each bucket is one file, found again by folder."""
+    store = BucketedStore(spark, str(tmp_path), 3)
+    day, before = date(2024, 1, 2), date(2024, 1, 1)
+    rows = [(str(u), [before], before) for u in range(50)]
+    store.replace(USERS_CUMULATED, frame(USERS_CUMULATED.schema, rows))
+    today = frame("user_id string, date_active date", [(str(u), day) for u in range(40, 60)])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    step = datelist.datelist_step(
+        store.read(USERS_CUMULATED, before), today, ["user_id"], "dates_active"
+    )
+    plan = step._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Bucketed: true" in plan
+    store.replace(USERS_CUMULATED, step)
+    files = list((tmp_path / "users_cumulated" / "date=2024-01-02").glob("*.parquet"))
+    assert len(files) == 3
+
+    spark.sql(f"DROP TABLE {store.table_name(USERS_CUMULATED)}")
+    again = BucketedStore(spark, str(tmp_path), 3)
+    assert again.read(USERS_CUMULATED, day).count() == 60
+
+
 def test_create_as(spark, store, frame):
     store.create_as("hits_report", frame("level string, hits bigint", [("os", 3)]))
     assert rows_of(spark.table("hits_report")) == [("os", 3)]
@@ -88,3 +121,9 @@ def test_create_as(spark, store, frame):
 def test_shared_folder_is_the_sessions(spark):
     folder = session.shared_folder(spark)
     assert folder == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
+def test_shuffles_widen_with_the_input():
+    small, large = session.sized_settings(1), session.sized_settings(100 * 10**12)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert 50_000 < int(large["spark.sql.shuffle.partitions"]) < 200_000

@@ -17,7 +17,7 @@ from tidemark.sources.schemas import (
     HOSTS_CUMULATED,
     USERS_CUMULATED,
 )
-from tidemark.sources.store import SnapshotStore, upsert_rows
+from tidemark.sources.store import BucketedStore, SnapshotStore, upsert_rows
 from tidemark.sources.views import Reader
 
 FIRST = date(2024, 1, 1)
@@ -64,10 +64,9 @@ def hosts_cumulated(table: Reader) -> DataFrame:
     return _stepped(views.events_web(table), USER_HOST, "host_activity_datelist")
 
 
-def _new_store(table_rows: DataFrame) -> SnapshotStore:
-    """Empty tables in a folder of their own, where all executors can write."""
-    spark = table_rows.sparkSession
-    return SnapshotStore(spark, f"{shared_folder(spark)}/{uuid.uuid4()}")
+def _new_folder(rows: DataFrame) -> str:
+    """Folder of its own that all executors can write to."""
+    return f"{shared_folder(rows.sparkSession)}/{uuid.uuid4()}"
 
 
 def _days(last: date) -> list[date]:
@@ -77,7 +76,9 @@ def _days(last: date) -> list[date]:
 def users_cumulated_daily(table: Reader) -> DataFrame:
     """As users_cumulated, by one stored step per day; each write cuts the lineage."""
     events = views.events_web(table)
-    store = _new_store(events)
+    spark = events.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    store = BucketedStore(spark, _new_folder(events), buckets)
     for day in _days(STEP):
         prev = store.read(USERS_CUMULATED, day - timedelta(days=1))
         today = datelist.active_days(events, USER, day, day)
@@ -89,7 +90,7 @@ def users_cumulated_daily(table: Reader) -> DataFrame:
 def host_activity_daily(table: Reader) -> DataFrame:
     """As host_activity_reduced, by stored steps and an upsert per day."""
     events = views.events_web(table)
-    store = _new_store(events)
+    store = SnapshotStore(events.sparkSession, _new_folder(events))
     for day in _days(MONTH_STEP):
         prev = store.read(HOSTS_CUMULATED, day - timedelta(days=1))
         today = datelist.active_days(events, USER_HOST, day, day)
@@ -97,7 +98,8 @@ def host_activity_daily(table: Reader) -> DataFrame:
         store.replace(HOSTS_CUMULATED, step)
         hosts = store.read(HOSTS_CUMULATED, day)
         month = store.read(HOST_ACTIVITY_REDUCED, day.month)
-        store.upsert(HOST_ACTIVITY_REDUCED, monthly.reduce_month_step(month, hosts, day))
+        reduced = monthly.reduce_month_step(month, hosts, day)
+        store.upsert(HOST_ACTIVITY_REDUCED, reduced, [day.month])
     return flat_dates(store.read(HOST_ACTIVITY_REDUCED))
 
 

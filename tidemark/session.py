@@ -28,12 +28,29 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Queries read few columns, so a shuffle moves well under a gigabyte of the
+# input per partition at this ratio, and sorts that exceed memory spill.
+INPUT_PER_PARTITION = 1 << 30
+
+
+def sized_settings(input_bytes: int) -> dict[str, str]:
+    """Shuffle width for an input: wide at first, narrowed by AQE where little is left."""
+    partitions = max(200, -(-input_bytes // INPUT_PER_PARTITION))
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.shuffle.partitions": str(partitions),
+    }
+
+
 def get_session(
     app_name: str = "tidemark",
     master: str | None = None,
     settings: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Build a session; ``master`` is left to spark-submit unless given."""
+    """Build a session; ``master`` is left to spark-submit unless given.
+
+    Pass ``sized_settings(...)`` as settings for large inputs.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

@@ -7,19 +7,34 @@ so a lost executor only repeats its tasks and a failed job changes nothing.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import all_of
 from tidemark.sources.schemas import Table
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target with the source's rows added, replacing rows of the same key."""
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
-    return kept.select(*target.columns).unionByName(source.select(*target.columns))
+    """Target with the source's rows added, replacing rows of the same key.
+
+    One join on the key, which the target holds at most once.
+    """
+    new = source.withColumn("_is_new", F.lit(True)).alias("n")
+    old = target.alias("o")
+    same_key = all_of([F.col(f"n.{k}") == F.col(f"o.{k}") for k in keys])
+    return old.join(new, same_key, "full_outer").select(
+        *[
+            F.when(F.col("n._is_new"), F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c)
+            for c in target.columns
+        ]
+    )
 
 
 class SnapshotStore:
@@ -32,42 +47,114 @@ class SnapshotStore:
     def path(self, table: Table) -> str:
         return f"{self.folder}/{table.name}"
 
-    def read(self, table: Table, period: object = None) -> DataFrame:
-        """The table, or one period of it (a pruned read); empty if never written."""
+    def _files(self, table: Table, period: object = None) -> DataFrame | None:
+        """The table's files, or None where nothing was written yet.
+
+        A day or number names its folder, so only that folder is listed.
+        """
+        path = self.path(table)
+        reader = self.spark.read.schema(table.schema).option("basePath", path)
+        if isinstance(period, (date, int)):
+            path = f"{path}/{table.period}={period}"
         try:
-            rows = self.spark.read.schema(table.schema).parquet(self.path(table))
+            return reader.parquet(path)
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-            rows = self.spark.createDataFrame([], table.schema)
+            return None
+
+    def _rows(self, table: Table, period: object = None) -> DataFrame:
+        files = self._files(table, period)
+        return self.spark.createDataFrame([], table.schema) if files is None else files
+
+    def _write(self, table: Table, rows: DataFrame) -> None:
+        writer = rows.write.mode("overwrite")
+        if table.period is not None:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
+            writer = writer.partitionBy(table.period)
+        writer.parquet(self.path(table))
+
+    def read(self, table: Table, period: object = None) -> DataFrame:
+        """The table, or one period of it (a pruned read); empty if never written."""
+        rows = self._rows(table, period)
         if period is not None:
             rows = rows.where(F.col(table.period) == F.lit(period))
         return rows.select(*table.schema.names)
 
-    def replace(self, table: Table, rows: DataFrame) -> None:
-        """Write rows by column name, replacing every period they contain."""
+    def replace(self, table: Table, rows: DataFrame, many_periods: bool = False) -> None:
+        """Write rows by column name, replacing every period they contain.
+
+        Rows of one period are written as they are partitioned. Rows of many
+        periods are first gathered by period, so that not every task writes a
+        file of every period; a period much larger than the others is split.
+        """
         rows = rows.select(
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields]
         )
-        if table.period is None:
-            rows.write.mode("overwrite").parquet(self.path(table))
-            return
-        # Rebalancing gives each period few files, and splits a period that is
-        # much larger than the others over several tasks.
-        (
-            rows.hint("rebalance", table.period)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(table.period)
-            .parquet(self.path(table))
-        )
+        self._write(table, rows.hint("rebalance", table.period) if many_periods else rows)
+
+    def upsert(
+        self, table: Table, source: DataFrame, periods: Sequence[object] | None = None
+    ) -> None:
+        """Insert or replace by the declared key, rewriting only the periods touched.
 
-    def upsert(self, table: Table, source: DataFrame) -> None:
-        """Insert or replace by the declared key, rewriting only the periods touched."""
-        touched = source.select(table.period).distinct()
-        target = self.read(table).join(touched, table.period, "left_semi")
+        Naming the source's periods saves finding them.
+        """
+        target = self.read(table)
+        if periods is None:
+            touched = source.select(table.period).distinct()
+            target = target.join(touched, table.period, "left_semi")
+        else:
+            target = target.where(F.col(table.period).isin(list(periods)))
         self.replace(table, upsert_rows(target, source, table.key))
 
     def create_as(self, name: str, rows: DataFrame) -> None:
         """Store a query result as a catalog table."""
         rows.write.mode("overwrite").saveAsTable(name)
+
+
+class BucketedStore(SnapshotStore):
+    """Snapshot tables bucketed by their key within each period.
+
+    A step joins the previous snapshot, which holds all history, with one period
+    of facts by key. Bucketed, the snapshot is read already partitioned by key, so
+    only the new facts are shuffled, and each bucket is written as one file.
+    Choose ``buckets`` so that a bucket of one period fits a task.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, buckets: int) -> None:
+        super().__init__(spark, folder)
+        self.buckets = buckets
+
+    def table_name(self, table: Table) -> str:
+        return f"{table.name}_{zlib.crc32(self.path(table).encode()):08x}"
+
+    def _open(self, table: Table) -> str:
+        """Name of the catalog table over the folder, defined on first use."""
+        name = self.table_name(table)
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema)
+            keys = ", ".join(k for k in table.key if k != table.period)
+            self.spark.sql(
+                f"CREATE TABLE {name} ({columns}) USING parquet "
+                f"PARTITIONED BY ({table.period}) "
+                f"CLUSTERED BY ({keys}) INTO {self.buckets} BUCKETS "
+                f"LOCATION '{self.path(table)}'"
+            )
+            if self._files(table) is not None:
+                self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        return name
+
+    def _rows(self, table: Table, period: object = None) -> DataFrame:
+        return self.spark.table(self._open(table))
+
+    def _write(self, table: Table, rows: DataFrame) -> None:
+        name = self._open(table)
+        # Inserting takes columns by position, in the table's own order.
+        ordered = rows.select(*self.spark.table(name).columns)
+        mode = self.spark.conf.get(OVERWRITE_MODE)
+        self.spark.conf.set(OVERWRITE_MODE, "dynamic")
+        try:
+            ordered.write.insertInto(name, overwrite=True)
+        finally:
+            self.spark.conf.set(OVERWRITE_MODE, mode)
