@@ -13,6 +13,7 @@ from tidemark.sources.schemas import (
     USERS_CUMULATED,
     USERS_GROWTH_ACCOUNTING,
 )
+from tidemark.sources.store import upsert_rows
 
 EVENTS = "user_id bigint, device_id int, host string, event_time timestamp_ntz"
 
@@ -142,6 +143,26 @@ def test_month_arrays(spark, frame):
     ]
 
 
+@pytest.mark.parametrize("by_year", [False, True])
+def test_month_steps_equal_one_pass(spark, frame, by_year):
+    """Over the end of a month, and over the same month of two years."""
+    days = [28, 29, 30, 33, 35, 60]
+    visits = [event(u, n, h) for n in days for u, h in ((1, "a"), (n, "a"), (2, f"h{n % 3}"))]
+    again = [(u, d, h, m + timedelta(days=366)) for u, d, h, m in visits[-3:]]
+    for events, first, last in ((visits, 28, 36), (visits + again, 425, 427)):
+        active = datelist.active_days(frame(EVENTS, events), ["user_id", "host"]).cache()
+        stepped = monthly.reduce_months_through(active, day(first - 1), by_year)
+        for n in range(first, last + 1):
+            hosts = datelist.datelist_through(
+                active, ["user_id", "host"], "host_activity_datelist", day(n)
+            )
+            step = monthly.reduce_month_step(stepped, hosts, day(n), by_year)
+            merged = upsert_rows(stepped, step, HOST_ACTIVITY_REDUCED.key)
+            stepped = spark.createDataFrame(merged.collect(), HOST_ACTIVITY_REDUCED.schema)
+        whole = monthly.reduce_months_through(active, day(last), by_year)
+        assert rows_of(stepped) == rows_of(whole)
+
+
 def test_month_arrays_keep_hosts_absent_today(frame):
     prev = frame(
         "month int, host string, hit_array array<int>, unique_visitors array<int>",

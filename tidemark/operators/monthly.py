@@ -8,12 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def host_day(hosts: DataFrame, day: date, dates: str = "host_activity_datelist") -> DataFrame:
+def _month(day: Column, by_year: bool) -> Column:
+    """Month number, or year and month as one number."""
+    return F.year(day) * 100 + F.month(day) if by_year else F.month(day)
+
+
+def host_day(
+    hosts: DataFrame, day: date, dates: str = "host_activity_datelist", by_year: bool = False
+) -> DataFrame:
     """Rows and distinct users per host that were active on the snapshot's day."""
     active = F.array_contains(dates, F.lit(day))
     return (
         hosts.where(F.col("date") == F.lit(day))
-        .groupBy(F.month("date").alias("month"), "host")
+        .groupBy(_month(F.col("date"), by_year).alias("month"), "host")
         .agg(
             F.count(F.when(active, 1)).cast("int").alias("num_hits"),
             F.count_distinct(F.when(active, F.col("user_id"))).cast("int").alias("unique_users"),
@@ -21,10 +28,16 @@ def host_day(hosts: DataFrame, day: date, dates: str = "host_activity_datelist")
     )
 
 
-def reduce_month_step(prev: DataFrame, hosts: DataFrame, day: date) -> DataFrame:
-    """Month's arrays with the day's counts prepended; upsert the result by key."""
-    t = host_day(hosts, day).alias("t")
-    y = prev.where(F.col("month") == day.month).alias("y")
+def reduce_month_step(
+    prev: DataFrame, hosts: DataFrame, day: date, by_year: bool = False
+) -> DataFrame:
+    """Month's arrays with the day's counts prepended; upsert the result by key.
+
+    ``hosts`` is the snapshot of the day, with one row per user and host. Without
+    ``by_year`` the same month of every year shares one row.
+    """
+    t = host_day(hosts, day, by_year=by_year).alias("t")
+    y = prev.where(F.col("month") == _month(F.lit(day), by_year)).alias("y")
 
     def grown(count: str, array: str) -> Column:
         new, old = F.col(f"t.{count}"), F.col(f"y.{array}")
@@ -41,3 +54,36 @@ def reduce_month_step(prev: DataFrame, hosts: DataFrame, day: date) -> DataFrame
         grown("num_hits", "hit_array").alias("hit_array"),
         grown("unique_users", "unique_visitors").alias("unique_visitors"),
     )
+
+
+def reduce_months_through(active: DataFrame, day: date, by_year: bool = False) -> DataFrame:
+    """All months' arrays as of ``day`` in one pass, equal to the steps from empty.
+
+    ``active`` has distinct users, hosts and days. Users are counted per host and
+    day; from a host's first day on, a day without users counts zero.
+    """
+    counts = (
+        active.where(F.col("date_active") <= F.lit(day))
+        .groupBy("host", "date_active")
+        .agg(F.count(F.lit(1)).cast("int").alias("_n"))
+    )
+    hosts = counts.groupBy("host").agg(
+        F.sort_array(F.collect_list(F.struct("date_active", "_n"))).alias("_days")
+    )
+    spans = hosts.select("host", "_days", F.posexplode("_days").alias("_i", "_on"))
+    following = F.try_element_at("_days", F.col("_i") + 2)["date_active"]
+    until = F.coalesce(F.date_sub(following, 1), F.lit(day))
+    days = spans.select(
+        "host", "_on", F.explode(F.sequence("_on.date_active", until)).alias("_day")
+    )
+    users = F.when(F.col("_day") == F.col("_on.date_active"), F.col("_on._n")).otherwise(0)
+    slots = days.groupBy(_month(F.col("_day"), by_year).alias("month"), "host").agg(
+        F.sort_array(
+            F.collect_list(F.struct("_day", users.alias("_users"))), asc=False
+        ).alias("_slots")
+    )
+    # The snapshot has one row per user, so hits and users are the same number.
+    counted = F.transform("_slots", lambda s: s["_users"])
+    return slots.select(
+        "month", "host", counted.alias("hit_array"), counted.alias("unique_visitors")
+    )

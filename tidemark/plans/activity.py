@@ -133,26 +133,21 @@ def device_activity_bits_or(table: Reader) -> DataFrame:
     return _device_bits(table, "or")
 
 
-def _reduced(table: Reader, last: date) -> DataFrame:
-    """Monthly arrays after each day up to ``last``, from one set of lists."""
-    dates = "host_activity_datelist"
-    hosts = _through(views.events_web(table), USER_HOST, dates, MONTH_STEP)
-    spark = hosts.sparkSession
-    reduced = spark.createDataFrame([], HOST_ACTIVITY_REDUCED.schema)
-    for day in _days(last):
-        as_of = datelist.datelist_as_of(hosts, dates, day)
-        reduced = monthly.reduce_month_step(reduced, as_of, day)
-    return reduced
+def _month_step(table: Reader) -> tuple[DataFrame, DataFrame]:
+    """Monthly arrays as of the day before, and the step of the day."""
+    day, before = MONTH_STEP, MONTH_STEP - timedelta(days=1)
+    active = datelist.active_days(views.events_web(table), USER_HOST, last=day)
+    prev = monthly.reduce_months_through(active, before)
+    hosts = datelist.datelist_through(active, USER_HOST, "host_activity_datelist", day)
+    return prev, monthly.reduce_month_step(prev, hosts, day)
 
 
 def host_activity_reduced(table: Reader) -> DataFrame:
-    return flat_dates(_reduced(table, MONTH_STEP))
+    return flat_dates(_month_step(table)[1])
 
 
 def upsert_month(table: Reader) -> DataFrame:
-    before = _reduced(table, MONTH_STEP - timedelta(days=1))
-    after = _reduced(table, MONTH_STEP)
-    return flat_dates(upsert_rows(before, after, HOST_ACTIVITY_REDUCED.key))
+    return flat_dates(upsert_rows(*_month_step(table), HOST_ACTIVITY_REDUCED.key))
 
 
 def _logins(table: Reader) -> DataFrame:

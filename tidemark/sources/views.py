@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 Reader = Callable[[str], DataFrame]
 
@@ -17,7 +18,16 @@ TEAM_COUNT = 25
 
 
 def parquet_reader(spark: SparkSession, folder: str) -> Reader:
-    return lambda name: spark.read.parquet(f"{folder}/{name}.parquet")
+    """Reader of the tables in a folder; each table's schema is looked up once."""
+    schemas: dict[str, StructType] = {}
+
+    def table(name: str) -> DataFrame:
+        path = f"{folder}/{name}.parquet"
+        if name not in schemas:
+            schemas[name] = spark.read.parquet(path).schema
+        return spark.read.schema(schemas[name]).parquet(path)
+
+    return table
 
 
 def _text(prefix: str, column: str) -> Column:
