@@ -98,7 +98,9 @@ def player_edges(details: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         "game_id", "player_id", "player_name", "team_abbreviation", "pts"
     )
     large = (
-        details.groupBy("game_id")
+        details.select("game_id", "player_id")
+        .distinct()
+        .groupBy("game_id")
         .agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("_blocks"))
         .where(F.col("_blocks") > 1)
     )
