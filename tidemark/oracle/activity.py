@@ -1,402 +1,249 @@
-"""Oracles of the web event queries, as unrolled daily steps."""
+"""Statements for the web event queries, from distinct active days."""
 
 from __future__ import annotations
 
-from datetime import date, timedelta
-
 from tidemark.oracle.inputs import with_inputs
 
 Steps = list[tuple[str, str]]
 
-FIRST, STEP, MONTH_STEP, LAST = (
-    date(2024, 1, 1),
-    date(2024, 1, 5),
-    date(2024, 1, 3),
-    date(2024, 1, 30),
-)
-
-
-def _days(last: date) -> list[date]:
-    return [FIRST + timedelta(days=i) for i in range((last - FIRST).days + 1)]
-
-
-def _lit(day: date) -> str:
-    return f"DATE '{day.isoformat()}'"
-
+STEP, MONTH_STEP, LAST = "DATE '2024-01-05'", "DATE '2024-01-03'", "DATE '2024-01-30'"
+LOGIN, SIGNUP = "/api/v1/login", "/signup"
 
 BROWSERS = (
-    "user_browser",
-    """
-    SELECT e.user_id, e.event_time, max(d.browser_type) AS browser_type
-    FROM events_web e JOIN devices d ON d.device_id = e.device_id
-    WHERE e.user_id IS NOT NULL AND d.browser_type IS NOT NULL
-    GROUP BY e.user_id, e.event_time
-    """,
+    "browsers",
+    "SELECT user_id, event_time, max(browser_type) AS browser_type "
+    "FROM events_web JOIN devices USING (device_id) "
+    "WHERE user_id IS NOT NULL GROUP BY user_id, event_time "
+    "HAVING max(browser_type) IS NOT NULL",
 )
 
 
-def _lists(source: str, keys: list[str], dates: str, last: date) -> Steps:
-    """Date lists of each day, every one from the day before."""
-    columns = ", ".join(keys)
-    null_keys = ", ".join(f"CAST(NULL AS VARCHAR) AS {k}" for k in keys)
-    steps: Steps = [
-        (
-            "lists_0",
-            f"SELECT {null_keys}, CAST(NULL AS DATE[]) AS {dates}, "
-            "CAST(NULL AS DATE) AS date WHERE 1 = 0",
-        )
-    ]
-    known = " AND ".join(f"{k} IS NOT NULL" for k in keys)
-    as_text = ", ".join(f"CAST({k} AS VARCHAR) AS {k}" for k in keys)
-    merged = ", ".join(f"coalesce(t.{k}, y.{k}) AS {k}" for k in keys)
-    same = " AND ".join(f"y.{k} = t.{k}" for k in keys)
-    for i, day in enumerate(_days(last), 1):
-        steps.append(
-            (
-                f"lists_{i}",
-                f"""
-                SELECT {merged},
-                       CASE WHEN y.{dates} IS NULL THEN [t.date_active]
-                            WHEN t.date_active IS NULL THEN y.{dates}
-                            ELSE list_concat([t.date_active], y.{dates}) END AS {dates},
-                       coalesce(t.date_active, CAST(y.date + INTERVAL 1 DAY AS DATE)) AS date
-                FROM (SELECT DISTINCT {as_text}, CAST(event_time AS DATE) AS date_active
-                      FROM {source}
-                      WHERE CAST(event_time AS DATE) = {_lit(day)} AND {known}) t
-                FULL OUTER JOIN lists_{i - 1} y ON {same}
-                """,
-            )
-        )
-    return steps
+def _visits(source: str, extra: str = "", where: str = "TRUE") -> tuple[str, str]:
+    """Distinct users, further keys and days; null keys left out."""
+    keys = f"CAST(user_id AS VARCHAR) AS user_id{', ' + extra if extra else ''}"
+    known = f" AND {extra} IS NOT NULL" if extra else ""
+    return (
+        "visits",
+        f"SELECT DISTINCT {keys}, CAST(event_time AS DATE) AS day FROM {source} "
+        f"WHERE user_id IS NOT NULL{known} AND {where}",
+    )
 
 
-def _joined(column: str, kind: str = "DATE") -> str:
-    return (
-        f"array_to_string(list_transform({column}, lambda d: CAST(d AS VARCHAR)), ',') "
-        f"AS {column}"
+def _lists(inputs: list[str], steps: Steps, keys: str, dates: str) -> str:
+    return with_inputs(
+        inputs,
+        steps,
+        f"SELECT {keys}, string_agg(CAST(day AS VARCHAR), ',' ORDER BY day DESC) AS {dates}, "
+        f"CAST({STEP} AS VARCHAR) AS date FROM visits WHERE day <= {STEP} GROUP BY {keys}",
     )
 
 
-def _list_query(source: str, inputs: list[str], extra: Steps, keys: list[str], dates: str) -> str:
-    n = len(_days(STEP))
+def _bits(
+    inputs: list[str], steps: Steps, top: int, merge: str = "sum", all_counts: bool = True
+) -> str:
+    """A day sets bit ``top`` minus its age; only 32 bits are kept."""
+    narrower = (
+        ", CAST(bit_count(word >> 25) AS INTEGER) AS weekly_active, "
+        "CAST(word >> 31 AS INTEGER) AS daily_active"
+        if all_counts
+        else ""
+    )
     return with_inputs(
         inputs,
-        extra + _lists(source, keys, dates, STEP),
-        f"SELECT {', '.join(keys)}, {_joined(dates)}, CAST(date AS VARCHAR) AS date "
-        f"FROM lists_{n}",
+        [
+            *steps,
+            (
+                "words",
+                f"SELECT user_id, CAST({merge}(CAST(1 AS BIGINT) << ({top} - "
+                f"CAST({LAST} - day AS INTEGER))) AS BIGINT) & ((CAST(1 AS BIGINT) << 32) - 1) "
+                f"AS word FROM visits WHERE day <= {LAST} GROUP BY user_id",
+            ),
+        ],
+        "SELECT user_id, lpad(bin(word), 32, '0') AS activity_bits, "
+        f"CAST(bit_count(word) AS INTEGER) AS monthly_active{narrower} FROM words",
     )
 
 
-def _series_steps(keys: list[str], dates: str, top: int, merge: str) -> Steps:
-    """One row per list and day of the series, then one word per user."""
-    n = len(_days(LAST))
+USERS = [_visits("events_web")]
+HOSTS = [_visits("events_web", "host")]
+USER_BROWSERS = [BROWSERS, _visits("browsers", "browser_type")]
+
+REDUCED = with_inputs(
+    ["events_web"],
+    [
+        *HOSTS,
+        (
+            "slots",
+            f"SELECT host, CAST(unnest(generate_series(min(day), {MONTH_STEP}, "
+            "INTERVAL 1 DAY)) AS DATE) AS day FROM visits GROUP BY host",
+        ),
+        (
+            "counts",
+            "SELECT s.host, s.day, count(v.user_id) AS users FROM slots s "
+            "LEFT JOIN visits v ON v.host = s.host AND v.day = s.day GROUP BY s.host, s.day",
+        ),
+    ],
+    "SELECT CAST(month(day) AS INTEGER) AS month, host, "
+    "string_agg(CAST(users AS VARCHAR), ',' ORDER BY day DESC) AS hit_array, "
+    "string_agg(CAST(users AS VARCHAR), ',' ORDER BY day DESC) AS unique_visitors "
+    "FROM counts GROUP BY month(day), host",
+)
+
+
+def _growth(corrected: bool = False) -> Steps:
+    """Every user and day from the first login on, with the gap to the login before."""
+    if corrected:
+        weekly = """CASE WHEN gap IS NULL THEN 'New'
+                         WHEN gap > 7 THEN CASE WHEN active THEN 'Resurrected' ELSE 'Stale' END
+                         WHEN active OR gap < 7 THEN 'Retained' ELSE 'Churned' END"""
+    else:
+        weekly = """CASE WHEN gap IS NULL THEN 'New' WHEN gap > 7 AND active THEN 'Resurrected'
+                         WHEN gap > 8 THEN 'Stale' ELSE 'Retained' END"""
     return [
+        _visits("events_web", where=f"url = '{LOGIN}'"),
         (
-            "series",
-            f"SELECT CAST(range AS DATE) AS day FROM range({_lit(FIRST)}, "
-            f"{_lit(LAST + timedelta(days=1))}, INTERVAL 1 DAY)",
+            "spine",
+            "SELECT user_id, min(day) AS first_day, CAST(unnest(generate_series(min(day), "
+            f"{LAST}, INTERVAL 1 DAY)) AS DATE) AS date FROM visits GROUP BY user_id",
         ),
         (
-            "placed",
-            f"""
-            SELECT user_id,
-                   CASE WHEN list_contains({dates}, day)
-                             AND date_diff('day', day, date) <= {top}
-                        THEN CAST(pow(2, {top} - date_diff('day', day, date)) AS BIGINT)
-                        ELSE 0 END AS bit
-            FROM lists_{n} CROSS JOIN series
+            "marked",
+            """
+            SELECT s.user_id, first_day, date, v.day IS NOT NULL AS active,
+                   max(v.day) OVER (PARTITION BY s.user_id ORDER BY date) AS last_day,
+                   date - max(v.day) OVER (
+                       PARTITION BY s.user_id ORDER BY date
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS gap,
+                   string_agg(CAST(v.day AS VARCHAR), ',') OVER (
+                       PARTITION BY s.user_id ORDER BY date) AS days
+            FROM spine s LEFT JOIN visits v ON v.user_id = s.user_id AND v.day = s.date
             """,
         ),
         (
-            "words",
-            f"SELECT user_id, CAST({merge}(bit) AS BIGINT) & 4294967295 AS word "
-            "FROM placed GROUP BY user_id",
+            "growth",
+            f"""
+            SELECT user_id, CAST(first_day AS VARCHAR) AS first_active_date,
+                   CAST(last_day AS VARCHAR) AS last_active_date,
+                   CASE WHEN gap IS NULL THEN 'New'
+                        WHEN gap = 1 THEN CASE WHEN active THEN 'Retained' ELSE 'Churned' END
+                        WHEN active THEN 'Resurrected' ELSE 'Stale' END AS daily_active_state,
+                   {weekly} AS weekly_active_state, days AS dates_active,
+                   CAST(date AS VARCHAR) AS date
+            FROM marked
+            """,
         ),
     ]
 
 
-WORD_TEXT = "lpad(bin(word), 32, '0') AS activity_bits"
-ALL_COUNTS = (
-    f"user_id, {WORD_TEXT}, bit_count(word) AS monthly_active, "
-    "bit_count(word & 4261412864) AS weekly_active, "
-    "bit_count(word & 2147483648) AS daily_active"
-)
+def _growth_query(result: str, corrected: bool = False) -> str:
+    return with_inputs(["events_web"], _growth(corrected), result)
 
 
-def _bits(top: int) -> str:
-    return with_inputs(
-        ["events_web"],
-        _lists("events_web", ["user_id"], "dates_active", LAST)
-        + _series_steps(["user_id"], "dates_active", top, "sum"),
-        f"SELECT {ALL_COUNTS} FROM words",
-    )
+STEPS = (
+    "steps",
+    "SELECT user_id, url, event_time, CAST(event_time AS DATE) AS day, "
+    f"max(CASE WHEN url = '{LOGIN}' THEN event_time END) OVER (PARTITION BY user_id, "
+    "CAST(event_time AS DATE)) AS last_login FROM events_web "
+    f"WHERE user_id IS NOT NULL AND url IN ('{LOGIN}', '{SIGNUP}')",
+)
 
 
-def _device_bits(merge: str) -> str:
-    dates = "device_activity_datelist"
+def _funnel(hits: str, reached: str) -> str:
     return with_inputs(
-        ["events_web", "devices"],
+        ["events_web"],
         [
-            BROWSERS,
-            *_lists("user_browser", ["user_id", "browser_type"], dates, LAST),
-            *_series_steps(["user_id"], dates, 32, merge),
+            STEPS,
+            ("counted", f"SELECT user_id, url, {hits} AS hits, {reached} AS ok FROM steps"),
+            (
+                "users",
+                "SELECT user_id, url, sum(hits) AS hits, coalesce(bool_or(ok), false) AS ok "
+                "FROM counted GROUP BY user_id, url",
+            ),
         ],
-        f"SELECT user_id, {WORD_TEXT}, bit_count(word) AS monthly_active FROM words",
+        "SELECT url, count(*) AS user_count, CAST(sum(hits) AS BIGINT) AS total_hits, "
+        "CAST(count(*) FILTER (WHERE ok) AS DOUBLE) / count(*) AS pct_converted "
+        "FROM users GROUP BY url",
     )
 
 
-def _reduced() -> Steps:
-    dates = "host_activity_datelist"
-    steps = _lists("events_web", ["user_id", "host"], dates, MONTH_STEP)
-    steps.append(
-        (
-            "reduced_0",
-            "SELECT CAST(NULL AS INTEGER) AS month, CAST(NULL AS VARCHAR) AS host, "
-            "CAST(NULL AS INTEGER[]) AS hit_array, CAST(NULL AS INTEGER[]) AS unique_visitors "
-            "WHERE 1 = 0",
-        )
-    )
-    for i, day in enumerate(_days(MONTH_STEP), 1):
-        active = f"CASE WHEN list_contains({dates}, date) THEN"
-        steps.append(
-            (
-                f"reduced_{i}",
-                f"""
-                SELECT coalesce(t.month, y.month) AS month, coalesce(t.host, y.host) AS host,
-                       CASE WHEN t.num_hits IS NULL THEN y.hit_array
-                            WHEN y.hit_array IS NULL THEN [t.num_hits]
-                            ELSE list_concat([t.num_hits], y.hit_array) END AS hit_array,
-                       CASE WHEN t.unique_users IS NULL THEN y.unique_visitors
-                            WHEN y.unique_visitors IS NULL THEN [t.unique_users]
-                            ELSE list_concat([t.unique_users], y.unique_visitors) END
-                           AS unique_visitors
-                FROM (SELECT CAST(month(date) AS INTEGER) AS month, host,
-                             CAST(count({active} 1 END) AS INTEGER) AS num_hits,
-                             CAST(count(DISTINCT {active} user_id END) AS INTEGER)
-                                 AS unique_users
-                      FROM lists_{i} WHERE date = {_lit(day)} GROUP BY month(date), host) t
-                FULL OUTER JOIN (SELECT * FROM reduced_{i - 1} WHERE month = {day.month}) y
-                  ON t.host = y.host AND t.month = y.month
-                """,
-            )
-        )
-    return steps
-
-
-REDUCED_COLUMNS = f"month, host, {_joined('hit_array')}, {_joined('unique_visitors')}"
-
-
-def _growth(corrected: bool = False) -> Steps:
-    """User states of each day, every one from the day before."""
-    steps: Steps = [
-        (
-            "growth_0",
-            "SELECT CAST(NULL AS VARCHAR) AS user_id, CAST(NULL AS DATE) AS first_active_date, "
-            "CAST(NULL AS DATE) AS last_active_date, CAST(NULL AS VARCHAR) AS "
-            "daily_active_state, CAST(NULL AS VARCHAR) AS weekly_active_state, "
-            "CAST(NULL AS DATE[]) AS dates_active, CAST(NULL AS DATE) AS date WHERE 1 = 0",
-        )
-    ]
-    for i, day in enumerate(_days(LAST), 1):
-        if corrected:
-            weekly = f"""
-                CASE WHEN y.user_id IS NULL THEN 'New'
-                     WHEN y.last_active_date BETWEEN {_lit(day)} - 7 AND {_lit(day)} - 1
-                          AND coalesce(t.day, y.last_active_date)
-                              BETWEEN {_lit(day)} - 6 AND {_lit(day)} THEN 'Retained'
-                     WHEN coalesce(t.day, y.last_active_date)
-                          BETWEEN {_lit(day)} - 6 AND {_lit(day)} THEN 'Resurrected'
-                     WHEN y.last_active_date BETWEEN {_lit(day)} - 7 AND {_lit(day)} - 1
-                          THEN 'Churned'
-                     ELSE 'Stale' END"""
-        else:
-            weekly = """
-                CASE WHEN y.user_id IS NULL THEN 'New'
-                     WHEN y.last_active_date < t.day - 7 THEN 'Resurrected'
-                     WHEN y.last_active_date >= y.date - 7 THEN 'Retained'
-                     WHEN t.day IS NULL AND y.last_active_date = y.date - 7 THEN 'Churned'
-                     ELSE 'Stale' END"""
-        steps.append(
-            (
-                f"growth_{i}",
-                f"""
-                SELECT coalesce(t.user_id, y.user_id) AS user_id,
-                       coalesce(y.first_active_date, t.day) AS first_active_date,
-                       coalesce(t.day, y.last_active_date) AS last_active_date,
-                       CASE WHEN y.user_id IS NULL AND t.user_id IS NOT NULL THEN 'New'
-                            WHEN y.last_active_date = t.day - 1 THEN 'Retained'
-                            WHEN y.last_active_date < t.day - 1 THEN 'Resurrected'
-                            WHEN t.day IS NULL AND y.last_active_date = y.date THEN 'Churned'
-                            ELSE 'Stale' END AS daily_active_state,
-                       {weekly} AS weekly_active_state,
-                       list_concat(coalesce(y.dates_active, CAST([] AS DATE[])),
-                                   CASE WHEN t.user_id IS NOT NULL THEN [t.day]
-                                        ELSE CAST([] AS DATE[]) END) AS dates_active,
-                       coalesce(t.day, y.date + 1) AS date
-                FROM (SELECT CAST(user_id AS VARCHAR) AS user_id,
-                             CAST(event_time AS DATE) AS day
-                      FROM events_web
-                      WHERE CAST(event_time AS DATE) = {_lit(day)} AND user_id IS NOT NULL
-                            AND url = '/api/v1/login'
-                      GROUP BY user_id, CAST(event_time AS DATE)) t
-                FULL OUTER JOIN growth_{i - 1} y ON y.user_id = t.user_id
-                """,
-            )
-        )
-    union = " UNION ALL ".join(
-        f"SELECT * FROM growth_{i}" for i in range(1, len(_days(LAST)) + 1)
+def _hits_by(level: str, *dims: str) -> str:
+    every = ("os_type", "device_type", "browser_type")
+    shown = ", ".join(d if d in dims else f"'(overall)' AS {d}" for d in every)
+    return (
+        f"SELECT '{level}' AS aggregation_level, {shown}, count(*) AS number_of_hits "
+        f"FROM hits GROUP BY {', '.join(dims)}"
     )
-    return [*steps, ("growth", union)]
-
-
-GROWTH_COLUMNS = (
-    "user_id, CAST(first_active_date AS VARCHAR) AS first_active_date, "
-    "CAST(last_active_date AS VARCHAR) AS last_active_date, daily_active_state, "
-    f"weekly_active_state, {_joined('dates_active')}, CAST(date AS VARCHAR) AS date"
-)
-ACTIVE = "count(CASE WHEN daily_active_state IN ('Retained', 'Resurrected', 'New') THEN 1 END)"
-
 
-def _growth_query(result: str, corrected: bool = False) -> str:
-    return with_inputs(["events_web"], _growth(corrected), result)
-
-
-CHOSEN = (
-    "chosen",
-    "SELECT user_id, url, event_time, CAST(event_time AS DATE) AS event_date FROM events_web "
-    "WHERE url IN ('/signup', '/api/v1/login') AND user_id IS NOT NULL",
-)
-BY_URL = """
-SELECT url, count(1) AS user_count, CAST(sum(number_of_hits) AS BIGINT) AS total_hits,
-       CAST(sum(converted) AS DOUBLE) / count(1) AS pct_converted
-FROM userlevel GROUP BY url
-"""
 
 ORACLES = {
-    "users_cumulated": _list_query(
-        "events_web", ["events_web"], [], ["user_id"], "dates_active"
-    ),
-    "user_devices_cumulated": _list_query(
-        "user_browser",
+    "users_cumulated": _lists(["events_web"], USERS, "user_id", "dates_active"),
+    "user_devices_cumulated": _lists(
         ["events_web", "devices"],
-        [BROWSERS],
-        ["user_id", "browser_type"],
+        USER_BROWSERS,
+        "user_id, browser_type",
         "device_activity_datelist",
     ),
-    "hosts_cumulated": _list_query(
-        "events_web", ["events_web"], [], ["user_id", "host"], "host_activity_datelist"
+    "hosts_cumulated": _lists(["events_web"], HOSTS, "user_id, host", "host_activity_datelist"),
+    "activity_bits": _bits(["events_web"], USERS, 32),
+    "activity_bits_corrected": _bits(["events_web"], USERS, 31),
+    "device_activity_bits": _bits(
+        ["events_web", "devices"], USER_BROWSERS, 32, all_counts=False
     ),
-    "activity_bits": _bits(32),
-    "activity_bits_corrected": _bits(31),
-    "device_activity_bits": _device_bits("sum"),
-    "device_activity_bits_or": _device_bits("bit_or"),
-    "host_activity_reduced": with_inputs(
-        ["events_web"],
-        _reduced(),
-        f"SELECT {REDUCED_COLUMNS} FROM reduced_{len(_days(MONTH_STEP))}",
-    ),
-    "upsert_month": with_inputs(
-        ["events_web"],
-        [
-            *_reduced(),
-            (
-                "upserted",
-                "SELECT * FROM reduced_3 UNION ALL SELECT * FROM reduced_2 b WHERE NOT EXISTS "
-                "(SELECT 1 FROM reduced_3 a WHERE a.host = b.host AND a.month = b.month)",
-            ),
-        ],
-        f"SELECT {REDUCED_COLUMNS} FROM upserted",
-    ),
-    "growth_accounting": _growth_query(f"SELECT {GROWTH_COLUMNS} FROM growth"),
-    "growth_accounting_corrected": _growth_query(
-        f"SELECT {GROWTH_COLUMNS} FROM growth", corrected=True
+    "device_activity_bits_or": _bits(
+        ["events_web", "devices"], USER_BROWSERS, 32, "bit_or", all_counts=False
     ),
+    "host_activity_reduced": REDUCED,
+    "upsert_month": REDUCED,
+    "growth_accounting": _growth_query("SELECT * FROM growth"),
+    "growth_accounting_corrected": _growth_query("SELECT * FROM growth", corrected=True),
     "growth_accounting_step": _growth_query(
-        f"SELECT {GROWTH_COLUMNS} FROM growth_{len(_days(LAST))}"
+        f"SELECT * FROM growth WHERE date = CAST({LAST} AS VARCHAR)"
     ),
     "growth_state_counts": _growth_query(
-        "SELECT CAST(date AS VARCHAR) AS date, daily_active_state, count(1) AS users "
-        "FROM growth GROUP BY ALL"
+        "SELECT date, daily_active_state, count(*) AS users FROM growth "
+        "GROUP BY date, daily_active_state"
     ),
     "retention_curve": _growth_query(
-        f"""
-        SELECT CAST(date AS VARCHAR) AS date,
-               CAST(date - first_active_date AS INTEGER) AS days_since_first_active,
-               {ACTIVE} AS active_users, count(1) AS total_users,
-               CAST({ACTIVE} AS DOUBLE) / count(1) * 100 AS pct_active
-        FROM growth GROUP BY date, date - first_active_date
-        """
+        "SELECT CAST(date AS VARCHAR) AS date, CAST(date - first_day AS INTEGER) "
+        "AS days_since_first_active, count(*) FILTER (WHERE active) AS active_users, "
+        "count(*) AS total_users, CAST(count(*) FILTER (WHERE active) AS DOUBLE) / count(*) "
+        "* 100 AS pct_active FROM marked GROUP BY date, date - first_day"
     ),
     "user_activity_count": _growth_query(
-        "SELECT user_id, count(*) AS activity_count FROM growth "
-        f"WHERE date = {_lit(LAST)} GROUP BY user_id"
-    ),
-    "funnel_conversion": with_inputs(
-        ["events_web"],
-        [
-            CHOSEN,
-            (
-                "userlevel",
-                """
-                SELECT a.user_id, a.url, count(1) AS number_of_hits,
-                       max(CASE WHEN b.url = '/api/v1/login' THEN 1 ELSE 0 END) AS converted
-                FROM chosen a JOIN chosen b
-                  ON b.user_id = a.user_id AND a.event_date = b.event_date
-                     AND b.event_time >= a.event_time
-                GROUP BY a.user_id, a.url
-                """,
-            ),
-        ],
-        BY_URL,
+        f"SELECT user_id, count(*) AS activity_count FROM marked WHERE date = {LAST} "
+        "GROUP BY user_id"
     ),
-    "funnel_conversion_corrected": with_inputs(
-        ["events_web"],
-        [
-            CHOSEN,
-            (
-                "userlevel",
-                """
-                SELECT a.user_id, a.url, count(1) AS number_of_hits,
-                       max(CASE WHEN a.event_time < b.reached THEN 1 ELSE 0 END) AS converted
-                FROM chosen a
-                LEFT JOIN (SELECT user_id, event_date, max(event_time) AS reached FROM chosen
-                           WHERE url = '/api/v1/login' GROUP BY user_id, event_date) b
-                  ON a.user_id = b.user_id AND a.event_date = b.event_date
-                GROUP BY a.user_id, a.url
-                """,
-            ),
-        ],
-        BY_URL,
+    "funnel_conversion": _funnel(
+        "count(*) OVER (PARTITION BY user_id, day ORDER BY event_time DESC "
+        "RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
+        "last_login >= event_time",
     ),
+    "funnel_conversion_corrected": _funnel("1", "last_login > event_time"),
     "device_hits_dashboard": with_inputs(
         ["events_web", "devices"],
         [
             (
-                "augmented",
-                """
-                SELECT coalesce(d.os_type, 'unknown') AS os_type,
-                       coalesce(d.device_type, 'unknown') AS device_type,
-                       coalesce(d.browser_type, 'unknown') AS browser_type
-                FROM events_web e JOIN devices d ON e.device_id = d.device_id
-                """,
+                "hits",
+                "SELECT coalesce(os_type, 'unknown') AS os_type, "
+                "coalesce(device_type, 'unknown') AS device_type, "
+                "coalesce(browser_type, 'unknown') AS browser_type "
+                "FROM events_web JOIN devices USING (device_id)",
             )
         ],
-        """
-        SELECT CASE WHEN GROUPING(os_type) = 0 AND GROUPING(device_type) = 0
-                         AND GROUPING(browser_type) = 0 THEN 'os_type__device_type__browser'
-                    WHEN GROUPING(browser_type) = 0 THEN 'browser_type'
-                    WHEN GROUPING(device_type) = 0 THEN 'device_type'
-                    WHEN GROUPING(os_type) = 0 THEN 'os_type' END AS aggregation_level,
-               coalesce(os_type, '(overall)') AS os_type,
-               coalesce(device_type, '(overall)') AS device_type,
-               coalesce(browser_type, '(overall)') AS browser_type,
-               count(1) AS number_of_hits
-        FROM augmented
-        GROUP BY GROUPING SETS ((browser_type, device_type, os_type), (browser_type),
-                                (os_type), (device_type))
-        """,
+        " UNION ALL ".join(
+            [
+                _hits_by(
+                    "os_type__device_type__browser", "os_type", "device_type", "browser_type"
+                ),
+                _hits_by("os_type", "os_type"),
+                _hits_by("device_type", "device_type"),
+                _hits_by("browser_type", "browser_type"),
+            ]
+        ),
+    ),
+    "distinct_urls": with_inputs(
+        ["events_web"], [], "SELECT url FROM events_web GROUP BY url"
     ),
-    "distinct_urls": with_inputs(["events_web"], [], "SELECT DISTINCT url FROM events_web"),
 }
 
 # The stored tables hold what the same steps give in one plan.

@@ -1,4 +1,4 @@
-"""Oracles of the game row queries."""
+"""Statements for the game row queries."""
 
 from __future__ import annotations
 
@@ -14,65 +14,67 @@ TIES = [
     "fg3m", "fg3a", "ftm", "fta", "oreb", "dreb", "reb", "ast", "stl", "blk", "turnovers", "pf",
     "plus_minus",
 ]
+KEY = "game_id, team_id, player_id"
 
 
-def _order(columns: list[str]) -> str:
-    return ", ".join(f"{c} NULLS FIRST" for c in columns)
-
-
-def _leaderboard(source: str, other: str, inputs: list[str], corrected: bool) -> str:
-    pair = f"(player_id, {other})"
-    sets = pair if corrected else f"{pair}, (player_id), ({other}), ()"
-    return with_inputs(
-        inputs,
-        [
-            (
-                "totals",
-                f"""
-                SELECT CASE WHEN GROUPING(player_id) = 1 THEN '(overall)'
-                            ELSE CAST(player_id AS VARCHAR) END AS player,
-                       sum(pts) AS total_points
-                FROM {source} GROUP BY GROUPING SETS ({sets})
-                """,
-            )
-        ],
-        "SELECT player, CAST(max(total_points) AS BIGINT) AS max_points FROM totals "
-        "WHERE total_points IS NOT NULL GROUP BY player",
+def _flag(word: str) -> str:
+    return f"coalesce(contains(comment, '{word}'), false)"
+
+
+def _clock(part: int, seconds: int) -> str:
+    return f"CAST(string_split(min, ':')[{part}] AS DOUBLE) / {seconds}"
+
+
+def _points(other: str, source: str, inputs: list[str], corrected: bool) -> str:
+    """Best total per player; as defined totals over everything compete as well."""
+    best = "max(total)" if corrected else "greatest(max(total), sum(total))"
+    steps = [
+        (
+            "pairs",
+            f"SELECT player_id, {other} AS other, sum(pts) AS total FROM {source} "
+            f"GROUP BY player_id, {other}",
+        )
+    ]
+    players = (
+        f"SELECT CAST(player_id AS VARCHAR) AS player, CAST({best} AS BIGINT) AS max_points "
+        "FROM pairs GROUP BY player_id HAVING sum(total) IS NOT NULL"
+    )
+    overall = (
+        "SELECT '(overall)', CAST(greatest(max(total), sum(total)) AS BIGINT) FROM "
+        "(SELECT sum(total) AS total FROM pairs GROUP BY other)"
     )
+    result = players if corrected else f"{players} UNION ALL {overall}"
+    return with_inputs(inputs, steps, result)
 
 
-WITH_SEASON = (
-    "(SELECT gd.player_id, g.season, gd.pts FROM game_rows gd "
-    "JOIN games g ON g.game_id = gd.game_id) AS points"
-)
-WINNER = "CASE WHEN home_team_wins = 1 THEN home_team_id ELSE visitor_team_id END"
+SEASON_ROWS = "game_rows JOIN (SELECT game_id, season FROM games) USING (game_id)"
+WINNER = "if(home_team_wins = 1, home_team_id, visitor_team_id)"
 
 
-def _wins(source: str, inputs: list[str]) -> str:
+def _wins(inputs: list[str], source: str) -> str:
     return with_inputs(
         inputs,
-        [
-            (
-                "team_scores",
-                f"SELECT {WINNER} AS team_id, count(1) AS wins FROM {source} GROUP BY {WINNER}",
-            )
-        ],
-        "SELECT CASE WHEN GROUPING(team_id) = 1 THEN '(overall)' "
-        "ELSE CAST(team_id AS VARCHAR) END AS team, CAST(sum(wins) AS BIGINT) AS total_wins "
-        "FROM team_scores GROUP BY GROUPING SETS ((team_id), ())",
+        [("won", f"SELECT {WINNER} AS team FROM {source}")],
+        "SELECT CAST(team AS VARCHAR) AS team, count(*) AS total_wins FROM won GROUP BY team "
+        "UNION ALL SELECT '(overall)', count(*) FROM won",
     )
 
 
-def _flag(word: str) -> str:
-    return f"coalesce(position('{word}' IN comment) > 0, false)"
-
-
-def _name_audit(test: str) -> str:
+def _names(test: str) -> str:
     return with_inputs(
         ["actor_films"],
         [],
-        "SELECT actorid, count(DISTINCT actor) AS n_names FROM actor_films GROUP BY actorid "
-        f"HAVING {test} > 1",
+        "SELECT actorid, count(DISTINCT actor) AS n_names FROM actor_films "
+        f"GROUP BY actorid HAVING {test}",
+    )
+
+
+def _best_window(steps: list[tuple[str, str]]) -> str:
+    return with_inputs(
+        ["games"],
+        steps,
+        "SELECT team_id, CAST(max(wins) AS BIGINT) AS most_wins FROM windows "
+        "GROUP BY team_id ORDER BY most_wins DESC, team_id LIMIT 1",
     )
 
 
@@ -81,112 +83,90 @@ ORACLES = {
         ["game_details", "games"],
         [
             (
-                "ranked",
-                f"""
-                SELECT g.game_date_est, g.home_team_id, g.season, gd.*,
-                       row_number() OVER (PARTITION BY gd.game_id, gd.team_id, gd.player_id
-                                          ORDER BY g.game_date_est, {_order(TIES)}) AS row_num
-                FROM game_details gd JOIN games g ON g.game_id = gd.game_id
-                """,
+                "kept",
+                f"SELECT DISTINCT ON ({KEY}) * FROM game_details ORDER BY {KEY}, "
+                + ", ".join(f"{c} NULLS FIRST" for c in TIES),
             )
         ],
         f"""
         SELECT CAST(game_date_est AS VARCHAR) AS dim_game_date, season AS dim_season,
-               team_id = home_team_id AS dim_is_playing_at_home, team_id AS dim_team_id,
+               team_id IN (home_team_id) AS dim_is_playing_at_home, team_id AS dim_team_id,
                player_id AS dim_player_id, player_name AS dim_player_name,
                start_position AS dim_start_position, {_flag('DNP')} AS dim_did_not_play,
                {_flag('DND')} AS dim_did_not_dress, {_flag('NWT')} AS dim_not_with_team,
-               CAST(split_part(min, ':', 1) AS DOUBLE)
-                   + CAST(split_part(min, ':', 2) AS DOUBLE) / 60 AS m_minutes,
+               {_clock(1, 1)} + {_clock(2, 60)} AS m_minutes,
                {', '.join(f'{m} AS m_{m}' for m in MEASURES)}
-        FROM ranked WHERE row_num = 1
+        FROM kept JOIN games USING (game_id)
         """,
     ),
     "duplicate_keys": with_inputs(
         ["game_rows"],
         [],
-        "SELECT game_id, team_id, player_id, count(*) AS n_rows FROM game_rows "
-        "GROUP BY game_id, team_id, player_id HAVING count(*) > 1",
+        f"SELECT * FROM (SELECT {KEY}, count(*) AS n_rows FROM game_rows GROUP BY {KEY}) "
+        "WHERE n_rows > 1",
     ),
-    "actor_name_audit": _name_audit("count(actor)"),
-    "actor_name_audit_corrected": _name_audit("count(DISTINCT actor)"),
+    "actor_name_audit": _names("count(actor) > 1"),
+    "actor_name_audit_corrected": _names("min(actor) <> max(actor)"),
     "actor_film_pairs": with_inputs(
         ["actor_films"],
         [],
-        "SELECT actorid, filmid, count(*) AS n_rows FROM actor_films GROUP BY actorid, filmid",
+        "SELECT actorid, filmid, count(*) AS n_rows FROM actor_films GROUP BY ALL",
     ),
-    "points_by_player_season": _leaderboard(
-        WITH_SEASON, "season", ["game_rows", "games"], False
+    "points_by_player_season": _points("season", SEASON_ROWS, ["game_rows", "games"], False),
+    "points_by_player_season_corrected": _points(
+        "season", SEASON_ROWS, ["game_rows", "games"], True
     ),
-    "points_by_player_season_corrected": _leaderboard(
-        WITH_SEASON, "season", ["game_rows", "games"], True
-    ),
-    "points_by_player_team": _leaderboard("game_rows", "team_id", ["game_rows"], False),
-    "points_by_player_team_corrected": _leaderboard(
-        "game_rows", "team_id", ["game_rows"], True
-    ),
-    "team_wins": _wins(
-        "games g JOIN game_rows gd ON gd.game_id = g.game_id", ["games", "game_rows"]
-    ),
-    "team_wins_corrected": _wins("games", ["games"]),
-    "rolling_wins": with_inputs(
-        ["games"],
+    "points_by_player_team": _points("team_id", "game_rows", ["game_rows"], False),
+    "points_by_player_team_corrected": _points("team_id", "game_rows", ["game_rows"], True),
+    "team_wins": _wins(["game_rows", "games"], "game_rows JOIN games USING (game_id)"),
+    "team_wins_corrected": _wins(["games"], "games"),
+    "rolling_wins": _best_window(
         [
             (
-                "counts",
-                f"SELECT {WINNER} AS team_id, count(*) OVER (PARTITION BY {WINNER} "
-                "ORDER BY game_date_est, game_id ROWS BETWEEN 89 PRECEDING AND CURRENT ROW) "
-                "AS wins FROM games",
+                "windows",
+                f"SELECT {WINNER} AS team_id, least(90, row_number() OVER (PARTITION BY "
+                f"{WINNER} ORDER BY game_date_est, game_id)) AS wins FROM games",
             )
-        ],
-        "SELECT team_id, max(wins) AS most_wins FROM counts GROUP BY team_id "
-        "ORDER BY most_wins DESC, team_id LIMIT 1",
+        ]
     ),
-    "rolling_wins_corrected": with_inputs(
-        ["games"],
+    "rolling_wins_corrected": _best_window(
         [
             (
-                "played",
-                "SELECT game_id, game_date_est, home_team_id AS team_id, home_team_wins AS won "
-                "FROM games UNION ALL SELECT game_id, game_date_est, visitor_team_id, "
-                "1 - home_team_wins FROM games",
+                "sides",
+                "SELECT game_date_est, game_id, unnest([home_team_id, visitor_team_id]) "
+                "AS team_id, unnest([home_team_wins, 1 - home_team_wins]) AS won FROM games",
+            ),
+            (
+                "totals",
+                "SELECT *, sum(won) OVER (PARTITION BY team_id ORDER BY game_date_est, "
+                "game_id) AS so_far FROM sides",
             ),
             (
-                "counts",
-                "SELECT team_id, sum(won) OVER (PARTITION BY team_id ORDER BY game_date_est, "
-                "game_id ROWS BETWEEN 89 PRECEDING AND CURRENT ROW) AS wins FROM played",
+                "windows",
+                "SELECT team_id, so_far - lag(so_far, 90, 0) OVER (PARTITION BY team_id "
+                "ORDER BY game_date_est, game_id) AS wins FROM totals",
             ),
-        ],
-        "SELECT team_id, CAST(max(wins) AS BIGINT) AS most_wins FROM counts GROUP BY team_id "
-        "ORDER BY most_wins DESC, team_id LIMIT 1",
+        ]
     ),
     "longest_streak": with_inputs(
         ["game_rows", "games"],
         [
             (
                 "played",
-                "SELECT player_id, game_id, max(pts) AS pts FROM game_rows "
-                "GROUP BY player_id, game_id",
+                "SELECT player_id, game_date_est AS day, game_id, "
+                "coalesce(max(pts), 0) > 10 AS hit FROM game_rows JOIN games USING (game_id) "
+                "GROUP BY player_id, game_date_est, game_id",
             ),
             (
-                "scoring",
-                """
-                SELECT player_id, game_date_est,
-                       CASE WHEN pts > 10 THEN 1 ELSE 0 END AS hit,
-                       row_number() OVER (PARTITION BY player_id
-                                          ORDER BY game_date_est, g.game_id)
-                       - sum(CASE WHEN pts > 10 THEN 1 ELSE 0 END) OVER (
-                             PARTITION BY player_id ORDER BY game_date_est, g.game_id)
-                         AS streak
-                FROM played p JOIN games g ON g.game_id = p.game_id
-                """,
+                "named",
+                "SELECT *, count(*) FILTER (WHERE NOT hit) OVER (PARTITION BY player_id "
+                "ORDER BY day, game_id) AS misses FROM played",
             ),
         ],
         """
-        SELECT player_id, CAST(min(game_date_est) AS VARCHAR) AS streak_start_date,
-               CAST(max(game_date_est) AS VARCHAR) AS streak_end_date,
-               count(*) AS streak_length
-        FROM scoring WHERE hit = 1 GROUP BY player_id, streak
+        SELECT player_id, CAST(min(day) AS VARCHAR) AS streak_start_date,
+               CAST(max(day) AS VARCHAR) AS streak_end_date, count(*) AS streak_length
+        FROM named WHERE hit GROUP BY player_id, misses
         ORDER BY streak_length DESC, player_id, streak_start_date LIMIT 1
         """,
     ),
@@ -195,9 +175,11 @@ ORACLES = {
         [],
         "SELECT min(year) AS min_year, max(year) AS max_year FROM actor_films",
     ),
-    "distinct_rows": with_inputs(["game_details"], [], "SELECT DISTINCT * FROM game_details"),
+    "distinct_rows": with_inputs(
+        ["game_details"], [], "SELECT * FROM game_details UNION SELECT * FROM game_details"
+    ),
     "players_with_prefix": with_inputs(
-        ["game_details"], [], "SELECT * FROM game_details WHERE player_name LIKE 'red%'"
+        ["game_details"], [], "SELECT * FROM game_details WHERE starts_with(player_name, 'red')"
     ),
     "key_audit": with_inputs(
         ["teams"],
@@ -208,7 +190,7 @@ ORACLES = {
     "enum_audit": with_inputs(
         ["game_rows"],
         [],
-        "SELECT game_id, team_id, player_id, start_position FROM game_rows "
-        "WHERE start_position NOT IN ('A', 'N')",
+        f"SELECT {KEY}, start_position FROM game_rows "
+        "WHERE NOT list_contains(['A', 'N'], start_position)",
     ),
 }

@@ -1,68 +1,59 @@
-"""Oracles of the property graph queries, on plain columns in place of JSON."""
+"""Statements for the property graph queries, on plain columns in place of JSON."""
 
 from __future__ import annotations
 
 from tidemark.oracle.inputs import with_inputs
 
-WINNER = "CASE WHEN home_team_wins = 1 THEN home_team_id ELSE visitor_team_id END"
-ORDER = ", ".join(
-    f"{c} NULLS FIRST"
-    for c in ("start_position", "pts", "team_id", "team_abbreviation")
-)
+ORDER = "start_position, pts NULLS FIRST, team_id, team_abbreviation"
+
+
+def _kept(source: str, more: str = "") -> tuple[str, str]:
+    """One row per player and game."""
+    return (
+        "kept",
+        f"SELECT DISTINCT ON (player_id, game_id) * FROM {source} "
+        f"ORDER BY player_id, game_id, {ORDER}{more}",
+    )
+
 
-FILTERED = (
-    "filtered",
-    "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY player_id, game_id "
-    f"ORDER BY {ORDER}, player_name) AS row_num FROM game_details) AS ranked WHERE row_num = 1",
-)
-EDGE_ROWS = (
-    "filtered",
-    "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY player_id, game_id "
-    f"ORDER BY {ORDER}) AS row_num FROM game_rows) AS ranked WHERE row_num = 1",
-)
 PLAYERS = (
-    "players_agg",
-    """
-    SELECT CAST(player_id AS VARCHAR) AS identifier, max(player_name) AS player_name,
-           count(1) AS number_of_games, CAST(sum(pts) AS BIGINT) AS total_points,
-           list_sort(list(DISTINCT team_id)) AS teams
-    FROM game_details GROUP BY player_id
-    """,
+    "careers",
+    "SELECT player_id, max(player_name) AS player_name, count(*) AS number_of_games, "
+    "CAST(sum(pts) AS BIGINT) AS total_points, "
+    "to_json(list_sort(list(DISTINCT team_id))) AS teams FROM game_details GROUP BY player_id",
 )
-PAIRS = (
-    "pairs",
+MEETINGS = (
+    "meetings",
     """
-    SELECT a.player_id AS subject_id, b.player_id AS object_id,
-           CASE WHEN a.team_abbreviation = b.team_abbreviation THEN 'shares_team'
-                ELSE 'plays_against' END AS edge_type,
-           count(1) AS num_games, CAST(sum(a.pts) AS BIGINT) AS subject_points,
-           CAST(sum(b.pts) AS BIGINT) AS object_points
-    FROM filtered a JOIN filtered b
-      ON a.game_id = b.game_id AND a.player_name > b.player_name
+    SELECT l.player_id AS subject, r.player_id AS object,
+           if(l.team_abbreviation = r.team_abbreviation, 'shares_team', 'plays_against')
+               AS edge_type,
+           count(*) AS num_games, CAST(sum(l.pts) AS BIGINT) AS subject_points,
+           CAST(sum(r.pts) AS BIGINT) AS object_points
+    FROM kept l JOIN kept r USING (game_id)
+    WHERE l.player_name > r.player_name
     GROUP BY ALL
     """,
 )
 
 
 def _text(*columns: str) -> str:
-    return ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in columns)
+    return ", ".join(f"CAST({c} AS VARCHAR) AS {c.split('.')[-1]}" for c in columns)
 
 
 ORACLES = {
     "game_vertices": with_inputs(
         ["games"],
         [],
-        "SELECT CAST(game_id AS VARCHAR) AS identifier, 'game' AS type, "
-        f"{_text('pts_home', 'pts_away')}, CAST({WINNER} AS VARCHAR) AS winning_team "
-        "FROM games",
+        f"SELECT CAST(game_id AS VARCHAR) AS identifier, 'game' AS type, "
+        f"{_text('pts_home', 'pts_away')}, CAST(if(home_team_wins = 1, home_team_id, "
+        "visitor_team_id) AS VARCHAR) AS winning_team FROM games",
     ),
     "player_vertices": with_inputs(
         ["game_details"],
         [PLAYERS],
-        "SELECT identifier, 'player' AS type, player_name, "
-        f"{_text('number_of_games', 'total_points')}, "
-        "'[' || array_to_string(list_transform(teams, lambda t: CAST(t AS VARCHAR)), ',') "
-        "|| ']' AS teams FROM players_agg",
+        "SELECT CAST(player_id AS VARCHAR) AS identifier, 'player' AS type, player_name, "
+        f"{_text('number_of_games', 'total_points', 'teams')} FROM careers",
     ),
     "team_vertices": with_inputs(
         ["teams"],
@@ -80,32 +71,30 @@ ORACLES = {
     ),
     "plays_in_edges": with_inputs(
         ["game_rows"],
-        [EDGE_ROWS],
+        [_kept("game_rows")],
         "SELECT CAST(player_id AS VARCHAR) AS subject_identifier, 'player' AS subject_type, "
         "CAST(game_id AS VARCHAR) AS object_identifier, 'game' AS object_type, "
-        "'plays_in' AS edge_type, start_position, "
-        f"{_text('pts', 'team_id')}, team_abbreviation FROM filtered",
+        f"'plays_in' AS edge_type, start_position, {_text('pts', 'team_id')}, "
+        "team_abbreviation FROM kept",
     ),
     "player_pair_edges": with_inputs(
         ["game_details"],
-        [FILTERED, PAIRS],
-        "SELECT CAST(subject_id AS VARCHAR) AS subject_identifier, 'player' AS subject_type, "
-        "CAST(object_id AS VARCHAR) AS object_identifier, 'player' AS object_type, edge_type, "
-        f"{_text('num_games', 'subject_points', 'object_points')} FROM pairs",
+        [_kept("game_details", ", player_name"), MEETINGS],
+        "SELECT CAST(subject AS VARCHAR) AS subject_identifier, 'player' AS subject_type, "
+        "CAST(object AS VARCHAR) AS object_identifier, 'player' AS object_type, edge_type, "
+        f"{_text('num_games', 'subject_points', 'object_points')} FROM meetings",
     ),
     "best_game": with_inputs(
         ["game_details"],
-        [EDGE_ROWS, PLAYERS],
-        "SELECT p.player_name, max(f.pts) AS max_points FROM players_agg p "
-        "JOIN filtered f ON p.identifier = CAST(f.player_id AS VARCHAR) GROUP BY p.player_name",
+        [_kept("game_details", ", player_name")],
+        "SELECT player_name, max(pts) AS max_points FROM kept GROUP BY player_name",
     ),
     "pair_stats": with_inputs(
         ["game_details"],
-        [FILTERED, PLAYERS, PAIRS],
-        "SELECT p.player_name, CAST(object_id AS VARCHAR) AS object_identifier, "
-        "CAST(total_points AS DOUBLE) / CASE WHEN number_of_games = 0 THEN 1.0::DOUBLE "
-        "ELSE CAST(number_of_games AS DOUBLE) END AS avg_points, "
-        f"{_text('subject_points', 'num_games')} FROM players_agg p "
-        "JOIN pairs e ON p.identifier = CAST(e.subject_id AS VARCHAR)",
+        [PLAYERS, _kept("game_details", ", player_name"), MEETINGS],
+        "SELECT player_name, CAST(object AS VARCHAR) AS object_identifier, "
+        "CAST(total_points AS DOUBLE) / greatest(number_of_games, 1) AS avg_points, "
+        f"{_text('m.subject_points', 'num_games')} "
+        "FROM careers JOIN meetings m ON m.subject = player_id",
     ),
 }

@@ -1,4 +1,8 @@
-"""Oracles of snapshots, type-2 history and player states, as unrolled steps."""
+"""Statements for snapshots, type-2 history and player states.
+
+Each snapshot row is an aggregate of all facts up to its period; intervals are
+islands of equal values; states follow from the years since the last season.
+"""
 
 from __future__ import annotations
 
@@ -6,414 +10,221 @@ from tidemark.oracle.inputs import with_inputs
 
 Steps = list[tuple[str, str]]
 
-FIRST, STEP, BUILD, LAST, SPINE_END = 1995, 1998, 2000, 2001, 2002
+STEP, BUILD, LAST, SPINE_END = 1998, 2000, 2001, 2002
 ATTRIBUTES = ["height", "college", "country", "draft_year", "draft_number", "draft_round"]
-STATS = "{'season': t.season, 'gp': t.gp, 'pts': t.pts, 'reb': t.reb, 'ast': t.ast}"
-
-
-def _class(score: str, bounds: tuple[int, int, int]) -> str:
-    star, good, average = bounds
-    return (
-        f"CASE WHEN {score} > {star} THEN 'star' WHEN {score} > {good} THEN 'good' "
-        f"WHEN {score} > {average} THEN 'average' ELSE 'bad' END"
-    )
 
 
-POINTS, RATING = (20, 15, 10), (8, 7, 6)
+def _class(score: str, low: int) -> str:
+    """Classes start above ``low`` and are five points or one rating apart."""
+    width = 5 if low >= 10 else 1
+    above = " + ".join(f"CAST({score} > {low + width * i} AS INTEGER)" for i in range(3))
+    return f"['bad', 'average', 'good', 'star'][1 + coalesce({above}, 0)]"
 
 
-def _player_steps(last: int) -> Steps:
-    """Snapshots of each season, every one from the season before."""
-    empty = ", ".join(
-        ["CAST(NULL AS VARCHAR) AS player_name"]
-        + [f"CAST(NULL AS VARCHAR) AS {a}" for a in ATTRIBUTES]
-        + [
-            "CAST(NULL AS STRUCT(season INTEGER, gp INTEGER, pts DOUBLE, reb DOUBLE, "
-            "ast DOUBLE)[]) AS season_stats",
-            "CAST(NULL AS VARCHAR) AS scoring_class",
-            "CAST(NULL AS INTEGER) AS years_since_last_season",
-            "CAST(NULL AS INTEGER) AS current_season",
-            "CAST(NULL AS BOOLEAN) AS is_active",
-        ]
+def _spine(facts: str, key: str, period: str, last: int) -> tuple[str, str]:
+    return (
+        "spine",
+        f"SELECT {key}, CAST(unnest(range(min({period}), {last + 1})) AS INTEGER) AS as_of "
+        f"FROM {facts} GROUP BY {key}",
     )
-    steps: Steps = [(f"players_{FIRST - 1}", f"SELECT {empty} WHERE 1 = 0")]
-    for season in range(FIRST, last + 1):
-        carried = ", ".join(f"coalesce(t.{a}, y.{a}) AS {a}" for a in ATTRIBUTES)
-        steps.append(
-            (
-                f"players_{season}",
-                f"""
-                SELECT coalesce(t.player_name, y.player_name) AS player_name, {carried},
-                       CASE WHEN y.season_stats IS NULL THEN [{STATS}]
-                            WHEN t.season IS NOT NULL
-                            THEN list_concat(y.season_stats, [{STATS}])
-                            ELSE y.season_stats END AS season_stats,
-                       CASE WHEN t.season IS NOT NULL THEN {_class('t.pts', POINTS)}
-                            ELSE y.scoring_class END AS scoring_class,
-                       CASE WHEN t.season IS NOT NULL THEN 0
-                            ELSE y.years_since_last_season + 1 END AS years_since_last_season,
-                       coalesce(t.season, y.current_season + 1) AS current_season,
-                       t.season IS NOT NULL AS is_active
-                FROM (SELECT * FROM player_seasons WHERE season = {season}) t
-                FULL OUTER JOIN players_{season - 1} y ON y.player_name = t.player_name
-                """,
-            )
-        )
-    return steps
-
-
-def _actor_steps(last: int) -> Steps:
-    steps: Steps = [
-        (
-            f"actors_{FIRST - 1}",
-            """SELECT CAST(NULL AS VARCHAR) AS actor, CAST(NULL AS VARCHAR) AS actorid,
-                      CAST(NULL AS INTEGER) AS current_year, CAST(NULL AS BOOLEAN) AS is_active,
-                      CAST(NULL AS STRUCT(film VARCHAR, votes INTEGER, rating DOUBLE,
-                                          filmid VARCHAR)[]) AS films,
-                      CAST(NULL AS VARCHAR) AS quality_class WHERE 1 = 0""",
-        )
-    ]
-    for year in range(FIRST, last + 1):
-        steps.append(
-            (
-                f"actors_{year}",
-                f"""
-                SELECT coalesce(t.actor, y.actor) AS actor,
-                       coalesce(t.actorid, y.actorid) AS actorid,
-                       coalesce(t.year, y.current_year + 1) AS current_year,
-                       t.year IS NOT NULL AS is_active,
-                       CASE WHEN y.films IS NULL THEN t.films
-                            WHEN t.year IS NOT NULL THEN list_concat(y.films, t.films)
-                            ELSE y.films END AS films,
-                       CASE WHEN t.year IS NOT NULL THEN {_class('a.rating', RATING)}
-                            ELSE y.quality_class END AS quality_class
-                FROM (SELECT actorid, actor, year,
-                             list({{'film': film, 'votes': votes, 'rating': rating,
-                                   'filmid': filmid}} ORDER BY filmid) AS films
-                      FROM actor_films WHERE year = {year}
-                      GROUP BY actorid, actor, year) t
-                LEFT JOIN (SELECT actorid, avg(rating) AS rating FROM actor_films
-                           WHERE year = {year} GROUP BY actorid) a ON t.actorid = a.actorid
-                FULL OUTER JOIN actors_{year - 1} y ON y.actorid = t.actorid
-                """,
-            )
-        )
-    return steps
 
 
-def _all(name: str, first: int, last: int) -> tuple[str, str]:
-    union = " UNION ALL ".join(f"SELECT * FROM {name}_{p}" for p in range(first, last + 1))
-    return name, union
-
-
-SEASONS_TEXT = """array_to_string(list_transform(season_stats, lambda s:
-    CAST(s.season AS VARCHAR) || ':' || CAST(s.gp AS VARCHAR) || ':' ||
-    CAST(CAST(floor(s.pts * 1000) AS BIGINT) AS VARCHAR) || ':' ||
-    CAST(CAST(floor(s.reb * 4) AS BIGINT) AS VARCHAR) || ':' ||
-    CAST(CAST(floor(s.ast * 4) AS BIGINT) AS VARCHAR)), ',') AS season_stats"""
-FILMS_TEXT = """array_to_string(list_transform(films, lambda f:
-    f.film || ':' || CAST(f.votes AS VARCHAR) || ':' ||
-    CAST(CAST(floor(f.rating * 4) AS BIGINT) AS VARCHAR) || ':' || f.filmid), ',') AS films"""
-
-PLAYER_COLUMNS = (
-    f"player_name, {', '.join(ATTRIBUTES)}, {SEASONS_TEXT}, scoring_class, "
-    "years_since_last_season, current_season, is_active"
+SEASON = (
+    "concat_ws(':', f.season, f.gp, CAST(floor(f.pts * 1000) AS BIGINT), "
+    "CAST(floor(f.reb * 4) AS BIGINT), CAST(floor(f.ast * 4) AS BIGINT))"
 )
-ACTOR_COLUMNS = f"actorid, actor, {FILMS_TEXT}, quality_class, current_year, is_active"
 
 
-def _spine_steps(last: int) -> Steps:
-    """All snapshots at once over a key and season spine."""
-    static = ", ".join(f"max({a}) AS {a}" for a in ATTRIBUTES)
-    latest = "seasons[len(seasons)]"
+def _players(last: int) -> Steps:
+    as_known = ", ".join(f"arg_max(f.{a}, f.season) AS {a}" for a in ATTRIBUTES)
     return [
-        ("years", f"SELECT CAST(range AS INTEGER) AS season FROM range({FIRST}, {last + 1})"),
-        (
-            "firsts",
-            "SELECT player_name, min(season) AS first_season FROM player_seasons "
-            "GROUP BY player_name",
-        ),
-        (
-            "players_and_seasons",
-            "SELECT player_name, season FROM firsts JOIN years ON first_season <= season",
-        ),
-        (
-            "windowed",
-            """
-            SELECT p.player_name, p.season,
-                   list({'season': t.season, 'gp': t.gp, 'pts': t.pts, 'reb': t.reb,
-                         'ast': t.ast}) FILTER (WHERE t.season IS NOT NULL)
-                   OVER (PARTITION BY p.player_name ORDER BY p.season) AS seasons
-            FROM players_and_seasons p
-            LEFT JOIN player_seasons t
-              ON p.player_name = t.player_name AND p.season = t.season
-            """,
-        ),
-        ("static", f"SELECT player_name, {static} FROM player_seasons GROUP BY player_name"),
+        _spine("player_seasons", "player_name", "season", last),
         (
             "players",
             f"""
-            SELECT w.player_name, {', '.join('s.' + a for a in ATTRIBUTES)},
-                   seasons AS season_stats,
-                   {_class(latest + '.pts', POINTS)} AS scoring_class,
-                   w.season - {latest}.season AS years_since_last_season,
-                   w.season AS current_season,
-                   {latest}.season = w.season AS is_active
-            FROM windowed w JOIN static s ON w.player_name = s.player_name
+            SELECT s.player_name, s.as_of AS current_season, {as_known},
+                   string_agg({SEASON}, ',' ORDER BY f.season) AS season_stats,
+                   {_class('arg_max(f.pts, f.season)', 10)} AS scoring_class,
+                   s.as_of - max(f.season) AS years_since_last_season,
+                   max(f.season) = s.as_of AS is_active,
+                   min(f.season) AS first_season,
+                   arg_min(f.pts, f.season) AS first_pts, arg_max(f.pts, f.season) AS last_pts
+            FROM spine s
+            JOIN player_seasons f ON f.player_name = s.player_name AND f.season <= s.as_of
+            GROUP BY s.player_name, s.as_of
             """,
         ),
     ]
 
 
-def _build(
-    table: str, key: str, carry: str, a: str, b: str, period: str, last: int, span: str
-) -> Steps:
-    over = f"OVER (PARTITION BY {key} ORDER BY {period})"
+STATE = "season_stats, scoring_class, years_since_last_season, current_season, is_active"
+
+FILM = (
+    "concat_ws(':', film, votes, CAST(floor(rating * 4) AS BIGINT), filmid)"
+)
+
+
+def _actors(last: int) -> Steps:
     return [
+        _spine("actor_films", "actorid", "year", last),
         (
-            "with_previous",
-            f"SELECT {carry}, {a}, {b}, {period}, lag({a}, 1) {over} AS prev_a, "
-            f"lag({b}, 1) {over} AS prev_b FROM {table} WHERE {period} <= {last}",
-        ),
-        (
-            "with_streaks",
-            f"SELECT *, sum(CASE WHEN {a} <> prev_a OR {b} <> prev_b THEN 1 ELSE 0 END) "
-            f"{over} AS streak FROM with_previous",
+            "years",
+            f"SELECT actorid, year, max(actor) AS actor, avg(rating) AS score, "
+            f"string_agg({FILM}, ',' ORDER BY filmid) AS films "
+            "FROM actor_films GROUP BY actorid, year",
         ),
         (
-            "history",
-            f"SELECT {carry}, {a}, {b}, CAST({last} AS INTEGER) AS {period}, "
-            f"min({period}) AS start_{span}, max({period}) AS end_{span} "
-            f"FROM with_streaks GROUP BY {carry}, {a}, {b}, streak",
+            "actors",
+            f"""
+            SELECT s.actorid, s.as_of AS current_year, arg_max(y.actor, y.year) AS actor,
+                   string_agg(y.films, ',' ORDER BY y.year) AS films,
+                   {_class('arg_max(y.score, y.year)', 6)} AS quality_class,
+                   max(y.year) = s.as_of AS is_active
+            FROM spine s JOIN years y ON y.actorid = s.actorid AND y.year <= s.as_of
+            GROUP BY s.actorid, s.as_of
+            """,
         ),
     ]
 
 
-def _player_scd(last: int) -> Steps:
-    return _build(
-        "players",
-        "player_name",
-        "player_name",
-        "scoring_class",
-        "is_active",
-        "current_season",
-        last,
-        "season",
+def _islands(table: str, key: str, tracked: str, period: str, last: int) -> tuple[str, str]:
+    """Runs of consecutive periods with equal values: period minus rank is constant."""
+    return (
+        "islands",
+        f"""
+        SELECT {key}, {tracked}, min({period}) AS first_period, max({period}) AS last_period
+        FROM (SELECT *, {period} - row_number() OVER (PARTITION BY {key}, {tracked}
+                                                      ORDER BY {period}) AS island
+              FROM {table} WHERE {period} <= {last})
+        GROUP BY {key}, {tracked}, island
+        """,
     )
 
 
-def _actor_scd(last: int) -> Steps:
-    return _build(
-        "actors",
-        "actorid",
-        "actorid, actor",
-        "is_active",
-        "quality_class",
-        "current_year",
-        last,
-        "year",
+def _player_history(last: int) -> str:
+    return with_inputs(
+        ["player_seasons"],
+        [
+            *_players(last),
+            _islands("players", "player_name", "scoring_class, is_active", "current_season", last),
+        ],
+        f"SELECT player_name, scoring_class, is_active, CAST({last} AS INTEGER) AS "
+        "current_season, first_period AS start_season, last_period AS end_season FROM islands",
     )
 
 
-NEXT_PLAYERS = f"""
-SELECT player_name, scoring_class, is_active, CAST({BUILD + 1} AS INTEGER) AS current_season,
-       start_season, end_season FROM (
-  SELECT player_name, scoring_class, is_active, start_season, end_season
-  FROM history WHERE end_season < {BUILD}
-  UNION ALL
-  SELECT t.player_name, t.scoring_class, t.is_active, y.start_season, t.current_season
-  FROM this t JOIN open y ON y.player_name = t.player_name
-  WHERE t.scoring_class = y.scoring_class AND t.is_active = y.is_active
-  UNION ALL
-  SELECT t.player_name, y.scoring_class, y.is_active, y.start_season, y.end_season
-  FROM this t JOIN open y ON y.player_name = t.player_name
-  WHERE t.scoring_class <> y.scoring_class OR t.is_active <> y.is_active
-  UNION ALL
-  SELECT t.player_name, t.scoring_class, t.is_active, t.current_season, t.current_season
-  FROM this t JOIN open y ON y.player_name = t.player_name
-  WHERE t.scoring_class <> y.scoring_class OR t.is_active <> y.is_active
-  UNION ALL
-  SELECT t.player_name, t.scoring_class, t.is_active, t.current_season, t.current_season
-  FROM this t LEFT JOIN open y ON y.player_name = t.player_name
-  WHERE y.player_name IS NULL
-) AS merged
-"""
+def _actor_history(last: int, end: str) -> str:
+    return with_inputs(
+        ["actor_films"],
+        [
+            *_actors(last),
+            _islands("actors", "actorid, actor", "is_active, quality_class", "current_year", last),
+        ],
+        f"SELECT actorid, actor, is_active, quality_class, CAST({last} AS INTEGER) AS "
+        f"current_year, first_period AS start_year, {end} AS end_year FROM islands",
+    )
 
-NEXT_ACTORS = f"""
-SELECT actorid, actor, is_active, quality_class, CAST({BUILD + 1} AS INTEGER) AS current_year,
-       start_year, end_year FROM (
-  SELECT actor, actorid, is_active, quality_class, start_year, end_year
-  FROM history WHERE end_year < {BUILD}
-  UNION ALL
-  SELECT y.actor, y.actorid, y.is_active, y.quality_class, y.start_year, y.end_year
-  FROM open y JOIN this t ON t.actorid = y.actorid AND t.is_active = y.is_active
-       AND t.quality_class = y.quality_class
-  UNION ALL
-  SELECT t.actor, t.actorid, t.is_active, t.quality_class, t.current_year, t.current_year
-  FROM this t JOIN open y ON y.actorid = t.actorid
-  WHERE y.is_active <> t.is_active OR y.quality_class <> t.quality_class
-  UNION ALL
-  SELECT t.actor, t.actorid, y.is_active, y.quality_class, y.start_year, y.end_year
-  FROM this t JOIN open y ON y.actorid = t.actorid
-  WHERE y.is_active <> t.is_active OR y.quality_class <> t.quality_class
-  UNION ALL
-  SELECT t.actor, t.actorid, t.is_active, t.quality_class, t.current_year, t.current_year
-  FROM this t LEFT JOIN open y ON y.actorid = t.actorid
-  WHERE y.actorid IS NULL
-) AS merged
-"""
 
-OPEN_PLAYERS = [
-    ("open", f"SELECT * FROM history WHERE current_season = {BUILD} AND end_season = {BUILD}"),
-    ("this", f"SELECT * FROM players WHERE current_season = {BUILD + 1}"),
-]
-OPEN_ACTORS = [
-    ("open", f"SELECT * FROM history WHERE current_year = {BUILD} AND end_year = {BUILD}"),
-    ("this", f"SELECT * FROM actors WHERE current_year = {BUILD + 1}"),
-]
+# Rows open in both years keep the end they had.
+KEPT_END = f"CASE WHEN first_period <= {BUILD} THEN least(last_period, {BUILD}) ELSE last_period END"
 
 
-def _tracking_steps(corrected: bool) -> Steps:
-    """Player states, one step per season."""
-    retired = "('Retired', 'Stayed Retired')" if corrected else "('Retired')"
-    steps: Steps = [
-        (
-            f"tracking_{FIRST - 1}",
-            "SELECT CAST(NULL AS VARCHAR) AS player_name, CAST(NULL AS INTEGER) AS season, "
-            "CAST(NULL AS INTEGER) AS start_season, CAST(NULL AS INTEGER) AS last_season, "
-            "CAST(NULL AS VARCHAR) AS state WHERE 1 = 0",
-        )
-    ]
-    for season in range(FIRST, LAST + 1):
-        steps.append(
+def _tracking(corrected: bool, last: int | None = None) -> str:
+    """States from years since the last season, now and the season before.
+
+    As defined only 'Retired' is remembered, so a long idle time runs through
+    Retired, Stayed Retired and Continued Playing again and again.
+    """
+    if corrected:
+        idle = "CASE WHEN idle = 1 THEN 'Retired' ELSE 'Stayed Retired' END"
+        came_back = "idle_before > 0"
+    else:
+        idle = "['Continued Playing', 'Retired', 'Stayed Retired'][1 + idle % 3]"
+        came_back = "idle_before % 3 = 1"
+    only = "" if last is None else f"WHERE season = {last}"
+    return with_inputs(
+        ["player_seasons"],
+        [
+            *_players(LAST),
             (
-                f"tracking_{season}",
-                f"""
-                SELECT coalesce(t.player_name, y.player_name) AS player_name,
-                       coalesce(t.season, y.season + 1) AS season,
-                       coalesce(y.start_season, t.start_season) AS start_season,
-                       CASE WHEN t.is_active AND t.season IS NOT NULL THEN t.season
-                            ELSE y.last_season END AS last_season,
-                       CASE WHEN t.start_season = t.season THEN 'New'
-                            WHEN y.start_season < y.season + 1
-                                 AND y.state IN ('Continued Playing', 'New',
-                                                 'Returned from Retirement')
-                                 AND NOT t.is_active THEN 'Retired'
-                            WHEN y.state IN {retired} AND t.is_active
-                                 THEN 'Returned from Retirement'
-                            WHEN y.state IN {retired} AND NOT t.is_active
-                                 THEN 'Stayed Retired'
-                            ELSE 'Continued Playing' END AS state
-                FROM (SELECT p.player_name, p.is_active, p.current_season AS season,
-                             min(h.start_season) AS start_season
-                      FROM (SELECT player_name, is_active, current_season,
-                                   unnest(season_stats) AS stat
-                            FROM players WHERE current_season = {season}) p
-                      JOIN history h ON p.player_name = h.player_name
-                      WHERE p.stat.season >= h.start_season
-                      GROUP BY p.player_name, p.is_active, p.current_season) t
-                FULL OUTER JOIN tracking_{season - 1} y ON y.player_name = t.player_name
+                "idle_years",
+                """
+                SELECT player_name, current_season AS season, first_season,
+                       years_since_last_season AS idle,
+                       lag(years_since_last_season) OVER (PARTITION BY player_name
+                                                          ORDER BY current_season)
+                           AS idle_before
+                FROM players
                 """,
-            )
-        )
-    return steps
-
-
-def _tracking(corrected: bool, result: str) -> str:
-    steps = _spine_steps(LAST) + _player_scd(LAST) + _tracking_steps(corrected)
-    steps.append(_all("tracking", FIRST, LAST))
-    return with_inputs(["player_seasons"], steps, result)
+            ),
+        ],
+        f"""
+        SELECT player_name, season, first_season AS start_season, season - idle AS last_season,
+               CASE WHEN idle_before IS NULL THEN 'New'
+                    WHEN idle > 0 THEN {idle}
+                    WHEN {came_back} THEN 'Returned from Retirement'
+                    ELSE 'Continued Playing' END AS state
+        FROM idle_years {only}
+        """,
+    )
 
 
-TRACKED = "SELECT player_name, season, start_season, last_season, state FROM "
+MAX_ATTRIBUTES = (
+    "overall",
+    "SELECT player_name, "
+    + ", ".join(f"max({a}) AS {a}" for a in ATTRIBUTES)
+    + " FROM player_seasons GROUP BY player_name",
+)
+STATS = "f.season, f.gp, f.pts, f.reb, f.ast"
 
 ORACLES = {
     "cumulative_players_step": with_inputs(
         ["player_seasons"],
-        _player_steps(STEP),
-        f"SELECT {PLAYER_COLUMNS} FROM players_{STEP}",
+        _players(STEP),
+        f"SELECT player_name, {', '.join(ATTRIBUTES)}, {STATE} FROM players "
+        f"WHERE current_season = {STEP}",
     ),
     "cumulative_actors_step": with_inputs(
-        ["actor_films"], _actor_steps(STEP), f"SELECT {ACTOR_COLUMNS} FROM actors_{STEP}"
+        ["actor_films"], _actors(STEP), f"SELECT * FROM actors WHERE current_year = {STEP}"
     ),
     "cumulative_players_backfill": with_inputs(
-        ["player_seasons"], _spine_steps(SPINE_END), f"SELECT {PLAYER_COLUMNS} FROM players"
-    ),
-    "cumulative_actors_backfill": with_inputs(
-        ["actor_films"],
-        [*_actor_steps(BUILD), _all("actors", FIRST, BUILD)],
-        f"SELECT {ACTOR_COLUMNS} FROM actors",
-    ),
-    "scd2_build_players": with_inputs(
-        ["player_seasons"],
-        _spine_steps(BUILD) + _player_scd(BUILD),
-        "SELECT player_name, scoring_class, is_active, current_season, start_season, "
-        "end_season FROM history",
-    ),
-    "scd2_build_actors": with_inputs(
-        ["actor_films"],
-        [*_actor_steps(BUILD), _all("actors", FIRST, BUILD), *_actor_scd(BUILD)],
-        "SELECT actorid, actor, is_active, quality_class, current_year, start_year, "
-        "end_year FROM history",
-    ),
-    "scd2_step_players": with_inputs(
         ["player_seasons"],
-        _spine_steps(BUILD + 1) + _player_scd(BUILD) + OPEN_PLAYERS,
-        NEXT_PLAYERS,
+        [*_players(SPINE_END), MAX_ATTRIBUTES],
+        f"SELECT player_name, {', '.join('o.' + a for a in ATTRIBUTES)}, {STATE} "
+        "FROM players JOIN overall o USING (player_name)",
     ),
-    "scd2_step_actors": with_inputs(
-        ["actor_films"],
-        [
-            *_actor_steps(BUILD + 1),
-            _all("actors", FIRST, BUILD + 1),
-            *_actor_scd(BUILD),
-            *OPEN_ACTORS,
-        ],
-        NEXT_ACTORS,
+    "cumulative_actors_backfill": with_inputs(
+        ["actor_films"], _actors(BUILD), "SELECT * FROM actors"
     ),
+    "scd2_build_players": _player_history(BUILD),
+    "scd2_build_actors": _actor_history(BUILD, "last_period"),
+    "scd2_step_players": _player_history(BUILD + 1),
+    "scd2_step_actors": _actor_history(BUILD + 1, KEPT_END),
     "unnest_seasons": with_inputs(
         ["player_seasons"],
-        [
-            *_spine_steps(SPINE_END),
-            (
-                "flat",
-                "SELECT player_name, current_season, unnest(season_stats) AS s FROM players",
-            ),
-        ],
-        "SELECT player_name, current_season, s.season AS season, s.gp AS gp, s.pts AS pts, "
-        f"s.reb AS reb, s.ast AS ast FROM flat WHERE s.season = {BUILD}",
+        [_spine("player_seasons", "player_name", "season", SPINE_END)],
+        f"SELECT player_name, as_of AS current_season, {STATS} FROM player_seasons f "
+        f"JOIN spine USING (player_name) WHERE f.season = {BUILD} AND as_of >= {BUILD}",
     ),
     "unnest_latest_seasons": with_inputs(
         ["player_seasons"],
-        [
-            *_spine_steps(LAST),
-            (
-                "flat",
-                "SELECT player_name, unnest(season_stats) AS s FROM players "
-                f"WHERE current_season = {LAST}",
-            ),
-        ],
-        "SELECT player_name, s.season AS season, s.gp AS gp, s.pts AS pts, s.reb AS reb, "
-        "s.ast AS ast FROM flat",
+        [],
+        f"SELECT player_name, {STATS} FROM player_seasons f WHERE season <= {LAST}",
     ),
     "season_bounds": with_inputs(
         ["player_seasons"],
-        [*_spine_steps(SPINE_END), ("flat", "SELECT unnest(season_stats) AS s FROM players")],
-        "SELECT min(s.season) AS min_season, max(s.season) AS max_season FROM flat",
+        [],
+        "SELECT min(season) AS min_season, max(season) AS max_season FROM player_seasons "
+        f"WHERE season <= {SPINE_END}",
     ),
     "first_latest_change": with_inputs(
         ["player_seasons"],
-        _spine_steps(LAST),
-        f"""
-        SELECT player_name, season_stats[1].pts AS first_value,
-               season_stats[len(season_stats)].pts AS latest_value,
-               CASE WHEN season_stats[1].pts = 0 THEN 0.0::DOUBLE
-                    ELSE (season_stats[len(season_stats)].pts - season_stats[1].pts) * 100
-                         / season_stats[1].pts END AS percentage
-        FROM players WHERE current_season = {LAST}
-        """,
+        _players(LAST),
+        "SELECT player_name, first_pts AS first_value, last_pts AS latest_value, "
+        "CASE first_pts WHEN 0 THEN 0 ELSE (last_pts - first_pts) * 100 / first_pts END "
+        f"AS percentage FROM players WHERE current_season = {LAST}",
     ),
-    "player_tracking": _tracking(False, TRACKED + "tracking"),
-    "player_tracking_corrected": _tracking(True, TRACKED + "tracking"),
-    "player_tracking_step": _tracking(False, TRACKED + f"tracking_{LAST}"),
+    "player_tracking": _tracking(corrected=False),
+    "player_tracking_corrected": _tracking(corrected=True),
+    "player_tracking_step": _tracking(corrected=False, last=LAST),
 }
