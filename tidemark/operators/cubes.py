@@ -11,8 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import all_of
+
 OVERALL = "(overall)"
 UNKNOWN = "unknown"
+FULL_LEVEL = "os_type__device_type__browser"
 
 
 def _label(column: str) -> Column:
@@ -47,15 +50,10 @@ def device_dashboard(events: DataFrame, devices: DataFrame) -> DataFrame:
     named = hits.join(devices, "device_id").select(
         *[F.coalesce(d, F.lit(UNKNOWN)).alias(d) for d in dims], "_hits"
     )
-    sets = (dims, ("browser_type",), ("os_type",), ("device_type",))
-    sums = grouping_set_sums(named, dims, sets, "_hits")
-    shown = {d: F.col(f"_rolled_{d}") == 0 for d in dims}
-    level = F.when(
-        shown["os_type"] & shown["device_type"] & shown["browser_type"],
-        "os_type__device_type__browser",
-    )
-    for dim in ("browser_type", "device_type", "os_type"):
-        level = level.when(shown[dim], dim)
+    sums = grouping_set_sums(named, dims, (dims, *[(d,) for d in dims]), "_hits")
+    shown = [F.when(F.col(f"_rolled_{d}") == 0, F.lit(d)) for d in dims]
+    is_full = all_of([F.col(f"_rolled_{d}") == 0 for d in dims])
+    level = F.when(is_full, FULL_LEVEL).otherwise(F.coalesce(*shown))
     return sums.select(
         level.alias("aggregation_level"), *dims, F.col("total").alias("number_of_hits")
     ).orderBy(F.desc("number_of_hits"))

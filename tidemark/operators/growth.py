@@ -12,12 +12,12 @@ ACTIVE_STATES = ("Retained", "Resurrected", "New")
 
 def _daily_state(is_new: Column, today: Column, last: Column, yesterday: Column) -> Column:
     """``today`` is null when idle; ``last`` is the last active day before it."""
+    day_before = F.date_sub(today, 1)
+    if_active = F.when(last == day_before, "Retained").when(last < day_before, "Resurrected")
     return (
         F.when(is_new, "New")
-        .when(last == F.date_sub(today, 1), "Retained")
-        .when(last < F.date_sub(today, 1), "Resurrected")
-        .when(today.isNull() & (last == yesterday), "Churned")
-        .otherwise("Stale")
+        .when(today.isNotNull(), if_active.otherwise("Stale"))
+        .otherwise(F.when(last == yesterday, "Churned").otherwise("Stale"))
     )
 
 

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PLAYING = ("Continued Playing", "New", "Returned from Retirement")
-RETIRED = "Retired"
-STAYED = "Stayed Retired"
+NEW, CONTINUED, RETURNED = "New", "Continued Playing", "Returned from Retirement"
+RETIRED, STAYED = "Retired", "Stayed Retired"
 
 
 def tracked_seasons(players: DataFrame, scd: DataFrame) -> DataFrame:
@@ -32,27 +31,20 @@ def tracked_seasons(players: DataFrame, scd: DataFrame) -> DataFrame:
     )
 
 
-def _state(
-    start: Column,
-    season: Column,
-    active: Column,
-    old_start: Column,
-    old_season: Column,
-    old_state: Column,
-    corrected: bool,
-) -> Column:
-    """As defined only 'Retired' leads on to the two later states; corrected, both
-    retired states do."""
-    was_retired = old_state.isin(RETIRED, STAYED) if corrected else old_state == RETIRED
+def _state(is_first: Column, active: Column, before: Column, corrected: bool) -> Column:
+    """State from the one before, null if there is none.
+
+    As defined only 'Retired' is a retirement to return from or stay in;
+    corrected, so is 'Stayed Retired'.
+    """
+    was_retired = before.isin(RETIRED, STAYED) if corrected else before == RETIRED
+    was_playing = before.isin(NEW, CONTINUED, RETURNED)
+    from_retirement = F.when(active, RETURNED).when(~active, STAYED).otherwise(CONTINUED)
     return (
-        F.when(start == season, "New")
-        .when(
-            (old_start < old_season + 1) & old_state.isin(*PLAYING) & ~active,
-            RETIRED,
-        )
-        .when(was_retired & active, "Returned from Retirement")
-        .when(was_retired & ~active, STAYED)
-        .otherwise("Continued Playing")
+        F.when(is_first, NEW)
+        .when(was_playing & ~active, RETIRED)
+        .when(was_retired, from_retirement)
+        .otherwise(CONTINUED)
     )
 
 
@@ -60,15 +52,8 @@ def track_state_step(prev: DataFrame, today: DataFrame, corrected: bool = False)
     """Next season's states; ``today`` comes from ``tracked_seasons``."""
     t, y = today.alias("t"), prev.alias("y")
     active = F.col("t.is_active")
-    state = _state(
-        F.col("t.start_season"),
-        F.col("t.season"),
-        active,
-        F.col("y.start_season"),
-        F.col("y.season"),
-        F.col("y.state"),
-        corrected,
-    )
+    is_first = F.col("t.start_season") == F.col("t.season")
+    state = _state(is_first, active, F.col("y.state"), corrected)
     joined = t.join(y, F.col("y.player_name") == F.col("t.player_name"), "full_outer")
     return joined.select(
         F.coalesce("t.player_name", "y.player_name").alias("player_name"),
@@ -89,15 +74,8 @@ def track_state_through(seasons: DataFrame, corrected: bool = False) -> DataFram
 
     def fold(done: Column, row: Column) -> Column:
         old = F.try_element_at(done, F.lit(-1))
-        state = _state(
-            row["start_season"],
-            row["season"],
-            row["is_active"],
-            old["start_season"],
-            old["season"],
-            old["state"],
-            corrected,
-        )
+        is_first = row["start_season"] == row["season"]
+        state = _state(is_first, row["is_active"], old["state"], corrected)
         last = F.when(row["is_active"], row["season"]).otherwise(old["last_season"])
         step = F.struct(
             row["season"].alias("season"),
