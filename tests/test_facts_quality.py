@@ -1,10 +1,11 @@
 import pytest
 from conftest import rows_of
+from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import clock_minutes, percent_change, ratio_or_whole
 from tidemark.operators import quality
 from tidemark.operators.facts import MEASURES, build_fact
-from pyspark.sql import functions as F
+from tidemark.sources.schemas import DECLARED, PLAYERS_SCD
 
 
 @pytest.fixture
@@ -96,9 +97,21 @@ def test_domain_and_profiles(frame):
     assert rows_of(quality.rows_with_prefix(rows, "v", "a")) == [("a", 3), ("a", 3)]
 
 
-def test_declared_tables_have_columns_for_keys_and_domains():
-    from tidemark.sources.schemas import DECLARED
+def test_table_audit(frame):
+    rows = [
+        ("p", "star", True, 2000, 1999, 2000),
+        ("p", "good", True, 2000, 1999, 1999),
+        ("q", "best", True, 2000, 1999, 2000),
+        (None, None, True, 2000, 1999, 2000),
+    ]
+    audit = quality.table_audit(frame(PLAYERS_SCD.schema, rows), PLAYERS_SCD)
+    assert rows_of(audit) == [
+        ("players_scd", "key", 2),
+        ("players_scd", "scoring_class", 1),
+    ]
+
 
+def test_declared_tables_have_columns_for_keys_and_domains():
     for table in DECLARED:
         names = set(table.schema.names)
         assert set(table.key) <= names

@@ -5,7 +5,13 @@ from conftest import rows_of
 
 from tidemark import session
 from tidemark.operators import datelist
-from tidemark.sources.schemas import HOST_ACTIVITY_REDUCED, PLAYERS_SCD, USERS_CUMULATED
+from tidemark.sources.schemas import (
+    DEVICE_HITS_DASHBOARD,
+    HOST_ACTIVITY_REDUCED,
+    PLAYERS_SCD,
+    USERS_CUMULATED,
+    VERTICES,
+)
 from tidemark.sources.store import BucketedStore, SnapshotStore, upsert_rows
 
 
@@ -112,6 +118,24 @@ def test_bucketed_snapshot_is_not_shuffled(spark, tmp_path, frame):
     assert again.read(USERS_CUMULATED, day).count() == 60
 
 
+def test_tables_without_periods_are_replaced_whole(any_store, frame):
+    for hits in (1, 2):
+        rows = [("os_type", "os", "(overall)", "(overall)", hits)]
+        any_store.replace(DEVICE_HITS_DASHBOARD, frame(DEVICE_HITS_DASHBOARD.schema, rows))
+    assert rows_of(any_store.read(DEVICE_HITS_DASHBOARD), "number_of_hits") == [(2,)]
+
+
+def test_text_periods(any_store, frame):
+    rows = [("1", "player", "{}"), ("1", "team", "{}")]
+    any_store.replace(VERTICES, frame(VERTICES.schema, rows))
+    any_store.replace(VERTICES, frame(VERTICES.schema, [("2", "team", "{}")]))
+    assert rows_of(any_store.read(VERTICES), "identifier", "type") == [
+        ("1", "player"),
+        ("2", "team"),
+    ]
+    assert rows_of(any_store.read(VERTICES, "team"), "identifier") == [("2",)]
+
+
 def test_create_as(spark, store, frame):
     store.create_as("hits_report", frame("level string, hits bigint", [("os", 3)]))
     assert rows_of(spark.table("hits_report")) == [("os", 3)]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import any_of
+from tidemark.sources.schemas import Table
 
 
 def one_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
@@ -61,6 +62,20 @@ def domain_audit(rows: DataFrame, column: str, allowed: Sequence[str]) -> DataFr
     return rows.where(~F.col(column).isin(*allowed))
 
 
+def table_audit(rows: DataFrame, table: Table) -> DataFrame:
+    """Violations of a declared table: keys that break its key, rows outside a domain."""
+
+    def violations(check: str, broken: DataFrame) -> DataFrame:
+        return broken.agg(F.count(F.lit(1)).alias("n_violations")).select(
+            F.lit(table.name).alias("table_name"), F.lit(check).alias("check"), "n_violations"
+        )
+
+    audit = violations("key", key_audit(rows, table.key))
+    for column, allowed in table.domains.items():
+        audit = audit.unionByName(violations(column, domain_audit(rows, column, allowed)))
+    return audit
+
+
 def period_range(rows: DataFrame, column: str) -> DataFrame:
     """Smallest and largest value of a column."""
     return rows.agg(

@@ -6,11 +6,12 @@ work, so that agreement of the two is evidence for both.
 
 from __future__ import annotations
 
-from tidemark.oracle import activity, games, graph, snapshots
+from tidemark.oracle import activity, audits, games, graph, snapshots
 
 ORACLES: dict[str, str] = {
     **snapshots.ORACLES,
     **activity.ORACLES,
     **games.ORACLES,
     **graph.ORACLES,
+    **audits.ORACLES,
 }

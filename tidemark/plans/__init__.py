@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from tidemark.plans import activity, games, graph, snapshots
+from tidemark.plans import activity, audits, games, graph, snapshots
 from tidemark.sources.views import Reader
 
 QUERIES: dict[str, Callable[[Reader], DataFrame]] = {
@@ -18,4 +18,5 @@ QUERIES: dict[str, Callable[[Reader], DataFrame]] = {
     **activity.QUERIES,
     **games.QUERIES,
     **graph.QUERIES,
+    **audits.QUERIES,
 }

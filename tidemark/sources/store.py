@@ -119,7 +119,8 @@ class BucketedStore(SnapshotStore):
     A step joins the previous snapshot, which holds all history, with one period
     of facts by key. Bucketed, the snapshot is read already partitioned by key, so
     only the new facts are shuffled, and each bucket is written as one file.
-    Choose ``buckets`` so that a bucket of one period fits a task.
+    Choose ``buckets`` so that a bucket of one period fits a task. Tables without
+    periods are plain.
     """
 
     def __init__(self, spark: SparkSession, folder: str, buckets: int) -> None:
@@ -146,9 +147,14 @@ class BucketedStore(SnapshotStore):
         return name
 
     def _rows(self, table: Table, period: object = None) -> DataFrame:
+        if table.period is None:
+            return super()._rows(table)
         return self.spark.table(self._open(table))
 
     def _write(self, table: Table, rows: DataFrame) -> None:
+        if table.period is None:
+            super()._write(table, rows)
+            return
         name = self._open(table)
         # Inserting takes columns by position, in the table's own order.
         ordered = rows.select(*self.spark.table(name).columns)
