@@ -57,6 +57,11 @@ def json_field(properties: Column | str, name: str, kind: str = "string") -> Col
     return value if kind == "string" else value.try_cast(kind)
 
 
+def json_fields(properties: str, *names: str) -> Column:
+    """Several fields of a JSON object as text columns, parsed once per row."""
+    return F.json_tuple(properties, *names).alias(*names)
+
+
 def same_day(moment: Column, day: Column) -> Column:
     """``moment`` falls on ``day``, written as a range that reaches the scan."""
     return (moment >= day) & (moment < F.date_add(day, 1))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import json_field, json_object, ratio_or_whole
+from tidemark.functions.scalars import json_field, json_fields, json_object, ratio_or_whole
 from tidemark.operators.cubes import winner
 from tidemark.operators.quality import one_per_key
 
@@ -156,20 +156,18 @@ def best_game(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 def pair_stats(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Each player's career average beside the statistics of each relation."""
-    v = vertices.select(
+    names = ("player_name", "total_points", "number_of_games")
+    players = vertices.select(
         F.col("identifier").alias("subject_identifier"),
         F.col("type").alias("subject_type"),
-        json_field("properties", "player_name").alias("player_name"),
-        ratio_or_whole(
-            json_field("properties", "total_points", "double"),
-            json_field("properties", "number_of_games", "double"),
-        ).alias("avg_points"),
-    )
-    met = edges.where(F.col("object_type") == "player")
-    return met.join(v, ["subject_identifier", "subject_type"]).select(
-        "player_name",
+        json_fields("properties", *names),
+    ).withColumn("avg_points", ratio_or_whole(F.col("total_points"), F.col("number_of_games")))
+    met = edges.where(F.col("object_type") == "player").select(
+        "subject_identifier",
+        "subject_type",
         "object_identifier",
-        "avg_points",
-        json_field("properties", "subject_points").alias("subject_points"),
-        json_field("properties", "num_games").alias("num_games"),
+        json_fields("properties", "subject_points", "num_games"),
+    )
+    return met.join(players, ["subject_identifier", "subject_type"]).select(
+        "player_name", "object_identifier", "avg_points", "subject_points", "num_games"
     )

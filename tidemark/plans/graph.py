@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tidemark.functions.scalars import json_field
+from tidemark.functions.scalars import json_fields
 from tidemark.operators import graph
 from tidemark.sources import views
 from tidemark.sources.views import Reader
@@ -12,7 +12,7 @@ from tidemark.sources.views import Reader
 
 def _with_fields(rows: DataFrame, *fields: str) -> DataFrame:
     columns = [c for c in rows.columns if c != "properties"]
-    return rows.select(*columns, *[json_field("properties", f).alias(f) for f in fields])
+    return rows.select(*columns, json_fields("properties", *fields))
 
 
 def game_vertices(table: Reader) -> DataFrame:
