@@ -249,3 +249,4 @@ ORACLES = {
 # The stored tables hold what the same steps give in one plan.
 ORACLES["users_cumulated_daily"] = ORACLES["users_cumulated"]
 ORACLES["host_activity_daily"] = ORACLES["host_activity_reduced"]
+ORACLES["device_hits_dashboard_stored"] = ORACLES["device_hits_dashboard"]

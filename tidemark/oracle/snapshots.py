@@ -228,3 +228,6 @@ ORACLES = {
     "player_tracking_corrected": _tracking(corrected=True),
     "player_tracking_step": _tracking(corrected=False, last=LAST),
 }
+
+# The stored yearly steps hold the same states.
+ORACLES["player_tracking_yearly"] = ORACLES["player_tracking"]

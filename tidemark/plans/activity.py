@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
@@ -10,14 +9,14 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import cubes, datelist, growth, monthly, quality, sequences
 from tidemark.plans.flat import flat_dates
-from tidemark.session import shared_folder
 from tidemark.sources import views
 from tidemark.sources.schemas import (
+    DEVICE_HITS_DASHBOARD,
     HOST_ACTIVITY_REDUCED,
     HOSTS_CUMULATED,
     USERS_CUMULATED,
 )
-from tidemark.sources.store import BucketedStore, SnapshotStore, upsert_rows
+from tidemark.sources.store import BucketedStore, SnapshotStore, new_folder, upsert_rows
 from tidemark.sources.views import Reader
 
 FIRST = date(2024, 1, 1)
@@ -64,11 +63,6 @@ def hosts_cumulated(table: Reader) -> DataFrame:
     return _stepped(views.events_web(table), USER_HOST, "host_activity_datelist")
 
 
-def _new_folder(rows: DataFrame) -> str:
-    """Folder of its own that all executors can write to."""
-    return f"{shared_folder(rows.sparkSession)}/{uuid.uuid4()}"
-
-
 def _days(last: date) -> list[date]:
     return [FIRST + timedelta(days=n) for n in range((last - FIRST).days + 1)]
 
@@ -76,9 +70,7 @@ def _days(last: date) -> list[date]:
 def users_cumulated_daily(table: Reader) -> DataFrame:
     """As users_cumulated, by one stored step per day; each write cuts the lineage."""
     events = views.events_web(table)
-    spark = events.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    store = BucketedStore(spark, _new_folder(events), buckets)
+    store = BucketedStore(events.sparkSession, new_folder(events.sparkSession))
     for day in _days(STEP):
         prev = store.read(USERS_CUMULATED, day - timedelta(days=1))
         today = datelist.active_days(events, USER, day, day)
@@ -90,7 +82,7 @@ def users_cumulated_daily(table: Reader) -> DataFrame:
 def host_activity_daily(table: Reader) -> DataFrame:
     """As host_activity_reduced, by stored steps and an upsert per day."""
     events = views.events_web(table)
-    store = SnapshotStore(events.sparkSession, _new_folder(events))
+    store = SnapshotStore(events.sparkSession, new_folder(events.sparkSession))
     for day in _days(MONTH_STEP):
         prev = store.read(HOSTS_CUMULATED, day - timedelta(days=1))
         today = datelist.active_days(events, USER_HOST, day, day)
@@ -205,6 +197,14 @@ def device_hits_dashboard(table: Reader) -> DataFrame:
     return cubes.device_dashboard(views.events_web(table), views.devices(table))
 
 
+def device_hits_dashboard_stored(table: Reader) -> DataFrame:
+    """The dashboard kept as a table, read back."""
+    hits = device_hits_dashboard(table)
+    store = SnapshotStore(hits.sparkSession, new_folder(hits.sparkSession))
+    store.replace(DEVICE_HITS_DASHBOARD, hits)
+    return store.read(DEVICE_HITS_DASHBOARD)
+
+
 def distinct_urls(table: Reader) -> DataFrame:
     return quality.distinct_values(views.events_web(table), "url")
 
@@ -232,6 +232,7 @@ QUERIES = {
         funnel_conversion,
         funnel_conversion_corrected,
         device_hits_dashboard,
+        device_hits_dashboard_stored,
         distinct_urls,
     )
 }

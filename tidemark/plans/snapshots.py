@@ -9,8 +9,11 @@ from tidemark.operators import cumulative, scd, tracking
 from tidemark.operators.cumulative import ACTOR_HISTORY, PLAYER_HISTORY
 from tidemark.operators.scd import ACTOR_SCD, PLAYER_SCD
 from tidemark.sources import views
+from tidemark.sources.schemas import PLAYER_TRACKING, PLAYERS, PLAYERS_SCD
+from tidemark.sources.store import BucketedStore, new_folder
 from tidemark.sources.views import Reader
 
+FIRST = 1995
 STEP = 1998
 BUILD = 2000
 LAST = 2001
@@ -155,6 +158,26 @@ def player_tracking_step(table: Reader) -> DataFrame:
     return tracking.track_state_step(prev, seasons.where(F.col("season") == LAST))
 
 
+def player_tracking_yearly(table: Reader) -> DataFrame:
+    """As player_tracking, by stored steps: each season adds a snapshot, the history
+    as of it, and the states, from what the season before left."""
+    facts = views.player_seasons(table)
+    store = BucketedStore(facts.sparkSession, new_folder(facts.sparkSession))
+    for season in range(FIRST, LAST + 1):
+        today = facts.where(F.col("season") == season)
+        step = cumulative.cumulate_step(store.read(PLAYERS, season - 1), today, PLAYER_HISTORY)
+        store.replace(PLAYERS, step)
+        players = store.read(PLAYERS, season)
+        history = scd.scd2_step(
+            store.read(PLAYERS_SCD, season - 1), players, PLAYER_SCD, season - 1
+        )
+        store.replace(PLAYERS_SCD, history)
+        tracked = tracking.tracked_seasons(players, store.read(PLAYERS_SCD, season))
+        before = store.read(PLAYER_TRACKING, season - 1)
+        store.replace(PLAYER_TRACKING, tracking.track_state_step(before, tracked))
+    return store.read(PLAYER_TRACKING)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -173,5 +196,6 @@ QUERIES = {
         player_tracking,
         player_tracking_corrected,
         player_tracking_step,
+        player_tracking_yearly,
     )
 }

@@ -50,13 +50,21 @@ def _schema(text: str) -> T.StructType:
 
 @dataclass(frozen=True)
 class Table:
-    """One declared table. ``period`` names the column it is partitioned by."""
+    """One declared table. ``period`` names the column it is partitioned by.
+
+    ``joined_on`` is what steps join it by, the rest of its key unless given.
+    """
 
     name: str
     schema: T.StructType
     key: tuple[str, ...]
     period: str | None = None
     domains: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    joined_on: tuple[str, ...] = ()
+
+    @property
+    def bucket_key(self) -> tuple[str, ...]:
+        return self.joined_on or tuple(k for k in self.key if k != self.period)
 
 
 ACTORS = Table(
@@ -79,6 +87,7 @@ ACTOR_HISTORY_SCD = Table(
     ("actorid", "start_year"),
     "current_year",
     {"quality_class": classify.QUALITY_CLASSES},
+    ("actorid",),
 )
 
 PLAYERS = Table(
@@ -103,6 +112,7 @@ PLAYERS_SCD = Table(
     ("player_name", "start_season"),
     "current_season",
     {"scoring_class": classify.SCORING_CLASSES},
+    ("player_name",),
 )
 
 PLAYER_TRACKING = Table(

@@ -7,6 +7,7 @@ so a lost executor only repeats its tasks and a failed job changes nothing.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Sequence
 from datetime import date
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import all_of
+from tidemark.session import shared_folder
 from tidemark.sources.schemas import Table
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -37,6 +39,11 @@ def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
     )
 
 
+def new_folder(spark: SparkSession) -> str:
+    """Folder of its own under the shared one, where all executors can write."""
+    return f"{shared_folder(spark)}/{uuid.uuid4()}"
+
+
 class SnapshotStore:
     """Declared tables kept as Parquet under one shared folder."""
 
@@ -114,7 +121,7 @@ class SnapshotStore:
 
 
 class BucketedStore(SnapshotStore):
-    """Snapshot tables bucketed by their key within each period.
+    """Snapshot tables bucketed within each period by what steps join them on.
 
     A step joins the previous snapshot, which holds all history, with one period
     of facts by key. Bucketed, the snapshot is read already partitioned by key, so
@@ -123,9 +130,10 @@ class BucketedStore(SnapshotStore):
     periods are plain.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, buckets: int) -> None:
+    def __init__(self, spark: SparkSession, folder: str, buckets: int | None = None) -> None:
+        """Buckets are as many as shuffle partitions unless given."""
         super().__init__(spark, folder)
-        self.buckets = buckets
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def table_name(self, table: Table) -> str:
         return f"{table.name}_{zlib.crc32(self.path(table).encode()):08x}"
@@ -135,11 +143,10 @@ class BucketedStore(SnapshotStore):
         name = self.table_name(table)
         if not self.spark.catalog.tableExists(name):
             columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema)
-            keys = ", ".join(k for k in table.key if k != table.period)
             self.spark.sql(
                 f"CREATE TABLE {name} ({columns}) USING parquet "
                 f"PARTITIONED BY ({table.period}) "
-                f"CLUSTERED BY ({keys}) INTO {self.buckets} BUCKETS "
+                f"CLUSTERED BY ({', '.join(table.bucket_key)}) INTO {self.buckets} BUCKETS "
                 f"LOCATION '{self.path(table)}'"
             )
             if self._files(table) is not None:
