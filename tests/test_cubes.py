@@ -6,7 +6,8 @@ POINTS = "player_id int, season int, team_id int, pts int"
 
 
 def test_dashboard(frame):
-    events = frame("device_id int, url string", [(1, "/a")] * 3 + [(2, "/b"), (3, "/c"), (9, "/d"), (None, "/e")])
+    others = [(2, "/b"), (3, "/c"), (9, "/d"), (None, "/e")]
+    events = frame("device_id int, url string", [(1, "/a")] * 3 + others)
     devices = frame(
         "device_id int, os_type string, device_type string, browser_type string",
         [(1, "os1", "d1", "b1"), (2, "os1", None, "b2"), (3, None, "d1", "b1")],
@@ -33,7 +34,13 @@ def test_dashboard(frame):
 def test_leaderboard(frame):
     rows = frame(
         POINTS,
-        [(1, 2000, 10, 5), (1, 2001, 10, 7), (2, 2000, 20, 9), (3, 2000, 20, None), (2, 2000, 30, 1)],
+        [
+            (1, 2000, 10, 5),
+            (1, 2001, 10, 7),
+            (2, 2000, 20, 9),
+            (3, 2000, 20, None),
+            (2, 2000, 30, 1),
+        ],
     )
     got = cubes.leaderboard(rows, "player_id", "season", "pts").collect()
     # The overall row carries the total of everything and leads.

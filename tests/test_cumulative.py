@@ -17,7 +17,10 @@ SEASONS = (
     "draft_number string, draft_round string, season int, gp int, pts double, reb double, "
     "ast double"
 )
-FILMS = "actor string, actorid string, film string, year int, votes int, rating double, filmid string"
+FILMS = (
+    "actor string, actorid string, film string, year int, votes int, rating double, "
+    "filmid string"
+)
 
 
 def season(name, year, pts, height="H1", college="C"):

@@ -101,7 +101,7 @@ def test_vertices(frame):
     teams = frame(
         "team_id int, abbreviation string, nickname string, city string, arena string, "
         "yearfounded int",
-        [(1, "A", "n", "c", "r", 1950), (1, "A", "n", "c", "r", 1950), (2, "B", "n", "c", None, 1960)],
+        [(1, "A", "n", "c", "r", 1950)] * 2 + [(2, "B", "n", "c", None, 1960)],
     )
     vertices = graph.team_vertices(teams)
     assert rows_of(vertices, "identifier", "type") == [("1", "team"), ("2", "team")]
@@ -112,7 +112,13 @@ def test_vertices(frame):
 def test_queries(frame):
     details = frame(
         DETAILS,
-        [row(1, 1, 1, 10), row(1, 1, 2, 4), row(2, 1, 1, 30), row(2, 2, 2, None), row(3, 1, 3, None)],
+        [
+            row(1, 1, 1, 10),
+            row(1, 1, 2, 4),
+            row(2, 1, 1, 30),
+            row(2, 2, 2, None),
+            row(3, 1, 3, None),
+        ],
     )
     vertices = graph.player_vertices(details)
     plays = graph.plays_in_edges(details)

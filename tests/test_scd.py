@@ -97,7 +97,10 @@ def test_nulls_are_no_change_unless_null_safe(frame):
         ("n", "star", True, 2001, 2001),
         ("n", None, True, 2000, 2000),
     ]
-    back = frame(SNAPSHOT, [("n", 2000, "star", True), ("n", 2001, None, True), ("n", 2002, "star", True)])
+    back = frame(
+        SNAPSHOT,
+        [("n", 2000, "star", True), ("n", 2001, None, True), ("n", 2002, "star", True)],
+    )
     assert spans(scd2_build(back, PLAYER_SCD, 2002)) == [
         ("n", "star", True, 2000, 2002),
         ("n", None, True, 2001, 2001),
@@ -144,7 +147,10 @@ def test_closed_rows_of_other_versions(frame):
 
 
 def test_actor_names(frame):
-    snapshot = "actorid string, actor string, current_year int, is_active boolean, quality_class string"
+    snapshot = (
+        "actorid string, actor string, current_year int, is_active boolean, "
+        "quality_class string"
+    )
     rows = frame(
         snapshot,
         [

@@ -55,7 +55,7 @@ def test_streaks(frame, width, seed):
 def test_streak_of_only_hits_or_misses(frame, width):
     rows = [(1, START + timedelta(days=i // 4), i, True) for i in range(20)]
     rows += [(2, START, 100 + i, False) for i in range(5)]
-    rows += [(3, START, 200, True)]
+    rows += [(3, START, 199, None), (3, START, 200, True)]
     df = frame("player int, day date, game bigint, hit boolean", rows)
     got = sequences.longest_streak(df, "player", "day", "game", "hit", top=None)
     assert rows_of(got) == [
@@ -178,7 +178,11 @@ def test_funnel(frame, seed, corrected):
 def test_funnel_of_users_who_never_reach_the_target(frame):
     df = frame(
         "user_id int, url string, event_time timestamp_ntz",
-        [(1, "/signup", datetime(2024, 1, 1)), (2, "/login", datetime(2024, 1, 1))],
+        [
+            (1, "/signup", datetime(2024, 1, 1)),
+            (2, "/login", datetime(2024, 1, 1)),
+            (3, "/login", None),
+        ],
     )
     got = sequences.funnel(df, URLS, URLS[1]).select("url", "user_count", "pct_converted")
     assert rows_of(got) == [("/login", 1, 1.0), ("/signup", 1, 0.0)]

@@ -5,9 +5,11 @@ from conftest import rows_of
 
 from tidemark import session
 from tidemark.operators import datelist
+from tidemark.operators.scd import PLAYER_SCD, scd2_build, scd2_step
 from tidemark.sources.schemas import (
     DEVICE_HITS_DASHBOARD,
     HOST_ACTIVITY_REDUCED,
+    PLAYERS,
     PLAYERS_SCD,
     USERS_CUMULATED,
     VERTICES,
@@ -39,7 +41,8 @@ def test_daily_steps_are_repeatable(any_store, frame):
         [("a", date(2024, 1, 1)), ("a", date(2024, 1, 2)), ("b", date(2024, 1, 2))],
     )
     for n in (1, 2, 2, 3, 2):
-        prev = any_store.read(USERS_CUMULATED, date(2024, 1, n - 1) if n > 1 else date(2023, 12, 31))
+        before = date(2024, 1, n - 1) if n > 1 else date(2023, 12, 31)
+        prev = any_store.read(USERS_CUMULATED, before)
         today = active.where(active.date_active == date(2024, 1, n))
         step = datelist.datelist_step(prev, today, ["user_id"], "dates_active")
         any_store.replace(USERS_CUMULATED, step)
@@ -151,3 +154,27 @@ def test_shuffles_widen_with_the_input():
     small, large = session.sized_settings(1), session.sized_settings(100 * 10**12)
     assert small["spark.sql.shuffle.partitions"] == "200"
     assert 50_000 < int(large["spark.sql.shuffle.partitions"]) < 200_000
+
+
+def test_history_step_on_buckets_moves_nothing(spark, tmp_path, frame):
+    """Snapshot and history are both bucketed by player, so their join needs no shuffle."""
+    store = BucketedStore(spark, str(tmp_path), 3)
+    names = [f"p{n}" for n in range(20)]
+    stats = [(2000, 5, 12.0, 1.0, 1.0)]
+    for season in (2000, 2001):
+        rows = [
+            (n, "h", "c", "x", "1990", "1", "1", stats, "bad", 0, season, season == 2000)
+            for n in names
+        ]
+        store.replace(PLAYERS, frame(PLAYERS.schema, rows))
+    first = scd2_build(store.read(PLAYERS, 2000), PLAYER_SCD, 2000)
+    store.replace(PLAYERS_SCD, first)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    step = scd2_step(
+        store.read(PLAYERS_SCD, 2000), store.read(PLAYERS, 2001), PLAYER_SCD, 2000
+    )
+    plan = step._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Exchange" not in plan
+    assert step.count() == 40

@@ -74,10 +74,10 @@ def longest_streak(
 ) -> DataFrame:
     """Longest run of consecutive hits per key, in order of day and id.
 
-    Rows are unique by key and id. Runs are summarised per cell of a day, then per
-    day, then per key; each level reads one row per group of the level below, so
-    the rows are shuffled once and no task sees all rows of a key. Of equal runs
-    the earliest is kept.
+    Rows are unique by key and id; an unknown hit is a miss. Runs are summarised
+    per cell of a day, then per day, then per key; each level reads one row per
+    group of the level below, so the rows are shuffled once and no task sees all
+    rows of a key. Of equal runs the earliest is kept.
     """
     cell = [key, "_day", "_cell"]
     so_far = (
@@ -89,7 +89,7 @@ def longest_streak(
             F.col(day).alias("_day"),
             id_cell(order_id).alias("_cell"),
             F.col(order_id).alias("_id"),
-            (1 - F.col(hit).cast("int")).alias("_missed"),
+            F.when(F.col(hit), 0).otherwise(1).alias("_missed"),
         )
         .withColumn("run", F.sum("_missed").over(so_far))
         .groupBy(*cell, "run")
@@ -187,7 +187,8 @@ def funnel(
     """
     steps = range(len(urls))
     goal = list(urls).index(target)
-    chosen = events.where(F.col("url").isin(*urls) & F.col("user_id").isNotNull()).select(
+    known = F.col("user_id").isNotNull() & F.col("event_time").isNotNull()
+    chosen = events.where(F.col("url").isin(*urls) & known).select(
         "user_id", F.to_date("event_time").alias("_day"), "event_time", "url"
     )
     is_step = [F.col("url") == url for url in urls]

@@ -59,9 +59,7 @@ def _players(last: int) -> Steps:
 
 STATE = "season_stats, scoring_class, years_since_last_season, current_season, is_active"
 
-FILM = (
-    "concat_ws(':', film, votes, CAST(floor(rating * 4) AS BIGINT), filmid)"
-)
+FILM = "concat_ws(':', film, votes, CAST(floor(rating * 4) AS BIGINT), filmid)"
 
 
 def _actors(last: int) -> Steps:
@@ -126,7 +124,7 @@ def _actor_history(last: int, end: str) -> str:
 
 
 # Rows open in both years keep the end they had.
-KEPT_END = f"CASE WHEN first_period <= {BUILD} THEN least(last_period, {BUILD}) ELSE last_period END"
+KEPT_END = f"if(first_period <= {BUILD}, least(last_period, {BUILD}), last_period)"
 
 
 def _tracking(corrected: bool, last: int | None = None) -> str:
