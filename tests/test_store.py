@@ -86,7 +86,7 @@ def test_upsert(store, frame, periods):
     before = [(1, "a", [1], [1]), (1, "b", [2], [2]), (2, "a", [3], [3])]
     source = [(1, "b", [9, 2], [9, 2]), (1, "c", [5], None)]
     want = [(1, "a", [1], [1]), (1, "b", [9, 2], [9, 2]), (1, "c", [5], None), (2, "a", [3], [3])]
-    store.replace(HOST_ACTIVITY_REDUCED, frame(schema, before), many_periods=True)
+    store.replace(HOST_ACTIVITY_REDUCED, frame(schema, before), gather=True)
     untouched = store.read(HOST_ACTIVITY_REDUCED, 2).inputFiles()
     store.upsert(HOST_ACTIVITY_REDUCED, frame(schema, source), periods)
     assert rows_of(store.read(HOST_ACTIVITY_REDUCED)) == want
@@ -178,3 +178,17 @@ def test_history_step_on_buckets_moves_nothing(spark, tmp_path, frame):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "Exchange" not in plan
     assert step.count() == 40
+
+
+@pytest.mark.parametrize("gather", [False, True])
+def test_backfill_into_buckets(spark, tmp_path, frame, gather):
+    """Gathered, every period has one file per bucket; the rows are the same."""
+    store = BucketedStore(spark, str(tmp_path), 2)
+    days = [date(2024, 1, n) for n in (1, 2, 3)]
+    rows = [(str(u), [d], d) for u in range(30) for d in days]
+    store.replace(
+        USERS_CUMULATED, frame(USERS_CUMULATED.schema, rows).repartition(4, "date"), gather
+    )
+    assert rows_of(store.read(USERS_CUMULATED)) == sorted(rows, key=repr)
+    files = list((tmp_path / "users_cumulated").glob("date=*/*.parquet"))
+    assert len(files) == 6

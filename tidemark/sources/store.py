@@ -88,17 +88,22 @@ class SnapshotStore:
             rows = rows.where(F.col(table.period) == F.lit(period))
         return rows.select(*table.schema.names)
 
-    def replace(self, table: Table, rows: DataFrame, many_periods: bool = False) -> None:
+    def _gathered(self, table: Table, rows: DataFrame) -> DataFrame:
+        """Rows together by period; a period much larger than the others is split."""
+        return rows.hint("rebalance", table.period)
+
+    def replace(self, table: Table, rows: DataFrame, gather: bool = False) -> None:
         """Write rows by column name, replacing every period they contain.
 
-        Rows of one period are written as they are partitioned. Rows of many
-        periods are first gathered by period, so that not every task writes a
-        file of every period; a period much larger than the others is split.
+        A step's rows are written as they are partitioned. Rows of many periods
+        are better gathered first, so that not every task writes to every file.
         """
         rows = rows.select(
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields]
         )
-        self._write(table, rows.hint("rebalance", table.period) if many_periods else rows)
+        if gather and table.period is not None:
+            rows = self._gathered(table, rows)
+        self._write(table, rows)
 
     def upsert(
         self, table: Table, source: DataFrame, periods: Sequence[object] | None = None
@@ -158,6 +163,10 @@ class BucketedStore(SnapshotStore):
             return super()._rows(table)
         return self.spark.table(self._open(table))
 
+    def _gathered(self, table: Table, rows: DataFrame) -> DataFrame:
+        """Rows together by bucket: a task then writes one file per period."""
+        return rows.repartition(self.buckets, *table.bucket_key)
+
     def _write(self, table: Table, rows: DataFrame) -> None:
         if table.period is None:
             super()._write(table, rows)
