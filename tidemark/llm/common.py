@@ -238,3 +238,42 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
         reach *= 2
     rest = width - reach
     return np.minimum(least[:-rest], least[rest:]) if rest else least
+
+
+def strings(data: np.ndarray, offsets: np.ndarray, kind: pa.DataType | None = None) -> pa.Array:
+    """Texts of one buffer as an Arrow column."""
+    made = pa.Array.from_buffers(
+        pa.large_binary(),
+        len(offsets) - 1,
+        [
+            None,
+            pa.py_buffer(np.ascontiguousarray(offsets, np.int64)),
+            pa.py_buffer(np.ascontiguousarray(data, np.uint8)),
+        ],
+    )
+    kind = kind or pa.string()
+    return made.cast(pa.binary()) if kind == pa.binary() else made.cast(pa.binary()).view(kind)
+
+
+def joined(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, space: bool = True
+) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of each text joined by one space, or by nothing.
+
+    ``first`` tells where each text's stretches begin; returns bytes and offsets.
+    """
+    sizes = ends - starts
+    if space and len(starts):
+        gaps = np.ones(len(starts), np.int64)
+        lasts = first[1:][first[1:] > first[:-1]] - 1
+        gaps[lasts] = 0
+        sizes = sizes + gaps
+    at = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(sizes, out=at[1:])
+    source = np.arange(at[-1]) + np.repeat(starts - at[:-1], sizes)
+    if space and len(starts):
+        out = data[np.minimum(source, max(len(data) - 1, 0))]
+        out[(at[1:] - 1)[gaps == 1]] = 32
+    else:
+        out = data[source]
+    return out, at[first]
