@@ -8,7 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
+from tidemark.llm.decontamination import contaminated, contamination
+from tidemark.llm.quality_rules import repetition
 from tidemark.llm.substring_dedup import remove_repeats
+from tidemark.llm.token_files import token_folder, token_rows, write_token_files
+
+
+def tokenizer(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +27,38 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids written to ORC files and read back from them."""
+    docs = table(spark, sf_dir, "documents")
+    path = write_token_files(docs, token_folder(spark), tokenizer("word_bpe_49k.json"))
+    return token_rows(spark, path)
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repetition measures and verdicts of every document."""
+    found = repetition(table(spark, sf_dir, "documents"))
+    base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select(*base, "base_failed", "kept")
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in every document."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        contaminated().alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_token_files": op3_token_files,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {}

@@ -7,9 +7,9 @@ row groups; readers of all take stripes in parallel. A row holds where its ids
 start within its file part, and a table of part totals, one row a part, places the
 parts one after another.
 
-The tokenizer sees each distinct stretch between spaces once a task and batch of
-memory: its pieces never reach over white space, so a text's ids are those of its
-stretches in order. ``encode_texts`` checks that the tokenizer is of that kind.
+The tokenizer's pieces never reach over white space, so a text's ids are those of
+its stretches between spaces, in order. A Python worker remembers the ids of
+stretches, as many as its memory is given. Other tokenizers are refused.
 
 Cases: a null or empty text has the end id alone; ids are written in ascending
 order, null first, equal ids by a hash of the text, equal rows one after another;
@@ -22,6 +22,7 @@ import json
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +33,11 @@ from tidemark.llm.common import keyed, prepare, scratch, slices
 
 END_ID = 2
 #: Distinct stretches whose ids a task keeps; beyond it the memory starts anew.
-REMEMBERED = 200_000
+REMEMBERED = 500_000
 #: A longer stretch is encoded but not kept.
 LONGEST_KEPT = 48
+#: Parts stretches encoded together; what holds it is encoded alone.
+MARK = "~"
 
 WRITER = {
     "compression": "zstd",
@@ -72,25 +75,51 @@ class Encoder:
     def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
         self.tokenizer = _tokenizer(path)
         self.remembered = remembered
-        self.known: dict[str, np.ndarray] = {}
-
-    def _learn(self, stretches: list[str]) -> dict[str, np.ndarray]:
-        """Ids of stretches not known yet; what is too long to keep is returned only."""
-        if len(self.known) + len(stretches) > self.remembered:
-            self.known = {}
-        made = self.tokenizer.encode_batch_fast(stretches, add_special_tokens=False)
-        found = {s: np.array(x.ids, np.int32) for s, x in zip(stretches, made)}
-        self.known.update((s, x) for s, x in found.items() if len(s) <= LONGEST_KEPT)
-        return found
+        self.known: dict[str, bytes] = {}
+        mark = self._ids(MARK)
+        self.mark = mark[0] if len(mark) == 1 else None
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _learn(self, stretches: list[str]) -> None:
+        """Remember the ids of stretches, many of them in one text between marks."""
+        if self.mark is not None:
+            plain = [s for s in stretches if MARK not in s]
+            ids = np.array(self._ids(f" {MARK} ".join([*plain, ""])), np.int32)
+            ends = np.flatnonzero(ids == self.mark)
+            if len(ends) == len(plain):
+                data = ids.tobytes()
+                begins = np.append(0, ends[:-1] + 1)
+                for s, a, b in zip(plain, (4 * begins).tolist(), (4 * ends).tolist()):
+                    self.known[s] = data[a:b]
+                stretches = [s for s in stretches if MARK in s]
+        for s in stretches:
+            self.known[s] = np.array(self._ids(s), np.int32).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text, the end id last."""
         parts = [(text or "").split(" ") for text in texts]
-        wanted = set().union(*parts)
-        here = {s: self.known[s] for s in wanted if s in self.known}
-        here |= self._learn([s for s in wanted if s not in here])
-        end = np.array([END_ID], np.int32)
-        return [np.concatenate([*map(here.__getitem__, part), end]) for part in parts]
+        new = set().union(*parts).difference(self.known)
+        self._learn(list(new))
+        end = np.array([END_ID], np.int32).tobytes()
+        found = [
+            np.frombuffer(b"".join(map(self.known.__getitem__, part)) + end, np.int32)
+            for part in parts
+        ]
+        for s in new:
+            if len(s) > LONGEST_KEPT:
+                del self.known[s]
+        if len(self.known) > self.remembered:
+            # What came first is what comes often.
+            self.known = dict(islice(self.known.items(), self.remembered // 2))
+        return found
+
+
+@cache
+def _encoder(path: str) -> Encoder:
+    """The encoder of a Python worker, which outlives its tasks."""
+    return Encoder(path)
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str) -> str:
@@ -100,7 +129,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str) -> str:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, part, start = Encoder(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, part, start = _encoder(tokenizer), TaskContext.get().partitionId(), 0
         for batch in slices(batches):
             ids = encoder.encode(batch.column("text").to_pylist())
             sizes = np.array([len(x) for x in ids], np.int64)
