@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
 from tidemark.llm.decontamination import contaminated, contamination
+from tidemark.llm.personal_data import KINDS, personal_data
 from tidemark.llm.quality_rules import repetition
+from tidemark.llm.sentencepiece_bpe import round_trip
 from tidemark.llm.substring_dedup import remove_repeats
+from tidemark.llm.subword_classifier import fit, scores
 from tidemark.llm.token_files import token_folder, token_rows, write_token_files
 
 
@@ -34,6 +37,56 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_rows(spark, path)
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    found = round_trip(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: plain spans counted, all spans told."""
+    found = personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["base"])
+
+    def told(spans: F.Column) -> F.Column:
+        return F.array_join(
+            F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["stop"])), ","
+        )
+
+    def count(kind: str) -> F.Column:
+        return F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(told(base), 256).alias("base_sha256"),
+        told(F.col("spans")).alias("spans"),
+    )
+
+
+def held_out() -> F.Column:
+    """Documents whose labels are not learned from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+
+
+def op7_subword_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(~held_out())
+    model = fit(docs, labels.select("doc_id", F.col("quality").alias("label")))
+    return scores(docs, model).select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repetition measures and verdicts of every document."""
     found = repetition(table(spark, sf_dir, "documents"))
@@ -57,6 +110,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_token_files": op3_token_files,
+    "op4_sentencepiece": op4_sentencepiece,
+    "op5_personal_data": op5_personal_data,
+    "op7_subword_classifier": op7_subword_classifier,
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
 }
