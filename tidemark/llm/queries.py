@@ -12,6 +12,7 @@ from tidemark.llm.decontamination import contaminated, contamination
 from tidemark.llm.personal_data import KINDS, personal_data
 from tidemark.llm.quality_rules import repetition
 from tidemark.llm.sentencepiece_bpe import round_trip
+from tidemark.llm.simhash_dedup import near_duplicates
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.llm.subword_classifier import fit, scores
 from tidemark.llm.token_files import token_folder, token_rows, write_token_files
@@ -87,6 +88,14 @@ def op7_subword_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate class of every document."""
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repetition measures and verdicts of every document."""
     found = repetition(table(spark, sf_dir, "documents"))
@@ -113,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sentencepiece": op4_sentencepiece,
     "op5_personal_data": op5_personal_data,
     "op7_subword_classifier": op7_subword_classifier,
+    "op8_simhash_dedup": op8_simhash_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
 }

@@ -38,7 +38,8 @@ SAMPLE_PER_CLASS = 1500
 BUCKET_BITS = 18
 DIMENSIONS = 8
 CHARACTERS = (3, 4, 5)
-EPOCHS = 3
+#: Steps of training, one document each, the classes in turn.
+STEPS = 9000
 RATE = 0.1
 SEED = 7
 
@@ -76,25 +77,25 @@ def train(texts: list[str], classes: list[int]) -> tuple[np.ndarray, float]:
     output = rng.normal(0, 1, (2, DIMENSIONS)).astype(np.float32)
     bias = np.zeros(2)
     encoded = [np.frombuffer((text or "").encode(), np.uint8) for text in texts]
-    total, step = max(1, EPOCHS * len(texts)), 0
-    for _ in range(EPOCHS):
-        for i in rng.permutation(len(texts)):
-            rate = RATE * (1 - step / total)
-            step += 1
-            data = encoded[i]
-            found = [b[x[0] : y[0]] for b, x, y in features(data, np.array([0, len(data)]))]
-            buckets, counts = np.unique(np.concatenate(found), return_counts=True)
-            share = (counts / max(1, counts.sum())).astype(np.float32)
-            mean = share @ vectors[buckets]
-            logits = output @ mean + bias
-            odds = np.exp(logits - logits.max())
-            error = -odds / odds.sum()
-            error[classes[i]] += 1
-            moved = (rate * error).astype(np.float32)
-            pull = moved @ output
-            output += np.outer(moved, mean)
-            vectors[buckets] += np.outer(share / np.sqrt(share @ share), pull)
-            bias += 0.01 * moved
+    members = [np.flatnonzero(np.array(classes) == label) for label in (0, 1)]
+    orders = [np.resize(rng.permutation(own), STEPS // 2 + 1) for own in members]
+    for step in range(STEPS):
+        i = orders[step % 2][step // 2]
+        rate = RATE * (1 - step / STEPS)
+        data = encoded[i]
+        found = [b[x[0] : y[0]] for b, x, y in features(data, np.array([0, len(data)]))]
+        buckets, counts = np.unique(np.concatenate(found), return_counts=True)
+        share = (counts / max(1, counts.sum())).astype(np.float32)
+        mean = share @ vectors[buckets]
+        logits = output @ mean + bias
+        odds = np.exp(logits - logits.max())
+        error = -odds / odds.sum()
+        error[classes[i]] += 1
+        moved = (rate * error).astype(np.float32)
+        pull = moved @ output
+        output += np.outer(moved, mean)
+        vectors[buckets] += np.outer(share / np.sqrt(share @ share), pull)
+        bias += 0.01 * moved
     return vectors @ (output[1] - output[0]), float(bias[1] - bias[0])
 
 
