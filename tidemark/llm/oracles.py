@@ -1,0 +1,62 @@
+"""DuckDB statements for the corpus queries that SQL can express."""
+
+from __future__ import annotations
+
+#: Fixed value: a word.
+WORD = r"[^\x20\x09-\x0D]+"
+
+LINE_DEDUP = rf"""
+WITH lines AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+        CASE WHEN text <> '' THEN string_split(text, chr(10)) ELSE [] END AS l
+    FROM documents
+), windows AS (
+    SELECT doc_id, i, l[i:i + 2] AS held
+    FROM (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS i FROM lines)
+    WHERE regexp_matches(array_to_string(l[i:i + 2], ' '), '{WORD}')
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY held ORDER BY doc_id, i) AS n FROM windows
+), gone AS (
+    SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS line FROM ranked WHERE n > 1
+), lost AS (
+    SELECT doc_id, list(line) AS lost FROM gone GROUP BY doc_id
+)
+SELECT doc_id, len(l) AS n_lines, coalesce(len(lost), 0) AS n_removed,
+    sha256(array_to_string(
+        list_filter(l, lambda x, j: lost IS NULL OR NOT list_contains(lost, j)), chr(10)
+    )) AS kept_sha256
+FROM lines LEFT JOIN lost USING (doc_id)
+"""
+
+SUBSTRING_DEDUP = rf"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i,
+        md5(array_to_string(w[i:i + 34], ' ')) AS m
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words)
+), repeats AS (
+    SELECT doc_id, i FROM windows
+    WHERE m IN (SELECT m FROM windows GROUP BY m HAVING count(*) > 1)
+), lost AS (
+    SELECT doc_id, list(DISTINCT p) AS lost
+    FROM (SELECT doc_id, unnest(range(i, i + 35)) AS p FROM repeats) GROUP BY doc_id
+), flagged AS (
+    SELECT doc_id, w, coalesce(lost, []) AS lost FROM words LEFT JOIN lost USING (doc_id)
+), each AS (
+    SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM flagged
+), gone AS (
+    SELECT doc_id, unnest(lost) AS p FROM flagged
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text
+    FROM each ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, len(lost) AS n_removed,
+    sha256(coalesce(text, '')) AS kept_sha256
+FROM flagged LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": LINE_DEDUP,
+    "op2_substring_dedup": SUBSTRING_DEDUP,
+}

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
 from tidemark.llm.decontamination import contaminated, contamination
+from tidemark.llm.line_dedup import repeated_lines
+from tidemark.llm.oracles import ORACLES  # noqa: F401
 from tidemark.llm.personal_data import KINDS, personal_data
 from tidemark.llm.quality_rules import repetition
 from tidemark.llm.sentencepiece_bpe import round_trip
@@ -25,6 +27,13 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later occurrences of three-line windows, removed from every document."""
+    found = repeated_lines(table(spark, sf_dir, "documents"))
+    kept = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return found.select("doc_id", "n_lines", "n_removed", kept.alias("kept_sha256"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of 35 words that occur twice or more, removed from every document."""
     found = remove_repeats(table(spark, sf_dir, "documents"))
@@ -117,6 +126,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_token_files": op3_token_files,
     "op4_sentencepiece": op4_sentencepiece,
@@ -126,5 +136,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
 }
-
-ORACLES: dict[str, str] = {}
