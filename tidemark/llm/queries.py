@@ -17,6 +17,7 @@ from tidemark.llm.sentencepiece_bpe import round_trip
 from tidemark.llm.simhash_dedup import near_duplicates
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.llm.subword_classifier import fit, scores
+from tidemark.llm.suffix_dedup import remove_earlier
 from tidemark.llm.token_files import token_folder, token_rows, write_token_files
 
 
@@ -84,6 +85,18 @@ def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strings of 50 bytes that an earlier document holds, removed."""
+    found = remove_earlier(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_subword_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learned from labels that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -131,6 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_personal_data": op5_personal_data,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_subword_classifier": op7_subword_classifier,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_quality_rules": op9_quality_rules,
