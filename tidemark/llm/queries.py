@@ -48,9 +48,8 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_rows(spark, path)
 
 
-def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document encoded and decoded again."""
-    found = round_trip(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+def token_digests(found: DataFrame) -> DataFrame:
+    """Digests of ids and of the text they decode to."""
     return found.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -59,6 +58,12 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    docs = table(spark, sf_dir, "documents")
+    return token_digests(round_trip(docs, tokenizer("piece_bpe_32k.model")))
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: plain spans counted, all spans told."""
     found = personal_data(table(spark, sf_dir, "documents"))
