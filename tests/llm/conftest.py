@@ -1,0 +1,35 @@
+"""Fixtures of the corpus operators' tests."""
+
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+from conftest_llm import DOCS, sample_rows  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def rows():
+    return sample_rows()
+
+
+@pytest.fixture(scope="session")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, DOCS).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+@pytest.fixture(scope="session")
+def clashing(spark, rows):
+    """The documents beside columns named like those the operators use inside."""
+    from pyspark.sql import functions as F
+
+    names = ["text_key", "chunk", "bucket", "h1", "print", "key", "rows", "found", "n_words", "_0"]
+    made = spark.createDataFrame(rows, DOCS)
+    return made.withColumns({n: F.lit(n) for n in names}).withColumn("a.b", F.lit(None).cast("int"))

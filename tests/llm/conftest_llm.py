@@ -1,0 +1,61 @@
+"""Documents with the odd cases, and brute-force forms of what is computed."""
+
+import random
+import re
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+WORD = re.compile("[^\x20\x09-\x0D]+")
+BENCH_WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORD.findall(text or "")
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def prose(seed, count, vocabulary=4000):
+    made = random.Random(seed)
+    names = ["".join(made.choice("aeioubcdfgé") for _ in range(made.randint(2, 8))) for _ in range(40)]
+    return " ".join(made.choice(names) + str(made.randrange(vocabulary)) for _ in range(count))
+
+
+def sample_rows():
+    """Rows with nulls, empty, short and very long texts, copies, near copies, ties."""
+    passage = prose(1, 60)
+    long = prose(2, 6000)
+    rows = [
+        (0, prose(3, 80)),
+        (1, prose(4, 30) + " " + passage + " " + prose(5, 30)),
+        (2, passage + "\n" + prose(6, 50)),
+        (3, prose(3, 80)),
+        (4, prose(3, 80).replace("1", "2", 1)),
+        (5, None),
+        (6, ""),
+        (7, " \n\t \n"),
+        (8, "word"),
+        (9, "same " * 200),
+        (10, "\n".join(["line one here", "line two here", "line three here", "unlike " + str(10)])),
+        (11, "\n".join(["head", "line one here", "line two here", "line three here", "tail"])),
+        (12, "line one here\n" * 7),
+        (13, long),
+        (14, prose(7, 20) + " " + long[2000:9000] + " " + prose(8, 20)),
+        (None, prose(9, 50) + " " + passage),
+        (None, prose(10, 40)),
+        (15, "ÀÉ ß ñ 日本語 𝒳 " + passage[:200] + " ﬁn"),
+        (16, prose(11, 40)),
+        (16, prose(12, 40)),
+        (17, prose(13, 40)),
+        (17, prose(13, 40)),
+        (18, "### $$$ a b c d e f g h i j k l"),
+        (19, "x\x00y \x02. a  b   c ▁d </s> "),
+        (20, "a" * 300 + " " + "é" * 120),
+    ]
+    return [(i, t, None if n % 5 == 0 else "en", "src", len(t or "")) for n, (i, t) in enumerate(rows)]
+
+
+def sorted_rows(found, *columns):
+    picked = found.select(*columns) if columns else found
+    return sorted((tuple(r) for r in picked.collect()), key=repr)

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import apply_settings, shared_folder
@@ -59,10 +59,24 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
 
 
-def same_document(left: str, right: str) -> Column:
-    return F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id")) & (
-        F.col(f"{left}.text_key") == F.col(f"{right}.text_key")
+def positional(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """Columns named by place, whatever they were called, and each one's new name."""
+    names = {name: f"_{i}" for i, name in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def matched(docs: DataFrame, found: DataFrame, how: str) -> tuple[DataFrame, dict[str, str]]:
+    """Documents, all columns named by place, joined with rows keyed like documents.
+
+    ``found`` has doc_id, text_key and columns not named by place; documents get a
+    column ``_text_key``.
+    """
+    rows, names = positional(docs)
+    rows = rows.withColumn("_text_key", F.xxhash64(names["text"]))
+    same = F.col(names["doc_id"]).eqNullSafe(F.col("doc_id")) & (
+        F.col("_text_key") == F.col("text_key")
     )
+    return rows.join(found, same, how), names
 
 
 def slices(

@@ -32,6 +32,7 @@ from tidemark.llm.common import (
     byte_set,
     covered,
     keyed,
+    matched,
     owner_of,
     per_text,
     prepare,
@@ -379,10 +380,5 @@ def clean_documents(
 ) -> DataFrame:
     """The documents, all columns, that are not contaminated."""
     found = _findings(docs, benchmark, width, block_bytes).where(contaminated())
-    found = found.select("doc_id", "text_key").distinct().alias("found")
-    mark = "_text_key" + "".join(docs.columns)
-    rows = docs.withColumn(mark, F.xxhash64("text")).alias("rows")
-    same = F.col("rows.doc_id").eqNullSafe(F.col("found.doc_id")) & (
-        F.col(f"rows.`{mark}`") == F.col("found.text_key")
-    )
-    return rows.join(found, same, "left_anti").drop(mark)
+    rows, names = matched(docs, found.select("doc_id", "text_key").distinct(), "left_anti")
+    return rows.select(*names.values()).toDF(*docs.columns)

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keyed, prepare
+from tidemark.llm.common import keyed, matched, prepare
 
 LINES = 3
 #: Fixed value: a character of a word.
@@ -69,24 +69,17 @@ def covered_lines(docs: DataFrame, width: int = LINES) -> DataFrame:
     )
 
 
-def _marked(docs: DataFrame, width: int, mark: str) -> DataFrame:
-    """Documents, all columns, with the numbers of the lines they lose in ``mark``."""
-    key = f"{mark}_key"
-    rows = docs.withColumn(key, F.xxhash64("text")).alias("rows")
-    found = covered_lines(docs, width).withColumnRenamed("gone", mark).alias("found")
-    same = F.col("rows.doc_id").eqNullSafe(F.col("found.doc_id")) & (
-        F.col(f"rows.`{key}`") == F.col("found.text_key")
-    )
-    gone = F.coalesce(F.col(f"found.`{mark}`"), F.array().cast("array<int>"))
-    return rows.join(found, same, "left").select(
-        *[F.col(f"rows.`{name}`") for name in docs.columns], gone.alias(mark)
-    )
+def _kept(text: str) -> Column:
+    """The text without the lines numbered in ``gone``; unchanged if there are none."""
+    lines = F.filter(_lines(text), lambda _, i: ~F.array_contains("gone", i))
+    return F.when(F.size("gone") == 0, F.col(text)).otherwise(F.array_join(lines, "\n"))
 
 
-def _kept(text: str, mark: str) -> Column:
-    """The text without the lines marked as gone; unchanged if there are none."""
-    lines = F.filter(_lines(text), lambda _, i: ~F.array_contains(F.col(f"`{mark}`"), i))
-    return F.when(F.size(f"`{mark}`") == 0, F.col(text)).otherwise(F.array_join(lines, "\n"))
+def _marked(docs: DataFrame, width: int) -> tuple[DataFrame, dict[str, str]]:
+    """Documents, columns named by place, with the lines they lose in ``gone``."""
+    rows, names = matched(docs, covered_lines(docs, width), "left")
+    none = F.array().cast("array<int>")
+    return rows.withColumn("gone", F.coalesce("gone", none)), names
 
 
 def repeated_lines(docs: DataFrame, width: int = LINES) -> DataFrame:
@@ -95,12 +88,13 @@ def repeated_lines(docs: DataFrame, width: int = LINES) -> DataFrame:
     Returns doc_id, text (what is kept), n_lines, n_removed and removed (numbers of
     the removed lines, from 0).
     """
-    return _marked(docs.select("doc_id", "text"), width, "removed").select(
-        "doc_id",
-        _kept("text", "removed").alias("text"),
-        F.size(_lines("text")).cast("long").alias("n_lines"),
-        F.size("removed").cast("long").alias("n_removed"),
-        "removed",
+    rows, names = _marked(docs.select("doc_id", "text"), width)
+    return rows.select(
+        F.col(names["doc_id"]).alias("doc_id"),
+        _kept(names["text"]).alias("text"),
+        F.size(_lines(names["text"])).cast("long").alias("n_lines"),
+        F.size("gone").cast("long").alias("n_removed"),
+        F.col("gone").alias("removed"),
     )
 
 
@@ -109,10 +103,10 @@ def without_repeats(docs: DataFrame, width: int = LINES) -> DataFrame:
 
     ``n_chars``, where there is one, follows the text.
     """
-    mark = "_gone" + "".join(docs.columns)
-    rows = _marked(docs, width, mark).withColumn("text", _kept("text", mark))
-    if "n_chars" in docs.columns:
-        length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        changed = F.size(f"`{mark}`") > 0
-        rows = rows.withColumn("n_chars", F.when(changed, length).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+    rows, names = _marked(docs, width)
+    changed = {names["text"]: _kept(names["text"])}
+    if "n_chars" in names:
+        length = F.length(_kept(names["text"])).cast(docs.schema["n_chars"].dataType)
+        n_chars = F.when(F.size("gone") > 0, length).otherwise(F.col(names["n_chars"]))
+        changed[names["n_chars"]] = n_chars
+    return rows.withColumns(changed).select(*names.values()).toDF(*docs.columns)

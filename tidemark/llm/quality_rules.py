@@ -27,6 +27,7 @@ from tidemark.llm.common import (
     mixed,
     owner_of,
     per_text,
+    positional,
     prepare,
     repeated,
     runs_of,
@@ -145,16 +146,15 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents, all columns, that the rules keep."""
     prepare(docs.sparkSession)
     # Columns of any name and type pass through beside the measures.
-    names = [f"_{i}" for i in range(len(docs.columns))]
-    plain = docs.toDF(*names)
-    text = names[docs.columns.index("text")]
+    plain, by_name = positional(docs)
+    names, text = list(by_name.values()), by_name["text"]
     number = f"{MEASURES.removeprefix('doc_id long, ')}"
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
             found = _measure(
-                pa.record_batch({"doc_id": batch.column(names[0]), "text": batch.column(text)})
+                pa.record_batch({"doc_id": batch.column(by_name["doc_id"]), "text": batch.column(text)})
             )
             yield pa.RecordBatch.from_arrays(
                 batch.columns + found.columns[1:], names + found.schema.names[1:]

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import U64, mixed, prepare, slices, stored
+from tidemark.llm.common import U64, matched, mixed, prepare, slices, stored
 from tidemark.llm.components import components
 
 SHINGLE = 3
@@ -248,10 +248,7 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> Da
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     found = _classes(docs, shingle, bits)
     kept = found.groupBy("root").agg(F.min(key).alias("key"))
-    kept = kept.select("key.doc_id", "key.text_key").alias("kept")
-    mark = "_text_key" + "".join(docs.columns)
-    rows = docs.withColumn(mark, F.xxhash64("text")).alias("rows")
-    same = F.col("rows.doc_id").eqNullSafe(F.col("kept.doc_id")) & (
-        F.col(f"rows.`{mark}`") == F.col("kept.text_key")
-    )
-    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", mark]).drop(mark)
+    kept = kept.select("key.doc_id", "key.text_key")
+    rows, names = matched(docs, kept, "left_semi")
+    once = rows.dropDuplicates([names["doc_id"], "_text_key"])
+    return once.select(*names.values()).toDF(*docs.columns)
