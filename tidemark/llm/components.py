@@ -26,13 +26,15 @@ def components(edges: DataFrame) -> DataFrame:
     roots = None
     turn = 0
     while not graph.isEmpty():
-        rank = F.struct(F.xxhash64(F.lit(turn), F.col("b")), F.col("b"))
-        own = F.struct(F.xxhash64(F.lit(turn), F.col("a")), F.col("a"))
+        near, own = (
+            F.struct(F.xxhash64(F.lit(turn), F.col(x)).alias("rank"), F.col(x).alias("vertex"))
+            for x in ("b", "a")
+        )
         moves = (
             graph.union(graph.select("b", "a"))
             .groupBy("a")
-            .agg(F.min(rank).alias("near"))
-            .select("a", F.least(F.col("near"), own)["b"].alias("to"))
+            .agg(F.min(near).alias("near"))
+            .select("a", F.least(F.col("near"), own)["vertex"].alias("to"))
             .checkpoint()
         )
         step_a = moves.select("a", F.col("to").alias("to_a"))
