@@ -1,0 +1,137 @@
+"""SimHash classes and components against brute force."""
+
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from conftest_llm import lower, sorted_rows, words
+
+from tidemark.llm.components import components
+from tidemark.llm.simhash_dedup import fingerprints_of, linked, links, near_duplicates, one_of_each
+
+
+def brute_print(text, shingle=3):
+    held = words(lower(text))
+    parts = [" ".join(held[i : i + shingle]) for i in range(max(len(held) - shingle + 1, 1))]
+    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts] if held else []
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_roots(values, bits):
+    values = sorted(set(values))
+    root = {v: v for v in values}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(values):
+        for b in values[i + 1 :]:
+            if (a ^ b).bit_count() <= bits:
+                root[max(top(a), top(b))] = min(top(a), top(b))
+    return {v: top(v) for v in values}
+
+
+def groups(roots):
+    found = {}
+    for value, root in roots.items():
+        found.setdefault(root, set()).add(value)
+    return sorted(map(sorted, found.values()))
+
+
+def clustered(seed, signed=True):
+    made = random.Random(seed)
+    values = set()
+    for _ in range(25):
+        value = made.getrandbits(64)
+        for _ in range(made.randrange(1, 25)):
+            values.add(value)
+            for _ in range(made.randrange(1, 5)):
+                value ^= 1 << made.randrange(64)
+    return [v - (1 << 64) if signed and v >> 63 else v for v in values]
+
+
+def test_fingerprints(rows):
+    texts = [r[1] for r in rows]
+    assert fingerprints_of(texts).tolist() == [brute_print(t) for t in texts]
+
+
+@pytest.mark.parametrize("bits", [0, 1, 2])
+@pytest.mark.parametrize("compared", [512, 3])
+def test_links_hold_together_what_is_near(spark, bits, compared):
+    values = clustered(4)
+    frame = spark.createDataFrame([(v,) for v in values], "print long")
+    got = links(frame, bits, compared).collect()
+    for a, b in got:
+        assert ((a ^ b) & (1 << 64) - 1).bit_count() <= bits
+    found = {r.vertex: r.root for r in components(links(frame, bits, compared)).collect()}
+    whole = {v: found.get(v, v) for v in values}
+    unsigned = [v & (1 << 64) - 1 for v in values]
+    expected = groups(brute_roots(unsigned, bits))
+    got = sorted(sorted(v & (1 << 64) - 1 for v in group) for group in groups(whole))
+    assert got == expected
+
+
+def test_pairs_of_a_bucket():
+    values = np.array(clustered(6, signed=False), np.uint64)
+    bucket = np.zeros(len(values), np.int64)
+    left, right = linked(values, bucket, 2)
+    got = {frozenset((int(values[a]), int(values[b]))) for a, b in zip(left, right)}
+    expected = {
+        frozenset((int(a), int(b)))
+        for i, a in enumerate(values)
+        for b in values[i + 1 :]
+        if int(a ^ b).bit_count() <= 2
+    }
+    assert got == expected
+
+
+def test_components_of_paths_stars_and_rings(spark):
+    path = [(i, i + 1) for i in range(200)]
+    star = [(1000, 1001 + i) for i in range(150)]
+    ring = [(5000 + i, 5000 + (i + 1) % 40) for i in range(40)]
+    edges = path + star + ring + [(7, 7), (8, 9), (9, 8)]
+    random.Random(1).shuffle(edges)
+    found = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert len({r.root for r in found}) == 3 and len(found) == 201 + 151 + 40
+    assert len({r.root for r in found if r.vertex <= 200}) == 1
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert components(spark.createDataFrame([(3, 3)], "a long, b long")).count() == 0
+
+
+def brute_classes(rows):
+    prints = [brute_print(r[1]) for r in rows]
+    roots = brute_roots(prints, 2)
+    least = {}
+    for row, value in zip(rows, prints):
+        if row[0] is not None:
+            root = roots[value]
+            least[root] = min(least.get(root, row[0]), row[0])
+    return prints, roots, least
+
+
+def test_documents(docs, rows):
+    prints, roots, least = brute_classes(rows)
+    expected = [(r[0], p, least.get(roots[p])) for r, p in zip(rows, prints)]
+    got = [
+        (r.doc_id, r.print & (1 << 64) - 1, r.component_id) for r in near_duplicates(docs).collect()
+    ]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+
+
+def test_one_of_each(clashing, rows):
+    prints, roots, _ = brute_classes(rows)
+    found = one_of_each(clashing)
+    assert found.columns == clashing.columns
+    got = found.collect()
+    assert len(got) == len({roots[p] for p in prints})
+    assert len({roots[brute_print(r.text)] for r in got}) == len(got)
+    ids = {r.doc_id for r in got}
+    assert 0 in ids and 3 not in ids and 17 in ids and None in ids
+
+
+def test_no_documents(no_docs):
+    assert near_duplicates(no_docs).count() == 0
+    assert sorted_rows(one_of_each(no_docs)) == []
