@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from tidemark.plans import QUERIES
 
 FOLDER = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="no test data")
@@ -25,7 +26,7 @@ def plan_of(spark, name):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_pairing_of_everything_and_no_python(no_broadcast, name):
     plan = plan_of(no_broadcast, name)
     for banned in ("CartesianProduct", "NestedLoopJoin", "Python", "BroadcastExchange"):

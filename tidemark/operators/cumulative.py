@@ -11,6 +11,7 @@ at most one row per period and never a share of the whole table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -170,40 +171,46 @@ def cumulate_backfill(
     fold: bool = False,
     attributes: str = "max",
     elements: bool = True,
+    only_end: bool = False,
 ) -> DataFrame:
     """Every snapshot up to ``end`` in one pass and, unfolded, one shuffle.
 
     Each key's periods are collected once; the spine from its first period to
     ``end`` is generated beside them, and each snapshot is the prefix of the
     collected rows. ``attributes`` is ``max`` (over all facts) or ``latest`` (the
-    last known value as of each period, as the step carries it). Without
-    ``elements`` the history column is left out and its rows are not collected.
+    last known value as of each period, as the step carries it), or ``none`` to
+    leave them out. Without ``elements`` the history column is left out and its rows
+    are not collected. With ``only_end`` the snapshot of ``end`` alone is made.
     """
     rows = folded_elements(facts, h, elements) if fold else single_elements(facts, h)
     in_span = F.col(h.period) <= end
     if start is not None:
         in_span = in_span & (F.col(h.period) >= start)
     new = ["_new"] if elements else []
-    row = F.struct(F.col(h.period).alias("_p"), "_score", *new, *h.carry)
+    carry = () if attributes == "none" else h.carry
+    row = F.struct(F.col(h.period).alias("_p"), "_score", *new, *carry)
     keys = rows.groupBy(h.key).agg(
         F.min(h.period).alias("_first"),
         F.sort_array(F.collect_list(F.when(in_span, row))).alias("_rows"),
-        *[F.max(c).alias(c) for c in h.carry],
+        *[F.max(c).alias(c) for c in carry if attributes == "max"],
     )
     first = F.col("_first") if start is None else F.greatest("_first", F.lit(start))
-    spine = keys.where(F.col("_first") <= end).withColumn(
-        h.as_of, F.explode(F.sequence(first, F.lit(end)))
-    )
-    past = spine.withColumn(
-        "_past", F.filter("_rows", lambda r: r["_p"] <= F.col(h.as_of))
-    ).withColumn("_last", F.try_element_at("_past", F.lit(-1)))
+    known_keys = keys.where(F.col("_first") <= end)
+    if only_end:
+        past = known_keys.withColumns({h.as_of: F.lit(end), "_past": F.col("_rows")})
+    else:
+        spine = known_keys.withColumn(h.as_of, F.explode(F.sequence(first, F.lit(end))))
+        past = spine.withColumn(
+            "_past", F.filter("_rows", lambda r: r["_p"] <= F.col(h.as_of))
+        )
+    past = past.withColumn("_last", F.try_element_at("_past", F.lit(-1)))
 
     def latest(c: str) -> Column:
         known = F.filter("_past", lambda r: r[c].isNotNull())
         return F.try_element_at(known, F.lit(-1))[c]
 
     columns = {h.key: F.col(h.key), h.as_of: F.col(h.as_of)}
-    for c in h.carry:
+    for c in carry:
         columns[c] = latest(c) if attributes == "latest" else F.col(c)
     if elements:
         columns[h.history] = F.flatten(F.transform("_past", lambda r: r["_new"]))
@@ -211,13 +218,19 @@ def cumulate_backfill(
     if h.idle:
         columns[h.idle] = F.col(h.as_of) - F.col("_last._p")
     columns[h.active] = F.col("_last._p") == F.col(h.as_of)
-    kept = [c for c in h.columns if elements or c != h.history]
+    kept = [c for c in h.columns if c in columns]
     return past.select(*[columns[c].alias(c) for c in kept])
 
 
-def unnest_history(snapshots: DataFrame, keys: list[str], history: str) -> DataFrame:
-    """One row per history element with its fields; filter on them as columns."""
-    return snapshots.select(*keys, F.inline(history))
+def unnest_history(
+    snapshots: DataFrame,
+    keys: list[str],
+    history: str,
+    where: Callable[[Column], Column] | None = None,
+) -> DataFrame:
+    """One row per history element, all or those that ``where`` keeps, with its fields."""
+    elements = F.filter(history, where) if where else F.col(history)
+    return snapshots.select(*keys, F.inline(elements))
 
 
 def history_bounds(snapshots: DataFrame, history: str, field: str) -> DataFrame:

@@ -13,11 +13,12 @@ ACTIVE_STATES = ("Retained", "Resurrected", "New")
 def _daily_state(is_new: Column, today: Column, last: Column, yesterday: Column) -> Column:
     """``today`` is null when idle; ``last`` is the last active day before it."""
     day_before = F.date_sub(today, 1)
-    if_active = F.when(last == day_before, "Retained").when(last < day_before, "Resurrected")
     return (
         F.when(is_new, "New")
-        .when(today.isNotNull(), if_active.otherwise("Stale"))
-        .otherwise(F.when(last == yesterday, "Churned").otherwise("Stale"))
+        .when(last == day_before, "Retained")
+        .when(last < day_before, "Resurrected")
+        .when(today.isNull() & (last == yesterday), "Churned")
+        .otherwise("Stale")
     )
 
 
@@ -65,19 +66,36 @@ def growth_step(prev: DataFrame, today: DataFrame, corrected: bool = False) -> D
     )
 
 
-def growth_backfill(active: DataFrame, end: date, corrected: bool = False) -> DataFrame:
-    """Every day's table up to ``end`` in one pass, equal to the chained steps.
-
-    Each user's distinct days are collected once, at most one per calendar day.
-    Every active day then covers the days up to the next one, so a day's state
-    takes no search through the list.
-    """
-    users = (
+def _listed(active: DataFrame, end: date) -> DataFrame:
+    """Each user's distinct days up to ``end``, at most one per calendar day."""
+    return (
         active.where(F.col("date_active") <= F.lit(end))
         .groupBy("user_id")
         .agg(F.sort_array(F.collect_list("date_active")).alias("_days"))
     )
-    spans = users.select(
+
+
+def growth_as_of(active: DataFrame, day: date, corrected: bool = False) -> DataFrame:
+    """The table of one day, equal to the steps up to it; no other day is made."""
+    users = _listed(active, day).select(
+        "user_id",
+        "_days",
+        F.element_at("_days", 1).alias("first_active_date"),
+        F.element_at("_days", -1).alias("last_active_date"),
+        F.size("_days").alias("_i"),
+        F.try_element_at("_days", F.lit(-2)).alias("_previous"),
+        F.lit(day).alias("date"),
+    )
+    return _states(users, corrected)
+
+
+def growth_backfill(active: DataFrame, end: date, corrected: bool = False) -> DataFrame:
+    """Every day's table up to ``end`` in one pass, equal to the chained steps.
+
+    Every active day covers the days up to the next one, so a day's state takes no
+    search through the list.
+    """
+    spans = _listed(active, end).select(
         "user_id",
         "_days",
         F.element_at("_days", 1).alias("first_active_date"),
@@ -90,6 +108,15 @@ def growth_backfill(active: DataFrame, end: date, corrected: bool = False) -> Da
     spine = spans.withColumn("_previous", previous).withColumn(
         "date", F.explode(F.sequence("last_active_date", until))
     )
+    return _states(spine.withColumn("_i", F.col("_i") + 1), corrected)
+
+
+def _states(spine: DataFrame, corrected: bool) -> DataFrame:
+    """Rows of users and days with their states.
+
+    ``_i`` days of the list are past, the last of them ``last_active_date`` and the
+    one before it ``_previous``.
+    """
     is_active = F.col("date") == F.col("last_active_date")
     day = F.when(is_active, F.col("date"))
     last = F.when(is_active, F.col("_previous")).otherwise(F.col("last_active_date"))
@@ -101,7 +128,7 @@ def growth_backfill(active: DataFrame, end: date, corrected: bool = False) -> Da
         "last_active_date",
         _daily_state(*states).alias("daily_active_state"),
         _weekly_state(*states, corrected).alias("weekly_active_state"),
-        F.slice("_days", F.lit(1), F.col("_i") + 1).alias("dates_active"),
+        F.slice("_days", F.lit(1), F.col("_i")).alias("dates_active"),
         "date",
     )
 

@@ -16,14 +16,24 @@ def _month(day: Column, by_year: bool) -> Column:
 def host_day(
     hosts: DataFrame, day: date, dates: str = "host_activity_datelist", by_year: bool = False
 ) -> DataFrame:
-    """Rows and distinct users per host that were active on the snapshot's day."""
+    """Rows and distinct users per host that were active on the snapshot's day.
+
+    ``past_days`` are the days before it that fall in its month, as ``by_year`` tells
+    months apart, from the host's first day on.
+    """
     active = F.array_contains(dates, F.lit(day))
+    first = F.min(F.array_min(dates))
+    past = F.filter(
+        F.sequence(first, F.date_sub(F.lit(day), 1)),
+        lambda d: _month(d, by_year) == _month(F.lit(day), by_year),
+    )
     return (
         hosts.where(F.col("date") == F.lit(day))
         .groupBy(_month(F.col("date"), by_year).alias("month"), "host")
         .agg(
             F.count(F.when(active, 1)).cast("int").alias("num_hits"),
             F.count_distinct(F.when(active, F.col("user_id"))).cast("int").alias("unique_users"),
+            F.when(first < F.lit(day), F.size(past)).otherwise(0).alias("past_days"),
         )
     )
 
@@ -35,14 +45,20 @@ def reduce_month_step(
 
     ``hosts`` is the snapshot of the day, with one row per user and host. Without
     ``by_year`` the same month of every year shares one row.
+
+    Slots are one per day, so an array with more of them than such days have passed
+    since the host's first holds the day already, or later ones: those slots go, and
+    building a day again leaves one slot of it.
     """
     t = host_day(hosts, day, by_year=by_year).alias("t")
     y = prev.where(F.col("month") == _month(F.lit(day), by_year)).alias("y")
 
     def grown(count: str, array: str) -> Column:
-        new, old = F.col(f"t.{count}"), F.col(f"y.{array}")
+        new, kept = F.col(f"t.{count}"), F.col(f"y.{array}")
+        extra = F.greatest(F.size(kept) - F.col("t.past_days"), F.lit(0))
+        old = F.slice(kept, extra + 1, F.size(kept) - extra)
         return (
-            F.when(new.isNull(), old)
+            F.when(new.isNull(), kept)
             .when(old.isNull(), F.array(new))
             .otherwise(F.concat(F.array(new), old))
         )

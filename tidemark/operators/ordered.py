@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import all_of
+
 # Unique whole-number ids leave at most this many rows in a cell.
 ID_WIDTH = 1 << 20
 
@@ -27,8 +29,9 @@ def totals_before(
 ) -> DataFrame:
     """Cells with ``_before``, the key's sum of ``total`` over all earlier cells.
 
-    ``cells`` has one row per keys and levels, none of them null. Each level's
-    totals come off the last level's windows, so cells are shuffled once per level.
+    ``cells`` has one row per keys and levels; a null level is a cell of its own,
+    before all others. Each level's totals come off the last level's windows, so
+    cells are shuffled once per level.
     """
     *outer, last = levels
     group = Window.partitionBy(*keys, *outer)
@@ -37,13 +40,13 @@ def totals_before(
     if not outer:
         return inner
     whole = inner.withColumn("_whole", F.sum(total).over(group))
-    first = whole.withColumn("_is_first", F.lag(last).over(group.orderBy(last)).isNull())
+    place = F.row_number().over(group.orderBy(last))
+    first = whole.withColumn("_is_first", place == 1)
     coarse = first.where("_is_first").select(*keys, *outer, F.col("_whole").alias(total))
     offsets = totals_before(coarse, keys, outer, total).select(
         *keys, *outer, F.col("_before").alias("_earlier")
     )
-    return (
-        inner.join(offsets, [*keys, *outer])
-        .withColumn("_before", F.col("_before") + F.col("_earlier"))
-        .select(*cells.columns, "_before")
-    )
+    i, o = inner.alias("i"), offsets.alias("o")
+    same = all_of([F.col(f"i.{c}").eqNullSafe(F.col(f"o.{c}")) for c in (*keys, *outer)])
+    before = (F.col("i._before") + F.col("o._earlier")).alias("_before")
+    return i.join(o, same).select(*[F.col(f"i.{c}") for c in cells.columns], before)

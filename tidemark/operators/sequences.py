@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import all_of
 from tidemark.operators.cubes import winner
 from tidemark.operators.ordered import id_cell, totals_before
 
@@ -45,10 +46,11 @@ def rolling_wins_of_games(games: DataFrame, n: int = 90, top: int | None = 1) ->
     counts = played.groupBy(*cell).agg(F.count(F.lit(1)).alias("_rows"))
     offsets = totals_before(counts, ["team_id"], ["_day", "_cell"], "_rows")
     in_cell = F.row_number().over(Window.partitionBy(*cell).orderBy("game_id"))
-    ranked = (
-        played.withColumn("_rank", in_cell)
-        .join(offsets.select(*cell, "_before"), cell)
-        .select("team_id", "won", (F.col("_before") + F.col("_rank") - 1).alias("_rank"))
+    p, o = played.withColumn("_rank", in_cell).alias("p"), offsets.alias("o")
+    # Games without a date come before all others.
+    same = all_of([F.col(f"p.{c}").eqNullSafe(F.col(f"o.{c}")) for c in cell])
+    ranked = p.join(o, same).select(
+        "p.team_id", "p.won", (F.col("o._before") + F.col("p._rank") - 1).alias("_rank")
     )
 
     size = max(SLICE_ROWS, n)

@@ -29,12 +29,12 @@ def _visits(source: str, extra: str = "", where: str = "TRUE") -> tuple[str, str
     )
 
 
-def _lists(inputs: list[str], steps: Steps, keys: str, dates: str) -> str:
+def _lists(inputs: list[str], steps: Steps, keys: str, dates: str, last: str = STEP) -> str:
     return with_inputs(
         inputs,
         steps,
         f"SELECT {keys}, string_agg(CAST(day AS VARCHAR), ',' ORDER BY day DESC) AS {dates}, "
-        f"CAST({STEP} AS VARCHAR) AS date FROM visits WHERE day <= {STEP} GROUP BY {keys}",
+        f"CAST({last} AS VARCHAR) AS date FROM visits WHERE day <= {last} GROUP BY {keys}",
     )
 
 
@@ -68,30 +68,36 @@ USERS = [_visits("events_web")]
 HOSTS = [_visits("events_web", "host")]
 USER_BROWSERS = [BROWSERS, _visits("browsers", "browser_type")]
 
-REDUCED = with_inputs(
-    ["events_web"],
-    [
-        *HOSTS,
-        (
-            "slots",
-            f"SELECT host, CAST(unnest(generate_series(min(day), {MONTH_STEP}, "
-            "INTERVAL 1 DAY)) AS DATE) AS day FROM visits GROUP BY host",
-        ),
-        (
-            "counts",
-            "SELECT s.host, s.day, count(v.user_id) AS users FROM slots s "
-            "LEFT JOIN visits v ON v.host = s.host AND v.day = s.day GROUP BY s.host, s.day",
-        ),
-    ],
-    "SELECT CAST(month(day) AS INTEGER) AS month, host, "
-    "string_agg(CAST(users AS VARCHAR), ',' ORDER BY day DESC) AS hit_array, "
-    "string_agg(CAST(users AS VARCHAR), ',' ORDER BY day DESC) AS unique_visitors "
-    "FROM counts GROUP BY month(day), host",
-)
+def _reduced(last: str) -> str:
+    """Slots of every day from a host's first on."""
+    return with_inputs(
+        ["events_web"],
+        [
+            *HOSTS,
+            (
+                "slots",
+                f"SELECT host, CAST(unnest(generate_series(min(day), {last}, "
+                f"INTERVAL 1 DAY)) AS DATE) AS day FROM visits WHERE day <= {last} "
+                "GROUP BY host",
+            ),
+            (
+                "counts",
+                "SELECT s.host, s.day, count(v.user_id) AS users FROM slots s "
+                "LEFT JOIN visits v ON v.host = s.host AND v.day = s.day GROUP BY s.host, s.day",
+            ),
+        ],
+        "SELECT CAST(month(day) AS INTEGER) AS month, host, "
+        "string_agg(CAST(users AS VARCHAR), ',' ORDER BY day DESC) AS hit_array, "
+        "string_agg(CAST(users AS VARCHAR), ',' ORDER BY day DESC) AS unique_visitors "
+        "FROM counts GROUP BY month(day), host",
+    )
+
+
+REDUCED = _reduced(MONTH_STEP)
 
 
 def _growth(corrected: bool = False) -> Steps:
-    """Every user and day from the first login on, with the gap to the login before."""
+    """Every user and day from the first event on, with the gap to the active day before."""
     if corrected:
         weekly = """CASE WHEN gap IS NULL THEN 'New'
                          WHEN gap > 7 THEN CASE WHEN active THEN 'Resurrected' ELSE 'Stale' END
@@ -100,7 +106,7 @@ def _growth(corrected: bool = False) -> Steps:
         weekly = """CASE WHEN gap IS NULL THEN 'New' WHEN gap > 7 AND active THEN 'Resurrected'
                          WHEN gap > 8 THEN 'Stale' ELSE 'Retained' END"""
     return [
-        _visits("events_web", where=f"url = '{LOGIN}'"),
+        _visits("events_web"),
         (
             "spine",
             "SELECT user_id, min(day) AS first_day, CAST(unnest(generate_series(min(day), "
@@ -160,7 +166,7 @@ def _funnel(hits: str, reached: str) -> str:
                 "FROM counted GROUP BY user_id, url",
             ),
         ],
-        "SELECT url, count(*) AS user_count, CAST(sum(hits) AS BIGINT) AS total_hits, "
+        "SELECT url, count(*) AS user_count, sum(hits) AS total_hits, "
         "CAST(count(*) FILTER (WHERE ok) AS DOUBLE) / count(*) AS pct_converted "
         "FROM users GROUP BY url",
     )
@@ -247,6 +253,6 @@ ORACLES = {
 }
 
 # The stored tables hold what the same steps give in one plan.
-ORACLES["users_cumulated_daily"] = ORACLES["users_cumulated"]
-ORACLES["host_activity_daily"] = ORACLES["host_activity_reduced"]
+ORACLES["users_cumulated_daily"] = _lists(["events_web"], USERS, "user_id", "dates_active", LAST)
+ORACLES["host_activity_daily"] = _reduced(LAST)
 ORACLES["device_hits_dashboard_stored"] = ORACLES["device_hits_dashboard"]

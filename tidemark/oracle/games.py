@@ -90,7 +90,7 @@ ORACLES = {
         ],
         f"""
         SELECT CAST(game_date_est AS VARCHAR) AS dim_game_date, season AS dim_season,
-               team_id IN (home_team_id) AS dim_is_playing_at_home, team_id AS dim_team_id,
+               team_id = home_team_id AS dim_is_playing_at_home, team_id AS dim_team_id,
                player_id AS dim_player_id, player_name AS dim_player_name,
                start_position AS dim_start_position, {_flag('DNP')} AS dim_did_not_play,
                {_flag('DND')} AS dim_did_not_dress, {_flag('NWT')} AS dim_not_with_team,
@@ -102,8 +102,7 @@ ORACLES = {
     "duplicate_keys": with_inputs(
         ["game_rows"],
         [],
-        f"SELECT * FROM (SELECT {KEY}, count(*) AS n_rows FROM game_rows GROUP BY {KEY}) "
-        "WHERE n_rows > 1",
+        f"SELECT {KEY}, count(*) AS n_rows FROM game_rows GROUP BY {KEY} HAVING count(*) > 1",
     ),
     "actor_name_audit": _names("count(actor) > 1"),
     "actor_name_audit_corrected": _names("min(actor) <> max(actor)"),
@@ -176,7 +175,7 @@ ORACLES = {
         "SELECT min(year) AS min_year, max(year) AS max_year FROM actor_films",
     ),
     "distinct_rows": with_inputs(
-        ["game_details"], [], "SELECT * FROM game_details UNION SELECT * FROM game_details"
+        ["game_details"], [], "SELECT DISTINCT * FROM game_details"
     ),
     "players_with_prefix": with_inputs(
         ["game_details"], [], "SELECT * FROM game_details WHERE starts_with(player_name, 'red')"

@@ -134,7 +134,7 @@ INPUTS: dict[str, tuple[tuple[str, ...], str]] = {
                CASE WHEN p_partkey % 10 <> 0 THEN p_type END AS os_type,
                p_brand AS device_type,
                CASE WHEN p_partkey % 13 <> 0 THEN split_part(p_name, ' ', 1) END AS browser_type
-        FROM part WHERE p_partkey < 100
+        FROM part
         """,
     ),
 }

@@ -14,11 +14,14 @@ STEP, BUILD, LAST, SPINE_END = 1998, 2000, 2001, 2002
 ATTRIBUTES = ["height", "college", "country", "draft_year", "draft_number", "draft_round"]
 
 
-def _class(score: str, low: int) -> str:
-    """Classes start above ``low`` and are five points or one rating apart."""
-    width = 5 if low >= 10 else 1
-    above = " + ".join(f"CAST({score} > {low + width * i} AS INTEGER)" for i in range(3))
-    return f"['bad', 'average', 'good', 'star'][1 + coalesce({above}, 0)]"
+#: A class is given to scores above its bound.
+SCORING = {"star": 20, "good": 15, "average": 10}
+RATING = {"star": 8, "good": 7, "average": 6}
+
+
+def _class(score: str, bounds: dict[str, int]) -> str:
+    cases = " ".join(f"WHEN {score} > {low} THEN '{name}'" for name, low in bounds.items())
+    return f"CASE {cases} ELSE 'bad' END"
 
 
 def _spine(facts: str, key: str, period: str, last: int) -> tuple[str, str]:
@@ -44,7 +47,7 @@ def _players(last: int) -> Steps:
             f"""
             SELECT s.player_name, s.as_of AS current_season, {as_known},
                    string_agg({SEASON}, ',' ORDER BY f.season) AS season_stats,
-                   {_class('arg_max(f.pts, f.season)', 10)} AS scoring_class,
+                   {_class('arg_max(f.pts, f.season)', SCORING)} AS scoring_class,
                    s.as_of - max(f.season) AS years_since_last_season,
                    max(f.season) = s.as_of AS is_active,
                    min(f.season) AS first_season,
@@ -76,7 +79,7 @@ def _actors(last: int) -> Steps:
             f"""
             SELECT s.actorid, s.as_of AS current_year, arg_max(y.actor, y.year) AS actor,
                    string_agg(y.films, ',' ORDER BY y.year) AS films,
-                   {_class('arg_max(y.score, y.year)', 6)} AS quality_class,
+                   {_class('arg_max(y.score, y.year)', RATING)} AS quality_class,
                    max(y.year) = s.as_of AS is_active
             FROM spine s JOIN years y ON y.actorid = s.actorid AND y.year <= s.as_of
             GROUP BY s.actorid, s.as_of
@@ -192,7 +195,7 @@ ORACLES = {
         "FROM players JOIN overall o USING (player_name)",
     ),
     "cumulative_actors_backfill": with_inputs(
-        ["actor_films"], _actors(BUILD), "SELECT * FROM actors"
+        ["actor_films"], _actors(LAST), "SELECT * FROM actors"
     ),
     "scd2_build_players": _player_history(BUILD),
     "scd2_build_actors": _actor_history(BUILD, "last_period"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
@@ -26,6 +27,9 @@ LAST = date(2024, 1, 30)
 LOGIN = "/api/v1/login"
 SIGNUP = "/signup"
 
+#: Buckets of the stored tables: a fact of the tables, whatever the session.
+BUCKETS = 8
+
 USER = ["user_id"]
 USER_BROWSER = ["user_id", "browser_type"]
 USER_HOST = ["user_id", "host"]
@@ -68,22 +72,22 @@ def _days(last: date) -> list[date]:
 
 
 def users_cumulated_daily(table: Reader) -> DataFrame:
-    """As users_cumulated, by one stored step per day; each write cuts the lineage."""
+    """Lists of the month, by one stored step per day; each write cuts the lineage."""
     events = views.events_web(table)
-    store = BucketedStore(events.sparkSession, new_folder(events.sparkSession))
-    for day in _days(STEP):
+    store = BucketedStore(events.sparkSession, new_folder(events.sparkSession), BUCKETS)
+    for day in _days(LAST):
         prev = store.read(USERS_CUMULATED, day - timedelta(days=1))
         today = datelist.active_days(events, USER, day, day)
         step = datelist.datelist_step(prev, today, USER, "dates_active")
         store.replace(USERS_CUMULATED, step)
-    return flat_dates(store.read(USERS_CUMULATED, STEP))
+    return store.result(flat_dates(store.read(USERS_CUMULATED, LAST)), USERS_CUMULATED)
 
 
 def host_activity_daily(table: Reader) -> DataFrame:
-    """As host_activity_reduced, by stored steps and an upsert per day."""
+    """Monthly arrays of the month, by stored steps and an upsert per day."""
     events = views.events_web(table)
-    store = SnapshotStore(events.sparkSession, new_folder(events.sparkSession))
-    for day in _days(MONTH_STEP):
+    store = BucketedStore(events.sparkSession, new_folder(events.sparkSession), BUCKETS)
+    for day in _days(LAST):
         prev = store.read(HOSTS_CUMULATED, day - timedelta(days=1))
         today = datelist.active_days(events, USER_HOST, day, day)
         step = datelist.datelist_step(prev, today, USER_HOST, "host_activity_datelist")
@@ -92,7 +96,9 @@ def host_activity_daily(table: Reader) -> DataFrame:
         month = store.read(HOST_ACTIVITY_REDUCED, day.month)
         reduced = monthly.reduce_month_step(month, hosts, day)
         store.upsert(HOST_ACTIVITY_REDUCED, reduced, [day.month])
-    return flat_dates(store.read(HOST_ACTIVITY_REDUCED))
+    return store.result(
+        flat_dates(store.read(HOST_ACTIVITY_REDUCED)), HOSTS_CUMULATED, HOST_ACTIVITY_REDUCED
+    )
 
 
 def _bits(table: Reader, keep_today: bool) -> DataFrame:
@@ -142,47 +148,45 @@ def upsert_month(table: Reader) -> DataFrame:
     return flat_dates(upsert_rows(*_month_step(table), HOST_ACTIVITY_REDUCED.key))
 
 
-def _logins(table: Reader) -> DataFrame:
-    """Users active by login; other days of a user are gaps."""
-    events = views.events_web(table).where(F.col("url") == LOGIN)
-    return datelist.active_days(events, USER, last=LAST)
+def _active(table: Reader) -> DataFrame:
+    """Days on which users have any event; other days of a user are gaps."""
+    return datelist.active_days(views.events_web(table), USER, last=LAST)
 
 
 def growth_accounting(table: Reader) -> DataFrame:
-    return flat_dates(growth.growth_backfill(_logins(table), LAST))
+    return flat_dates(growth.growth_backfill(_active(table), LAST))
 
 
 def growth_accounting_corrected(table: Reader) -> DataFrame:
-    return flat_dates(growth.growth_backfill(_logins(table), LAST, corrected=True))
+    return flat_dates(growth.growth_backfill(_active(table), LAST, corrected=True))
 
 
 def growth_accounting_step(table: Reader) -> DataFrame:
     before = LAST - timedelta(days=1)
-    active = _logins(table)
-    prev = growth.growth_backfill(active, before).where(F.col("date") == F.lit(before))
+    active = _active(table)
+    prev = growth.growth_as_of(active, before)
     today = active.where(F.col("date_active") == F.lit(LAST))
     return flat_dates(growth.growth_step(prev, today))
 
 
 def growth_state_counts(table: Reader) -> DataFrame:
-    return flat_dates(growth.state_counts(growth.growth_backfill(_logins(table), LAST)))
+    return flat_dates(growth.state_counts(growth.growth_backfill(_active(table), LAST)))
 
 
 def retention_curve(table: Reader) -> DataFrame:
     return flat_dates(
-        growth.retention(growth.growth_backfill(_logins(table), LAST)).orderBy(
+        growth.retention(growth.growth_backfill(_active(table), LAST)).orderBy(
             "date", "days_since_first_active"
         )
     )
 
 
 def user_activity_count(table: Reader) -> DataFrame:
-    return growth.activity_count(growth.growth_backfill(_logins(table), LAST), LAST)
+    return growth.activity_count(growth.growth_as_of(_active(table), LAST), LAST)
 
 
 def _funnel(table: Reader, corrected: bool) -> DataFrame:
-    found = sequences.funnel(views.events_web(table), [SIGNUP, LOGIN], LOGIN, corrected)
-    return found.withColumn("total_hits", F.col("total_hits").cast("long"))
+    return sequences.funnel(views.events_web(table), [SIGNUP, LOGIN], LOGIN, corrected)
 
 
 def funnel_conversion(table: Reader) -> DataFrame:
@@ -198,11 +202,14 @@ def device_hits_dashboard(table: Reader) -> DataFrame:
 
 
 def device_hits_dashboard_stored(table: Reader) -> DataFrame:
-    """The dashboard kept as a table, read back."""
+    """The dashboard stored by create-as, read back, and dropped."""
     hits = device_hits_dashboard(table)
-    store = SnapshotStore(hits.sparkSession, new_folder(hits.sparkSession))
-    store.replace(DEVICE_HITS_DASHBOARD, hits)
-    return store.read(DEVICE_HITS_DASHBOARD)
+    spark = hits.sparkSession
+    store = SnapshotStore(spark, new_folder(spark))
+    name = f"{DEVICE_HITS_DASHBOARD.name}_{uuid.uuid4().hex}"
+    kept = store.result(store.create_as(name, hits))
+    spark.sql(f"DROP TABLE {name}")
+    return kept
 
 
 def distinct_urls(table: Reader) -> DataFrame:

@@ -18,13 +18,22 @@ STEP = 1998
 BUILD = 2000
 LAST = 2001
 SPINE_END = 2002
+#: Buckets of the stored tables: a fact of the tables, whatever the session.
+BUCKETS = 8
 
 
-def _players(table: Reader, end: int = SPINE_END) -> DataFrame:
-    return cumulative.cumulate_backfill(views.player_seasons(table), PLAYER_HISTORY, end)
+def _players(table: Reader, end: int = SPINE_END, **form: object) -> DataFrame:
+    return cumulative.cumulate_backfill(views.player_seasons(table), PLAYER_HISTORY, end, **form)
 
 
-def _actors(table: Reader, end: int, elements: bool = True) -> DataFrame:
+def _classed(table: Reader, end: int, only_end: bool = False) -> DataFrame:
+    """Snapshots of players as far as their history reads them."""
+    return _players(table, end, attributes="none", elements=False, only_end=only_end)
+
+
+def _actors(
+    table: Reader, end: int, elements: bool = True, only_end: bool = False
+) -> DataFrame:
     return cumulative.cumulate_backfill(
         views.actor_films(table),
         ACTOR_HISTORY,
@@ -32,6 +41,7 @@ def _actors(table: Reader, end: int, elements: bool = True) -> DataFrame:
         fold=True,
         attributes="latest",
         elements=elements,
+        only_end=only_end,
     )
 
 
@@ -67,15 +77,19 @@ def _flat_actors(actors: DataFrame) -> DataFrame:
 def cumulative_players_step(table: Reader) -> DataFrame:
     facts = views.player_seasons(table)
     prev = cumulative.cumulate_backfill(
-        facts.where(F.col("season") < STEP), PLAYER_HISTORY, STEP - 1, attributes="latest"
-    ).where(F.col("current_season") == STEP - 1)
+        facts.where(F.col("season") < STEP),
+        PLAYER_HISTORY,
+        STEP - 1,
+        attributes="latest",
+        only_end=True,
+    )
     today = facts.where(F.col("season") == STEP)
     return _flat_players(cumulative.cumulate_step(prev, today, PLAYER_HISTORY))
 
 
 def cumulative_actors_step(table: Reader) -> DataFrame:
     films = views.actor_films(table)
-    prev = _actors(table, STEP - 1).where(F.col("current_year") == STEP - 1)
+    prev = _actors(table, STEP - 1, only_end=True)
     today = films.where(F.col("year") == STEP)
     return _flat_actors(cumulative.cumulate_step(prev, today, ACTOR_HISTORY, fold=True))
 
@@ -85,11 +99,11 @@ def cumulative_players_backfill(table: Reader) -> DataFrame:
 
 
 def cumulative_actors_backfill(table: Reader) -> DataFrame:
-    return _flat_actors(_actors(table, BUILD))
+    return _flat_actors(_actors(table, LAST))
 
 
 def scd2_build_players(table: Reader) -> DataFrame:
-    return scd.scd2_build(_players(table, BUILD), PLAYER_SCD, BUILD)
+    return scd.scd2_build(_classed(table, BUILD), PLAYER_SCD, BUILD)
 
 
 def scd2_build_actors(table: Reader) -> DataFrame:
@@ -97,16 +111,14 @@ def scd2_build_actors(table: Reader) -> DataFrame:
 
 
 def scd2_step_players(table: Reader) -> DataFrame:
-    players = _players(table, BUILD + 1)
-    history = scd.scd2_build(players, PLAYER_SCD, BUILD)
-    snapshot = players.where(F.col("current_season") == BUILD + 1)
+    history = scd.scd2_build(_classed(table, BUILD), PLAYER_SCD, BUILD)
+    snapshot = _classed(table, BUILD + 1, only_end=True)
     return scd.scd2_step(history, snapshot, PLAYER_SCD, BUILD)
 
 
 def scd2_step_actors(table: Reader) -> DataFrame:
-    actors = _actors(table, BUILD + 1, elements=False)
-    history = scd.scd2_build(actors, ACTOR_SCD, BUILD)
-    snapshot = actors.where(F.col("current_year") == BUILD + 1)
+    history = scd.scd2_build(_actors(table, BUILD, elements=False), ACTOR_SCD, BUILD)
+    snapshot = _actors(table, BUILD + 1, elements=False, only_end=True)
     return scd.scd2_step(
         history,
         snapshot,
@@ -118,23 +130,29 @@ def scd2_step_actors(table: Reader) -> DataFrame:
 
 
 def unnest_seasons(table: Reader) -> DataFrame:
-    rows = cumulative.unnest_history(
-        _players(table), ["player_name", "current_season"], "season_stats"
+    # A season stands in the snapshots of itself and of later seasons.
+    players = _players(table).where(F.col("current_season") >= BUILD)
+    return cumulative.unnest_history(
+        players,
+        ["player_name", "current_season"],
+        "season_stats",
+        lambda s: s["season"] == BUILD,
     )
-    return rows.where(F.col("season") == BUILD)
 
 
 def unnest_latest_seasons(table: Reader) -> DataFrame:
-    latest = _players(table, LAST).where(F.col("current_season") == LAST)
+    latest = _players(table, LAST, only_end=True)
     return cumulative.unnest_history(latest, ["player_name"], "season_stats")
 
 
 def season_bounds(table: Reader) -> DataFrame:
-    return cumulative.history_bounds(_players(table), "season_stats", "season")
+    # The last snapshot holds every season of the ones before.
+    latest = _players(table, only_end=True)
+    return cumulative.history_bounds(latest, "season_stats", "season")
 
 
 def first_latest_change(table: Reader) -> DataFrame:
-    latest = _players(table, LAST).where(F.col("current_season") == LAST)
+    latest = _players(table, LAST, only_end=True)
     return cumulative.first_latest_change(latest, "player_name", "season_stats", "pts")
 
 
@@ -162,7 +180,7 @@ def player_tracking_yearly(table: Reader) -> DataFrame:
     """As player_tracking, by stored steps: each season adds a snapshot, the history
     as of it, and the states, from what the season before left."""
     facts = views.player_seasons(table)
-    store = BucketedStore(facts.sparkSession, new_folder(facts.sparkSession))
+    store = BucketedStore(facts.sparkSession, new_folder(facts.sparkSession), BUCKETS)
     for season in range(FIRST, LAST + 1):
         today = facts.where(F.col("season") == season)
         step = cumulative.cumulate_step(store.read(PLAYERS, season - 1), today, PLAYER_HISTORY)
@@ -175,7 +193,7 @@ def player_tracking_yearly(table: Reader) -> DataFrame:
         tracked = tracking.tracked_seasons(players, store.read(PLAYERS_SCD, season))
         before = store.read(PLAYER_TRACKING, season - 1)
         store.replace(PLAYER_TRACKING, tracking.track_state_step(before, tracked))
-    return store.read(PLAYER_TRACKING)
+    return store.result(store.read(PLAYER_TRACKING), PLAYERS, PLAYERS_SCD, PLAYER_TRACKING)
 
 
 QUERIES = {

@@ -17,6 +17,8 @@ QUERY_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Stores replace the periods they write and no others.
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 SETTINGS = {**QUERY_SETTINGS, "spark.ui.enabled": "false"}
 

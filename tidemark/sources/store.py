@@ -7,8 +7,8 @@ so a lost executor only repeats its tasks and a failed job changes nothing.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
-import zlib
 from collections.abc import Sequence
 from datetime import date
 
@@ -20,9 +20,6 @@ from tidemark.functions.scalars import all_of
 from tidemark.session import shared_folder
 from tidemark.sources.schemas import Table
 
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-
-
 def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target with the source's rows added, replacing rows of the same key.
 
@@ -120,9 +117,32 @@ class SnapshotStore:
             target = target.where(F.col(table.period).isin(list(periods)))
         self.replace(table, upsert_rows(target, source, table.key))
 
-    def create_as(self, name: str, rows: DataFrame) -> None:
-        """Store a query result as a catalog table."""
+    def create_as(self, name: str, rows: DataFrame) -> DataFrame:
+        """Store a query result as a catalog table, and read it."""
         rows.write.mode("overwrite").saveAsTable(name)
+        return self.spark.table(name)
+
+    def drop(self, table: Table) -> None:
+        """Remove a table's files."""
+        _remove(self.spark, self.path(table))
+
+    def result(self, rows: DataFrame, *tables: Table) -> DataFrame:
+        """Rows read from the store, kept as a checkpoint, and the store removed.
+
+        ``tables`` are those that were written.
+        """
+        kept = rows.checkpoint()
+        for table in tables:
+            self.drop(table)
+        _remove(self.spark, self.folder)
+        return kept
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder wherever it is, if it is there."""
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext._jsc
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context.hadoopConfiguration()).delete(path, True)
 
 
 class BucketedStore(SnapshotStore):
@@ -133,15 +153,47 @@ class BucketedStore(SnapshotStore):
     only the new facts are shuffled, and each bucket is written as one file.
     Choose ``buckets`` so that a bucket of one period fits a task. Tables without
     periods are plain.
+
+    The number of buckets is part of what is stored: it is written beside the
+    tables with the first of them and read from there ever after, whatever the
+    session that opens them.
     """
 
     def __init__(self, spark: SparkSession, folder: str, buckets: int | None = None) -> None:
-        """Buckets are as many as shuffle partitions unless given."""
+        """``buckets`` is needed for a new folder; of an old one it must be its own."""
         super().__init__(spark, folder)
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # For the whole session: an insert replaces the periods it holds, no others.
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        stored = self._stored_buckets()
+        if stored is None and buckets is None:
+            raise ValueError(f"{folder} is new: say how many buckets its tables shall have")
+        if None not in (stored, buckets) and stored != buckets:
+            raise ValueError(f"tables in {folder} have {stored} buckets, not {buckets}")
+        self.buckets = stored or buckets
+        self._is_told = stored is not None
+
+    @property
+    def _layout(self) -> str:
+        return f"{self.folder}/layout"
+
+    def _stored_buckets(self) -> int | None:
+        try:
+            rows = self.spark.read.schema("buckets int").json(self._layout).collect()
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+            return None
+        return rows[0].buckets if rows else None
+
+    def _tell_buckets(self) -> None:
+        if not self._is_told:
+            told = self.spark.createDataFrame([(self.buckets,)], "buckets int")
+            told.coalesce(1).write.json(self._layout)
+            self._is_told = True
 
     def table_name(self, table: Table) -> str:
-        return f"{table.name}_{zlib.crc32(self.path(table).encode()):08x}"
+        """Name in the catalog, of the whole path, so that no two folders share one."""
+        return f"{table.name}_{hashlib.sha256(self.path(table).encode()).hexdigest()}"
 
     def _open(self, table: Table) -> str:
         """Name of the catalog table over the folder, defined on first use."""
@@ -171,12 +223,12 @@ class BucketedStore(SnapshotStore):
         if table.period is None:
             super()._write(table, rows)
             return
+        self._tell_buckets()
         name = self._open(table)
         # Inserting takes columns by position, in the table's own order.
-        ordered = rows.select(*self.spark.table(name).columns)
-        mode = self.spark.conf.get(OVERWRITE_MODE)
-        self.spark.conf.set(OVERWRITE_MODE, "dynamic")
-        try:
-            ordered.write.insertInto(name, overwrite=True)
-        finally:
-            self.spark.conf.set(OVERWRITE_MODE, mode)
+        rows.select(*self.spark.table(name).columns).write.insertInto(name, overwrite=True)
+
+    def drop(self, table: Table) -> None:
+        """Remove a table's name in the catalog and its files."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table_name(table)}")
+        super().drop(table)

@@ -194,15 +194,10 @@ def events_web(table: Reader) -> DataFrame:
 
 def devices(table: Reader) -> DataFrame:
     key = F.col("p_partkey")
-    return (
-        table("part")
-        .where(key < 100)
-        .select(
-            key.alias("device_id"),
-            F.when(key % 10 != 0, F.col("p_type")).alias("os_type"),
-            F.col("p_brand").alias("device_type"),
-            F.when(key % 13 != 0, F.split_part("p_name", F.lit(" "), F.lit(1))).alias(
-                "browser_type"
-            ),
-        )
+    browser = F.split_part("p_name", F.lit(" "), F.lit(1))
+    return table("part").select(
+        key.alias("device_id"),
+        F.when(key % 10 != 0, F.col("p_type")).alias("os_type"),
+        F.col("p_brand").alias("device_type"),
+        F.when(key % 13 != 0, browser).alias("browser_type"),
     )
