@@ -163,6 +163,25 @@ def test_month_steps_equal_one_pass(spark, frame, by_year):
         assert rows_of(stepped) == rows_of(whole)
 
 
+@pytest.mark.parametrize("by_year", [False, True])
+def test_a_day_built_again_has_one_slot(spark, frame, by_year):
+    days = [1, 2, 4, 367, 368]
+    visits = [event(u, n, h) for n in days for u, h in ((1, "a"), (n, "a"), (2, f"h{n % 2}"))]
+    active = datelist.active_days(frame(EVENTS, visits), ["user_id", "host"]).cache()
+    for first, last in ((1, 5), (367, 369)):
+        reduced = monthly.reduce_months_through(active, day(first - 1), by_year)
+        for n in range(first, last + 1):
+            hosts = datelist.datelist_through(
+                active, ["user_id", "host"], "host_activity_datelist", day(n)
+            )
+            for _ in range(2):
+                step = monthly.reduce_month_step(reduced, hosts, day(n), by_year)
+                merged = upsert_rows(reduced, step, HOST_ACTIVITY_REDUCED.key)
+                reduced = spark.createDataFrame(merged.collect(), HOST_ACTIVITY_REDUCED.schema)
+        whole = monthly.reduce_months_through(active, day(last), by_year)
+        assert rows_of(reduced) == rows_of(whole)
+
+
 def test_month_arrays_keep_hosts_absent_today(frame):
     prev = frame(
         "month int, host string, hit_array array<int>, unique_visitors array<int>",

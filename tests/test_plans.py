@@ -33,6 +33,32 @@ def test_no_pairing_of_everything_and_no_python(no_broadcast, name):
         assert banned not in plan
 
 
+ONE_PERIOD = (
+    "cumulative_players_step",
+    "cumulative_actors_step",
+    "unnest_latest_seasons",
+    "season_bounds",
+    "first_latest_change",
+    "growth_accounting_step",
+    "user_activity_count",
+)
+
+
+@pytest.mark.parametrize("name", ONE_PERIOD)
+def test_one_period_is_made_alone(spark, name):
+    """No spine of all periods stands below a filter of one."""
+    frame = entry.queries()[name](spark, str(FOLDER))
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(sequence" not in plan
+
+
+def test_player_history_reads_no_statistics(spark):
+    for name in ("scd2_build_players", "scd2_step_players"):
+        frame = entry.queries()[name](spark, str(FOLDER))
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert "draft_year" not in plan and "_new" not in plan
+
+
 def test_day_filter_reaches_the_scan(spark):
     plan = plan_of(spark, "users_cumulated")
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan

@@ -118,6 +118,18 @@ def test_rolling_wins_of_games(frame, width, monkeypatch, n, size):
     assert [tuple(r) for r in top] == [min(want.items(), key=lambda w: (-w[1], w[0]))]
 
 
+def test_rolling_wins_of_undated_games(frame):
+    """Games without a date count, before all others."""
+    games = [(g, date(2024, 1, 1 + g) if g < 20 else None, 1, 2, 1) for g in range(40)]
+    df = frame(
+        "game_id int, game_date_est date, home_team_id int, visitor_team_id int, "
+        "home_team_wins int",
+        games,
+    )
+    got = sequences.rolling_wins_of_games(df, 90, top=None)
+    assert rows_of(got) == [(1, 40), (2, 0)]
+
+
 def test_totals_before(frame):
     rng = random.Random(3)
     cells = [(k, d, c, rng.randint(0, 9)) for k in (1, 2) for d in range(4) for c in range(3)]

@@ -1,4 +1,8 @@
+import os
+import subprocess
+import sys
 from datetime import date
+from pathlib import Path
 
 import pytest
 from conftest import rows_of
@@ -180,6 +184,80 @@ def test_history_step_on_buckets_moves_nothing(spark, tmp_path, frame):
     assert step.count() == 40
 
 
+REOPENED = """
+import sys
+from datetime import date
+from tidemark.operators import datelist
+from tidemark.session import get_session
+from tidemark.sources.schemas import USERS_CUMULATED
+from tidemark.sources.store import BucketedStore
+
+folder, width, warehouse = sys.argv[1], sys.argv[2], sys.argv[3]
+spark = get_session(
+    "reopened",
+    "local[2]",
+    {"spark.sql.shuffle.partitions": width, "spark.sql.warehouse.dir": warehouse,
+     "spark.sql.autoBroadcastJoinThreshold": "-1",
+     "spark.sql.adaptive.coalescePartitions.enabled": "false"},
+)
+store = BucketedStore(spark, folder)
+day, before = date(2024, 1, 2), date(2024, 1, 1)
+today = spark.createDataFrame(
+    [(str(u), day) for u in range(500, 1500)], "user_id string, date_active date"
+)
+step = datelist.datelist_step(
+    store.read(USERS_CUMULATED, before), today, ["user_id"], "dates_active"
+)
+print("ROWS", step.count(), step.select("user_id").distinct().count(), store.buckets)
+"""
+
+
+@pytest.mark.parametrize("width", [4, 16])
+def test_buckets_travel_with_the_data(spark, tmp_path, frame, width):
+    """Another session, with fewer or more shuffle partitions, sees the same rows."""
+    folder = str(tmp_path / "store")
+    store = BucketedStore(spark, folder, 8)
+    before = date(2024, 1, 1)
+    rows = [(str(u), [before], before) for u in range(1000)]
+    store.replace(USERS_CUMULATED, frame(USERS_CUMULATED.schema, rows))
+    root = Path(__file__).resolve().parent.parent
+    said = subprocess.run(
+        [sys.executable, "-c", REOPENED, folder, str(width), str(tmp_path / "warehouse")],
+        capture_output=True,
+        text=True,
+        cwd=tmp_path,
+        env=os.environ | {"PYTHONPATH": str(root)},
+        timeout=300,
+    )
+    assert "ROWS 1500 1500 8" in said.stdout, said.stderr[-2000:]
+
+
+def test_bucket_count_is_the_stores(spark, tmp_path, frame):
+    folder = str(tmp_path / "store")
+    with pytest.raises(ValueError, match="is new"):
+        BucketedStore(spark, folder)
+    store = BucketedStore(spark, folder, 3)
+    day = date(2024, 1, 1)
+    store.replace(USERS_CUMULATED, frame(USERS_CUMULATED.schema, [("u", [day], day)]))
+    assert BucketedStore(spark, folder).buckets == 3
+    with pytest.raises(ValueError, match="3 buckets"):
+        BucketedStore(spark, folder, 4)
+    other = BucketedStore(spark, str(tmp_path / "other"), 3)
+    assert other.table_name(USERS_CUMULATED) != store.table_name(USERS_CUMULATED)
+    assert other.read(USERS_CUMULATED).count() == 0
+
+
+def test_results_outlive_the_store(spark, tmp_path, frame):
+    folder = tmp_path / "store"
+    store = BucketedStore(spark, str(folder), 2)
+    day = date(2024, 1, 1)
+    store.replace(USERS_CUMULATED, frame(USERS_CUMULATED.schema, [("u", [day], day)]))
+    name = store.table_name(USERS_CUMULATED)
+    kept = store.result(store.read(USERS_CUMULATED), USERS_CUMULATED)
+    assert not folder.exists() and not spark.catalog.tableExists(name)
+    assert rows_of(kept) == [("u", [day], day)]
+
+
 @pytest.mark.parametrize("gather", [False, True])
 def test_backfill_into_buckets(spark, tmp_path, frame, gather):
     """Gathered, every period has one file per bucket; the rows are the same."""
