@@ -56,7 +56,133 @@ SELECT doc_id, len(w) AS n_words, len(lost) AS n_removed,
 FROM flagged LEFT JOIN kept USING (doc_id)
 """
 
+SUFFIX_DEDUP = """
+WITH bytes AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), places AS (
+    SELECT doc_id, h, unnest(range(1, strlen(h) // 2 + 1)) AS i FROM bytes
+), held AS (
+    SELECT doc_id, i, substr(h, 2 * i - 1, 2) AS byte,
+        CASE WHEN 2 * i + 98 <= strlen(h) THEN substr(h, 2 * i - 1, 100) END AS s
+    FROM places
+), firsts AS (
+    SELECT s, min(doc_id) AS first FROM held WHERE s IS NOT NULL GROUP BY s
+), flagged AS (
+    SELECT doc_id, i, byte, coalesce(first < doc_id, FALSE) AS flag
+    FROM held LEFT JOIN firsts USING (s)
+), marked AS (
+    SELECT doc_id, i, byte, bool_or(flag) OVER (
+        PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+    FROM flagged
+), edges AS (
+    SELECT *, gone AND NOT coalesce(
+        lag(gone) OVER (PARTITION BY doc_id ORDER BY i), FALSE) AS opens
+    FROM marked
+), counted AS (
+    SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed,
+        count(*) FILTER (WHERE opens) AS n_spans,
+        string_agg(byte, '' ORDER BY i) FILTER (WHERE NOT gone) AS kept
+    FROM edges GROUP BY doc_id
+)
+SELECT doc_id, strlen(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+    coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM bytes LEFT JOIN counted USING (doc_id)
+"""
+
+#: N-gram lengths and the percent of characters they may repeat.
+NGRAMS = {5: 20, 6: 19, 8: 18, 10: 16}
+
+
+def _quality_rules() -> str:
+    grams = ",\n".join(
+        f"""grams{n} AS (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY doc_id, g ORDER BY i) AS nth,
+        count(*) OVER (PARTITION BY doc_id, g) AS times
+    FROM (SELECT doc_id, i, list_slice(w, i, i + {n - 1}) AS g
+          FROM (SELECT doc_id, w, unnest(range(1, len(w) - {n - 2})) AS i FROM words))
+), dup{n} AS (
+    SELECT doc_id, sum(length(word)) AS dup{n} FROM each JOIN (
+        SELECT DISTINCT doc_id, unnest(range(i, i + {n})) AS p FROM grams{n} WHERE nth > 1
+    ) USING (doc_id, p) GROUP BY doc_id
+)"""
+        for n in NGRAMS
+    )
+    joins = " ".join(f"LEFT JOIN dup{n} USING (doc_id)" for n in NGRAMS)
+    over = " OR ".join(
+        f"100 * coalesce(dup{n}, 0) > {percent} * word_chars" for n, percent in NGRAMS.items()
+    )
+    return rf"""
+WITH words AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents
+), each AS (
+    SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM words
+), lines AS (
+    SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line) AS nth
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM words)
+    WHERE regexp_matches(line, '{WORD}')
+), dup_lines AS (
+    SELECT doc_id, count(*) AS n_dup_lines,
+        sum(length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g'))) AS line_chars
+    FROM lines WHERE nth > 1 GROUP BY doc_id
+), {grams}, repeats AS (
+    SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+    FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM grams5 WHERE times > 1)
+    GROUP BY doc_id
+), measured AS (
+    SELECT doc_id, len(w) AS n_words,
+        CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+        length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+        coalesce(n_dup_lines, 0) AS n_dup_lines,
+        coalesce(n_repeat_words, 0) AS n_repeat_words,
+        100 * coalesce(line_chars, 0) > 30 * word_chars OR {over} AS over
+    FROM words LEFT JOIN dup_lines USING (doc_id) LEFT JOIN repeats USING (doc_id) {joins}
+), judged AS (
+    SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT (base_failed OR over OR 100 * n_symbols > 10 * n_words) AS kept
+FROM judged
+"""
+
+
+DECONTAMINATION = r"""
+WITH plain AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), asked AS (
+    SELECT DISTINCT item_id, size, list_slice(w, i, i + size - 1) AS g FROM (
+        SELECT item_id, w, least(13, len(w)) AS size,
+            unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i
+        FROM items WHERE len(w) > 0)
+), windows AS (
+    SELECT doc_id, i, size, list_slice(w, i, i + size - 1) AS g FROM (
+        SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM plain, (SELECT DISTINCT size FROM asked))
+), hits AS (
+    SELECT doc_id, i, size, item_id FROM windows JOIN asked USING (size, g)
+), words AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY doc_id
+), found AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS all_items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(all_items, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM plain LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP,
     "op2_substring_dedup": SUBSTRING_DEDUP,
+    "op6_suffix_dedup": SUFFIX_DEDUP,
+    "op9_quality_rules": _quality_rules(),
+    "op10_decontamination": DECONTAMINATION,
 }
