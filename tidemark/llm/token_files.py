@@ -19,6 +19,7 @@ tables may be empty; other columns are left behind.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -33,11 +34,15 @@ from tidemark.llm.common import keyed, prepare, scratch, slices
 
 END_ID = 2
 #: Distinct stretches whose ids a task keeps; beyond it the memory starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 #: A longer stretch is encoded but not kept.
 LONGEST_KEPT = 48
 #: Parts stretches encoded together; what holds it is encoded alone.
 MARK = "~"
+#: Words of letters that have one form only, and stops after one.
+WHOLE = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+STOP = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ])([.,])(?=\\s|$)")
+WORD_END = "</w>"
 
 WRITER = {
     "compression": "zstd",
@@ -64,11 +69,31 @@ def _tokenizer(path: str) -> object:
     white = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
     if told["pre_tokenizer"]["type"] != "Sequence" or white not in told["normalizer"].get(
         "normalizers", []
-    ):
+    ) or told["model"].get("end_of_word_suffix") != WORD_END:
         raise ValueError(f"{path} is not a tokenizer whose pieces end at white space")
     return Tokenizer.from_file(path)
 
 
+@cache
+def _letters_only(path: str) -> object:
+    """The same tokenizer for lower-case words that are letters from end to end.
+
+    Its normalizer leaves them as they are and its pattern takes each whole, so
+    both may be left out.
+    """
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    made = Tokenizer.from_str(_tokenizer(path).to_str())
+    made.normalizer = None
+    made.pre_tokenizer = pre_tokenizers.Sequence(
+        [
+            pre_tokenizers.WhitespaceSplit(),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+        ]
+    )
+    return made
+
+
 class Encoder:
     """Ids of texts, remembering those of stretches between spaces."""
 
@@ -78,42 +103,67 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         mark = self._ids(MARK)
         self.mark = mark[0] if len(mark) == 1 else None
+        self.letters = _letters_only(path)
+        names = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(names.values()) + 1, bool)
+        self.ends[[i for name, i in names.items() if name.endswith(WORD_END)]] = True
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _learn(self, stretches: list[str]) -> None:
-        """Remember the ids of stretches, many of them in one text between marks."""
-        if self.mark is not None:
+        """Remember the ids of stretches, many of them in one text."""
+        words, rest = [], []
+        for s in stretches:
+            (words if WHOLE.fullmatch(s) else rest).append(s)
+        lower = [s.lower() for s in words]
+        self._learn_words([*set(lower).difference(self.known)])
+        self.known.update(zip(words, list(map(self.known.__getitem__, lower))))
+        self._learn_any(rest)
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Words of lower-case letters are one pre-token each, whose last id ends it."""
+        if not words:
+            return
+        made = self.letters.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(made[0].ids, np.int32)
+        self._cut(words, ids, np.flatnonzero(self.ends[ids]) + 1, 0)
+
+    def _learn_any(self, stretches: list[str]) -> None:
+        if self.mark is not None and stretches:
             plain = [s for s in stretches if MARK not in s]
             ids = np.array(self._ids(f" {MARK} ".join([*plain, ""])), np.int32)
             ends = np.flatnonzero(ids == self.mark)
             if len(ends) == len(plain):
-                data = ids.tobytes()
-                begins = np.append(0, ends[:-1] + 1)
-                for s, a, b in zip(plain, (4 * begins).tolist(), (4 * ends).tolist()):
-                    self.known[s] = data[a:b]
+                self._cut(plain, ids, ends, 1)
                 stretches = [s for s in stretches if MARK in s]
         for s in stretches:
             self.known[s] = np.array(self._ids(s), np.int32).tobytes()
 
+    def _cut(self, stretches: list[str], ids: np.ndarray, ends: np.ndarray, gap: int) -> None:
+        """Remember stretches encoded together, ``gap`` ids apart."""
+        if len(ends) != len(stretches):
+            raise ValueError("the tokenizer does not part words as told")
+        data = ids.tobytes()
+        begins = np.append(0, ends[:-1] + gap)
+        for s, a, b in zip(stretches, (4 * begins).tolist(), (4 * ends).tolist()):
+            self.known[s] = data[a:b]
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text, the end id last."""
-        parts = [(text or "").split(" ") for text in texts]
+        # A stop after a letter begins a piece of its own, as if a space stood before.
+        parts = [STOP.sub(r"\1 \2", text or "").split(" ") for text in texts]
         new = set().union(*parts).difference(self.known)
         self._learn(list(new))
-        end = np.array([END_ID], np.int32).tobytes()
-        found = [
-            np.frombuffer(b"".join(map(self.known.__getitem__, part)) + end, np.int32)
-            for part in parts
-        ]
+        get, end = self.known.__getitem__, np.array([END_ID], np.int32).tobytes()
+        ids = [np.frombuffer(b"".join(map(get, part)) + end, np.int32) for part in parts]
         for s in new:
             if len(s) > LONGEST_KEPT:
                 del self.known[s]
         if len(self.known) > self.remembered:
             # What came first is what comes often.
             self.known = dict(islice(self.known.items(), self.remembered // 2))
-        return found
+        return ids
 
 
 @cache
