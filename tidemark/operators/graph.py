@@ -46,6 +46,11 @@ def game_vertices(games: DataFrame) -> DataFrame:
     )
 
 
+def without_names(details: DataFrame) -> DataFrame:
+    """Details with null player names, for who reads identifiers only."""
+    return details.withColumn("player_name", F.lit(None).cast("string"))
+
+
 def player_vertices(details: DataFrame) -> DataFrame:
     players = details.groupBy("player_id").agg(
         F.max("player_name").alias("player_name"),
@@ -98,9 +103,7 @@ def player_edges(details: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         "game_id", "player_id", "player_name", "team_abbreviation", "pts"
     )
     large = (
-        details.select("game_id", "player_id")
-        .distinct()
-        .groupBy("game_id")
+        seen.groupBy("game_id")
         .agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("_blocks"))
         .where(F.col("_blocks") > 1)
     )

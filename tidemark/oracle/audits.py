@@ -1,38 +1,62 @@
-"""Statement of the declared-table audits.
-
-A snapshot has a row per player and season by construction, and so do what is
-derived from it; only the fact table's key, which names the day and not the
-game, can be broken.
-"""
+"""Statement of the declared-table audits, over the statements of the tables' queries."""
 
 from __future__ import annotations
 
-from tidemark.oracle.inputs import with_inputs
-
-CLEAN = [
-    ("players", "key"),
-    ("players", "scoring_class"),
-    ("players_scd", "key"),
-    ("players_scd", "scoring_class"),
-    ("player_tracking", "key"),
-    ("player_tracking", "state"),
-    ("vertices", "key"),
-    ("vertices", "type"),
+from tidemark.oracle import activity, games, graph, snapshots
+from tidemark.sources import schemas
+
+
+def _union(columns: str, *statements: str) -> str:
+    return " UNION ALL ".join(f"SELECT {columns} FROM ({s}) AS t{i}" for i, s in enumerate(statements))
+
+
+def _pairs(names: tuple[str, ...]) -> list[str]:
+    return [graph.ORACLES[name] for name in names]
+
+
+TABLES = [
+    (schemas.PLAYERS, snapshots.ORACLES["cumulative_players_backfill"]),
+    (schemas.PLAYERS_SCD, snapshots.ORACLES["scd2_build_players"]),
+    (schemas.PLAYER_TRACKING, snapshots.ORACLES["player_tracking"]),
+    (schemas.ACTORS, snapshots.ORACLES["cumulative_actors_backfill"]),
+    (schemas.ACTOR_HISTORY_SCD, snapshots.ORACLES["scd2_build_actors"]),
+    (schemas.USERS_CUMULATED, activity.ORACLES["users_cumulated_daily"]),
+    (schemas.USER_DEVICES_CUMULATED, activity.ORACLES["user_devices_cumulated"]),
+    (schemas.HOSTS_CUMULATED, activity.ORACLES["hosts_cumulated"]),
+    (schemas.HOST_ACTIVITY_REDUCED, activity.ORACLES["host_activity_daily"]),
+    (schemas.USERS_GROWTH_ACCOUNTING, activity.ORACLES["growth_accounting"]),
+    (schemas.FACT_GAME_DETAILS, games.ORACLES["fact_game_details"]),
+    (
+        schemas.VERTICES,
+        _union("identifier, type", *_pairs(("game_vertices", "player_vertices", "team_vertices"))),
+    ),
+    (
+        schemas.EDGES,
+        _union(
+            ", ".join(schemas.EDGES.key), *_pairs(("plays_in_edges", "player_pair_edges"))
+        ),
+    ),
 ]
 
+
+def _audit(table: schemas.Table, statement: str) -> list[str]:
+    keys = ", ".join(table.key)
+    null = " OR ".join(f"{k} IS NULL" for k in table.key)
+    found = [
+        f"SELECT '{table.name}' AS table_name, 'key' AS \"check\", count(*) AS n_violations "
+        f"FROM (SELECT {keys} FROM ({statement}) GROUP BY {keys} HAVING count(*) > 1 OR {null})"
+    ]
+    for column, allowed in table.domains.items():
+        listed = ", ".join(f"'{value}'" for value in allowed)
+        found.append(
+            f"SELECT '{table.name}', '{column}', count(*) FILTER ({column} NOT IN ({listed})) "
+            f"FROM ({statement})"
+        )
+    return found
+
+
 ORACLES = {
-    "table_audits": with_inputs(
-        ["game_details", "games"],
-        [
-            (
-                "repeated",
-                "SELECT game_date_est, player_id, team_id "
-                "FROM (SELECT DISTINCT game_id, player_id, team_id FROM game_details) "
-                "JOIN games USING (game_id) GROUP BY ALL HAVING count(*) > 1",
-            )
-        ],
-        "SELECT 'fact_game_details' AS table_name, 'key' AS \"check\", "
-        "count(*) AS n_violations FROM repeated UNION ALL VALUES "
-        + ", ".join(f"('{table}', '{check}', 0)" for table, check in CLEAN),
+    "table_audits": " UNION ALL ".join(
+        part for table, statement in TABLES for part in _audit(table, statement)
     )
 }

@@ -35,7 +35,9 @@ def team_vertices(table: Reader) -> DataFrame:
 def vertex_counts(table: Reader) -> DataFrame:
     vertices = (
         graph.game_vertices(views.games(table))
-        .unionByName(graph.player_vertices(views.game_details(table)))
+        .unionByName(
+            graph.player_vertices(graph.without_names(views.game_details(table, names=False)))
+        )
         .unionByName(graph.team_vertices(views.teams(table)))
     )
     return graph.vertex_counts(vertices)
