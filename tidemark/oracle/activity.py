@@ -255,4 +255,5 @@ ORACLES = {
 # The stored tables hold what the same steps give in one plan.
 ORACLES["users_cumulated_daily"] = _lists(["events_web"], USERS, "user_id", "dates_active", LAST)
 ORACLES["host_activity_daily"] = _reduced(LAST)
+ORACLES["growth_accounting_daily"] = ORACLES["growth_accounting"]
 ORACLES["device_hits_dashboard_stored"] = ORACLES["device_hits_dashboard"]

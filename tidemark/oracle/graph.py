@@ -98,3 +98,6 @@ ORACLES = {
         "FROM careers JOIN meetings m ON m.subject = player_id",
     ),
 }
+
+# The stored table holds the same rows.
+ORACLES["edges_stored"] = ORACLES["plays_in_edges"]

@@ -232,3 +232,6 @@ ORACLES = {
 
 # The stored yearly steps hold the same states.
 ORACLES["player_tracking_yearly"] = ORACLES["player_tracking"]
+
+# The stored table holds the same rows.
+ORACLES["actors_yearly"] = ORACLES["cumulative_actors_backfill"]

@@ -16,6 +16,7 @@ from tidemark.sources.schemas import (
     HOST_ACTIVITY_REDUCED,
     HOSTS_CUMULATED,
     USERS_CUMULATED,
+    USERS_GROWTH_ACCOUNTING,
 )
 from tidemark.sources.store import BucketedStore, SnapshotStore, new_folder, upsert_rows
 from tidemark.sources.views import Reader
@@ -169,6 +170,19 @@ def growth_accounting_step(table: Reader) -> DataFrame:
     return flat_dates(growth.growth_step(prev, today))
 
 
+def growth_accounting_daily(table: Reader) -> DataFrame:
+    """As growth_accounting, by one stored step per day."""
+    events = views.events_web(table)
+    store = BucketedStore(events.sparkSession, new_folder(events.sparkSession), BUCKETS)
+    for day in _days(LAST):
+        prev = store.read(USERS_GROWTH_ACCOUNTING, day - timedelta(days=1))
+        today = datelist.active_days(events, USER, day, day)
+        store.replace(USERS_GROWTH_ACCOUNTING, growth.growth_step(prev, today))
+    return store.result(
+        flat_dates(store.read(USERS_GROWTH_ACCOUNTING)), USERS_GROWTH_ACCOUNTING
+    )
+
+
 def growth_state_counts(table: Reader) -> DataFrame:
     return flat_dates(growth.state_counts(growth.growth_backfill(_active(table), LAST)))
 
@@ -233,6 +247,7 @@ QUERIES = {
         growth_accounting,
         growth_accounting_corrected,
         growth_accounting_step,
+        growth_accounting_daily,
         growth_state_counts,
         retention_curve,
         user_activity_count,

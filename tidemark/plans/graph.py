@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame
 from tidemark.functions.scalars import json_fields
 from tidemark.operators import graph
 from tidemark.sources import views
+from tidemark.sources.schemas import EDGES
+from tidemark.sources.store import SnapshotStore, new_folder
 from tidemark.sources.views import Reader
 
 
@@ -53,6 +55,18 @@ def player_pair_edges(table: Reader) -> DataFrame:
     return _with_fields(edges, "num_games", "subject_points", "object_points")
 
 
+def edges_stored(table: Reader) -> DataFrame:
+    """Both kinds of edges kept as a table; those of games, read back from it."""
+    plays = graph.plays_in_edges(views.game_details(table, names=False))
+    edges = plays.unionByName(graph.player_edges(views.game_details(table)))
+    store = SnapshotStore(edges.sparkSession, new_folder(edges.sparkSession))
+    store.replace(EDGES, edges, gather=True)
+    found = _with_fields(
+        store.read(EDGES, "plays_in"), "start_position", "pts", "team_id", "team_abbreviation"
+    )
+    return store.result(found, EDGES)
+
+
 def best_game(table: Reader) -> DataFrame:
     vertices = graph.player_vertices(views.game_details(table))
     edges = graph.plays_in_edges(views.game_details(table, names=False))
@@ -73,6 +87,7 @@ QUERIES = {
         vertex_counts,
         plays_in_edges,
         player_pair_edges,
+        edges_stored,
         best_game,
         pair_stats,
     )

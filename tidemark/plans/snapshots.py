@@ -9,7 +9,7 @@ from tidemark.operators import cumulative, scd, tracking
 from tidemark.operators.cumulative import ACTOR_HISTORY, PLAYER_HISTORY
 from tidemark.operators.scd import ACTOR_SCD, PLAYER_SCD
 from tidemark.sources import views
-from tidemark.sources.schemas import PLAYER_TRACKING, PLAYERS, PLAYERS_SCD
+from tidemark.sources.schemas import ACTORS, PLAYER_TRACKING, PLAYERS, PLAYERS_SCD
 from tidemark.sources.store import BucketedStore, new_folder
 from tidemark.sources.views import Reader
 
@@ -196,9 +196,21 @@ def player_tracking_yearly(table: Reader) -> DataFrame:
     return store.result(store.read(PLAYER_TRACKING), PLAYERS, PLAYERS_SCD, PLAYER_TRACKING)
 
 
+def actors_yearly(table: Reader) -> DataFrame:
+    """As cumulative_actors_backfill, by one stored step per year."""
+    films = views.actor_films(table)
+    store = BucketedStore(films.sparkSession, new_folder(films.sparkSession), BUCKETS)
+    for year in range(FIRST, LAST + 1):
+        today = films.where(F.col("year") == year)
+        prev = store.read(ACTORS, year - 1)
+        store.replace(ACTORS, cumulative.cumulate_step(prev, today, ACTOR_HISTORY, fold=True))
+    return store.result(_flat_actors(store.read(ACTORS)), ACTORS)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
+        actors_yearly,
         cumulative_players_step,
         cumulative_actors_step,
         cumulative_players_backfill,
