@@ -35,12 +35,11 @@ def text_bytes(docs: DataFrame) -> int:
 def chunked(docs: DataFrame, total: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Keyed documents with the chunk each belongs to.
 
-    Repeated rows are spread by the input partition they come from.
+    The chunk follows from id and text alone, so it is the same wherever the rows are
+    read from again; rows equal in both share one.
     """
     count = max(1, -(-total // chunk_bytes))
-    rows = keyed(docs)
-    dealt = F.xxhash64("doc_id", "text_key", F.spark_partition_id())
-    return rows.withColumn("chunk", F.pmod(dealt, F.lit(count)))
+    return keyed(docs).withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(count)))
 
 
 def ordered(rows: pa.Table) -> pa.Table:
