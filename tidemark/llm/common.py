@@ -7,8 +7,10 @@ twice: they count twice where copies count, and get the same result.
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +31,18 @@ BATCH_SETTINGS = {
 U64 = np.uint64
 
 
+#: Where this package lies. Python workers look there too, so that a session started
+#: elsewhere finds it; a cluster that has it at another place names that itself.
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Set what the operators rely on."""
     apply_settings(spark)
+    told = spark.sparkContext.environment
+    paths = told.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        told["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, ROOT]))
     for name, value in BATCH_SETTINGS.items():
         spark.conf.set(name, value)
     return spark

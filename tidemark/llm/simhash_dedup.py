@@ -175,6 +175,7 @@ def links(prints: DataFrame, bits: int = BITS, compared: int = COMPARED) -> Data
     """
     if not 0 <= bits <= 2:
         raise ValueError("bits must be 0, 1 or 2")
+    prepare(prints.sparkSession)
     keys = prints.select("print", F.explode(_blocks(F.col("print"), BLOCKS, bits)).alias("key"))
     keys = keys.select("key.choice", "key.part", "print")
     sizes = keys.groupBy("choice", "part").agg(F.count("*").alias("size")).where("size > 1")
