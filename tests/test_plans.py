@@ -26,7 +26,11 @@ def plan_of(spark, name):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+# A stored query's plan reads its checkpoint; its steps are those of other queries.
+PLANNED = sorted(n for n in QUERIES if not n.endswith(("_daily", "_yearly", "_stored")))
+
+
+@pytest.mark.parametrize("name", PLANNED)
 def test_no_pairing_of_everything_and_no_python(no_broadcast, name):
     plan = plan_of(no_broadcast, name)
     for banned in ("CartesianProduct", "NestedLoopJoin", "Python", "BroadcastExchange"):
