@@ -7,7 +7,17 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest_llm import BENCH_WORD, lower, prose, sorted_rows, words
+from corpus_cases import (  # noqa: F401
+    BENCH_WORD,
+    clashing,
+    docs,
+    lower,
+    no_docs,
+    prose,
+    rows,
+    sorted_rows,
+    words,
+)
 
 from tidemark.llm import subword_classifier
 from tidemark.llm.decontamination import clean_documents, contaminated, contamination

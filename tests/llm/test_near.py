@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
-from conftest_llm import lower, sorted_rows, words
+from corpus_cases import clashing, docs, lower, no_docs, rows, sorted_rows, words  # noqa: F401
 
 from tidemark.llm.components import components
 from tidemark.llm.simhash_dedup import fingerprints_of, linked, links, near_duplicates, one_of_each

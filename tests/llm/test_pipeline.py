@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 import pytest
 import sentencepiece
-from conftest_llm import BENCH_WORD, DOCS, lower, prose, sample_rows, words
+from corpus_cases import BENCH_WORD, DOCS, lower, no_docs, prose, sample_rows, words  # noqa: F401
 from test_each_document import BENCHMARK, brute_contamination
 from test_near import brute_print, brute_roots
 from test_repeats import brute_lines

@@ -3,7 +3,7 @@
 from collections import Counter, defaultdict
 
 import pytest
-from conftest_llm import sample_rows, sorted_rows, words
+from corpus_cases import clashing, docs, no_docs, rows, sample_rows, sorted_rows, words  # noqa: F401
 
 from tidemark.llm.line_dedup import repeated_lines, without_repeats
 from tidemark.llm.substring_dedup import remove_repeats
