@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache
 from itertools import islice
@@ -35,11 +36,17 @@ from tidemark.llm.common import prepare, slices
 
 SPACE = "▁"
 #: Distinct stretches whose ids a Python worker keeps.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 #: A longer stretch is encoded but not kept.
 LONGEST_KEPT = 48
 #: Piece pairs whose answer is kept.
 PAIRS_KEPT = 500_000
+#: A stop after a letter. If no piece holds the two, they are encoded
+#: apart, and the mark says that no space was between.
+INSIDE = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ][.,]")
+STOP = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ])([.,])(?=\s|$)")
+JOINED = "\x02"
+STOPPED = rf"\1 {JOINED}\2"
 #: Longer texts are merged with a heap.
 SHORT = 64
 
@@ -59,6 +66,7 @@ class Pieces:
         self.bytes = {
             i: int(self.names[i][3:5], 16) for i in range(size) if model.is_byte(i)
         }
+        self.unspoken = {i for i in range(size) if i in self.bytes or model.is_control(i)}
         self.silent = {i for i in range(size) if model.is_control(i)}
         plain = [
             i
@@ -72,11 +80,12 @@ class Pieces:
             raise ValueError(f"{path} has pieces that reach over a space")
         if any(c not in self.score for name in self.score for c in name):
             raise ValueError(f"{path} has pieces of characters it does not know")
+        self.stops = not any(INSIDE.search(name) for name in self.score)
         self.searcher = ahocorasick.Automaton()
         # Pieces that merging never leaves whole are no candidates.
         reached = {name for name in self.score if self.merged(name) == [name]}
         for name in reached:
-            self.searcher.add_word(name, name)
+            self.searcher.add_word(name, (len(name) - 1, name))
         self.searcher.make_automaton()
         self.shorter = {
             name: next((name[:k] for k in range(len(name) - 1, 0, -1) if name[:k] in reached), None)
@@ -137,58 +146,60 @@ class Pieces:
             found = self.pairs[left, right] = self.merged(left + right) == [left, right]
         return found
 
-    def _backtracked(self, text: str, longest: list[str | None]) -> list[str]:
-        """Pieces of a stretch of known characters."""
+    def _backtracked(self, text: str, longest: dict[int, str], first: int = 0) -> list[int]:
+        """Ids of a stretch of known characters, which begins at place ``first``."""
         n, at, pieces = len(text), 0, []
-        dead = bytearray(n // 8 + 1)  # places from which no way leads on
+        dead = 0  # bits of places from which no way leads on
         pairs, together, shorter = self.pairs, self.together, self.shorter
-        piece = longest[0]
+        piece, last = longest[first], None
         while at < n:
             end = at + len(piece)
-            if not dead[end >> 3] >> (end & 7) & 1 and (
-                not pieces or pairs.get((pieces[-1], piece)) or together(pieces[-1], piece)
-            ):
+            fits = last is None or pairs.get((last, piece))
+            if fits is None:
+                fits = together(last, piece)
+            if fits and not (dead and dead >> end & 1):
                 pieces.append(piece)
-                at = end
+                at, last = end, piece
                 if at < n:
-                    piece = longest[at]
+                    piece = longest[first + at]
                 continue
             piece = shorter[piece]
             while piece is None:
-                dead[at >> 3] |= 1 << (at & 7)
-                last = pieces.pop()
-                at -= len(last)
-                piece = shorter[last]
-        return pieces
+                dead |= 1 << at
+                piece = shorter[back := pieces.pop()]
+                at -= len(back)
+                last = pieces[-1] if pieces else None
+        return list(map(self.id_of.__getitem__, pieces))
 
-    def pieces_of(self, text: str) -> list[str | int]:
-        """Pieces of a stretch that begins with a space mark; bytes as ids."""
+    def ids_of(self, text: str) -> list[int]:
+        """Ids of a stretch; characters that are no pieces as their bytes."""
         if text.startswith(SPACE * 2):
-            found: list[str | int] = []
+            found = []
             for part in self.merged(text):
                 if part in self.id_of:
-                    found.append(part)
+                    found.append(self.id_of[part])
                 else:
                     found.extend(self.byte_ids[b] for b in part.encode())
             return found
-        longest: list[str | None] = [None] * len(text)
-        for end, piece in self.searcher.iter(text):
-            longest[end - len(piece) + 1] = piece
-        if None not in longest:
+        # Of the matches at a place the longest ends last.
+        longest = {end - k: piece for end, (k, piece) in self.searcher.iter(text)}
+        if len(longest) == len(text):
             return self._backtracked(text, longest)
         found, at = [], 0
         while at < len(text):
-            if longest[at] is None:
+            if at not in longest:
                 found.extend(self.byte_ids[b] for b in text[at].encode())
                 at += 1
                 continue
-            end = next((i for i in range(at, len(text)) if longest[i] is None), len(text))
-            found += self._backtracked(text[at:end], longest[at:end])
+            end = next((i for i in range(at, len(text)) if i not in longest), len(text))
+            found += self._backtracked(text[at:end], longest, at)
             at = end
         return found
 
     def spoken(self, ids: list[int]) -> str:
         """Text of ids, space marks as spaces."""
+        if self.unspoken.isdisjoint(ids):
+            return "".join(map(self.names.__getitem__, ids)).replace(SPACE, " ")
         out, held = [], bytearray()
         for i in ids:
             if i in self.bytes:
@@ -208,38 +219,45 @@ class Pieces:
         return self.spoken(ids).removeprefix(" ")
 
     def _learn(self, stretch: str) -> None:
-        ids = [
-            x if isinstance(x, int) else self.id_of[x] for x in self.pieces_of(SPACE + stretch)
-        ]
-        self.known[stretch] = np.array(ids, np.int32).tobytes(), self.spoken(ids)
+        """Remember a stretch, which begins with a space mark unless told otherwise."""
+        ids = self.ids_of(stretch[1:] if stretch[:1] == JOINED else SPACE + stretch)
+        self.known[stretch] = array("i", ids).tobytes(), self.spoken(ids)
 
     def round_trip(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[str]]:
         """Ids of each text, the end id last, and the text they decode to."""
-        parts = [self._stretches(text or "") for text in texts]
-        new = set().union(*parts).difference(self.known)
-        for stretch in new:
-            self._learn(stretch)
         end = np.array([self.end_id], np.int32).tobytes()
-        ids, decoded = [], []
-        for part in parts:
-            found = [self.known[s] for s in part]
-            ids.append(np.frombuffer(b"".join([x for x, _ in found]) + end, np.int32))
-            decoded.append("".join([x for _, x in found]).removeprefix(" "))
-        for s in new:
-            if len(s) > LONGEST_KEPT:
-                del self.known[s]
+        ids, decoded, long = [], [], []
+        for text in texts:
+            part = self._stretches(text or "")
+            got = list(map(self.known.get, part))
+            if None in got:
+                for i, x in enumerate(got):
+                    if x is None:
+                        if (s := part[i]) not in self.known:
+                            self._learn(s)
+                            if len(s) > LONGEST_KEPT:
+                                long.append(s)
+                        got[i] = self.known[s]
+            numbers, said = zip(*got) if got else ((), ())
+            ids.append(np.frombuffer(b"".join((*numbers, end)), np.int32))
+            decoded.append("".join(said).removeprefix(" "))
+        for s in long:
+            del self.known[s]
         if len(self.known) > self.remembered:
             # What came first is what comes often.
             self.known = dict(islice(self.known.items(), self.remembered // 2))
         return ids, decoded
 
     def _stretches(self, text: str) -> list[str]:
-        """Stretches that begin with a space mark, without that mark."""
+        """Stretches that are encoded alone, without the space mark most begin with."""
         if not text:
             return []
-        if SPACE in text or "  " in text or text[0] == " " or text[-1] == " ":
+        if SPACE in text or "  " in text or text[0] == " " or text[-1] == " " or JOINED in text:
             marked = SPACE + text.replace(" ", SPACE)
-            return [s[1:] for s in re.findall(f"{SPACE}+[^{SPACE}]*", marked)]
+            found = re.findall(f"{SPACE}+[^{SPACE}]*", marked)
+            return [JOINED + s if s[1:2] == JOINED else s[1:] for s in found]
+        if self.stops:
+            text = STOP.sub(STOPPED, text)
         return text.split(" ")
 
 
