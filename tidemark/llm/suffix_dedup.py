@@ -26,6 +26,8 @@ kept is bytes, as a cut may part a character.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -34,7 +36,6 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.chunks import (
     BUCKET_HASHES,
-    CHUNK_BYTES,
     PACKED,
     answers,
     bits_for,
@@ -62,8 +63,13 @@ from tidemark.llm.common import (
 
 WIDTH = 50
 GRAM = 24
+#: Bytes of text in a chunk, about.
+CHUNK_BYTES = 1 << 20
+#: Bytes whose grams are hashed at a time, or one document; a task holds about a
+#: hundred times as much.
+PART_BYTES = 1 << 18
 #: Bytes of text whose contexts make one range of the sort, about.
-RANGE_BYTES = 16 << 20
+RANGE_BYTES = 8 << 20
 #: Bytes of text that the ranges' bounds are taken from, about; those of least hash.
 SAMPLE_BYTES = 4 << 20
 #: Bytes of a range's bound; fewer than a gram, so that equal grams meet.
@@ -89,22 +95,40 @@ class Anchors:
         self.data, self.offsets = utf8(docs.column("text"))
         ids = docs.column("doc_id").combine_chunks() if len(docs) else docs.column("doc_id")
         self.ids = ids.fill_null(int(FIRST_ID)).to_numpy()
-        grams = Rolling(self.data).windows(gram)
+        found = [self._part(a, b) for a, b in self._parts()] or [self._part(0, 0)]
+        self.place, self.low, self.high, self.doc, self.grams = map(np.concatenate, zip(*found))
+        self._distinct()
+
+    def _parts(self) -> Iterator[tuple[int, int]]:
+        """Ranges of documents that are worked on together."""
+        start, count = 0, len(self.offsets) - 1
+        while start < count:
+            limit = self.offsets[start] + PART_BYTES
+            stop = int(np.searchsorted(self.offsets, limit, side="right")) - 1
+            stop = min(max(stop, start + 1), count)
+            yield start, stop
+            start = stop
+
+    def _part(self, first: int, last: int) -> tuple[np.ndarray, ...]:
+        """Anchors of a range of documents: places, first and last strings, ids, grams."""
+        offsets, width = self.offsets[first : last + 1], self.width
+        begin = int(offsets[0])
+        data = self.data[begin : int(offsets[-1])]
+        grams = Rolling(data).windows(self.gram)
         mask = U64((1 << PLACE_BITS) - 1)
         least = sliding_min((grams & ~mask) | np.arange(len(grams), dtype=U64), self.reach + 1)
-        owner = owner_of(self.offsets)
-        n = max(len(self.data) - width + 1, 0)
+        owner = owner_of(offsets)
+        n = max(len(data) - width + 1, 0)
         start = np.flatnonzero(owner[:n] == owner[width - 1 : width - 1 + n])
         place = (least[start] & mask).astype(np.int64)
         new = np.ones(len(start), bool)
         new[1:] = place[1:] != place[:-1]
         heads = np.flatnonzero(new)
-        self.place = place[heads]
-        self.low = start[heads]
-        self.high = start[np.append(heads[1:], len(start)) - 1] if len(heads) else start
-        self.doc = self.ids[owner[self.place]]
-        self.grams = grams[self.place]
-        self._distinct()
+        low = start[heads]
+        high = start[np.append(heads[1:], len(start)) - 1] if len(heads) else start
+        place = place[heads]
+        ids = self.ids[first:last][owner[place]]
+        return place + begin, low + begin, high + begin, ids, grams[place]
 
     def _distinct(self) -> None:
         """Sorted distinct grams, each anchor's, and those that two ids here hold."""
