@@ -231,6 +231,26 @@ def test_disguised_personal_data(text, kind, found):
     assert added == [(kind, found)]
 
 
+@pytest.mark.parametrize("unseen", ["\u00ad", "\u200b", "\u200c", "\u200d", "\u2060", "\ufeff"])
+@pytest.mark.parametrize(
+    "kind,value",
+    [
+        ("email", "john@mail.com"), ("ip", "192.168.10.25"), ("card", "4111111111111111"),
+        ("card", "4111 1111 1111 1111"), ("phone", "+1 555 010 9999"),
+    ],
+)
+def test_unseen_characters_anywhere_inside(unseen, kind, value):
+    for i in range(1, len(value)):
+        odd = value[:i] + unseen + value[i:]
+        text = f"see {unseen}{odd}{unseen} now"
+        at = text.index(odd)
+        assert (kind, at, at + len(odd)) in [s[:3] for s in spans_of(text)]
+    apart = unseen.join(value)
+    assert (kind, 0, len(apart), False) in spans_of(apart)
+    # One outside changes nothing.
+    assert spans_of(f"{value} {unseen}x") == [(kind, 0, len(value), True)]
+
+
 def test_clean_texts_have_no_personal_data(rows):
     for text in ["he was at the dot of it", "one two three", "at a dot b", prose(1, 300), None, ""]:
         assert spans_of(text) == []

@@ -3,8 +3,8 @@
 Plain data are found in the text as it stands. Disguised data are found in a
 normalised copy: transducers turn look-alike letters, wide forms, spelled digits and
 written-out "at" and "dot" into plain characters and note, for every character they
-write, the source span it stands for. Identifiers found there that rest on a
-replacement map back to source spans. Plain findings stay as they are; a disguised
+write, the source span it stands for. Characters that show nothing are left out.
+Identifiers found there that rest on a replacement or on an omission map back to source spans. Plain findings stay as they are; a disguised
 one inside a plain one of its kind is the same and is left out.
 
 Spans count code points, end exclusive.
@@ -177,6 +177,11 @@ class Normalised:
     def source(self, span: Span) -> Span:
         return int(self.start[span[0]]), int(self.stop[span[1] - 1])
 
+    def changed(self, span: Span) -> bool:
+        """Whether anything in the span was written anew or left out."""
+        a, b = self.source(span)
+        return b - a != span[1] - span[0] or bool(self.new[span[0] : span[1]].any())
+
 
 def _numbers(text: str) -> list[tuple[int, int, str]]:
     """Runs of digit words, with "dot" and "plus" in them, as digits and marks."""
@@ -214,7 +219,7 @@ def spans_of(text: str | None) -> list[tuple[str, int, int, bool]]:
         held = normalised(text)
         for kind, spans in plain_spans(held.text).items():
             for span in spans:
-                if held.new[span[0] : span[1]].any():
+                if held.changed(span):
                     a, b = held.source(span)
                     if not any(c <= a and b <= d for c, d in found[kind]):
                         added[kind].append((a, b))
