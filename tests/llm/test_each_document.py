@@ -1,5 +1,6 @@
 """Operators that judge, encode or search each document, against brute force."""
 
+import itertools
 import re
 import zlib
 from collections import Counter
@@ -251,6 +252,48 @@ def test_unseen_characters_anywhere_inside(unseen, kind, value):
     assert spans_of(f"{value} {unseen}x") == [(kind, 0, len(value), True)]
 
 
+@pytest.mark.parametrize("at", ["@", " [at] ", "(at)", " at ", "  AT "])
+def test_every_mixture_of_marks(at):
+    marks = [".", " [dot] ", "(dot)", " dot ", " DOT  "]
+    for own, first, last in itertools.product(["", *marks], marks, marks):
+        address = "john" + (own and f"{own}smith") + f"{at}mail{first}example{last}com"
+        text = f"to {address}, then"
+        found = [s for s in spans_of(text) if s[1:3] == (3, 3 + len(address))]
+        plain = at == "@" and {own, first, last} <= {"", "."}
+        # A bare "at" among plain dots is prose that names a site.
+        prose = at.strip().lower() == "at" and {own, first, last} <= {"", "."}
+        assert found == ([] if prose else [("email", 3, 3 + len(address), plain)]), text
+
+
+@pytest.mark.parametrize(
+    "text,found",
+    [
+        ("john [at] example dot com", "john [at] example dot com"),
+        ("john@example dot com", "john@example dot com"),
+        ("john at example [dot] com", "john at example [dot] com"),
+        ("say john dot smith at example dot com", "john dot smith at example dot com"),
+        ("a dot b dot c_d at example dot co dot uk is", "a dot b dot c_d at example dot co dot uk"),
+        ("john at example dot com dot Then", "john at example dot com"),
+        ("ann at x dot pl or bob at y dot dev now", "ann at x dot pl|bob at y dot dev"),
+        ("john [at] example dot unheard", "john [at] example dot unheard"),
+    ]
+    + [(f"x at y dot {n} z", f"x at y dot {n}") for n in "co ai dev app me pl se biz".split()],
+)
+def test_mixed_addresses(text, found):
+    added = [text[s[1] : s[2]] for s in spans_of(text) if s[0] == "email" and not s[3]]
+    assert added == found.split("|")
+
+
+def test_prose_beside_marks():
+    for text in [
+        "look at example.com now", "look at the dot to see", "pointed at a dot so small",
+        "he stood at one dot unheard", "@john dot com", "x dot y",
+    ]:
+        assert spans_of(text) == [], text
+    for text in (" at a dot b" * 30_000, "a dot " * 60_000, " at " * 90_000 + "x dot com", "a@b dot " * 40_000):
+        spans_of(text)
+
+
 def test_clean_texts_have_no_personal_data(rows):
     for text in ["he was at the dot of it", "one two three", "at a dot b", prose(1, 300), None, ""]:
         assert spans_of(text) == []

@@ -63,14 +63,37 @@ _ODD = "[" + "".join(map(re.escape, PLAIN)) + "]"
 _NUMBER = "(?:" + "|".join(DIGIT_WORDS) + ")"
 _OPEN, _SHUT = r"\s*[\[({<]\s*", r"\s*[\])}>]\s*"
 _NAME = r"[A-Za-z0-9][A-Za-z0-9-]*"
-#: Last names that make spoken words an address.
-TOP_NAMES = "com|org|net|edu|gov|info|io|eu|uk|de|fr|es|it|nl|at|ch|pt|br|mx|us|ca|au|in|jp|cn|ru"
+#: Last names that make an address of words around a spoken "at".
+TOP_NAMES = (
+    "ac ad ae af ag ai al am ao aq ar as at au aw ax az ba bb bd be bf bg bh bi bj bm bn bo br bs "
+    "bt bw by bz ca cc cd cf cg ch ci ck cl cm cn co cr cu cv cw cx cy cz de dj dk dm do dz ec ee "
+    "eg er es et eu fi fj fk fm fo fr ga gd ge gf gg gh gi gl gm gn gp gq gr gs gt gu gw gy hk hm "
+    "hn hr ht hu id ie il im in io iq ir is it je jm jo jp ke kg kh ki km kn kp kr kw ky kz la lb "
+    "lc li lk lr ls lt lu lv ly ma mc md me mg mh mk ml mm mn mo mp mq mr ms mt mu mv mw mx my mz "
+    "na nc ne nf ng ni nl no np nr nu nz om pa pe pf pg ph pk pl pm pn pr ps pt pw py qa re ro rs "
+    "ru rw sa sb sc sd se sg sh si sk sl sm sn so sr ss st su sv sx sy sz tc td tf tg th tj tk tl "
+    "tm tn to tr tt tv tw tz ua ug uk us uy uz va vc ve vg vi vn vu wf ws ye yt za zm zw "
+    "com org net edu gov mil int arpa info biz name pro aero coop museum jobs mobi travel tel cat "
+    "asia post academy agency app art bank bio blog build business cafe capital care center city "
+    "cloud club codes community company computer consulting design dev digital doctor earth email "
+    "energy engineer events exchange expert family finance fund fyi games global group guru health "
+    "help host house ink institute insure international law legal life link live lol love ltd "
+    "market marketing media money network news ninja one online page partners photo photography "
+    "pub restaurant school science services shop site social software solutions space store studio "
+    "support systems team tech technology today tools top training university vip website wiki "
+    "work works world wtf xyz zone"
+).split()
+#: Last names that were always taken, and words of prose that name no domain: "at the dot to".
+COMMON = "com org net edu gov info io eu uk de fr es it nl at ch pt br mx us ca au in jp cn ru".split()
+PROSE = "a an another any each every her his its my no one our some that the their this which your".split()
 #: What a transducer rewrites, one alternative each.
 ODD = re.compile(_ODD)
 BRACKETED = re.compile(f"{_OPEN}(?:(?P<at>at|@)|(?P<dot>dot|\\.)){_SHUT}", re.I)
-SPOKEN = re.compile(
-    rf"(?<=[A-Za-z0-9])\s+at\s+{_NAME}(?:\s+dot\s+{_NAME}){{0,4}}\s+dot\s+(?:{TOP_NAMES})\b", re.I
-)
+#: An at between a local part and a domain, and a spoken dot between two names.
+AT = re.compile(rf"(?<=[A-Za-z0-9._%+-])@(?={_NAME})|(?<=[A-Za-z0-9_])\s+at\s+(?={_NAME})", re.I)
+DOT = re.compile(r"\s+dot\s+", re.I)
+LOCAL_DOT = re.compile(r"(?<=[A-Za-z0-9_])\s+dot\s+(?=[A-Za-z0-9_%+-])", re.I)
+DOMAIN_NAME = re.compile(_NAME)
 NUMBERS = re.compile(
     rf"(?:\bplus\s+)?\b{_NUMBER}(?:(?:[\s-]+dot\s+|[\s-]+){_NUMBER})+\b", re.I
 )
@@ -192,10 +215,73 @@ def _numbers(text: str) -> list[tuple[int, int, str]]:
     ]
 
 
-def _address(spoken: str) -> str:
-    """ "at mail dot example dot com" as it is written."""
-    _, *names = spoken.split()
-    return "@" + "".join("." if name.lower() == "dot" else name for name in names)
+def _known(names: list[str]) -> bool:
+    """Whether names after a spoken "at" are a domain and not prose."""
+    first, last = names[0].lower(), names[-1].lower()
+    return last in COMMON or (last in TOP_NAMES and first not in PROSE)
+
+
+def _domain(held: Normalised, start: int, spoken: bool) -> tuple[int, list[Span], bool]:
+    """The domain behind an at: its end, its spoken dots, and whether any dot is written out.
+
+    Dots are plain or spoken. Behind a spoken at, it ends with a known last name.
+    """
+    text, names, dots, found = held.text, [], [], (start, [], False)
+    at, written = start, False
+    while name := DOMAIN_NAME.match(text, at):
+        names.append(name[0])
+        if len(names) > 1 and (not spoken or _known(names)):
+            found = name.end(), list(dots), written
+        at = name.end()
+        dot = DOT.match(text, at)
+        if dot:
+            dots.append(dot.span())
+            written, at = True, dot.end()
+        elif text[at : at + 1] == ".":
+            written |= bool(held.new[at])
+            at += 1
+        else:
+            break
+    return found
+
+
+def _marks(held: Normalised) -> list[tuple[int, int, str]]:
+    """Spoken marks of addresses, whose other marks may be plain by now, as "@" and ".".
+
+    A spoken at with only plain dots around is prose ("look at example.com").
+    """
+    text, changes, done = held.text, [], 0
+    before = [m.span() for m in LOCAL_DOT.finditer(text)]
+    passed = 0
+    for m in AT.finditer(text):
+        if m.start() < done:
+            continue
+        spoken = m[0] != "@"
+        end, dots, written = _domain(held, m.end(), spoken)
+        # Spoken dots whose next name reaches to the at or to the next such dot.
+        while passed < len(before) and before[passed][1] <= m.start():
+            passed += 1
+        own, place, first = [], passed - 1, m.start()
+        while place >= 0 and before[place][0] >= done:
+            a, b = before[place]
+            if not LOCAL.fullmatch(text, b, first):
+                break
+            own.append((a, b))
+            place, first = place - 1, a
+        if spoken and not written and not own:
+            begin = first
+            while begin > done and LOCAL.match(text[begin - 1]):
+                begin -= 1
+            own_dots = [i for i in range(begin, first) if text[i] == "."]
+            written = bool(held.new[own_dots].any()) if own_dots else False
+        if end == m.end() or (spoken and not written and not own):
+            continue
+        changes += [(a, b, ".") for a, b in reversed(own)]
+        if spoken:
+            changes.append((*m.span(), "@"))
+        changes += [(a, b, ".") for a, b in dots]
+        done = end
+    return changes
 
 
 def normalised(text: str) -> Normalised:
@@ -206,7 +292,7 @@ def normalised(text: str) -> Normalised:
         [(*m.span(), "@" if m["at"] else ".") for m in BRACKETED.finditer(held.text)]
     )
     held.rewrite(_numbers(held.text))
-    held.rewrite([(*m.span(), _address(m[0])) for m in SPOKEN.finditer(held.text)])
+    held.rewrite(_marks(held))
     return held
 
 
