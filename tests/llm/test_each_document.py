@@ -294,6 +294,22 @@ def test_prose_beside_marks():
         spans_of(text)
 
 
+@pytest.mark.parametrize(
+    "kind,value",
+    [
+        ("phone", "+1 five five five 867 5309"), ("phone", "+1 555 867 53 zero nine"),
+        ("phone", "plus one five 55 867 5309"), ("card", "4111 1111 1111 one one one one"),
+        ("card", "4111 1111 1111 11 one one"), ("ip", "one dot one.22.33"),
+        ("email", "john@four-two.com"), ("email", "john at example [dot] com"),
+    ],
+)
+def test_identifiers_do_not_depend_on_text_far_away(kind, value):
+    alone = spans_of(f"{value}, yes")
+    assert (kind, 0, len(value)) in [s[:3] for s in alone]
+    for far in (" а", " –", " Ａ", " x dot y", " [dot]", " seven eight", " one" * 9, "\u200b"):
+        assert spans_of(f"{value}, yes.{far}") == alone
+
+
 def test_clean_texts_have_no_personal_data(rows):
     for text in ["he was at the dot of it", "one two three", "at a dot b", prose(1, 300), None, ""]:
         assert spans_of(text) == []

@@ -97,12 +97,13 @@ DOMAIN_NAME = re.compile(_NAME)
 NUMBERS = re.compile(
     rf"(?:\bplus\s+)?\b{_NUMBER}(?:(?:[\s-]+dot\s+|[\s-]+){_NUMBER})+\b", re.I
 )
-#: Texts without any of these have nothing to rewrite.
+#: Texts without any of these have nothing to rewrite: each transducer's own pattern, or a
+#: part that all it rewrites has, so no identifier's result depends on text far from it.
 HINTS = (
     ODD,
     re.compile(r"[\[({<]\s*(?:at|dot|@|\.)\s*[\])}>]", re.I),
     re.compile(r"\sdot\s", re.I),
-    re.compile(rf"\b{_NUMBER}(?:[\s-]+{_NUMBER}){{7,}}\b", re.I),
+    NUMBERS,
 )
 WORD = re.compile(rf"{_NUMBER}|dot|plus", re.I)
 
