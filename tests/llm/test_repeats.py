@@ -3,8 +3,9 @@
 from collections import Counter, defaultdict
 
 import pytest
-from corpus_cases import clashing, docs, no_docs, rows, sample_rows, sorted_rows, words  # noqa: F401
+from corpus_cases import clashing, docs, no_docs, prose, rows, sample_rows, sorted_rows, words  # noqa: F401
 
+from tidemark.llm import suffix_dedup
 from tidemark.llm.line_dedup import repeated_lines, without_repeats
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.llm.suffix_dedup import merged, remove_earlier, shared_prefixes
@@ -160,3 +161,24 @@ def test_a_group_of_copies_meets_once_a_chunk(spark):
     assert found[0].n_removed == 0 and all(found[i].n_removed == len(text.encode()) for i in range(1, 300))
     found = remove_repeats(frame, chunk_bytes=20_000)
     assert all(r.n_removed == r.n_words for r in found.collect())
+
+
+def test_bounds_of_large_groups_of_copies(spark, monkeypatch):
+    """Copies are not drawn all or none, and few of their contexts reach the driver."""
+    texts = [prose(i, 50) for i in range(4)]
+    docs = spark.createDataFrame(
+        [(i, texts[i % 4]) for i in range(4000)], "doc_id long, text string"
+    ).repartition(3)
+    total = sum(len(t.encode()) for t in texts) * 1000
+    got, collect = [], type(docs).toArrow
+
+    def seen(frame):
+        got.append(collect(frame))
+        return got[-1]
+
+    monkeypatch.setattr(type(docs), "toArrow", seen)
+    monkeypatch.setattr(suffix_dedup, "HEADS", 300, raising=False)
+    for share in (50, 2):
+        monkeypatch.setattr(suffix_dedup, "SAMPLE_BYTES", total // share)
+        bounds = suffix_dedup.range_bounds(docs, total, 50, 24, 20_000)
+        assert len(bounds) > 4 and 0 < got.pop().num_rows <= 300

@@ -70,8 +70,11 @@ CHUNK_BYTES = 1 << 20
 PART_BYTES = 1 << 18
 #: Bytes of text whose contexts make one range of the sort, about.
 RANGE_BYTES = 8 << 20
-#: Bytes of text that the ranges' bounds are taken from, about; those of least hash.
+#: Bytes of text that the ranges' bounds are taken from, about; rows drawn one by one.
 SAMPLE_BYTES = 4 << 20
+#: Contexts that reach the driver at most, whatever the rows drawn hold.
+HEADS = 1 << 16
+SEED = 11
 #: Bytes of a range's bound; fewer than a gram, so that equal grams meet.
 BOUND = 16
 
@@ -392,13 +395,15 @@ def merge_ranges(runs: DataFrame, width: int, reach: int) -> DataFrame:
 
 
 def range_bounds(docs: DataFrame, total: int, width: int, gram: int, range_bytes: int) -> np.ndarray:
-    """Bounds that part the contexts evenly, from a bounded sample of documents."""
+    """Bounds that part the contexts evenly, from a bounded sample of documents.
+
+    Rows are drawn whatever they hold, so copies are not drawn together. Another draw
+    gives other bounds and the same results.
+    """
     count = max(1, -(-total // range_bytes))
     if count == 1:
         return np.zeros(0, f"S{BOUND}")
-    scale = 1 << 30
-    share = min(scale, max(1, SAMPLE_BYTES * scale // total))
-    rows = keyed(docs).where(F.pmod("text_key", F.lit(scale)) < share)
+    rows = keyed(docs).where(F.rand(SEED) < SAMPLE_BYTES / total)
 
     def run(batches):
         for batch in batches:
@@ -407,7 +412,8 @@ def range_bounds(docs: DataFrame, total: int, width: int, gram: int, range_bytes
             text = [held.data[p : p + BOUND].tobytes() for p in place.tolist()]
             yield pa.record_batch({"head": pa.array(text, pa.binary())})
 
-    heads = rows.mapInArrow(run, "head binary").toArrow().column("head").to_pylist()
+    drawn = rows.mapInArrow(run, "head binary").orderBy(F.rand(SEED)).limit(HEADS)
+    heads = drawn.toArrow().column("head").to_pylist()
     heads = np.sort(np.array(heads or [b""], f"S{BOUND}"))
     return np.unique(heads[np.arange(1, count) * len(heads) // count])
 
