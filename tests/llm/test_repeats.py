@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 from corpus_cases import clashing, docs, no_docs, prose, rows, sample_rows, sorted_rows, words  # noqa: F401
 
-from tidemark.llm import suffix_dedup
+from tidemark.llm import chunks, suffix_dedup
 from tidemark.llm.line_dedup import repeated_lines, without_repeats
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.llm.suffix_dedup import merged, remove_earlier, shared_prefixes
@@ -182,3 +182,28 @@ def test_bounds_of_large_groups_of_copies(spark, monkeypatch):
         monkeypatch.setattr(suffix_dedup, "SAMPLE_BYTES", total // share)
         bounds = suffix_dedup.range_bounds(docs, total, 50, 24, 20_000)
         assert len(bounds) > 4 and 0 < got.pop().num_rows <= 300
+
+
+def test_rows_stated_often(spark, monkeypatch):
+    """Rows equal in id and text do not pile up in a chunk, nor do many short ones."""
+    same = prose(1, 50)
+    rows = [(None, same)] * 700 + [(None, None)] * 400 + [(3, prose(2, 60))] * 2
+    rows += [(4, "x " + same), (5, prose(2, 60) + " y"), (6, prose(3, 60))] + [(i, "") for i in range(7, 500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(chunks, "CHUNK_ROWS", 50, raising=False)
+    total = chunks.text_bytes(docs)
+    dealt = chunks.chunked(docs, total, 20_000)
+    assert max(r["count"] for r in dealt.groupBy("chunk").count().collect()) < 100
+    found = remove_repeats(docs, chunk_bytes=20_000)
+    assert found.columns == ["doc_id", "text", "n_words", "n_removed", "removed"]
+    assert sorted_rows(found, "doc_id", "text", "n_words", "n_removed") == brute_windows(rows, 35)
+    found = remove_earlier(docs, chunk_bytes=20_000)
+    assert found.columns == ["doc_id", "kept", "n_bytes", "n_removed", "removed"]
+    got = [(r.doc_id, bytes(r.kept), r.n_bytes, r.n_removed, len(r.removed)) for r in found.collect()]
+    assert sorted(got, key=repr) == brute_suffixes(rows)
+
+
+def test_a_large_number_of_rows_comes_out_again(spark):
+    rows = spark.sql("select 1 id, 150000L stated union all select 2, 1L union all select 3, 65536L")
+    got = {r.id: r["count"] for r in chunks.as_stated(rows).groupBy("id").count().collect()}
+    assert got == {1: 150000, 2: 1, 3: 65536}

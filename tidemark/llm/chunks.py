@@ -5,6 +5,9 @@ of a bounded size. A chunk sends each of its distinct hashes once, in rows of on
 chunk and one bucket, so a group of copies reaches a bucket at most once a chunk
 however large it is. Answers come back as bits in the order sent, and the chunk,
 computing its hashes anew, applies them to all its documents.
+
+Rows equal in id and text share a chunk. Where these alone would outgrow one, they
+become one row with their number before they are dealt, and as many results after.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ from tidemark.llm.common import U64, keyed, repeated
 
 #: Bytes of text in a chunk, about. What a task holds is a small multiple of it.
 CHUNK_BYTES = 2 << 20
+#: Rows in a chunk, about, where texts are so short that bytes do not bound them.
+CHUNK_ROWS = 1 << 16
 #: Hashes in a bucket, about.
 BUCKET_HASHES = 1 << 20
 
@@ -33,13 +38,49 @@ def text_bytes(docs: DataFrame) -> int:
 
 
 def chunked(docs: DataFrame, total: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Keyed documents with the chunk each belongs to.
+    """Keyed documents with the chunk each belongs to, and how often each is stated.
 
     The chunk follows from id and text alone, so it is the same wherever the rows are
-    read from again; rows equal in both share one.
+    read from again; rows equal in both share one. They stay rows of their own (stated
+    once each), unless they alone would outgrow a chunk: no more such keys exist than
+    there are chunks.
     """
-    count = max(1, -(-total // chunk_bytes))
-    return keyed(docs).withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(count)))
+    rows = keyed(docs)
+    many = (F.col("rows") > 1) & (
+        (F.col("rows") > CHUNK_ROWS) | (F.col("rows") * F.col("size") > chunk_bytes)
+    )
+    counts = rows.groupBy("doc_id", "text_key").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.max(F.octet_length("text")), F.lit(0)).alias("size"),
+    )
+    found = counts.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.max(many)).first()
+    count = max(1, -(-total // chunk_bytes), -(-found[0] // CHUNK_ROWS))
+    once = F.lit(1).cast("long").alias("stated")
+    dealt = rows.select("*", once)
+    if found[1]:
+        names = counts.where(many).select(
+            F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")
+        )
+        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
+        dealt = rows.join(F.broadcast(names), same, "left_anti").select("*", once)
+        alike = rows.join(F.broadcast(names), same, "left_semi")
+        dealt = dealt.unionByName(
+            alike.groupBy("doc_id", "text_key").agg(
+                F.first("text").alias("text"), F.count(F.lit(1)).alias("stated")
+            )
+        )
+    return dealt.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(count)))
+
+
+def as_stated(results: DataFrame) -> DataFrame:
+    """Each result as often as its document is stated, in two steps for large numbers."""
+    step = 1 << 16
+    left = F.col("stated") - F.col("_step") * step
+    return (
+        results.withColumn("_step", F.explode(F.expr(f"sequence(0, (stated - 1) div {step})")))
+        .withColumn("_one", F.explode(F.sequence(F.lit(1).cast("long"), F.least(left, F.lit(step)))))
+        .drop("stated", "_step", "_one")
+    )
 
 
 def ordered(rows: pa.Table) -> pa.Table:

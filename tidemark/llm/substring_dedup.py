@@ -21,6 +21,7 @@ from tidemark.llm.chunks import (
     CHUNK_BYTES,
     PACKED,
     answers,
+    as_stated,
     bits_for,
     chunked,
     flags_of,
@@ -64,7 +65,9 @@ class _Windows:
         new[1:] = arranged[1:] != arranged[:-1]
         self.group = np.cumsum(new) - 1
         self.values = arranged[new]
-        self.twice = np.bincount(self.group, minlength=len(self.values)) > 1
+        stated = docs.column("stated").to_numpy()[owner[self.at]]
+        weights = stated[self.order].astype(float)
+        self.twice = np.bincount(self.group, weights, minlength=len(self.values)) > 1
         firsts = self.at[self.order[new]]
         self.more = Rolling(words, 3).hash(firsts, firsts + width)
 
@@ -118,8 +121,9 @@ def remove_repeats(
                 "n_words": pa.array(np.diff(held.first)),
                 "n_removed": pa.array(per_text(gone, held.first)),
                 "removed": pa.ListArray.from_arrays(pa.array(ends), spans),
+                "stated": table.column("stated"),
             }
         )
 
     replies = answers(per_chunk(rows, send, PACKED))
-    return with_answers(rows, replies, finish, RESULT)
+    return as_stated(with_answers(rows, replies, finish, f"{RESULT}, stated long"))

@@ -38,6 +38,7 @@ from tidemark.llm.chunks import (
     BUCKET_HASHES,
     PACKED,
     answers,
+    as_stated,
     bits_for,
     chunked,
     flags_of,
@@ -483,7 +484,7 @@ def remove_earlier(
             F.col("body").alias("flags"),
         )
     )
-    return with_answers(rows, replies, finish, RESULT)
+    return as_stated(with_answers(rows, replies, finish, f"{RESULT}, stated long"))
 
 
 def _kept(table: pa.Table, held: Anchors, gone: np.ndarray) -> pa.Table:
@@ -520,5 +521,6 @@ def _kept(table: pa.Table, held: Anchors, gone: np.ndarray) -> pa.Table:
             "n_bytes": pa.array(np.diff(offsets)),
             "n_removed": pa.array(per_text(gone, offsets)),
             "removed": pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), spans),
+            "stated": table.column("stated"),
         }
     )
