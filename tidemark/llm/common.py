@@ -302,3 +302,29 @@ def joined(
     else:
         out = data[source]
     return out, at[first]
+
+
+class Scratch:
+    """Tables an operator writes on its way, in one folder that goes when it is done."""
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark = spark
+        self.folder = scratch(spark, name)
+
+    def stored(self, frame: DataFrame, name: str) -> DataFrame:
+        """The rows, written here and read back: lineage ends here."""
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex}"
+        frame.write.parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)
+
+    def result(self, frame: DataFrame) -> DataFrame:
+        """The rows as a checkpoint; what led to them is removed."""
+        kept = frame.checkpoint()
+        self.remove()
+        return kept
+
+    def remove(self) -> None:
+        """Delete what was written."""
+        jvm, context = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc
+        path = jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(context.hadoopConfiguration()).delete(path, True)

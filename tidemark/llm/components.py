@@ -9,20 +9,25 @@ written to the shared folder, so a lost executor repeats one round at most.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import stored as written
 
 #: Edges to a task; the graph shrinks every round, and its tasks with it.
 TASK_EDGES = 1 << 19
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(
+    edges: DataFrame, stored: Callable[[DataFrame, str], DataFrame] = written
+) -> DataFrame:
     """Vertices of ``edges`` (a, b) with the root of their component.
 
     Loops and repeated edges may be given. Vertices without an edge to another
-    vertex are their own and are not returned.
+    vertex are their own and are not returned. ``stored`` writes a round's rows and
+    reads them back.
     """
     graph = stored(_simple(edges.select("a", "b")), "edges")
     roots = None

@@ -179,10 +179,136 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM plain LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+
+def _clustering(rounds: int = 3) -> str:
+    distance = "list_sum(list_transform(list_zip(k.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = ""
+    for n in range(rounds + 1):
+        steps += f""", a{n} AS (
+    SELECT r, vec_id, k.v, c.c, CAST({distance} AS BIGINT) AS d FROM kept k, c{n} c
+    QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c.c) = 1
+)"""
+        if n < rounds:
+            steps += f""", m{n} AS (
+    SELECT c, list(CAST(floor_mean AS BIGINT) ORDER BY i) AS v FROM (
+        SELECT c, i, (s - ((s % n + n) % n)) // n AS floor_mean FROM (
+            SELECT c, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+            FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{n})
+            GROUP BY c, i))
+    GROUP BY c
+), c{n + 1} AS (
+    SELECT c, coalesce(m.v, o.v) AS v FROM c{n} o LEFT JOIN m{n} m USING (c)
+)"""
+    return f"""
+WITH kept AS (
+    SELECT row_number() OVER () AS r, vec_id,
+        list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64
+), c0 AS (
+    SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v FROM kept
+    QUALIFY c < 16
+){steps}
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, d AS distance,
+    CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+    CAST(sum(d) OVER () AS BIGINT) AS inertia,
+    sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c USING (c)
+"""
+
+
+FILTER_AUDIT = rf"""
+WITH words AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '{WORD}') AS w,
+        min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first
+    FROM documents
+), failed AS (
+    SELECT part,
+        [len(w) < 100,
+         100 * len(list_distinct(w)) < 80 * len(w),
+         100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 10 * length(text),
+         regexp_matches(text, '[#$%&*|]'),
+         coalesce(doc_id > first, FALSE)] AS f,
+        coalesce(good, FALSE) AS good, coalesce(toxic, FALSE) AS toxic
+    FROM words LEFT JOIN (
+        SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic
+        FROM labels GROUP BY doc_id) USING (doc_id)
+), letters AS (
+    SELECT unnest([1, 2, 3, 4, 5]) AS n
+), orders AS (
+    SELECT [a.n, b.n, c.n, d.n, e.n] AS o
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.n, b.n, c.n, d.n, e.n])) = 5
+), steps AS (
+    SELECT o, step, o[step] AS own, o[1:step - 1] AS before
+    FROM orders, (SELECT n AS step FROM letters)
+), patterns AS (
+    SELECT part, f, count(*) AS n, count(*) FILTER (WHERE good) AS good,
+        count(*) FILTER (WHERE toxic) AS toxic
+    FROM failed GROUP BY part, f
+), judged AS (
+    SELECT part, o, step, own, n, good, toxic, f[own] AS fails,
+        len(list_filter(before, lambda x: f[x])) > 0 AS gone,
+        len(list_filter(f, lambda x: x)) = 1 AS single
+    FROM patterns, steps
+), counted AS (
+    SELECT part, o, step, own,
+        coalesce(sum(n) FILTER (WHERE NOT gone AND NOT fails), 0) AS kept,
+        coalesce(sum(n) FILTER (WHERE NOT gone AND fails), 0) AS removed,
+        coalesce(sum(n) FILTER (WHERE gone AND fails), 0) AS redundant,
+        coalesce(sum(n) FILTER (WHERE fails AND single), 0) AS unique_fails,
+        coalesce(sum(good) FILTER (WHERE NOT gone AND fails), 0) AS good_lost,
+        coalesce(sum(toxic) FILTER (WHERE NOT gone AND fails), 0) AS toxic_lost
+    FROM judged GROUP BY part, o, step, own
+)
+SELECT part, array_to_string(list_transform(o, lambda x: 'ABCDE'[x]), '') AS filter_order,
+    step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+    CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+    CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+    CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM counted
+"""
+
+
+MINHASH_DEDUP = rf"""
+WITH RECURSIVE words AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w
+    FROM documents
+), sets AS (
+    SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 3),
+            lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+    FROM words
+), shingles AS (
+    SELECT r, unnest(s) AS g FROM sets
+), sizes AS (
+    SELECT r, len(s) AS n FROM sets
+), shared AS (
+    SELECT x.r AS a, y.r AS b, count(*) AS mutual
+    FROM shingles x JOIN shingles y ON x.g = y.g AND x.r <> y.r GROUP BY x.r, y.r
+), links AS (
+    SELECT a, b FROM shared JOIN sizes m ON m.r = a JOIN sizes n ON n.r = b
+    WHERE 100 * mutual >= 85 * (m.n + n.n - mutual)
+), reached AS (
+    SELECT r AS a, r AS b FROM sets
+    UNION SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b
+), least AS (
+    SELECT a, min(doc_id) AS component_id FROM reached JOIN sets ON sets.r = b GROUP BY a
+)
+SELECT doc_id, len(s) AS n_shingles, component_id,
+    doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM sets JOIN least ON a = r
+"""
+
 ORACLES: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP,
     "op2_substring_dedup": SUBSTRING_DEDUP,
     "op6_suffix_dedup": SUFFIX_DEDUP,
     "op9_quality_rules": _quality_rules(),
     "op10_decontamination": DECONTAMINATION,
+    "op11_centroid_clustering": _clustering(),
+    "op12_filter_audit": FILTER_AUDIT,
+    "op13_minhash_dedup": MINHASH_DEDUP,
 }

@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.centroid_search import clustered
 from tidemark.llm.common import table
 from tidemark.llm.decontamination import contaminated, contamination
+from tidemark.llm.filter_audit import audit
 from tidemark.llm.line_dedup import repeated_lines
+from tidemark.llm.minhash_dedup import near_duplicates as alike
 from tidemark.llm.oracles import ORACLES  # noqa: F401
 from tidemark.llm.personal_data import KINDS, personal_data
 from tidemark.llm.quality_rules import repetition
@@ -143,6 +146,32 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after three rounds."""
+    found = clustered(table(spark, sf_dir, "embeddings"))
+    told = F.concat_ws(",", F.col("centroid").cast("array<string>"))
+    return found.select(
+        "vec_id",
+        "cluster",
+        "distance",
+        "cluster_inertia",
+        "inertia",
+        F.sha2(told, 256).alias("centroid_sha256"),
+    )
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in every order, by language."""
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document's shingle set, and its component of near-duplicates."""
+    found = alike(table(spark, sf_dir, "documents"))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -154,4 +183,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_decontamination": op10_decontamination,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_minhash_dedup": op13_minhash_dedup,
 }
