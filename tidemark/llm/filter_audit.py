@@ -29,7 +29,7 @@ from math import factorial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import prepare
@@ -57,11 +57,13 @@ def failing(docs: DataFrame) -> DataFrame:
     """Each document's failed filters: doc_id, part and ``fails``, a bit a filter, A first."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("part"), text.alias("text"))
+    # Grouped by the hash as text and joined by it in bytes: the join gets a shuffle of
+    # its own, in which a text stated very often can be split.
     copies = (
-        rows.groupBy(F.unhex(F.md5("text")).alias("content"))
+        rows.groupBy(F.md5("text").alias("content"))
         .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
         .where(F.col("first") < F.col("last"))
-        .select("content", "first")
+        .select(F.unhex("content").alias("content"), "first")
     )
     words = F.array_remove(F.split("text", WHITE, -1), "")
     capitals = F.length("text") - F.length(F.regexp_replace("text", "[A-Z]", ""))
@@ -293,9 +295,13 @@ def audit(docs: DataFrame, labels: DataFrame, range_rows: int = RANGE_ROWS) -> D
         F.bit_count("before") + 1,
     )
     alone = F.bit_count("before") == count - 1
-    alone_and_shares = sizes.groupBy("part", "filter").agg(
-        F.sum(F.when(alone, F.col("removed")).otherwise(0)).alias("unique_fails"),
-        F.sum(F.col("removed") * orders).cast("long").alias("shapley"),
+    # A filter has 16 sets that can stand before it.
+    own = Window.partitionBy("part", "filter")
+    rows = sizes.withColumns(
+        {
+            "unique_fails": F.sum(F.when(alone, F.col("removed")).otherwise(0)).over(own),
+            "shapley": F.sum(F.col("removed") * orders).over(own).cast("long"),
+        }
     )
     steps = spark.createDataFrame(
         [
@@ -305,8 +311,7 @@ def audit(docs: DataFrame, labels: DataFrame, range_rows: int = RANGE_ROWS) -> D
         ],
         "filter_order string, step int, before int, filter int",
     )
-    rows = sizes.join(alone_and_shares, ["part", "filter"]).join(steps, ["before", "filter"])
-    return rows.select(
+    return rows.join(steps, ["before", "filter"]).select(
         "part",
         "filter_order",
         "step",
