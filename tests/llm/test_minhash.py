@@ -15,6 +15,7 @@ from tidemark.llm.minhash_dedup import (
     near_duplicates,
     one_of_each,
     samples_of,
+    set_sketches_of,
     shingle_sets,
     sketches_of,
 )
@@ -136,6 +137,18 @@ def test_sketches_tell_similarity(similarity):
     assert abs(told - true) < 0.01
 
 
+def test_sketches_of_all_shingles_differ_in_no_more_than_the_sets():
+    made = np.random.default_rng(4)
+    for size, apart in ((3, 1), (100, 10), (100, 60), (3000, 400), (3000, 3000)):
+        both = made.integers(0, 1 << 63, size, dtype=np.uint64)
+        other = np.concatenate([both[: size - apart], made.integers(0, 1 << 63, apart, dtype=np.uint64)])
+        sketches = set_sketches_of(np.concatenate([both, other]), np.array([0, size, 2 * size]))
+        bits = int(np.bitwise_count(sketches[0] ^ sketches[1]).sum())
+        assert bits <= 2 * apart
+        if apart <= 60:
+            assert bits >= 2 * apart * 0.8 - 2
+
+
 def test_unlike_sketches_are_refused():
     made = np.random.default_rng(2)
     samples = [made.integers(0, 1 << 63, (300, 160), dtype=np.uint64) for _ in "ab"]
@@ -146,15 +159,17 @@ def test_unlike_sketches_are_refused():
 
 def test_a_bucket_of_one_component_is_not_paired(spark):
     members = spark.createDataFrame(
-        [(1, bytearray([n]), bytearray([0])) for n in range(50)],
-        "band long, class binary, least binary",
+        [(1 + p, p, bytearray([n]), bytearray([0])) for n in range(50) for p in range(3)],
+        "band long, place int, class binary, least binary",
     )
     roots = spark.createDataFrame(
         [(bytearray([n]), bytearray([0])) for n in range(50)], "vertex binary, root binary"
     )
-    classes = members.selectExpr("class", "array_repeat(0L, 8) AS sketch")
-    assert _between(members, classes, roots, 100).count() == 0
-    assert _between(members, classes, roots.limit(49), 100).count() == 2 * 49
+    classes = members.where("place = 0").selectExpr(
+        "class", "9 AS n_shingles", "array(1L, 2L, 3L) AS bands", "array_repeat(0L, 24) AS sketch"
+    )
+    assert _between(members, classes, roots, 85).count() == 0
+    assert _between(members, classes, roots.where("vertex <> x'07'"), 85).count() == 2 * 49
 
 
 def test_nothing_is_left_behind(spark, docs, tmp_path, monkeypatch):

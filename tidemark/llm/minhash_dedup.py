@@ -11,6 +11,9 @@ Odd sketches. Each sample, with its number, flips one bit of a bitmap; the bits
 two bitmaps differ in come from unequal samples alone, so their XOR's population
 count tells the similarity, the better the higher it is. A pair is dropped if it
 differs in more bits than a pair at the bound does but with a probability of 1e-9.
+Samples are few, so many pairs somewhat under the bound pass; a second bitmap, into
+which all shingles are folded, differs in no more bits than the sets in shingles,
+whatever the hashes, and drops most of those for certain.
 
 Confirmation. The shingles of both texts are counted, and intersection and union
 compared with the bound.
@@ -65,6 +68,9 @@ SAMPLES = BANDS * ROWS
 #: Bits of an odd sketch, and the words of 64 they take.
 SKETCH_BITS = 512
 SKETCH_WORDS = SKETCH_BITS // 64
+#: Bits of the sketch of all shingles, and its words.
+SET_BITS = 1024
+SET_WORDS = SET_BITS // 64
 #: Chance with which a linked pair may differ in more bits than are allowed.
 MISSED = 1e-9
 
@@ -120,11 +126,21 @@ def bands_of(samples: np.ndarray) -> np.ndarray:
 def sketches_of(samples: np.ndarray) -> np.ndarray:
     """Odd sketch of each row of samples, in words of 64 bits."""
     numbers = mixed(np.arange(1, SAMPLES + 1, dtype=U64) + U64(0xA24BAED4963EE407))
-    bit = (mixed(samples ^ numbers) % U64(SKETCH_BITS)).astype(np.int64)
-    bit += np.arange(len(samples))[:, None] * SKETCH_BITS
-    flips = np.bincount(bit.ravel(), minlength=len(samples) * SKETCH_BITS) & 1
+    owner = np.repeat(np.arange(len(samples)), samples.shape[1])
+    return _parities(mixed(samples ^ numbers).ravel(), owner, len(samples), SKETCH_BITS)
+
+
+def set_sketches_of(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Odd sketch of all of each set, in words of 64 bits."""
+    return _parities(hashes, owner_of(first), len(first) - 1, SET_BITS)
+
+
+def _parities(values: np.ndarray, owner: np.ndarray, count: int, bits: int) -> np.ndarray:
+    """Bitmaps of each owner: a bit is set if an odd number of values fall on it."""
+    bit = (values % U64(bits)).astype(np.int64) + owner * bits
+    flips = np.bincount(bit, minlength=count * bits) & 1
     packed = np.packbits(flips.astype(np.uint8), bitorder="little")
-    return packed.view(U64).reshape(len(samples), SKETCH_WORDS)
+    return packed.view(U64).reshape(count, bits // 64)
 
 
 def allowed_bits(percent: int = PERCENT) -> int:
@@ -162,8 +178,10 @@ def signed_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             bands, sketches = [None] * len(sizes), [None] * len(sizes)
             classes: list[bytes | None] = [None] * len(sizes)
             if len(full):
-                samples = samples_of(hashes, np.append(first[full], first[-1]))
-                made = bands_of(samples).view(np.int64), sketches_of(samples).view(np.int64)
+                begins = np.append(first[full], first[-1])
+                samples = samples_of(hashes, begins)
+                both = np.hstack([sketches_of(samples), set_sketches_of(hashes, begins)])
+                made = bands_of(samples).view(np.int64), both.view(np.int64)
                 for at, band, sketch in zip(full.tolist(), *made):
                     held = hashes[first[at] : first[at + 1]].tobytes()
                     classes[at] = hashlib.blake2b(held, digest_size=16).digest()
@@ -182,19 +200,32 @@ def signed_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return rows.mapInArrow(run, SIGNED.format(docs.schema["doc_id"].dataType.simpleString()))
 
 
-def _apart(left: str, right: str) -> Column:
-    """Bits in which two sketches differ."""
-    each = [
-        F.bit_count(F.col(f"{left}{i}").bitwiseXOR(F.col(f"{right}{i}")))
-        for i in range(SKETCH_WORDS)
-    ]
+def _apart(words: range) -> Column:
+    """Bits in which the sketches of a and b differ, in the words of that number."""
+    each = [F.bit_count(F.col(f"_a{i}").bitwiseXOR(F.col(f"_b{i}"))) for i in words]
     return sum(each[1:], each[0])
 
 
-def _sketched(classes: DataFrame, name: str, prefix: str) -> DataFrame:
-    """Classes under another name, with the words of their sketches as columns."""
-    words = [F.get("sketch", F.lit(i)).alias(f"{prefix}{i}") for i in range(SKETCH_WORDS)]
-    return classes.select(F.col("class").alias(name), *words)
+def _may_be_linked(percent: int) -> Column:
+    """Whether sketches of a and b allow a link.
+
+    Linked sets of together S shingles differ in at most (100 - percent) * S /
+    (100 + percent), and a sketch of all shingles in no more bits than that.
+    """
+    samples = _apart(range(SKETCH_WORDS)) <= allowed_bits(percent)
+    shingles = _apart(range(SKETCH_WORDS, SKETCH_WORDS + SET_WORDS))
+    total = F.col("_an") + F.col("_bn")
+    return samples & ((100 + percent) * shingles <= (100 - percent) * total)
+
+
+def _sketched(classes: DataFrame, name: str) -> DataFrame:
+    """Classes named a or b, with sizes and the words of their sketches as columns."""
+    words = [
+        F.get("sketch", F.lit(i)).alias(f"_{name}{i}") for i in range(SKETCH_WORDS + SET_WORDS)
+    ]
+    size = F.col("n_shingles").alias(f"_{name}n")
+    bands = F.col("bands").alias(f"_{name}bands")
+    return classes.select(F.col("class").alias(name), size, bands, *words)
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
@@ -246,10 +277,10 @@ def links(
 ) -> DataFrame:
     """Links (a, b) that hold together all classes that similar pairs hold together.
 
-    ``classes`` has class, bands, sketch and source (doc_id and text_key of a member).
+    ``classes`` has class, n_shingles, bands, sketch and source (doc_id and text_key of
+    a member).
     """
-    near = allowed_bits(percent)
-    rows = classes.select("class", F.explode("bands").alias("band"))
+    rows = classes.select("class", F.posexplode("bands").alias("place", "band"))
     shared = rows.groupBy("band").agg(F.min("class").alias("least"), F.max("class").alias("last"))
     shared = shared.where(F.col("least") != F.col("last")).select("band", "least")
     members = work.stored(rows.join(shared, "band"), "members")
@@ -258,17 +289,15 @@ def links(
     texts = work.stored(_texts(docs, held), "texts")
 
     def screened(pairs: DataFrame) -> DataFrame:
-        wide = pairs.join(_sketched(classes, "a", "_a"), "a").join(
-            _sketched(classes, "b", "_b"), "b"
-        )
-        return wide.where(_apart("_a", "_b") <= near).select("a", "b")
+        wide = pairs.join(_sketched(classes, "a"), "a").join(_sketched(classes, "b"), "b")
+        return wide.where(_may_be_linked(percent)).select("a", "b")
 
     stars = members.where(F.col("class") != F.col("least"))
     stars = stars.select(F.col("least").alias("a"), F.col("class").alias("b")).distinct()
     tried = work.stored(screened(stars), "pairs")
     found = work.stored(confirmed(tried, texts, percent, shingle), "links")
     for nearest in (True, False):
-        apart = _between(members, classes, components(found, work.stored), near)
+        apart = _between(members, classes, components(found, work.stored), percent)
         if nearest:
             best = F.min(F.struct("bits", "b")).alias("best")
             apart = apart.groupBy("a").agg(best).select("a", F.col("best.b").alias("b"))
@@ -279,26 +308,37 @@ def links(
     return found
 
 
-def _between(members: DataFrame, classes: DataFrame, roots: DataFrame, near: int) -> DataFrame:
+def _between(
+    members: DataFrame, classes: DataFrame, roots: DataFrame, percent: int
+) -> DataFrame:
     """Pairs of one bucket and different components that sketches let through, both ways.
 
-    Returns a, b and the bits they differ in. Buckets within one component have none
-    and are left out before classes meet.
+    Returns a, b and the bits they differ in, once for each way, at the first band
+    they agree in. Buckets within one component have none and are left out before
+    classes meet.
     """
     rooted = members.join(
         roots.select(F.col("vertex").alias("class"), "root"), "class", "left"
-    ).select("band", "class", F.coalesce("root", "class").alias("root"))
+    ).select("band", "place", "class", F.coalesce("root", "class").alias("root"))
     mixed_bands = rooted.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"))
     mixed_bands = mixed_bands.where(F.col("x") != F.col("y")).select("band")
-    rows = rooted.join(mixed_bands, "band").join(_sketched(classes, "class", "_s"), "class")
-    ends = []
-    for name in "ab":
-        words = [F.col(f"_s{i}").alias(f"_{name}{i}") for i in range(SKETCH_WORDS)]
-        ends.append(
-            rows.select("band", F.col("class").alias(name), F.col("root").alias(f"root_{name}"), *words)
-        )
-    met = ends[0].join(ends[1], "band").where(F.col("root_a") != F.col("root_b"))
-    return met.select("a", "b", _apart("_a", "_b").alias("bits")).where(F.col("bits") <= near)
+    rows = rooted.join(mixed_bands, "band")
+    ends = [
+        rows.select(
+            "band",
+            F.col("class").alias(x),
+            F.col("root").alias(f"root_{x}"),
+            F.col("place").alias(f"place_{x}"),
+        ).join(_sketched(classes, x), x)
+        for x in "ab"
+    ]
+    earlier = [F.slice(f"_{x}bands", 1, F.col(f"place_{x}")) for x in "ab"]
+    met = ends[0].join(ends[1], "band").where(
+        (F.col("root_a") != F.col("root_b"))
+        & _may_be_linked(percent)
+        & ~F.arrays_overlap(*earlier)
+    )
+    return met.select("a", "b", _apart(range(SKETCH_WORDS)).alias("bits"))
 
 
 def _classes(docs: DataFrame, percent: int, shingle: int, work: Scratch) -> DataFrame:
@@ -311,6 +351,7 @@ def _classes(docs: DataFrame, percent: int, shingle: int, work: Scratch) -> Data
         .agg(
             F.min("doc_id").alias("least"),
             F.min(member).alias("source"),
+            F.first("n_shingles").alias("n_shingles"),
             F.first("bands").alias("bands"),
             F.first("sketch").alias("sketch"),
         ),
