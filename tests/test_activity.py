@@ -1,5 +1,6 @@
 """Date lists, bit words, monthly arrays, growth accounting."""
 
+import random
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import datelist, growth, monthly
 from tidemark.sources.schemas import (
-    HOST_ACTIVITY_REDUCED,
+    HOST_ACTIVITY_CALENDAR,
     HOSTS_CUMULATED,
     USERS_CUMULATED,
     USERS_GROWTH_ACCOUNTING,
@@ -125,76 +126,121 @@ def test_bit_count_is_number_of_listed_days(frame):
     assert bits.join(sizes, "user_id").where("n != monthly_active").count() == 0
 
 
+COUNTS = "host string, date date, num_hits int, unique_users int"
+USER_HOST = ["user_id", "host"]
+
+
+def empty_calendar(spark):
+    return spark.createDataFrame([], HOST_ACTIVITY_CALENDAR.schema)
+
+
+def upserted(spark, calendar, changed):
+    """The calendar after an upsert, as a table of its own."""
+    merged = upsert_rows(calendar, changed, HOST_ACTIVITY_CALENDAR.key)
+    return spark.createDataFrame(merged.collect(), HOST_ACTIVITY_CALENDAR.schema)
+
+
+def stepped(spark, active, calendar, n):
+    """One day written from the snapshot of it."""
+    hosts = datelist.datelist_through(active, USER_HOST, "host_activity_datelist", day(n))
+    changed = monthly.write_days(calendar, monthly.host_day(hosts, day(n)), [day(n)])
+    return upserted(spark, calendar, changed)
+
+
 def test_month_arrays(spark, frame):
     events = frame(
         EVENTS,
         [event(1, 1, "a"), event(2, 1, "a"), event(1, 2, "a"), event(1, 2, "b"), event(3, 3, "c")],
     )
-    active = datelist.active_days(events, ["user_id", "host"])
-    dates = "host_activity_datelist"
-    reduced = spark.createDataFrame([], HOST_ACTIVITY_REDUCED.schema)
+    active = datelist.active_days(events, USER_HOST)
+    calendar = empty_calendar(spark)
     for n in (1, 2, 3):
-        hosts = datelist.datelist_through(active, ["user_id", "host"], dates, day(n))
-        reduced = monthly.reduce_month_step(reduced, hosts, day(n))
-    assert rows_of(reduced) == [
+        calendar = stepped(spark, active, calendar, n)
+    assert rows_of(monthly.month_arrays(calendar)) == [
         (1, "a", [0, 1, 2], [0, 1, 2]),
         (1, "b", [0, 1], [0, 1]),
         (1, "c", [1], [1]),
     ]
+    row = calendar.where("host = 'b'").first()
+    assert (row.month, row.days, row.hits[:4], len(row.hits)) == (202401, 6, [None, 1, 0, None], 31)
 
 
-@pytest.mark.parametrize("by_year", [False, True])
-def test_month_steps_equal_one_pass(spark, frame, by_year):
-    """Over the end of a month, and over the same month of two years."""
+def two_years(frame):
     days = [28, 29, 30, 33, 35, 60]
     visits = [event(u, n, h) for n in days for u, h in ((1, "a"), (n, "a"), (2, f"h{n % 3}"))]
-    again = [(u, d, h, m + timedelta(days=366)) for u, d, h, m in visits[-3:]]
-    for events, first, last in ((visits, 28, 36), (visits + again, 425, 427)):
-        active = datelist.active_days(frame(EVENTS, events), ["user_id", "host"]).cache()
-        stepped = monthly.reduce_months_through(active, day(first - 1), by_year)
-        for n in range(first, last + 1):
-            hosts = datelist.datelist_through(
-                active, ["user_id", "host"], "host_activity_datelist", day(n)
-            )
-            step = monthly.reduce_month_step(stepped, hosts, day(n), by_year)
-            merged = upsert_rows(stepped, step, HOST_ACTIVITY_REDUCED.key)
-            stepped = spark.createDataFrame(merged.collect(), HOST_ACTIVITY_REDUCED.schema)
-        whole = monthly.reduce_months_through(active, day(last), by_year)
-        assert rows_of(stepped) == rows_of(whole)
+    again = [(u, d, h, m + timedelta(days=366)) for u, d, h, m in visits[-9:]]
+    return datelist.active_days(frame(EVENTS, visits + again), USER_HOST).cache()
 
 
 @pytest.mark.parametrize("by_year", [False, True])
-def test_a_day_built_again_has_one_slot(spark, frame, by_year):
-    days = [1, 2, 4, 367, 368]
-    visits = [event(u, n, h) for n in days for u, h in ((1, "a"), (n, "a"), (2, f"h{n % 2}"))]
-    active = datelist.active_days(frame(EVENTS, visits), ["user_id", "host"]).cache()
-    for first, last in ((1, 5), (367, 369)):
-        reduced = monthly.reduce_months_through(active, day(first - 1), by_year)
-        for n in range(first, last + 1):
-            hosts = datelist.datelist_through(
-                active, ["user_id", "host"], "host_activity_datelist", day(n)
-            )
-            for _ in range(2):
-                step = monthly.reduce_month_step(reduced, hosts, day(n), by_year)
-                merged = upsert_rows(reduced, step, HOST_ACTIVITY_REDUCED.key)
-                reduced = spark.createDataFrame(merged.collect(), HOST_ACTIVITY_REDUCED.schema)
-        whole = monthly.reduce_months_through(active, day(last), by_year)
-        assert rows_of(reduced) == rows_of(whole)
-
-
-def test_month_arrays_keep_hosts_absent_today(frame):
-    prev = frame(
-        "month int, host string, hit_array array<int>, unique_visitors array<int>",
-        [(1, "gone", [4], [4]), (2, "other month", [1], [1])],
-    )
-    hosts = frame(
-        "user_id string, host string, date date, host_activity_datelist array<date>",
-        [("u", "new", day(2), [day(2)])],
+@pytest.mark.parametrize("first,last", [(28, 34), (425, 428)])
+def test_days_in_any_order_and_again_equal_one_pass(spark, frame, by_year, first, last):
+    """Over the end of a month, and over the same month of two years."""
+    active = two_years(frame)
+    start = monthly.calendar_through(active, day(first - 1), day(1))
+    start = spark.createDataFrame(start.collect(), HOST_ACTIVITY_CALENDAR.schema)
+    order = list(range(first, last + 1))
+    random.Random(first).shuffle(order)
+    calendar = start
+    for n in [*order, order[0], first, last]:
+        calendar = stepped(spark, active, calendar, n)
+    whole = monthly.calendar_through(active, day(last), day(1))
+    assert rows_of(calendar) == rows_of(whole)
+    got = monthly.month_arrays(calendar, by_year)
+    assert rows_of(got) == rows_of(monthly.month_arrays(whole, by_year))
+    months = {r.month for r in got.collect()}
+    assert min(months) > 202400 if by_year else max(months) <= 12
+    longest = max(len(r.hit_array) for r in got.collect())
+    assert longest > 31 if first == 425 and not by_year else longest <= 31
+
+
+def test_a_gap_stays_a_gap(spark, frame):
+    active = datelist.active_days(frame(EVENTS, [event(1, n, "a") for n in (1, 2, 3, 5)]), USER_HOST)
+    calendar = empty_calendar(spark)
+    for n in (1, 3, 3, 5, 1):
+        calendar = stepped(spark, active, calendar, n)
+    assert rows_of(monthly.month_arrays(calendar)) == [(1, "a", [1, 1, 1], [1, 1, 1])]
+    assert calendar.first().days == 0b10101
+    calendar = stepped(spark, active, calendar, 4)
+    assert rows_of(monthly.month_arrays(calendar)) == [(1, "a", [1, 0, 1, 1], [1, 1, 1, 1][:1] + [0, 1, 1])]
+
+
+def test_a_rewritten_day_takes_slots_back(spark, frame):
+    """A day told in full clears hosts it does not name; a part of a day does not."""
+    before = frame(COUNTS, [("a", day(1), 4, 3), ("b", day(1), 2, 2), ("b", day(2), 1, 1)])
+    calendar = spark.createDataFrame(
+        monthly.calendar_of(before).collect(), HOST_ACTIVITY_CALENDAR.schema
     )
-    assert rows_of(monthly.reduce_month_step(prev, hosts, day(2))) == [
-        (1, "gone", [4], [4]),
-        (1, "new", [1], [1]),
+    again = frame(COUNTS, [("a", day(1), 9, 8)])
+    part = monthly.write_days(calendar, again)
+    assert [r.host for r in part.collect()] == ["a"]
+    full = monthly.write_days(calendar, again, [day(1)])
+    assert sorted(r.host for r in full.collect()) == ["a", "b"]
+    assert rows_of(monthly.month_arrays(upserted(spark, calendar, full))) == [
+        (1, "a", [9], [8]),
+        (1, "b", [1], [1]),
     ]
+    # The last slot of a host can go; its row then has no arrays.
+    none = monthly.write_days(calendar, frame(COUNTS, []), [day(1), day(2)])
+    left = upserted(spark, calendar, none)
+    assert {r.days for r in left.collect()} == {0} and monthly.month_arrays(left).count() == 0
+
+
+def test_months_untouched_are_not_rewritten(frame):
+    calendar = monthly.calendar_of(
+        frame(COUNTS, [("a", day(1), 1, 1), ("a", day(40), 2, 2), ("gone", day(41), 3, 3)])
+    )
+    changed = monthly.write_days(calendar, frame(COUNTS, [("new", day(2), 5, 4)]), [day(2)])
+    assert [(r.month, r.host) for r in changed.collect()] == [(202401, "new")]
+
+
+@pytest.mark.parametrize("n", [1, 15, 31])
+def test_every_day_of_a_month_has_its_slot(frame, n):
+    row = monthly.calendar_of(frame(COUNTS, [("a", day(n), 7, 6)])).first()
+    assert row.days == 1 << n - 1
+    assert [i for i, x in enumerate(row.hits, 1) if x is not None] == [n]
+    again = monthly.month_arrays(monthly.calendar_of(frame(COUNTS, [("a", day(n), 7, 6)])))
+    assert rows_of(again) == [(1, "a", [7], [6])]
 
 
 @pytest.mark.parametrize("corrected", [False, True])

@@ -13,7 +13,8 @@ from tidemark.plans.flat import flat_dates
 from tidemark.sources import views
 from tidemark.sources.schemas import (
     DEVICE_HITS_DASHBOARD,
-    HOST_ACTIVITY_REDUCED,
+    HOST_ACTIVITY_CALENDAR,
+    HOST_DAYS,
     HOSTS_CUMULATED,
     USERS_CUMULATED,
     USERS_GROWTH_ACCOUNTING,
@@ -25,6 +26,10 @@ FIRST = date(2024, 1, 1)
 STEP = date(2024, 1, 5)
 MONTH_STEP = date(2024, 1, 3)
 LAST = date(2024, 1, 30)
+#: Days in the order they are written, with gaps, and the one written again.
+WRITTEN = [date(2024, 1, n) for n in (1, 2, 3, 5, 11, 4, 9)]
+REWRITTEN = date(2024, 1, 3)
+LATE_HOSTS = ("host0", "host3")
 LOGIN = "/api/v1/login"
 SIGNUP = "/signup"
 
@@ -84,22 +89,53 @@ def users_cumulated_daily(table: Reader) -> DataFrame:
     return store.result(flat_dates(store.read(USERS_CUMULATED, LAST)), USERS_CUMULATED)
 
 
+def _months_stored(store: BucketedStore) -> DataFrame:
+    """Arrays of the stored calendar; the store goes."""
+    arrays = monthly.month_arrays(store.read(HOST_ACTIVITY_CALENDAR))
+    return store.result(flat_dates(arrays), HOSTS_CUMULATED, HOST_ACTIVITY_CALENDAR, HOST_DAYS)
+
+
+def _write_day(store: BucketedStore, counts: DataFrame, day: date) -> None:
+    """Write or rewrite one day of the stored calendar."""
+    month = day.year * 100 + day.month
+    calendar = store.read(HOST_ACTIVITY_CALENDAR, month)
+    changed = monthly.write_days(calendar, counts, [day])
+    store.upsert(HOST_ACTIVITY_CALENDAR, changed, [month])
+
+
 def host_activity_daily(table: Reader) -> DataFrame:
-    """Monthly arrays of the month, by stored steps and an upsert per day."""
+    """Monthly arrays of the month, by stored steps and an upsert per day.
+
+    Events are scanned once, for the distinct users and hosts of each day.
+    """
     events = views.events_web(table)
     store = BucketedStore(events.sparkSession, new_folder(events.sparkSession), BUCKETS)
+    active = datelist.active_days(events, USER_HOST, FIRST, LAST)
+    store.replace(HOST_DAYS, active.withColumnRenamed("date_active", "date"), gather=True)
     for day in _days(LAST):
         prev = store.read(HOSTS_CUMULATED, day - timedelta(days=1))
-        today = datelist.active_days(events, USER_HOST, day, day)
+        today = store.read(HOST_DAYS, day).withColumnRenamed("date", "date_active")
         step = datelist.datelist_step(prev, today, USER_HOST, "host_activity_datelist")
         store.replace(HOSTS_CUMULATED, step)
-        hosts = store.read(HOSTS_CUMULATED, day)
-        month = store.read(HOST_ACTIVITY_REDUCED, day.month)
-        reduced = monthly.reduce_month_step(month, hosts, day)
-        store.upsert(HOST_ACTIVITY_REDUCED, reduced, [day.month])
-    return store.result(
-        flat_dates(store.read(HOST_ACTIVITY_REDUCED)), HOSTS_CUMULATED, HOST_ACTIVITY_REDUCED
-    )
+        _write_day(store, monthly.host_day(store.read(HOSTS_CUMULATED, day), day), day)
+    return _months_stored(store)
+
+
+def host_activity_rewritten(table: Reader) -> DataFrame:
+    """Days written out of order and past gaps; one again, once its late events came."""
+    events = views.events_web(table)
+    active = datelist.active_days(events, USER_HOST, last=max(WRITTEN))
+    noon = F.col("event_time") < F.lit(REWRITTEN) + F.expr("INTERVAL 12 HOURS")
+    late = (F.to_date("event_time") == F.lit(REWRITTEN)) & ~noon
+    early = datelist.active_days(events.where(~late), USER_HOST, last=max(WRITTEN))
+    store = BucketedStore(events.sparkSession, new_folder(events.sparkSession), BUCKETS)
+    for day in WRITTEN:
+        known = early if day == REWRITTEN else active
+        past = known.where(F.col("date_active") <= F.lit(day))
+        _write_day(store, monthly.host_days(past, [day]), day)
+    past = active.where(F.col("date_active") <= F.lit(REWRITTEN))
+    _write_day(store, monthly.host_days(past, [REWRITTEN]), REWRITTEN)
+    return _months_stored(store)
 
 
 def _bits(table: Reader, keep_today: bool) -> DataFrame:
@@ -132,21 +168,34 @@ def device_activity_bits_or(table: Reader) -> DataFrame:
     return _device_bits(table, "or")
 
 
-def _month_step(table: Reader) -> tuple[DataFrame, DataFrame]:
-    """Monthly arrays as of the day before, and the step of the day."""
-    day, before = MONTH_STEP, MONTH_STEP - timedelta(days=1)
-    active = datelist.active_days(views.events_web(table), USER_HOST, last=day)
-    prev = monthly.reduce_months_through(active, before)
-    hosts = datelist.datelist_through(active, USER_HOST, "host_activity_datelist", day)
-    return prev, monthly.reduce_month_step(prev, hosts, day)
+def _calendar_through(active: DataFrame, day: date) -> DataFrame:
+    return monthly.calendar_through(active, day, FIRST)
 
 
 def host_activity_reduced(table: Reader) -> DataFrame:
-    return flat_dates(_month_step(table)[1])
+    """Monthly arrays after one step from those of the day before."""
+    day, before = MONTH_STEP, MONTH_STEP - timedelta(days=1)
+    active = datelist.active_days(views.events_web(table), USER_HOST, last=day)
+    hosts = datelist.datelist_through(active, USER_HOST, "host_activity_datelist", day)
+    changed = monthly.write_days(
+        _calendar_through(active, before), monthly.host_day(hosts, day), [day]
+    )
+    return flat_dates(monthly.month_arrays(changed))
 
 
 def upsert_month(table: Reader) -> DataFrame:
-    return flat_dates(upsert_rows(*_month_step(table), HOST_ACTIVITY_REDUCED.key))
+    """Late events of some hosts on an earlier day, upserted; other hosts' rows are kept."""
+    day = MONTH_STEP - timedelta(days=1)
+    events = views.events_web(table)
+    late = (F.to_date("event_time") == F.lit(day)) & F.col("host").isin(*LATE_HOSTS)
+    known = F.coalesce(~late, F.lit(True))
+    early = datelist.active_days(events.where(known), USER_HOST, last=MONTH_STEP)
+    active = datelist.active_days(events, USER_HOST, last=day)
+    target = _calendar_through(early, MONTH_STEP)
+    counts = monthly.host_days(active.where(F.col("host").isin(*LATE_HOSTS)), [day])
+    changed = monthly.write_days(target, counts)
+    merged = upsert_rows(target, changed, HOST_ACTIVITY_CALENDAR.key)
+    return flat_dates(monthly.month_arrays(merged))
 
 
 def _active(table: Reader) -> DataFrame:
@@ -238,6 +287,7 @@ QUERIES = {
         hosts_cumulated,
         users_cumulated_daily,
         host_activity_daily,
+        host_activity_rewritten,
         activity_bits,
         activity_bits_corrected,
         device_activity_bits,

@@ -10,6 +10,7 @@ from tidemark.operators import cumulative, datelist, facts, graph, growth, month
 from tidemark.operators import scd, tracking
 from tidemark.operators.cumulative import ACTOR_HISTORY, PLAYER_HISTORY
 from tidemark.operators.scd import ACTOR_SCD, PLAYER_SCD
+from tidemark.plans.activity import FIRST as FIRST_DAY
 from tidemark.plans.activity import LAST as LAST_DAY
 from tidemark.plans.activity import USER, USER_BROWSER, USER_HOST
 from tidemark.sources import schemas, views
@@ -58,7 +59,10 @@ def _activity_tables(table: Reader) -> list[tuple[DataFrame, schemas.Table]]:
             schemas.USER_DEVICES_CUMULATED,
         ),
         (datelist.datelist_through(hosts, USER_HOST, dates, LAST_DAY), schemas.HOSTS_CUMULATED),
-        (monthly.reduce_months_through(hosts, LAST_DAY), schemas.HOST_ACTIVITY_REDUCED),
+        (
+            monthly.month_arrays(monthly.calendar_through(hosts, LAST_DAY, FIRST_DAY)),
+            schemas.HOST_ACTIVITY_REDUCED,
+        ),
         (growth.growth_backfill(users, LAST_DAY), schemas.USERS_GROWTH_ACCOUNTING),
     ]
 

@@ -155,6 +155,22 @@ HOST_ACTIVITY_REDUCED = Table(
     "month",
 )
 
+# Distinct users and hosts of a day, shaped once for all steps that read it.
+HOST_DAYS = Table(
+    "host_days",
+    _schema("user_id string, host string, date date"),
+    ("user_id", "host", "date"),
+    "date",
+)
+
+# Keeps host_activity_reduced with a slot for each calendar day.
+HOST_ACTIVITY_CALENDAR = Table(
+    "host_activity_calendar",
+    _schema("month int, host string, days int, hits ints, visitors ints"),
+    ("host", "month"),
+    "month",
+)
+
 USERS_GROWTH_ACCOUNTING = Table(
     "users_growth_accounting",
     _schema(
@@ -221,6 +237,7 @@ DECLARED = (
     USER_DEVICES_CUMULATED,
     HOSTS_CUMULATED,
     HOST_ACTIVITY_REDUCED,
+    HOST_ACTIVITY_CALENDAR,
     USERS_GROWTH_ACCOUNTING,
     FACT_GAME_DETAILS,
     VERTICES,
