@@ -1,10 +1,12 @@
+from datetime import date
+
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import clock_minutes, percent_change, ratio_or_whole
 from tidemark.operators import quality
-from tidemark.operators.facts import MEASURES, build_fact
+from tidemark.operators.facts import MEASURES, build_fact, fact_rows, merge_facts, shape_fact
 from tidemark.sources.schemas import DECLARED, PLAYERS_SCD
 
 
@@ -12,13 +14,13 @@ from tidemark.sources.schemas import DECLARED, PLAYERS_SCD
 def details(frame):
     measures = ", ".join(f"{m} int" for m in MEASURES)
     ddl = (
-        "game_id int, team_id int, player_id int, player_name string, start_position string, "
-        f"comment string, min string, {measures}"
+        "game_id int, team_id int, player_id int, team_abbreviation string, "
+        f"player_name string, start_position string, comment string, min string, {measures}"
     )
     n = len(MEASURES)
 
     def row(game, team, player, comment, clock, value):
-        return (game, team, player, f"p{player}", "G", comment, clock, *[value] * n)
+        return (game, team, player, f"T{team}", f"p{player}", "G", comment, clock, *[value] * n)
 
     return frame(
         ddl,
@@ -61,6 +63,26 @@ def test_fact(details, frame):
     assert both.m_minutes == pytest.approx(0.1)
 
 
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 0, 1, 0, 2), (1, 1, 2, 0)])
+def test_batches_in_any_order_and_again_equal_one_pass(spark, details, frame, order):
+    """Copies of a key lie in several batches, the one that is kept in the last or first."""
+    games = frame(
+        "game_id int, game_date_est date, season int, home_team_id int",
+        [(1, date(2000, 1, 31), 2000, 10), (2, None, 2001, 30)],
+    )
+    rows = details.collect()
+    batches = [
+        fact_rows(spark.createDataFrame(rows[i::3], details.schema), games) for i in range(3)
+    ]
+    stored = spark.createDataFrame([], batches[0].schema)
+    for i in order:
+        merged = merge_facts(stored, batches[i])
+        assert merged.columns == stored.columns
+        stored = spark.createDataFrame(merged.collect(), merged.schema)
+    assert rows_of(shape_fact(stored)) == rows_of(build_fact(details, games))
+    assert {r.month for r in stored.collect()} == {200001, 0}
+
+
 def test_clock_and_ratios(frame):
     clocks = frame("c string", [("1:30",), (None,), ("",), ("7",)])
     got = {r[0]: r[1] for r in clocks.select("c", clock_minutes(F.col("c"))).collect()}

@@ -120,11 +120,67 @@ def test_queries(frame):
             row(3, 1, 3, None),
         ],
     )
-    vertices = graph.player_vertices(details)
-    plays = graph.plays_in_edges(details)
-    pairs = graph.player_edges(details)
-    best = graph.best_game(vertices, plays.unionByName(pairs)).collect()
+    careers = graph.player_careers(details)
+    best = graph.best_game(careers, graph.player_games(details)).collect()
     # A player without points comes first, as nulls lead in descending order.
     assert [tuple(r) for r in best] == [("p003", None), ("p001", 30), ("p002", 4)]
-    stats = graph.pair_stats(vertices, plays.unionByName(pairs))
+    pairs = graph.meetings(graph.player_games(details, "player_name"))
+    stats = graph.pair_stats(careers, pairs)
     assert rows_of(stats) == [("p002", "1", 2.0, "4", "1"), ("p002", "1", 2.0, None, "1")]
+
+
+LOADS = "player_id int, game_id int, start_position string, pts int, team_id int, " \
+    "team_abbreviation string, player_name string"
+
+
+def pairs_of(rows):
+    return rows_of(rows, "subject_id", "object_id", "edge_type", *graph.SUMS)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_loads_in_any_order_and_again_equal_all_at_once(spark, frame, seed):
+    """Rows come in parts that cut through games; copies with other values among them."""
+    made = random.Random(seed)
+    rows = many_rows()
+    rows += [(*r[:6], made.choice([None, 1, 5, 9])) for r in made.sample(rows, 30)]
+    made.shuffle(rows)
+    parts = [rows[i::4] for i in range(4)] + [rows[1::4], rows[:20]]
+    stored, changes = frame(LOADS, []), None
+    for part in parts:
+        batch = graph.player_games(frame(DETAILS, part), "player_name")
+        before, after = graph.changed_games(stored, batch)
+        new = graph.pair_changes(before, after)
+        new = spark.createDataFrame(new.collect(), new.schema)
+        changes = new if changes is None else changes.unionByName(new)
+        kept = stored.join(after, ["player_id", "game_id"], "left_anti").unionByName(after)
+        stored = spark.createDataFrame(kept.select(*stored.columns).collect(), LOADS)
+    assert new.count() == 0
+    whole = graph.player_games(frame(DETAILS, rows), "player_name")
+    assert rows_of(stored) == rows_of(whole.select(*stored.columns))
+    assert pairs_of(graph.summed_pairs(changes)) == pairs_of(graph.meetings(whole))
+    got = [
+        (str(r.subject_id), str(r.object_id), r.edge_type, r.num_games, r.subject_points,
+         r.object_points)
+        for r in graph.summed_pairs(changes).collect()
+    ]
+    assert sorted(got, key=repr) == brute_pairs(rows)
+
+
+def test_a_load_pairs_its_own_games_only(frame):
+    """A stored game that a load does not name is not paired again."""
+    stored = frame(LOADS, [(p, 1, "G", 2, 1, "T1", f"p{p}") for p in range(5)])
+    batch = frame(LOADS, [(p, 2, "G", 3, 1, "T1", f"p{p}") for p in range(3)])
+    before, after = graph.changed_games(stored, batch)
+    assert before.count() == 0 and after.count() == 3
+    assert graph.pair_changes(before, after).count() == 3
+
+
+def test_a_pair_that_no_longer_met_goes(frame):
+    """A better row moves a player to the other team: the relation changes."""
+    one = frame(LOADS, [(1, 1, "G", 5, 1, "T1", "a"), (2, 1, "G", 5, 1, "T1", "b")])
+    batch = frame(LOADS, [(2, 1, "F", 7, 2, "T2", "b")])
+    none = frame(LOADS, [])
+    first = graph.pair_changes(none, graph.changed_games(none, one)[1])
+    second = graph.pair_changes(*graph.changed_games(one, batch))
+    (pair,) = graph.summed_pairs(first.unionByName(second)).collect()
+    assert (pair.edge_type, pair.num_games, pair.subject_points) == ("plays_against", 1, 7)

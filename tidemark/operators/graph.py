@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import json_field, json_fields, json_object, ratio_or_whole
+from tidemark.functions.scalars import any_of, json_object, ratio_or_whole
 from tidemark.operators.cubes import winner
 from tidemark.operators.quality import one_per_key
 
@@ -51,15 +51,19 @@ def without_names(details: DataFrame) -> DataFrame:
     return details.withColumn("player_name", F.lit(None).cast("string"))
 
 
-def player_vertices(details: DataFrame) -> DataFrame:
-    players = details.groupBy("player_id").agg(
+def player_careers(details: DataFrame) -> DataFrame:
+    """Games, points and teams of each player."""
+    return details.groupBy("player_id").agg(
         F.max("player_name").alias("player_name"),
         F.count(F.lit(1)).alias("number_of_games"),
         F.sum("pts").alias("total_points"),
         F.array_sort(F.collect_set("team_id")).alias("teams"),
     )
+
+
+def player_vertices(details: DataFrame) -> DataFrame:
     names = ("player_name", "number_of_games", "total_points", "teams")
-    return players.select(*_vertex("player", "player_id", *map(F.col, names)))
+    return player_careers(details).select(*_vertex("player", "player_id", *map(F.col, names)))
 
 
 def team_vertices(teams: DataFrame) -> DataFrame:
@@ -85,23 +89,33 @@ def player_games(details: DataFrame, *extra: str) -> DataFrame:
     return one_per_key(details.select(*keys, *EDGE_ORDER, *extra), keys, EDGE_ORDER)
 
 
-def plays_in_edges(details: DataFrame) -> DataFrame:
-    return player_games(details).select(
+def plays_in_of(played: DataFrame) -> DataFrame:
+    """Edges of rows with one player and game each."""
+    return played.select(
         *_edge("player_id", "game_id", "game", F.lit("plays_in"), *map(F.col, EDGE_ORDER))
     )
 
 
-def player_edges(details: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def plays_in_edges(details: DataFrame) -> DataFrame:
+    return plays_in_of(player_games(details))
+
+
+PAIR = ("subject_id", "object_id", "edge_type")
+SUMS = ("num_games", "subject_points", "object_points", "subject_known", "object_known")
+
+
+def meetings(played: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Each pair of players who met, once per relation, with games and points.
 
+    ``subject_known`` and ``object_known`` count games with points, so that sums can
+    be added and taken away again.
+
     The pairs are the result, so they must be made, but not by one task per game:
     a game with more than ``block_rows`` players is cut into blocks, and each
     pair of blocks is a join key of its own. Smaller games are one block, which
     is a plain join by game.
     """
-    seen = player_games(details, "player_name").select(
-        "game_id", "player_id", "player_name", "team_abbreviation", "pts"
-    )
+    seen = played.select("game_id", "player_id", "player_name", "team_abbreviation", "pts")
     large = (
         seen.groupBy("game_id")
         .agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("_blocks"))
@@ -125,7 +139,7 @@ def player_edges(details: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     )
     same_team = F.col("l.team_abbreviation") == F.col("r.team_abbreviation")
     relation = F.when(same_team, "shares_team").otherwise("plays_against")
-    pairs = met.groupBy(
+    return met.groupBy(
         F.col("l.player_id").alias("subject_id"),
         F.col("r.player_id").alias("object_id"),
         relation.alias("edge_type"),
@@ -133,44 +147,78 @@ def player_edges(details: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         F.count(F.lit(1)).alias("num_games"),
         F.sum("l.pts").alias("subject_points"),
         F.sum("r.pts").alias("object_points"),
+        F.count("l.pts").alias("subject_known"),
+        F.count("r.pts").alias("object_known"),
     )
-    names = ("num_games", "subject_points", "object_points")
+
+
+def pair_edges_of(pairs: DataFrame) -> DataFrame:
+    """Edges of summed pairs."""
     return pairs.select(
-        *_edge("subject_id", "object_id", "player", F.col("edge_type"), *map(F.col, names))
+        *_edge("subject_id", "object_id", "player", F.col("edge_type"), *map(F.col, SUMS[:3]))
     )
 
 
-def best_game(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+def player_edges(details: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    return pair_edges_of(meetings(player_games(details, "player_name"), block_rows))
+
+
+def changed_games(stored: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Players of the games in a batch, as stored and as they are with it.
+
+    Both inputs hold a player and game once, as ``player_games`` gives them.
+    """
+    games = batch.select("game_id").distinct()
+    before = stored.join(games, "game_id", "left_semi")
+    both = before.unionByName(batch.select(*before.columns))
+    return before, one_per_key(both, ["player_id", "game_id"], EDGE_ORDER)
+
+
+def pair_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """What pairs gain and lose when some games' players change.
+
+    New games are paired within themselves only; games that came before give back
+    what they gave. Pairs that nothing changes are left out.
+    """
+    lost = meetings(before).select(*PAIR, *[(-F.col(c)).alias(c) for c in SUMS])
+    sums = meetings(after).unionByName(lost).groupBy(*PAIR)
+    changes = sums.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in SUMS])
+    return changes.where(any_of([F.col(c) != 0 for c in SUMS]))
+
+
+def summed_pairs(changes: DataFrame) -> DataFrame:
+    """Pairs of all changes together; points are null where no game has any."""
+    sums = changes.groupBy(*PAIR).agg(*[F.sum(c).alias(c) for c in SUMS])
+    points = {
+        f"{x}_points": F.when(F.col(f"{x}_known") > 0, F.col(f"{x}_points"))
+        for x in ("subject", "object")
+    }
+    return sums.where(F.col("num_games") > 0).withColumns(points)
+
+
+def best_game(careers: DataFrame, played: DataFrame) -> DataFrame:
     """Most points of each player in one game.
 
-    Edges are reduced to one row per subject before they meet the vertices.
+    Games are reduced to one row per player before they meet the careers.
     """
-    subject = ["identifier", "type"]
-    best = edges.groupBy(
-        F.col("subject_identifier").alias("identifier"), F.col("subject_type").alias("type")
-    ).agg(F.max(json_field("properties", "pts", "int")).alias("max_points"))
+    best = played.groupBy("player_id").agg(F.max("pts").alias("max_points"))
     return (
-        vertices.join(best, subject)
-        .groupBy(json_field("properties", "player_name").alias("player_name"))
+        careers.join(best, "player_id")
+        .groupBy("player_name")
         .agg(F.max("max_points").alias("max_points"))
         .orderBy(F.desc_nulls_first("max_points"))
     )
 
 
-def pair_stats(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+def pair_stats(careers: DataFrame, pairs: DataFrame) -> DataFrame:
     """Each player's career average beside the statistics of each relation."""
-    names = ("player_name", "total_points", "number_of_games")
-    players = vertices.select(
-        F.col("identifier").alias("subject_identifier"),
-        F.col("type").alias("subject_type"),
-        json_fields("properties", *names),
-    ).withColumn("avg_points", ratio_or_whole(F.col("total_points"), F.col("number_of_games")))
-    met = edges.where(F.col("object_type") == "player").select(
-        "subject_identifier",
-        "subject_type",
-        "object_identifier",
-        json_fields("properties", "subject_points", "num_games"),
+    average = ratio_or_whole(F.col("total_points"), F.col("number_of_games"))
+    players = careers.select(
+        F.col("player_id").alias("subject_id"), "player_name", average.alias("avg_points")
     )
-    return met.join(players, ["subject_identifier", "subject_type"]).select(
-        "player_name", "object_identifier", "avg_points", "subject_points", "num_games"
+    return pairs.join(players, "subject_id").select(
+        "player_name",
+        F.col("object_id").cast("string").alias("object_identifier"),
+        "avg_points",
+        *[F.col(c).cast("string").alias(c) for c in ("subject_points", "num_games")],
     )

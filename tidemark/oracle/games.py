@@ -193,3 +193,6 @@ ORACLES = {
         "WHERE NOT list_contains(['A', 'N'], start_position)",
     ),
 }
+
+# The stored fact holds the same rows.
+ORACLES["fact_game_details_stored"] = ORACLES["fact_game_details"]

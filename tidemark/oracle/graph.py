@@ -99,5 +99,11 @@ ORACLES = {
     ),
 }
 
-# The stored table holds the same rows.
-ORACLES["edges_stored"] = ORACLES["plays_in_edges"]
+
+def _together(*names: str) -> str:
+    return " UNION ALL BY NAME ".join(f"SELECT * FROM ({ORACLES[name]})" for name in names)
+
+
+# The stored tables hold the rows of all kinds.
+ORACLES["edges_stored"] = _together("plays_in_edges", "player_pair_edges")
+ORACLES["vertices_stored"] = _together("game_vertices", "player_vertices", "team_vertices")

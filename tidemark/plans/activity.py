@@ -16,6 +16,7 @@ from tidemark.sources.schemas import (
     HOST_ACTIVITY_CALENDAR,
     HOST_DAYS,
     HOSTS_CUMULATED,
+    USER_DEVICES_CUMULATED,
     USERS_CUMULATED,
     USERS_GROWTH_ACCOUNTING,
 )
@@ -89,6 +90,21 @@ def users_cumulated_daily(table: Reader) -> DataFrame:
     return store.result(flat_dates(store.read(USERS_CUMULATED, LAST)), USERS_CUMULATED)
 
 
+def user_devices_daily(table: Reader) -> DataFrame:
+    """As user_devices_cumulated, by one stored step per day."""
+    browsers = _browsers(table, STEP)
+    store = BucketedStore(browsers.sparkSession, new_folder(browsers.sparkSession), BUCKETS)
+    dates = "device_activity_datelist"
+    for day in _days(STEP):
+        prev = store.read(USER_DEVICES_CUMULATED, day - timedelta(days=1))
+        today = datelist.active_days(browsers, USER_BROWSER, day, day)
+        store.replace(
+            USER_DEVICES_CUMULATED, datelist.datelist_step(prev, today, USER_BROWSER, dates)
+        )
+    found = flat_dates(store.read(USER_DEVICES_CUMULATED, STEP))
+    return store.result(found, USER_DEVICES_CUMULATED)
+
+
 def _months_stored(store: BucketedStore) -> DataFrame:
     """Arrays of the stored calendar; the store goes."""
     arrays = monthly.month_arrays(store.read(HOST_ACTIVITY_CALENDAR))
@@ -286,6 +302,7 @@ QUERIES = {
         user_devices_cumulated,
         hosts_cumulated,
         users_cumulated_daily,
+        user_devices_daily,
         host_activity_daily,
         host_activity_rewritten,
         activity_bits,

@@ -2,15 +2,33 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import json_fields
 from tidemark.operators import graph
 from tidemark.sources import views
-from tidemark.sources.schemas import EDGES
-from tidemark.sources.store import SnapshotStore, new_folder
+from tidemark.sources.schemas import EDGES, PAIR_CHANGES, PLAYER_GAMES, VERTICES
+from tidemark.sources.store import BucketedStore, SnapshotStore, new_folder
 from tidemark.sources.views import Reader
 
+#: Buckets of the stored tables: a fact of the tables, whatever the session.
+BUCKETS = 8
+#: Days that are loaded one at a time, after everything else.
+LOADED_DAYS = [date(1998, 3, 30), date(1998, 3, 31), date(1998, 4, 1)]
+
+VERTEX_FIELDS = (
+    *("pts_home", "pts_away", "winning_team"),
+    *("player_name", "number_of_games", "total_points", "teams"),
+    *("abbreviation", "nickname", "city", "arena", "year_founded"),
+)
+EDGE_FIELDS = (
+    *("start_position", "pts", "team_id", "team_abbreviation"),
+    *("num_games", "subject_points", "object_points"),
+)
+
 
 def _with_fields(rows: DataFrame, *fields: str) -> DataFrame:
     columns = [c for c in rows.columns if c != "properties"]
@@ -55,27 +73,78 @@ def player_pair_edges(table: Reader) -> DataFrame:
     return _with_fields(edges, "num_games", "subject_points", "object_points")
 
 
+def vertices_stored(table: Reader) -> DataFrame:
+    """All kinds of vertices kept as a table, and read back from it."""
+    vertices = (
+        graph.game_vertices(views.games(table))
+        .unionByName(graph.player_vertices(views.game_details(table)))
+        .unionByName(graph.team_vertices(views.teams(table)))
+    )
+    store = SnapshotStore(vertices.sparkSession, new_folder(vertices.sparkSession))
+    store.replace(VERTICES, vertices, gather=True)
+    return store.result(_with_fields(store.read(VERTICES), *VERTEX_FIELDS), VERTICES)
+
+
+def _load_games(store: BucketedStore, load: int, details: DataFrame, games: DataFrame) -> None:
+    """Bring the games of some rows into the store; a load again changes nothing.
+
+    Changes of pairs are written first: where a load stops in between, the same load
+    finds them again from players of games that are still as before.
+    """
+    month = F.coalesce(F.year("game_date_est") * 100 + F.month("game_date_est"), F.lit(0))
+    dated = games.select("game_id", month.alias("month"))
+    played = graph.player_games(details, "player_name").join(dated, "game_id")
+    months = [r.month for r in dated.select("month").distinct().collect()]
+    stored = store.read(PLAYER_GAMES).where(F.col("month").isin(months))
+    before, after = graph.changed_games(stored, played)
+    changes = graph.pair_changes(before, after).withColumn("load", F.lit(load))
+    store.replace(PAIR_CHANGES, changes, gather=True)
+    store.upsert(PLAYER_GAMES, after, months)
+
+
 def edges_stored(table: Reader) -> DataFrame:
-    """Both kinds of edges kept as a table; those of games, read back from it."""
-    plays = graph.plays_in_edges(views.game_details(table, names=False))
-    edges = plays.unionByName(graph.player_edges(views.game_details(table)))
-    store = SnapshotStore(edges.sparkSession, new_folder(edges.sparkSession))
-    store.replace(EDGES, edges, gather=True)
-    found = _with_fields(
-        store.read(EDGES, "plays_in"), "start_position", "pts", "team_id", "team_abbreviation"
+    """All kinds of edges, kept up to date load by load, stored, and read back.
+
+    The first load holds all games but those of a few days. These come one day at a
+    time and out of order; one comes with some of its players first and whole later,
+    and one comes twice.
+    """
+    details, games = views.game_details(table), views.games(table)
+    store = BucketedStore(details.sparkSession, new_folder(details.sparkSession), BUCKETS)
+    first, second, third = LOADED_DAYS
+    is_late = F.coalesce(F.col("game_date_est").isin(*LOADED_DAYS), F.lit(False))
+    loads = [(~is_late, None)] + [
+        (F.col("game_date_est") == F.lit(day), part)
+        for day, part in (
+            (third, None),
+            (first, F.col("player_id") % 2 == 0),
+            (second, None),
+            (first, None),
+            (third, None),
+        )
+    ]
+    for load, (days, part) in enumerate(loads):
+        chosen = games.where(days)
+        rows = details if part is None else details.where(part)
+        held = rows.join(chosen.select("game_id"), "game_id", "left_semi")
+        _load_games(store, load, held, chosen)
+    edges = graph.plays_in_of(store.read(PLAYER_GAMES)).unionByName(
+        graph.pair_edges_of(graph.summed_pairs(store.read(PAIR_CHANGES)))
     )
-    return store.result(found, EDGES)
+    store.replace(EDGES, edges)
+    found = _with_fields(store.read(EDGES), *EDGE_FIELDS)
+    return store.result(found, EDGES, PLAYER_GAMES, PAIR_CHANGES)
 
 
 def best_game(table: Reader) -> DataFrame:
-    vertices = graph.player_vertices(views.game_details(table))
-    edges = graph.plays_in_edges(views.game_details(table, names=False))
-    return graph.best_game(vertices, edges)
+    careers = graph.player_careers(views.game_details(table))
+    return graph.best_game(careers, graph.player_games(views.game_details(table, names=False)))
 
 
 def pair_stats(table: Reader) -> DataFrame:
     details = views.game_details(table)
-    return graph.pair_stats(graph.player_vertices(details), graph.player_edges(details))
+    pairs = graph.meetings(graph.player_games(details, "player_name"))
+    return graph.pair_stats(graph.player_careers(details), pairs)
 
 
 QUERIES = {
@@ -87,6 +156,7 @@ QUERIES = {
         vertex_counts,
         plays_in_edges,
         player_pair_edges,
+        vertices_stored,
         edges_stored,
         best_game,
         pair_stats,

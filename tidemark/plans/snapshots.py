@@ -9,7 +9,13 @@ from tidemark.operators import cumulative, scd, tracking
 from tidemark.operators.cumulative import ACTOR_HISTORY, PLAYER_HISTORY
 from tidemark.operators.scd import ACTOR_SCD, PLAYER_SCD
 from tidemark.sources import views
-from tidemark.sources.schemas import ACTORS, PLAYER_TRACKING, PLAYERS, PLAYERS_SCD
+from tidemark.sources.schemas import (
+    ACTOR_HISTORY_SCD,
+    ACTORS,
+    PLAYER_TRACKING,
+    PLAYERS,
+    PLAYERS_SCD,
+)
 from tidemark.sources.store import BucketedStore, new_folder
 from tidemark.sources.views import Reader
 
@@ -117,7 +123,19 @@ def scd2_step_players(table: Reader) -> DataFrame:
 
 
 def scd2_step_actors(table: Reader) -> DataFrame:
-    history = scd.scd2_build(_actors(table, BUILD, elements=False), ACTOR_SCD, BUILD)
+    return _step_actors(table, scd2_build_actors(table))
+
+
+def scd2_step_actors_stored(table: Reader) -> DataFrame:
+    """As scd2_step_actors, from the history stored and read back."""
+    history = scd2_build_actors(table)
+    store = BucketedStore(history.sparkSession, new_folder(history.sparkSession), BUCKETS)
+    store.replace(ACTOR_HISTORY_SCD, history)
+    found = _step_actors(table, store.read(ACTOR_HISTORY_SCD, BUILD).select(*history.columns))
+    return store.result(found, ACTOR_HISTORY_SCD)
+
+
+def _step_actors(table: Reader, history: DataFrame) -> DataFrame:
     snapshot = _actors(table, BUILD + 1, elements=False, only_end=True)
     return scd.scd2_step(
         history,
@@ -219,6 +237,7 @@ QUERIES = {
         scd2_build_actors,
         scd2_step_players,
         scd2_step_actors,
+        scd2_step_actors_stored,
         unnest_seasons,
         unnest_latest_seasons,
         season_bounds,

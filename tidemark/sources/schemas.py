@@ -195,6 +195,44 @@ FACT_GAME_DETAILS = Table(
     ("dim_game_date", "dim_player_id", "dim_team_id"),
 )
 
+# Rows of the fact with their grain, which batches are merged into.
+FACT_ROWS = Table(
+    "fact_rows",
+    _schema(
+        "game_id bigint, team_id int, player_id bigint, team_abbreviation string, "
+        "player_name string, start_position string, comment string, min string, pts int, "
+        "fgm int, fga int, fg3m int, fg3a int, ftm int, fta int, oreb int, dreb int, reb int, "
+        "ast int, stl int, blk int, turnovers int, pf int, plus_minus int, game_date_est date, "
+        "season int, home_team_id int, month int"
+    ),
+    ("game_id", "team_id", "player_id"),
+    "month",
+)
+
+# Players of games, and what each load changed in their pairs: edges are made of both.
+PLAYER_GAMES = Table(
+    "player_games",
+    _schema(
+        "player_id bigint, game_id bigint, start_position string, pts int, team_id int, "
+        "team_abbreviation string, player_name string, month int"
+    ),
+    ("player_id", "game_id"),
+    "month",
+    joined_on=("game_id",),
+)
+
+PAIR_CHANGES = Table(
+    "pair_changes",
+    _schema(
+        "subject_id bigint, object_id bigint, edge_type string, num_games bigint, "
+        "subject_points bigint, object_points bigint, subject_known bigint, "
+        "object_known bigint, load int"
+    ),
+    ("subject_id", "object_id", "edge_type", "load"),
+    "load",
+    {"edge_type": classify.EDGE_TYPES},
+)
+
 VERTICES = Table(
     "vertices",
     _schema("identifier string, type string, properties string"),
