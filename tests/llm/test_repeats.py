@@ -8,7 +8,14 @@ from corpus_cases import clashing, docs, no_docs, prose, rows, sample_rows, sort
 from tidemark.llm import chunks, suffix_dedup
 from tidemark.llm.line_dedup import repeated_lines, without_repeats
 from tidemark.llm.substring_dedup import remove_repeats
-from tidemark.llm.suffix_dedup import merged, remove_earlier, shared_prefixes
+from tidemark.llm.suffix_dedup import (
+    decoded,
+    front_coded,
+    merged,
+    remove_earlier,
+    run_size,
+    shared_prefixes,
+)
 
 
 def key_of(row):
@@ -120,6 +127,22 @@ def test_suffixes_of_a_small_alphabet(spark):
     assert sorted(got, key=repr) == brute_suffixes(rows)
 
 
+def test_runs_come_back_from_their_coding():
+    import numpy as np
+
+    made = np.random.default_rng(5)
+    for count in (0, 1, 200):
+        rows = made.integers(97, 99, (count, 12), dtype=np.uint8)
+        rows[:, -2], rows[:, -1] = 4, 6
+        order = np.lexsort(rows.T[::-1])
+        rows, ids = rows[order], made.integers(0, 99, count)
+        body = front_coded(rows, ids, 6)
+        assert run_size(body) == count
+        got, common, told = decoded(body, 6, 4)
+        assert (got == rows).all() and (told == ids).all()
+        assert (common == shared_prefixes(rows)).all()
+
+
 def test_merging_runs():
     import random
 
@@ -131,7 +154,8 @@ def test_merging_runs():
         for _ in range(11)
     ]
     tables = [np.array([list(x) for x in run], np.uint8).reshape(len(run), 9) for run in runs]
-    order, common = merged(runs, [shared_prefixes(t).tolist() for t in tables])
+    shared = np.concatenate([shared_prefixes(t) for t in tables]).astype(np.uint8)
+    order, common = merged(np.concatenate(tables), np.array([len(t) for t in tables]), shared)
     at = defaultdict(int)
     out = []
     for run in order:

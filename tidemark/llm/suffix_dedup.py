@@ -26,6 +26,7 @@ kept is bytes, as a cut may part a character.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -70,7 +71,7 @@ CHUNK_BYTES = 1 << 20
 #: hundred times as much.
 PART_BYTES = 1 << 18
 #: Bytes of text whose contexts make one range of the sort, about.
-RANGE_BYTES = 8 << 20
+RANGE_BYTES = 4 << 20
 #: Bytes of text that the ranges' bounds are taken from, about; rows drawn one by one.
 SAMPLE_BYTES = 4 << 20
 #: Contexts that reach the driver at most, whatever the rows drawn hold.
@@ -132,7 +133,8 @@ class Anchors:
         high = start[np.append(heads[1:], len(start)) - 1] if len(heads) else start
         place = place[heads]
         ids = self.ids[first:last][owner[place]]
-        return place + begin, low + begin, high + begin, ids, grams[place]
+        # Anchors are grams of small hashes: mixed again, they spread over all buckets.
+        return place + begin, low + begin, high + begin, ids, mixed(grams[place])
 
     def _distinct(self) -> None:
         """Sorted distinct grams, each anchor's, and those that two ids here hold."""
@@ -238,8 +240,14 @@ def front_coded(rows: np.ndarray, ids: np.ndarray, width: int) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(body)
 
 
+def run_size(body: bytes) -> int:
+    """Rows of a front-coded run, of which only the beginning is read."""
+    with zstandard.ZstdDecompressor().stream_reader(body) as reader:
+        return int(np.frombuffer(reader.read(8), "<i8")[0])
+
+
 def decoded(body: bytes, width: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows, common prefixes and ids of a front-coded run."""
+    """Rows, common prefixes (a byte each) and ids of a front-coded run."""
     body = zstandard.ZstdDecompressor().decompress(body)
     n = int(np.frombuffer(body, "<i8", 1)[0])
     common, before, after = np.frombuffer(body, np.uint8, 3 * n, 8).reshape(3, n)
@@ -257,22 +265,31 @@ def decoded(body: bytes, width: int, reach: int) -> tuple[np.ndarray, np.ndarray
     last = np.maximum.accumulate(np.where(own, np.arange(n)[:, None], 0), axis=0)
     rows[:, :-2] = np.take_along_axis(plain, last, axis=0)
     rows[:, -2], rows[:, -1] = before, after
-    return rows, common.astype(np.int64), ids
+    return rows, common, ids
 
 
-def merged(runs: list[list[bytes]], common: list[list[int]]) -> tuple[list[int], list[int]]:
+def merged(rows: np.ndarray, sizes: np.ndarray, shared: np.ndarray) -> tuple[array, array]:
     """Merge sorted runs: the run each output row comes from, and common prefixes.
 
+    ``rows`` has all runs one after another, of so many rows each, and ``shared`` each
+    row's common prefix with the one before it in its run. Only the head of a run is
+    held as a string of its own.
+
     A loser tree. Every contender carries what it shares with the row last written;
     the one that shares more comes first, and only a tie is settled by characters,
     from the shared prefix on.
     """
-    count = len(runs)
+    count = len(sizes)
     size = 1
     while size < count:
         size *= 2
-    at = [0] * size
-    head: list[bytes | None] = [runs[r][0] if r < count and runs[r] else None for r in range(size)]
+    length = rows.shape[1]
+    data, common = memoryview(rows.reshape(-1)), shared.tobytes()
+    ends = np.cumsum(sizes).tolist() + [0] * (size - count)
+    at = (np.cumsum(sizes) - sizes).tolist() + [0] * (size - count)
+    head: list[bytes | None] = [
+        bytes(data[a * length : (a + 1) * length]) if a < b else None for a, b in zip(at, ends)
+    ]
     share = [0 if x is not None else -1 for x in head]
     losers = [0] * size
 
@@ -304,15 +321,14 @@ def merged(runs: list[list[bytes]], common: list[list[int]]) -> tuple[list[int],
         return winner
 
     winner = build(1) if size > 1 else 0
-    order, prefixes = [], []
+    order, prefixes = array("i"), array("B")
     while head[winner] is not None:
         order.append(winner)
         prefixes.append(share[winner])
         k = at[winner] = at[winner] + 1
-        run = runs[winner]
-        if k < len(run):
-            head[winner] = run[k]
-            share[winner] = common[winner][k]
+        if k < ends[winner]:
+            head[winner] = bytes(data[k * length : (k + 1) * length])
+            share[winner] = common[k]
         else:
             head[winner] = None
             share[winner] = -1
@@ -364,25 +380,22 @@ def merge_ranges(runs: DataFrame, width: int, reach: int) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         order = pa.compute.sort_indices(table, sort_keys=[("chunk", "ascending")])
         table = table.take(order)
-        got = [decoded(x.as_py(), width, reach) for x in table.column("body")]
-        sizes = np.array([len(rows) for rows, _, _ in got])
+        bodies = [x.as_buffer() for x in table.column("body")]
+        sizes = np.array([run_size(body) for body in bodies])
         begin = np.cumsum(sizes) - sizes
-        rows = np.concatenate([x for x, _, _ in got])
-        ids = np.concatenate([x for _, _, x in got])
-        size = rows.shape[1]
-        whole = rows.tobytes()
-        names = [
-            [whole[size * i : size * (i + 1)] for i in range(a, a + n)]
-            for a, n in zip(begin.tolist(), sizes.tolist())
-        ]
-        from_run, common = merged(names, [x.tolist() for _, x, _ in got])
+        rows = np.empty((int(sizes.sum()), width + reach + 2), np.uint8)
+        shared, ids = np.empty(len(rows), np.uint8), np.empty(len(rows), np.int64)
+        for a, n, body in zip(begin.tolist(), sizes.tolist(), bodies):
+            rows[a : a + n], shared[a : a + n], ids[a : a + n] = decoded(body, width, reach)
+        from_run, common = merged(rows, sizes, shared)
         # Rows of a run come out in its order, and runs lie one after another.
         source = np.empty(len(from_run), np.int64)
-        source[np.argsort(np.array(from_run, np.int64), kind="stable")] = np.arange(len(from_run))
+        source[np.argsort(np.array(from_run), kind="stable")] = np.arange(len(from_run))
+        del from_run
+        # The sorted rows take the place of the runs.
+        rows, ids = rows[source], ids[source]
         verdicts = np.empty((len(rows), 2), np.uint8)
-        verdicts[source] = judged(
-            rows[source], np.array(common, np.int64), ids[source], width, reach
-        )
+        verdicts[source] = judged(rows, np.array(common), ids, width, reach)
         bodies = [verdicts[a : a + n].tobytes() for a, n in zip(begin, sizes)]
         return pa.table(
             {
