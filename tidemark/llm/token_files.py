@@ -27,6 +27,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,14 +35,15 @@ from tidemark.llm.common import keyed, prepare, scratch, slices
 
 END_ID = 2
 #: Distinct stretches whose ids a task keeps; beyond it the memory starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 #: A longer stretch is encoded but not kept.
 LONGEST_KEPT = 48
 #: Parts stretches encoded together; what holds it is encoded alone.
 MARK = "~"
-#: Words of letters that have one form only, and stops after one.
+#: Words of letters that have one form only, and stops after one: how they
+#: are set apart.
 WHOLE = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
-STOP = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ])([.,])(?=\\s|$)")
+STOP = ("([A-Za-zÀ-ÖØ-öø-ÿ])([.,!?;:#$%&*]+)(\\s|$)", "\\1 \\2\\3")
 WORD_END = "</w>"
 
 WRITER = {
@@ -149,21 +151,45 @@ class Encoder:
         for s, a, b in zip(stretches, (4 * begins).tolist(), (4 * ends).tolist()):
             self.known[s] = data[a:b]
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text, the end id last."""
-        # A stop after a letter begins a piece of its own, as if a space stood before.
-        parts = [STOP.sub(r"\1 \2", text or "").split(" ") for text in texts]
-        new = set().union(*parts).difference(self.known)
-        self._learn(list(new))
-        get, end = self.known.__getitem__, np.array([END_ID], np.int32).tobytes()
-        ids = [np.frombuffer(b"".join(map(get, part)) + end, np.int32) for part in parts]
+    def encode(self, texts: pa.Array) -> pa.ListArray:
+        """Ids of each text, the end id last.
+
+        Texts are split and their distinct stretches numbered in Arrow; only these are
+        looked up, and each one's ids are then taken wherever it is said.
+        """
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        # Stops after a letter are a piece of their own, as if a space stood before, and
+        # a line feed is white space like any other.
+        apart = pc.replace_substring(pc.replace_substring_regex(texts, *STOP), "\n", " ")
+        parts = pc.split_pattern(apart, " ")
+        said = parts.flatten().dictionary_encode()
+        first = np.zeros(len(texts) + 1, np.int64)
+        np.cumsum(parts.value_lengths().to_numpy(zero_copy_only=False), out=first[1:])
+        distinct = said.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [s for s in distinct if s not in self.known]
+        self._learn(new)
+        held = list(map(self.known.__getitem__, distinct))
+        ids = np.frombuffer(b"".join(held), np.int32)
+        sizes = np.array(list(map(len, held)), np.int64) // 4
+        begins = np.cumsum(sizes) - sizes
+        said = said.indices.to_numpy(zero_copy_only=False)
+        size = sizes[said]
+        ends = np.zeros(len(said) + 1, np.int64)
+        np.cumsum(size, out=ends[1:])
+        # Ids lie one after another, those of each text moved on by the end ids before.
+        source = np.arange(ends[-1]) + np.repeat(begins[said] - ends[:-1], size)
+        offsets = ends[first] + np.arange(len(first))
+        whole = np.full(offsets[-1], END_ID, np.int32)
+        inside = np.ones(len(whole), bool)
+        inside[offsets[1:] - 1] = False
+        whole[inside] = ids[source]
         for s in new:
             if len(s) > LONGEST_KEPT:
                 del self.known[s]
         if len(self.known) > self.remembered:
             # What came first is what comes often.
             self.known = dict(islice(self.known.items(), self.remembered // 2))
-        return ids
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(whole))
 
 
 @cache
@@ -181,17 +207,13 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str) -> str:
 
         encoder, part, start = _encoder(tokenizer), TaskContext.get().partitionId(), 0
         for batch in slices(batches):
-            ids = encoder.encode(batch.column("text").to_pylist())
-            sizes = np.array([len(x) for x in ids], np.int64)
+            lists = encoder.encode(batch.column("text"))
+            sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
             ends = np.cumsum(sizes)
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], ends]).astype(np.int32)),
-                pa.array(np.concatenate(ids)),
-            )
             yield pa.record_batch(
                 {
                     "doc_id": batch.column("doc_id"),
-                    "part": pa.array(np.full(len(ids), part, np.int32)),
+                    "part": pa.array(np.full(len(lists), part, np.int32)),
                     "start": pa.array(start + ends - sizes),
                     "n_tokens": pa.array(sizes),
                     "ids": lists,
