@@ -356,6 +356,48 @@ def test_classifier_without_two_classes(spark, docs, rows, no_docs):
     assert subword_classifier.scores(no_docs, model).count() == 0
 
 
+def test_the_sample_is_bounded(spark):
+    """By ids of each class, by one document an id, by bytes; whatever ids repeat."""
+    rows, labels = labelled(60)
+    rows += [(1, f"again {n}") for n in range(500)] + [(2, "x" * 3000), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    known = spark.createDataFrame(labels, "doc_id long, label int")
+    held = subword_classifier.sample(docs, known, 15).collect()
+    assert len({r.doc_id for r in held}) == len(held) == 30
+    assert sorted(r.label for r in held) == [0] * 15 + [1] * 15
+    few = subword_classifier.sample(docs, known, 15, 2000).collect()
+    assert 0 < sum(len(r.text) for r in few) <= 2000 and len(few) < 30
+    assert {r.doc_id for r in few} <= {r.doc_id for r in held}
+    long = [(i, t + " y" * (subword_classifier.LONGEST // 2)) for i, t in rows[:3]] + rows[3:60]
+    docs = spark.createDataFrame(long, "doc_id long, text string")
+    assert {r.doc_id for r in subword_classifier.sample(docs, known).collect()} == set(range(3, 60))
+    # Documents are read by as many tasks as they have, not by the one that learns.
+    plan = subword_classifier.fit(docs, known)._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" not in plan
+
+
+def test_classifier_query_on_the_given_labels(spark):
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    from tidemark.llm.queries import op7_subword_classifier
+
+    folder = "/root/testdata/sf0.01"
+    if not Path(folder).exists():
+        pytest.skip("no test data")
+    got = op7_subword_classifier(spark, folder).collect()
+    assert len(got) == pq.read_metadata(f"{folder}/documents.parquet").num_rows
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5)
+    labels = pq.read_table(f"{folder}/labels.parquet").to_pylist()
+    quality = {x["doc_id"]: x["quality"] for x in labels}
+    told = [(r.predicted, quality[r.doc_id]) for r in got if r.held_out and r.doc_id in quality]
+    assert len(told) > 80 and len({q for _, q in told}) == 2
+    assert sum(p == q for p, q in told) >= 0.93 * len(told)
+
+
 def test_empty_texts_have_a_score(spark):
     rows, labels = labelled(40)
     docs = spark.createDataFrame(rows + [(100, ""), (101, None)], "doc_id long, text string")

@@ -3,7 +3,7 @@
 A document is the mean of learned vectors of its words, word pairs and character
 n-grams, hashed into buckets; a softmax over two classes follows. The vectors are
 trained by numpy stochastic gradient descent on a bounded sample of labelled
-documents, in one task. What scoring needs of them is one number a bucket, sent to
+documents, in one task; the documents they are chosen from are read by all. What scoring needs of them is one number a bucket, sent to
 all tasks: its size is that of the buckets, whatever the input.
 
 Cases: a null or empty text has no features and gets the score of the bias alone;
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
@@ -38,6 +38,9 @@ SAMPLE_PER_CLASS = 1500
 BUCKET_BITS = 18
 DIMENSIONS = 8
 CHARACTERS = (3, 4, 5)
+#: Bytes of text learned from at most, and of one such text.
+SAMPLE_BYTES = 64 << 20
+LONGEST = 1 << 20
 #: Steps of training, one document each, the classes in turn.
 STEPS = 9000
 RATE = 0.1
@@ -64,9 +67,7 @@ def features(
     words = Rolling(data).hash(starts, ends)
     yield (words >> shift).astype(np.int64), first[:-1], first[1:]
     last = max(len(words) - 1, 0)
-    # A word and the next; a word said twice is a feature of its own, whatever word.
     pairs = mixed(words[:last] * U64(3) + words[1:])
-    pairs = np.where(words[:last] == words[1:], U64(0x5851F42D4C957F2D), pairs)
     yield (pairs >> shift).astype(np.int64), first[:-1], np.maximum(first[1:] - 1, first[:-1])
 
 
@@ -112,10 +113,18 @@ def score(data: np.ndarray, offsets: np.ndarray, weights: np.ndarray, bias: floa
     return 1 / (1 + np.exp(-(total / np.maximum(count, 1) + bias)))
 
 
-def sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
-    """Labelled documents to learn from, as many of each class at most.
+def sample(
+    docs: DataFrame,
+    labels: DataFrame,
+    per_class: int = SAMPLE_PER_CLASS,
+    sample_bytes: int = SAMPLE_BYTES,
+) -> DataFrame:
+    """Labelled documents to learn from, as many of each class and so many bytes at most.
 
-    ``labels`` has doc_id and label (0 or 1). Only ids are ordered and sent around.
+    ``labels`` has doc_id and label (0 or 1). Ids are chosen by their hash, one document
+    an id, none longer than ``LONGEST`` bytes; where all would be more than the bytes,
+    those of least hash. Texts are read by as many tasks as the documents have; only
+    what is chosen comes to one.
     """
     chosen = (
         labels.where("doc_id is not null and label is not null")
@@ -128,7 +137,15 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS
         for label in (0, 1)
     ]
     ids = least[0].unionByName(least[1])
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    rows = rows.where(size <= LONGEST)
+    # Of an id's documents the one of least text hash: no more rows are left than ids.
+    one = F.min(F.struct(F.xxhash64("text").alias("key"), "text")).alias("one")
+    rows = rows.groupBy("doc_id", "label", "place").agg(one)
+    rows = rows.select("doc_id", "label", "place", "one.text")
+    before = Window.orderBy("place", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("total", F.sum(size).over(before)).where(F.col("total") <= sample_bytes)
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
@@ -151,7 +168,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
             }
         )
 
-    return sample(docs, labels, per_class).coalesce(1).mapInArrow(run, MODEL)
+    # The running total leaves the sample, which is bounded, in one partition; an empty
+    # one has a partition as well.
+    return sample(docs, labels, per_class).repartition(1).mapInArrow(run, MODEL)
 
 
 def scores(docs: DataFrame, model: DataFrame) -> DataFrame:
