@@ -236,3 +236,4 @@ ORACLES["player_tracking_yearly"] = ORACLES["player_tracking"]
 # The stored table holds the same rows.
 ORACLES["actors_yearly"] = ORACLES["cumulative_actors_backfill"]
 ORACLES["scd2_step_actors_stored"] = ORACLES["scd2_step_actors"]
+ORACLES["actors_yearly_segments"] = ORACLES["cumulative_actors_backfill"]

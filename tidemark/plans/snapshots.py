@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import cumulative, scd, tracking
+from tidemark.operators import cumulative, scd, segments, tracking
 from tidemark.operators.cumulative import ACTOR_HISTORY, PLAYER_HISTORY
 from tidemark.operators.scd import ACTOR_SCD, PLAYER_SCD
 from tidemark.sources import views
 from tidemark.sources.schemas import (
+    ACTOR_HEADS,
     ACTOR_HISTORY_SCD,
+    ACTOR_SEGMENTS,
     ACTORS,
     PLAYER_TRACKING,
     PLAYERS,
@@ -26,6 +28,8 @@ LAST = 2001
 SPINE_END = 2002
 #: Buckets of the stored tables: a fact of the tables, whatever the session.
 BUCKETS = 8
+#: Films of a segment: few, so that the given actors have several.
+SEGMENT_FILMS = 4
 
 
 def _players(table: Reader, end: int = SPINE_END, **form: object) -> DataFrame:
@@ -225,10 +229,34 @@ def actors_yearly(table: Reader) -> DataFrame:
     return store.result(_flat_actors(store.read(ACTORS)), ACTORS)
 
 
+def _segments_yearly(table: Reader) -> BucketedStore:
+    """Films by stored steps: each year writes its heads and the segments it closes."""
+    films = views.actor_films(table)
+    store = BucketedStore(films.sparkSession, new_folder(films.sparkSession), BUCKETS)
+    for year in range(FIRST, LAST + 1):
+        today = films.where(F.col("year") == year).checkpoint()
+        heads, closed = segments.segment_step(
+            store.read(ACTOR_HEADS, year - 1), today, ACTOR_HISTORY, year, SEGMENT_FILMS
+        )
+        store.replace(ACTOR_SEGMENTS, closed)
+        store.replace(ACTOR_HEADS, heads)
+    return store
+
+
+def actors_yearly_segments(table: Reader) -> DataFrame:
+    """As cumulative_actors_backfill, from rows of a bounded size."""
+    store = _segments_yearly(table)
+    whole = segments.whole_histories(
+        store.read(ACTOR_HEADS), store.read(ACTOR_SEGMENTS), ACTOR_HISTORY
+    )
+    return store.result(_flat_actors(whole), ACTOR_HEADS, ACTOR_SEGMENTS)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         actors_yearly,
+        actors_yearly_segments,
         cumulative_players_step,
         cumulative_actors_step,
         cumulative_players_backfill,

@@ -78,6 +78,26 @@ ACTORS = Table(
     {"quality_class": classify.QUALITY_CLASSES},
 )
 
+# Snapshots of actors whose films stand in closed segments, but for the open ones.
+ACTOR_HEADS = Table(
+    "actor_heads",
+    _schema(
+        "actor string, actorid string, current_year int, is_active boolean, "
+        "films films, quality_class string, elements bigint"
+    ),
+    ("actorid", "actor", "current_year"),
+    "current_year",
+    {"quality_class": classify.QUALITY_CLASSES},
+)
+
+ACTOR_SEGMENTS = Table(
+    "actor_segments",
+    _schema("actorid string, actor string, segment int, films films, closed_in int"),
+    ("actorid", "actor", "segment"),
+    "closed_in",
+    joined_on=("actorid", "actor"),
+)
+
 ACTOR_HISTORY_SCD = Table(
     "actor_history_scd",
     _schema(
