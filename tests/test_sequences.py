@@ -198,3 +198,29 @@ def test_funnel_of_users_who_never_reach_the_target(frame):
     )
     got = sequences.funnel(df, URLS, URLS[1]).select("url", "user_count", "pct_converted")
     assert rows_of(got) == [("/login", 1, 1.0), ("/signup", 1, 0.0)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_streak_steps_equal_one_pass(spark, frame, seed):
+    """Days come in stretches, some players absent from some; runs cross their ends."""
+    rng = random.Random(seed)
+    rows = [
+        (rng.randrange(6), date(2024, 1, 1 + g // 20), g, rng.random() < 0.8, g // 20)
+        for g in range(400)
+    ]
+    rows += [(9, date(2024, 1, 1 + n), 1000 + n, True, n) for n in range(20)]
+    rows += [(10, date(2024, 1, 5), 2000, None, 4), (11, date(2024, 1, 5), 2001, False, 4)]
+    schema = "player int, day date, game int, hit boolean, part int"
+    cuts = sorted(rng.sample(range(1, 20), 4))
+    state = None
+    for low, high in zip([0, *cuts], [*cuts, 20]):
+        today = frame(schema, [r for r in rows if low <= r[4] < high])
+        part = sequences.run_summaries(today, "player", "day", "game", "hit")
+        state = part if state is None else sequences.extend_runs(state, part, "player")
+        plain = sequences.stored_runs(state, "player")
+        assert len(plain.columns) == 11
+        kept = spark.createDataFrame(plain.collect(), plain.schema)
+        state = sequences.runs_of_stored(kept, "player")
+        known = frame(schema, [r for r in rows if r[4] < high])
+        want = sequences.longest_streak(known, "player", "day", "game", "hit", top=None)
+        assert rows_of(sequences.streaks_of(state, "player", None)) == rows_of(want)

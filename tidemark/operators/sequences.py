@@ -76,10 +76,18 @@ def longest_streak(
 ) -> DataFrame:
     """Longest run of consecutive hits per key, in order of day and id.
 
-    Rows are unique by key and id; an unknown hit is a miss. Runs are summarised
-    per cell of a day, then per day, then per key; each level reads one row per
-    group of the level below, so the rows are shuffled once and no task sees all
-    rows of a key. Of equal runs the earliest is kept.
+    Rows are unique by key and id; an unknown hit is a miss. Of equal runs the
+    earliest is kept.
+    """
+    return streaks_of(run_summaries(rows, key, day, order_id, hit), key, top)
+
+
+def run_summaries(rows: DataFrame, key: str, day: str, order_id: str, hit: str) -> DataFrame:
+    """Summary of each key's runs of hits: misses, head, tail and best.
+
+    Runs are summarised per cell of a day, then per day, then per key; each level
+    reads one row per group of the level below, so the rows are shuffled once and no
+    task sees all rows of a key. A summary has one size, whatever it sums up.
     """
     cell = [key, "_day", "_cell"]
     so_far = (
@@ -114,6 +122,55 @@ def longest_streak(
     )
     for group, order in (([key, "_day"], "_cell"), ([key], "_day")):
         summaries = _merged_runs(summaries, group, order)
+    return summaries
+
+
+def extend_runs(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+    """Summaries over two stretches of time, the second wholly after the first.
+
+    A run that ends the one and begins the other is one run.
+    """
+    parts = before.select("*", F.lit(0).alias("_part")).unionByName(
+        after.select("*", F.lit(1).alias("_part"))
+    )
+    return _merged_runs(parts, [key], "_part")
+
+
+#: A summary's runs, and their fields as columns of a stored table.
+RUN_FIELDS = {
+    "head": ("length", "start", "end"),
+    "tail": ("length", "start", "end"),
+    "best": ("shortfall", "start", "end"),
+}
+
+
+def stored_runs(summaries: DataFrame, key: str) -> DataFrame:
+    """Summaries as plain columns."""
+    return summaries.select(
+        key,
+        "misses",
+        *[
+            F.col(f"{run}.{field}").alias(f"{run}_{field}")
+            for run, fields in RUN_FIELDS.items()
+            for field in fields
+        ],
+    )
+
+
+def runs_of_stored(stored: DataFrame, key: str) -> DataFrame:
+    """Summaries from plain columns."""
+    return stored.select(
+        key,
+        "misses",
+        *[
+            F.struct(*[F.col(f"{run}_{field}").alias(field) for field in fields]).alias(run)
+            for run, fields in RUN_FIELDS.items()
+        ],
+    )
+
+
+def streaks_of(summaries: DataFrame, key: str, top: int | None = 1) -> DataFrame:
+    """The longest run of each key's summary, or of all keys."""
     streaks = summaries.select(
         key,
         F.col("best.start").alias("streak_start_date"),

@@ -196,3 +196,4 @@ ORACLES = {
 
 # The stored fact holds the same rows.
 ORACLES["fact_game_details_stored"] = ORACLES["fact_game_details"]
+ORACLES["longest_streak_yearly"] = ORACLES["longest_streak"]

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from tidemark.operators import cubes, facts, quality, sequences
 from tidemark.plans.flat import flat_dates
 from tidemark.plans.graph import BUCKETS, LOADED_DAYS
+from tidemark.plans.snapshots import FIRST, LAST
 from tidemark.sources import views
-from tidemark.sources.schemas import FACT_GAME_DETAILS, FACT_ROWS
+from tidemark.sources.schemas import FACT_GAME_DETAILS, FACT_ROWS, STREAKS
 from tidemark.sources.store import BucketedStore, new_folder
 from tidemark.sources.views import Reader
 
@@ -95,18 +96,33 @@ def rolling_wins_corrected(table: Reader) -> DataFrame:
     return sequences.rolling_wins_of_games(views.games(table))
 
 
-def longest_streak(table: Reader) -> DataFrame:
+def _hits(details: DataFrame, games: DataFrame) -> DataFrame:
     """Of several rows of a player and game the one with most points counts."""
-    played = (
-        views.game_details(table, names=False)
-        .groupBy("player_id", "game_id")
-        .agg(F.max("pts").alias("pts"))
-    )
-    dated = played.join(views.games(table).select("game_id", "game_date_est"), "game_id")
-    hits = dated.withColumn("hit", F.coalesce(F.col("pts") > STREAK_POINTS, F.lit(False)))
-    return flat_dates(
-        sequences.longest_streak(hits, "player_id", "game_date_est", "game_id", "hit")
-    )
+    played = details.groupBy("player_id", "game_id").agg(F.max("pts").alias("pts"))
+    dated = played.join(games.select("game_id", "game_date_est", "season"), "game_id")
+    return dated.withColumn("hit", F.coalesce(F.col("pts") > STREAK_POINTS, F.lit(False)))
+
+
+STREAK = ("player_id", "game_date_est", "game_id", "hit")
+
+
+def longest_streak(table: Reader) -> DataFrame:
+    hits = _hits(views.game_details(table, names=False), views.games(table))
+    return flat_dates(sequences.longest_streak(hits, *STREAK))
+
+
+def longest_streak_yearly(table: Reader) -> DataFrame:
+    """As longest_streak, by one stored step per season; no earlier game is read again."""
+    hits = _hits(views.game_details(table, names=False), views.games(table)).checkpoint()
+    store = BucketedStore(hits.sparkSession, new_folder(hits.sparkSession), BUCKETS)
+    for season in range(FIRST, LAST + 1):
+        today = sequences.run_summaries(hits.where(F.col("season") == season), *STREAK)
+        before = sequences.runs_of_stored(store.read(STREAKS, season - 1), "player_id")
+        state = sequences.extend_runs(before, today, "player_id")
+        stored = sequences.stored_runs(state, "player_id")
+        store.replace(STREAKS, stored.withColumn("season", F.lit(season)))
+    last = sequences.runs_of_stored(store.read(STREAKS, LAST), "player_id")
+    return store.result(flat_dates(sequences.streaks_of(last, "player_id")), STREAKS)
 
 
 def period_range(table: Reader) -> DataFrame:
@@ -149,6 +165,7 @@ QUERIES = {
         rolling_wins,
         rolling_wins_corrected,
         longest_streak,
+        longest_streak_yearly,
         period_range,
         distinct_rows,
         players_with_prefix,

@@ -253,6 +253,18 @@ PAIR_CHANGES = Table(
     {"edge_type": classify.EDGE_TYPES},
 )
 
+# What is known of each player's runs of games as of a season, in one size.
+STREAKS = Table(
+    "streaks",
+    _schema(
+        "player_id bigint, misses bigint, head_length bigint, head_start date, head_end date, "
+        "tail_length bigint, tail_start date, tail_end date, best_shortfall bigint, "
+        "best_start date, best_end date, season int"
+    ),
+    ("player_id", "season"),
+    "season",
+)
+
 VERTICES = Table(
     "vertices",
     _schema("identifier string, type string, properties string"),
