@@ -18,6 +18,9 @@ from tidemark.llm.suffix_dedup import (
 )
 
 
+DOC = "doc_id long, text string"
+
+
 def key_of(row):
     return (row[0] is not None, row[0] or 0)
 
@@ -127,6 +130,19 @@ def test_suffixes_of_a_small_alphabet(spark):
     assert sorted(got, key=repr) == brute_suffixes(rows)
 
 
+def test_many_lines_of_which_many_go(spark):
+    """Work follows the lines: 200,000 of them, most removed from the second document."""
+    import time
+
+    text = "\n".join(f"line {n} of a long document" for n in range(200_000))
+    docs = spark.createDataFrame([(1, text), (2, "own\n" + text + "\nown too")], DOC)
+    begin = time.time()
+    found = {r.doc_id: r for r in repeated_lines(docs).collect()}
+    assert found[1].n_removed == 0 and found[1].text == text
+    assert found[2].n_removed == 200_000 and found[2].text == "own\nown too"
+    assert time.time() - begin < 60
+
+
 def test_runs_come_back_from_their_coding():
     import numpy as np
 

@@ -70,9 +70,19 @@ def covered_lines(docs: DataFrame, width: int = LINES) -> DataFrame:
 
 
 def _kept(text: str) -> Column:
-    """The text without the lines numbered in ``gone``; unchanged if there are none."""
-    lines = F.filter(_lines(text), lambda _, i: ~F.array_contains("gone", i))
-    return F.when(F.size("gone") == 0, F.col(text)).otherwise(F.array_join(lines, "\n"))
+    """The text without the lines numbered in ``gone``; unchanged if there are none.
+
+    Lines are told by place from an array that is split once, so the work follows the
+    lines, however many go.
+    """
+    lines = _lines(text)
+    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
+    held = F.array(F.struct(lines.alias("lines"), places.alias("places")))
+    kept = F.get(
+        F.transform(held, lambda s: F.transform(s["places"], lambda i: F.get(s["lines"], i))),
+        F.lit(0),
+    )
+    return F.when(F.size("gone") == 0, F.col(text)).otherwise(F.array_join(kept, "\n"))
 
 
 def _marked(docs: DataFrame, width: int) -> tuple[DataFrame, dict[str, str]]:
