@@ -99,14 +99,14 @@ def brute_contamination(text, items, width=13):
                 if held[j : j + size] == window:
                     hit |= set(range(j, j + size))
                     found.add(name)
-    return len(held), len(hit), sorted(found)
+    return len(held), len(hit), sorted(found, key=lambda name: (name is None, name or ""))
 
 
 @pytest.mark.parametrize("block_bytes", [1 << 25, 400])
 def test_contamination(spark, docs, rows, block_bytes):
     bench = spark.createDataFrame(BENCHMARK, "item_id long, text string")
     items = [
-        ("" if i is None else str(i), BENCH_WORD.findall(lower(text))) for i, text in BENCHMARK
+        (None if i is None else str(i), BENCH_WORD.findall(lower(text))) for i, text in BENCHMARK
     ]
     found = contamination(docs, bench, block_bytes=block_bytes)
     got = [(r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in found.collect()]
@@ -116,6 +116,15 @@ def test_contamination(spark, docs, rows, block_bytes):
     assert longest[2] == (60, "1", 0) and longest[1] == (60, "1", 30) and longest[5][0] == 0
 
 
+def test_an_item_without_an_id_is_not_one_of_an_empty_id(spark):
+    texts = [prose(70, 20), prose(71, 20)]
+    bench = spark.createDataFrame([(None, texts[0]), ("", texts[1])], "item_id string, text string")
+    docs = spark.createDataFrame([(1, " ".join(texts)), (2, texts[0])], "doc_id long, text string")
+    for block_bytes in (1 << 25, 10):
+        found = {r.doc_id: r for r in contamination(docs, bench, block_bytes=block_bytes).collect()}
+        assert list(found[1]["items"]) == ["", None] and list(found[2]["items"]) == [None]
+
+
 def test_clean_documents(spark, clashing, docs, no_docs):
     bench = spark.createDataFrame(BENCHMARK, "item_id long, text string")
     bad = sorted_rows(contamination(docs, bench).where(contaminated()), "doc_id")

@@ -12,7 +12,7 @@ is ``width`` consecutive words of an item; an item of fewer words is one window.
 
 Cases: a null or empty text has no words, so nothing in it is hit and an item
 without words has no window; null and repeated ids are judged row by row; items of
-one id are one item, null being an id of its own; tables may be empty; other
+one id are one item, null being an id of its own, last among those found; tables may be empty; other
 columns are left behind by ``contamination`` and kept by ``clean_documents``.
 """
 
@@ -83,7 +83,7 @@ def _key(symbols: np.ndarray) -> np.ndarray:
 class Queries:
     """The suffixes of benchmark items that begin a window."""
 
-    def __init__(self, names: list[str], column: pa.Array, width: int) -> None:
+    def __init__(self, names: list[str | None], column: pa.Array, width: int) -> None:
         words, first = _words(column)
         sizes = np.diff(first)
         owner = owner_of(first)
@@ -277,7 +277,7 @@ def _search(batch: pa.RecordBatch, queries: Queries) -> pa.RecordBatch:
 def _blocks(benchmark: DataFrame, width: int, block_bytes: int) -> Iterator[Queries]:
     """The benchmark's suffixes, a block of items at a time."""
     names, texts, size = [], [], 0
-    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")), "text")
+    rows = benchmark.select(F.col("item_id").cast("string"), "text")
     for name, text in rows.toLocalIterator():
         names.append(name)
         texts.append(text)
