@@ -337,6 +337,23 @@ def test_personal_data(docs, clashing, no_docs, rows):
     assert personal_data(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("white", [" ", "\t", "\n", " \n"])
+def test_long_white_space_beside_every_hint(white):
+    """Work follows the text: a run of white space is looked at from its beginning only."""
+    import time
+
+    run = white * 150_000
+    hints = ["\u0458", "[at]", "[", "(dot", " dot ", "one two", "plus one", "john at", "a dot", "@"]
+    begin = time.time()
+    for hint in hints:
+        for text in (hint + run, run + hint, "x" + run + hint + run + hint):
+            spans_of(text)
+    assert time.time() - begin < 20
+    disguised = f"write{white * 3000}to john{white}[at]{white * 2000}example (dot) com now"
+    (found,) = spans_of(disguised)
+    assert disguised[found[1] : found[1] + 4] == "john"
+
+
 def labelled(n):
     texts = [prose(i, 60) for i in range(n)]
     texts = [t.upper().replace(" ", "!! ") if i % 3 == 0 else t for i, t in enumerate(texts)]

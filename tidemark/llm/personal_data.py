@@ -61,7 +61,8 @@ PLAIN |= dict.fromkeys(UNSEEN, "")
 
 _ODD = "[" + "".join(map(re.escape, PLAIN)) + "]"
 _NUMBER = "(?:" + "|".join(DIGIT_WORDS) + ")"
-_OPEN, _SHUT = r"\s*[\[({<]\s*", r"\s*[\])}>]\s*"
+# A run of white space is tried from its beginning only, and never a part of it.
+_OPEN, _SHUT = r"(?:(?<!\s)\s++)?[\[({<]\s*+", r"\s*+[\])}>]\s*+"
 _NAME = r"[A-Za-z0-9][A-Za-z0-9-]*"
 #: Last names that make an address of words around a spoken "at".
 TOP_NAMES = (
@@ -91,7 +92,7 @@ ODD = re.compile(_ODD)
 BRACKETED = re.compile(f"{_OPEN}(?:(?P<at>at|@)|(?P<dot>dot|\\.)){_SHUT}", re.I)
 #: An at between a local part and a domain, and a spoken dot between two names.
 AT = re.compile(rf"(?<=[A-Za-z0-9._%+-])@(?={_NAME})|(?<=[A-Za-z0-9_])\s+at\s+(?={_NAME})", re.I)
-DOT = re.compile(r"\s+dot\s+", re.I)
+DOT = re.compile(r"(?<!\s)\s++dot\s++", re.I)
 LOCAL_DOT = re.compile(r"(?<=[A-Za-z0-9_])\s+dot\s+(?=[A-Za-z0-9_%+-])", re.I)
 DOMAIN_NAME = re.compile(_NAME)
 NUMBERS = re.compile(
