@@ -55,19 +55,22 @@ def scd2_build(snapshots: DataFrame, s: Scd, as_of: int, null_safe: bool = False
     per period, so a window spans at most the number of periods. A null alone is
     no change unless ``null_safe``.
     """
-    w = Window.partitionBy(s.key).orderBy(s.period)
     known = snapshots.where(F.col(s.period) <= as_of).select(
-        s.key, *s.carry, *s.tracked, s.period
-    )
-    before = known.select(
-        "*", *[F.lag(c).over(w).alias(f"_prev_{c}") for c in s.tracked]
+        s.key, *s.carry, *s.tracked, F.col(s.period).alias(s.start), F.col(s.period).alias(s.end)
     )
+    return versions_of(known, s, as_of, null_safe)
+
+
+def versions_of(spans: DataFrame, s: Scd, as_of: int, null_safe: bool) -> DataFrame:
+    """History of disjoint spans of equal values, each of one period or more."""
+    w = Window.partitionBy(s.key).orderBy(s.start)
+    before = spans.select("*", *[F.lag(c).over(w).alias(f"_prev_{c}") for c in s.tracked])
     changed = any_of([_differs(F.col(c), F.col(f"_prev_{c}"), null_safe) for c in s.tracked])
     flagged = before.withColumn("_changed", F.when(changed, 1).otherwise(0))
     streaks = flagged.withColumn("_streak", F.sum("_changed").over(w))
     return (
         streaks.groupBy(s.key, *s.carry, *s.tracked, "_streak")
-        .agg(F.min(s.period).alias(s.start), F.max(s.period).alias(s.end))
+        .agg(F.min(s.start).alias(s.start), F.max(s.end).alias(s.end))
         .withColumn(s.period, F.lit(as_of))
         .select(*s.columns)
     )

@@ -48,6 +48,32 @@ class SnapshotStore:
         self.spark = spark
         self.folder = folder.rstrip("/")
 
+    @property
+    def _layout(self) -> str:
+        return f"{self.folder}/layout"
+
+    def _agreed(self, what: str, asked: int | None) -> int:
+        """The number stored beside the tables, or the one asked for in a new folder."""
+        try:
+            rows = self.spark.read.schema(f"{what} int").json(self._layout).collect()
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+            rows = []
+        stored = rows[0][what] if rows else None
+        if stored is None and asked is None:
+            raise ValueError(f"{self.folder} is new: say how many {what} its tables shall have")
+        if None not in (stored, asked) and stored != asked:
+            raise ValueError(f"tables in {self.folder} have {stored} {what}, not {asked}")
+        self._is_told = stored is not None
+        return stored or asked
+
+    def _tell(self, what: str, number: int) -> None:
+        if not self._is_told:
+            told = self.spark.createDataFrame([(number,)], f"{what} int")
+            told.coalesce(1).write.json(self._layout)
+            self._is_told = True
+
     def path(self, table: Table) -> str:
         return f"{self.folder}/{table.name}"
 
@@ -164,32 +190,7 @@ class BucketedStore(SnapshotStore):
         super().__init__(spark, folder)
         # For the whole session: an insert replaces the periods it holds, no others.
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        stored = self._stored_buckets()
-        if stored is None and buckets is None:
-            raise ValueError(f"{folder} is new: say how many buckets its tables shall have")
-        if None not in (stored, buckets) and stored != buckets:
-            raise ValueError(f"tables in {folder} have {stored} buckets, not {buckets}")
-        self.buckets = stored or buckets
-        self._is_told = stored is not None
-
-    @property
-    def _layout(self) -> str:
-        return f"{self.folder}/layout"
-
-    def _stored_buckets(self) -> int | None:
-        try:
-            rows = self.spark.read.schema("buckets int").json(self._layout).collect()
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            return None
-        return rows[0].buckets if rows else None
-
-    def _tell_buckets(self) -> None:
-        if not self._is_told:
-            told = self.spark.createDataFrame([(self.buckets,)], "buckets int")
-            told.coalesce(1).write.json(self._layout)
-            self._is_told = True
+        self.buckets = self._agreed("buckets", buckets)
 
     def table_name(self, table: Table) -> str:
         """Name in the catalog, of the whole path, so that no two folders share one."""
@@ -223,7 +224,7 @@ class BucketedStore(SnapshotStore):
         if table.period is None:
             super()._write(table, rows)
             return
-        self._tell_buckets()
+        self._tell("buckets", self.buckets)
         name = self._open(table)
         # Inserting takes columns by position, in the table's own order.
         rows.select(*self.spark.table(name).columns).write.insertInto(name, overwrite=True)
