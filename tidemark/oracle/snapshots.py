@@ -201,6 +201,7 @@ ORACLES = {
     "scd2_build_actors": _actor_history(BUILD, "last_period"),
     "scd2_step_players": _player_history(BUILD + 1),
     "scd2_step_actors": _actor_history(BUILD + 1, KEPT_END),
+    "scd2_players_any_order": _player_history(LAST),
     "unnest_seasons": with_inputs(
         ["player_seasons"],
         [_spine("player_seasons", "player_name", "season", SPINE_END)],
@@ -231,6 +232,8 @@ ORACLES = {
 }
 
 # The stored yearly steps hold the same states.
+ORACLES["player_tracking_repaired"] = ORACLES["player_tracking"]
+ORACLES["scd2_players_repaired"] = ORACLES["scd2_players_any_order"]
 ORACLES["player_tracking_yearly"] = ORACLES["player_tracking"]
 
 # The stored table holds the same rows.

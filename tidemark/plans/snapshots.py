@@ -5,20 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import cumulative, scd, segments, tracking
+from tidemark.operators import cumulative, late, scd, segments, tracking
 from tidemark.operators.cumulative import ACTOR_HISTORY, PLAYER_HISTORY
 from tidemark.operators.scd import ACTOR_SCD, PLAYER_SCD
 from tidemark.sources import views
+from tidemark.sources.repair import Derived, RepairedTables
 from tidemark.sources.schemas import (
     ACTOR_HEADS,
     ACTOR_HISTORY_SCD,
     ACTOR_SEGMENTS,
     ACTORS,
+    PLAYER_COVERS,
+    PLAYER_SEASONS,
     PLAYER_TRACKING,
     PLAYERS,
     PLAYERS_SCD,
+    Table,
 )
-from tidemark.sources.store import BucketedStore, new_folder
+from tidemark.sources.store import BucketedStore, ShelfStore, new_folder, shelved
 from tidemark.sources.views import Reader
 
 FIRST = 1995
@@ -28,6 +32,13 @@ LAST = 2001
 SPINE_END = 2002
 #: Buckets of the stored tables: a fact of the tables, whatever the session.
 BUCKETS = 8
+#: Shelves of the tables that take late and corrected periods.
+SHELVES = 8
+#: Order that seasons come in, one of them again, and the one that is wrong at first.
+COMING = (1999, 1996, 2001, 1995, 2000, 1998, 1997, 1996)
+WRONG = 1996
+#: Season whose facts are corrected, and the country whose players lacked it.
+CORRECTED, LACKING = 1997, "3"
 #: Films of a segment: few, so that the given actors have several.
 SEGMENT_FILMS = 4
 
@@ -218,6 +229,76 @@ def player_tracking_yearly(table: Reader) -> DataFrame:
     return store.result(store.read(PLAYER_TRACKING), PLAYERS, PLAYERS_SCD, PLAYER_TRACKING)
 
 
+def scd2_players_any_order(table: Reader) -> DataFrame:
+    """As scd2_build_players up to LAST, from seasons spliced in one by one, in no order."""
+    classed = _classed(table, LAST).checkpoint()
+    spark, covers = classed.sparkSession, shelved(PLAYER_COVERS)
+    store = ShelfStore(spark, new_folder(spark), SHELVES)
+    for n, season in enumerate(COMING):
+        told = classed.where(F.col("current_season") == season)
+        if season == WRONG and season in COMING[n + 1 :]:
+            told = told.withColumns(
+                {"scoring_class": F.lit("bad"), "is_active": ~F.col("is_active")}
+            )
+        told = store.on_shelves(told, "player_name")
+        shelves = store.touched(told)
+        spans = late.splice(store.read_shelves(covers, shelves), told, PLAYER_SCD)
+        store.rewrite(covers, store.on_shelves(spans, "player_name"), shelves)
+    return store.result(late.history_of(store.read(covers), PLAYER_SCD, LAST), covers)
+
+
+def _player_tables(store: ShelfStore) -> RepairedTables:
+    """Snapshots, history and states up to LAST, each made from those before it."""
+    facts, players, history, states = (
+        shelved(t) for t in (PLAYER_SEASONS, PLAYERS, PLAYERS_SCD, PLAYER_TRACKING)
+    )
+
+    def snapshots(made: dict[str, DataFrame]) -> DataFrame:
+        rows = made[facts.name].drop("shelf")
+        return cumulative.cumulate_backfill(rows, PLAYER_HISTORY, LAST, attributes="latest")
+
+    def versions(made: dict[str, DataFrame]) -> DataFrame:
+        return scd.scd2_build(made[players.name], PLAYER_SCD, LAST)
+
+    def tracked(made: dict[str, DataFrame]) -> DataFrame:
+        seasons = tracking.tracked_seasons(made[players.name], made[history.name])
+        return tracking.track_state_through(seasons)
+
+    derived = [Derived(players, snapshots), Derived(history, versions), Derived(states, tracked)]
+    return RepairedTables(store, "player_name", facts, derived)
+
+
+def _repaired(table: Reader) -> tuple[ShelfStore, list[Table]]:
+    """Players loaded with a wrong season, a missing and a made-up one, then put right."""
+    facts = views.player_seasons(table).checkpoint()
+    spark = facts.sparkSession
+    store = ShelfStore(spark, new_folder(spark), SHELVES)
+    tables = _player_tables(store)
+    past, in_it = F.col("country") == LACKING, F.col("season") == CORRECTED
+    wrong = facts.where(~(past & in_it)).withColumn(
+        "pts", F.when(in_it, F.col("pts") + 9).otherwise(F.col("pts"))
+    )
+    made_up = facts.where(F.col("season") == FIRST).withColumn("season", F.lit(FIRST - 1))
+    tables.correct(wrong.unionByName(made_up))
+    right = facts.where(in_it).withColumn("withdrawn", F.lit(False))
+    tables.correct(right.unionByName(made_up.withColumn("withdrawn", F.lit(True))))
+    return store, [tables.facts, *[d.table for d in tables.derived]]
+
+
+def player_tracking_repaired(table: Reader) -> DataFrame:
+    """As player_tracking, after corrections of stored past seasons."""
+    store, tables = _repaired(table)
+    states = store.read(tables[-1]).select(*PLAYER_TRACKING.schema.names)
+    return store.result(states, *tables)
+
+
+def scd2_players_repaired(table: Reader) -> DataFrame:
+    """As scd2_build_players up to LAST, after corrections of stored past seasons."""
+    store, tables = _repaired(table)
+    history = store.read(tables[-2]).select(*PLAYERS_SCD.schema.names)
+    return store.result(history, *tables)
+
+
 def actors_yearly(table: Reader) -> DataFrame:
     """As cumulative_actors_backfill, by one stored step per year."""
     films = views.actor_films(table)
@@ -274,5 +355,8 @@ QUERIES = {
         player_tracking_corrected,
         player_tracking_step,
         player_tracking_yearly,
+        player_tracking_repaired,
+        scd2_players_any_order,
+        scd2_players_repaired,
     )
 }

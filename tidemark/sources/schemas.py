@@ -110,6 +110,17 @@ ACTOR_HISTORY_SCD = Table(
     ("actorid",),
 )
 
+PLAYER_SEASONS = Table(
+    "player_seasons",
+    _schema(
+        "player_name string, season int, height string, college string, country string, "
+        "draft_year string, draft_number string, draft_round string, gp int, pts double, "
+        "reb double, ast double"
+    ),
+    ("player_name", "season"),
+    "season",
+)
+
 PLAYERS = Table(
     "players",
     _schema(
@@ -135,6 +146,17 @@ PLAYERS_SCD = Table(
     ("player_name",),
 )
 
+# Spans of consecutive seasons with equal values, which late seasons are spliced into.
+PLAYER_COVERS = Table(
+    "player_covers",
+    _schema(
+        "player_name string, scoring_class string, is_active boolean, "
+        "start_season int, end_season int"
+    ),
+    ("player_name", "start_season"),
+    domains={"scoring_class": classify.SCORING_CLASSES},
+)
+
 PLAYER_TRACKING = Table(
     "player_tracking",
     _schema(

@@ -10,11 +10,13 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Sequence
+from dataclasses import replace
 from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark.functions.scalars import all_of
 from tidemark.session import shared_folder
@@ -233,3 +235,53 @@ class BucketedStore(SnapshotStore):
         """Remove a table's name in the catalog and its files."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.table_name(table)}")
         super().drop(table)
+
+
+def shelved(table: Table) -> Table:
+    """The table with its keys dealt onto shelves, which it is partitioned by.
+
+    All periods of a key stand on one shelf, so a change of a key's past rewrites
+    that shelf and leaves the files of all others.
+    """
+    schema = StructType([*table.schema.fields, StructField("shelf", IntegerType())])
+    return replace(
+        table, name=f"{table.name}_shelved", schema=schema, period="shelf", joined_on=()
+    )
+
+
+class ShelfStore(SnapshotStore):
+    """Shelved tables: keys dealt by hash onto a fixed number of shelves.
+
+    Choose ``shelves`` so that a shelf fits a few tasks; like the number of buckets it
+    is stored beside the tables and another one is refused. Numbers of shelves, never
+    keys, come to the driver.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, shelves: int | None = None) -> None:
+        super().__init__(spark, folder)
+        self.shelves = self._agreed("shelves", shelves)
+
+    def on_shelves(self, rows: DataFrame, key: str) -> DataFrame:
+        """Rows with the shelf of their key; those of no key have one too."""
+        return rows.withColumn(
+            "shelf", F.pmod(F.xxhash64(F.col(key)), F.lit(self.shelves)).cast("int")
+        )
+
+    def touched(self, rows: DataFrame) -> list[int]:
+        """Shelves that the rows stand on, as many as there are shelves at most."""
+        return sorted(r.shelf for r in rows.select("shelf").distinct().collect())
+
+    def read_shelves(self, table: Table, shelves: Sequence[int]) -> DataFrame:
+        """Rows of some shelves; files of the others are not listed for reading."""
+        return self._rows(table).where(F.col("shelf").isin(list(shelves)))
+
+    def rewrite(self, table: Table, rows: DataFrame, shelves: Sequence[int]) -> None:
+        """Put rows in place of all that stands on the shelves; no other is touched."""
+        self._tell("shelves", self.shelves)
+        rows = rows.checkpoint()
+        held = set(self.touched(rows))
+        if not held <= set(shelves):
+            raise ValueError(f"rows of {table.name} stand on shelves that were not named")
+        self.replace(table, rows, gather=True)
+        for shelf in set(shelves) - held:
+            _remove(self.spark, f"{self.path(table)}/shelf={shelf}")
