@@ -1,0 +1,53 @@
+"""Stored rolling windows against one pass over all games."""
+
+import random
+from datetime import date, timedelta
+
+import pytest
+from conftest import rows_of
+
+from tidemark.operators import sequences
+from tidemark.sources.schemas import TEAM_WINDOWS
+
+GAMES = (
+    "game_id bigint, game_date_est date, home_team_id int, visitor_team_id int, home_team_wins int"
+)
+
+
+def drawn(seed, days=8, games=60):
+    made = random.Random(seed)
+    start = date(2000, 1, 1)
+    rows = []
+    for g in range(games):
+        home, visitor = made.sample([1, 2, 3, None], 2)
+        day = start + timedelta(made.randrange(days))
+        rows.append((g, day, home, visitor, made.choice([0, 1, None])))
+    # A team that plays early only, and a game without a date.
+    return rows + [(900, start, 9, 1, 1), (901, None, 1, 2, 1)]
+
+
+def stepped(spark, frame, rows, n, cuts):
+    state = spark.createDataFrame([], TEAM_WINDOWS.schema)
+    for low, high in cuts:
+        today = [r for r in rows if low <= (r[1] or date(2000, 1, 1)) < high]
+        step = sequences.window_step(state, frame(GAMES, today), n)
+        state = spark.createDataFrame(step.collect(), step.schema)
+    return state
+
+
+@pytest.mark.parametrize("slice_rows", [1 << 17, 4])
+@pytest.mark.parametrize("n", [1, 2, 5, 90])
+def test_steps_equal_one_pass(spark, frame, monkeypatch, n, slice_rows):
+    monkeypatch.setattr(sequences, "SLICE_ROWS", slice_rows)
+    rows = drawn(n)
+    first = date(2000, 1, 1)
+    days = [first + timedelta(d) for d in (0, 1, 3, 3, 4, 20)]
+    state = stepped(spark, frame, rows, n, list(zip(days, days[1:])))
+    want = sequences.rolling_wins_of_games(frame(GAMES, rows), n, None)
+    assert rows_of(sequences.top_windows(state, None)) == rows_of(want)
+    assert all(len(r.ring) <= n - 1 for r in state.collect())
+
+
+def test_nothing_at_all(spark, frame):
+    none = spark.createDataFrame([], TEAM_WINDOWS.schema)
+    assert sequences.window_step(none, frame(GAMES, [])).count() == 0

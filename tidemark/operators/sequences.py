@@ -15,6 +15,10 @@ from tidemark.operators.ordered import id_cell, totals_before
 SLICE_ROWS = 1 << 17
 
 
+def _most_wins() -> list[Column]:
+    return [F.desc("most_wins"), F.asc("team_id")]
+
+
 def rolling_wins(games: DataFrame, n: int = 90, top: int | None = 1) -> DataFrame:
     """Most wins in a row window of ``n`` per team, as defined over won games only.
 
@@ -24,7 +28,7 @@ def rolling_wins(games: DataFrame, n: int = 90, top: int | None = 1) -> DataFram
     wins = games.groupBy(winner().alias("team_id")).agg(
         F.least(F.count(F.lit(1)), F.lit(n)).alias("most_wins")
     )
-    return _top(wins, [F.desc("most_wins"), F.asc("team_id")], top)
+    return _top(wins, _most_wins(), top)
 
 
 def rolling_wins_of_games(games: DataFrame, n: int = 90, top: int | None = 1) -> DataFrame:
@@ -33,6 +37,11 @@ def rolling_wins_of_games(games: DataFrame, n: int = 90, top: int | None = 1) ->
     Games are ranked by date and id through cells, then cut into slices that
     overlap by ``n - 1`` rows, so a team with many games takes many tasks.
     """
+    return _top(_best_rolling(_ranked_outcomes(games), n), _most_wins(), top)
+
+
+def _ranked_outcomes(games: DataFrame) -> DataFrame:
+    """Each team's games, won or lost, numbered from 0 by date and id."""
     home_won = F.coalesce(F.col("home_team_wins") == 1, F.lit(False))
     sides = F.array(
         F.struct(F.col("home_team_id").alias("team_id"), home_won.alias("won")),
@@ -49,10 +58,13 @@ def rolling_wins_of_games(games: DataFrame, n: int = 90, top: int | None = 1) ->
     p, o = played.withColumn("_rank", in_cell).alias("p"), offsets.alias("o")
     # Games without a date come before all others.
     same = all_of([F.col(f"p.{c}").eqNullSafe(F.col(f"o.{c}")) for c in cell])
-    ranked = p.join(o, same).select(
+    return p.join(o, same).select(
         "p.team_id", "p.won", (F.col("o._before") + F.col("p._rank") - 1).alias("_rank")
     )
 
+
+def _best_rolling(ranked: DataFrame, n: int) -> DataFrame:
+    """Most wins of each team within ``n`` consecutive ranks."""
     size = max(SLICE_ROWS, n)
     own = F.floor(F.col("_rank") / size)
     near_end = F.col("_rank") % size > size - n
@@ -63,12 +75,56 @@ def rolling_wins_of_games(games: DataFrame, n: int = 90, top: int | None = 1) ->
     )
     w = Window.partitionBy("team_id", "_slice").orderBy("_rank").rowsBetween(-(n - 1), 0)
     rolling = sliced.withColumn("_wins", F.sum(F.col("won").cast("int")).over(w))
-    best = (
+    return (
         rolling.where(F.col("_slice") == F.col("_own"))
         .groupBy("team_id")
         .agg(F.max("_wins").alias("most_wins"))
     )
-    return _top(best, [F.desc("most_wins"), F.asc("team_id")], top)
+
+
+def window_step(state: DataFrame, games: DataFrame, n: int = 90) -> DataFrame:
+    """Teams' rolling windows after more games, all later than those before.
+
+    The state is a row a team: ``ring``, the last ``n - 1`` outcomes, oldest first, and
+    ``most_wins`` of any ``n`` consecutive games so far. A window that ends in the new
+    games begins in the ring at the earliest, so no earlier game is read again and the
+    state does not grow. Games of one step may be any number; a team without any keeps
+    its row. Games without a date belong to the first step.
+    """
+    told = state.select("team_id", "ring", "most_wins").alias("s")
+    old = told.select("team_id", F.posexplode("ring").alias("_rank", "won"))
+    new = _ranked_outcomes(games).alias("g")
+    mine = F.col("g.team_id").eqNullSafe(F.col("s.team_id"))
+    held = F.coalesce(F.size("s.ring"), F.lit(0))
+    after = new.join(told, mine, "left").select(
+        "g.team_id", (F.col("g._rank") + held).alias("_rank"), "g.won"
+    )
+    every = old.select("team_id", F.col("_rank").cast("long"), "won").unionByName(after)
+    best = _best_rolling(every, n).alias("b")
+    ends = every.groupBy("team_id").agg(F.max("_rank").alias("_end")).alias("e")
+    row = every.alias("r")
+    newest = row.join(ends, F.col("r.team_id").eqNullSafe(F.col("e.team_id"))).where(
+        F.col("r._rank") > F.col("e._end") - (n - 1)
+    )
+    # A group has n - 1 outcomes at most.
+    rings = newest.groupBy("r.team_id").agg(
+        F.sort_array(F.collect_list(F.struct("r._rank", "r.won"))).alias("_ring")
+    ).alias("t")
+    joined = told.join(best, F.col("s.team_id").eqNullSafe(F.col("b.team_id")), "full_outer")
+    team = F.coalesce("b.team_id", "s.team_id").alias("team_id")
+    most = F.greatest("s.most_wins", "b.most_wins").alias("most_wins")
+    teams = joined.select(team, most).alias("m")
+    none = F.array().cast("array<boolean>")
+    return teams.join(rings, F.col("m.team_id").eqNullSafe(F.col("t.team_id")), "left").select(
+        "m.team_id",
+        F.coalesce(F.transform("t._ring", lambda r: r["won"]), none).alias("ring"),
+        "m.most_wins",
+    )
+
+
+def top_windows(state: DataFrame, top: int | None = 1) -> DataFrame:
+    """What ``rolling_wins_of_games`` gives for all games of the steps."""
+    return _top(state.select("team_id", "most_wins"), _most_wins(), top)
 
 
 def longest_streak(

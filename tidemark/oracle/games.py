@@ -196,4 +196,6 @@ ORACLES = {
 
 # The stored fact holds the same rows.
 ORACLES["fact_game_details_stored"] = ORACLES["fact_game_details"]
+ORACLES["duplicate_keys_appended"] = ORACLES["duplicate_keys"]
+ORACLES["rolling_wins_yearly"] = ORACLES["rolling_wins_corrected"]
 ORACLES["longest_streak_yearly"] = ORACLES["longest_streak"]

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from tidemark.operators import cubes, facts, quality, sequences
 from tidemark.plans.flat import flat_dates
 from tidemark.plans.graph import BUCKETS, LOADED_DAYS
-from tidemark.plans.snapshots import FIRST, LAST
+from tidemark.plans.snapshots import FIRST, LAST, SHELVES
 from tidemark.sources import views
-from tidemark.sources.schemas import FACT_GAME_DETAILS, FACT_ROWS, STREAKS
-from tidemark.sources.store import BucketedStore, new_folder
+from tidemark.sources.appends import AppendAudit
+from tidemark.sources.schemas import FACT_GAME_DETAILS, FACT_ROWS, STREAKS, TEAM_WINDOWS
+from tidemark.sources.store import BucketedStore, ShelfStore, new_folder
 from tidemark.sources.views import Reader
 
 STREAK_POINTS = 10
@@ -45,6 +46,23 @@ def duplicate_keys(table: Reader) -> DataFrame:
     return quality.duplicate_keys(views.game_details(table, names=False), facts.GRAIN)
 
 
+def duplicate_keys_appended(table: Reader) -> DataFrame:
+    """As duplicate_keys, by appends: all games but those of a few days, then these days
+    one at a time and one of them twice."""
+    details = views.game_details(table, names=False).select(*facts.GRAIN)
+    day = F.col("game_date_est")
+    dated = details.join(views.games(table).select("game_id", day), "game_id").checkpoint()
+    spark = dated.sparkSession
+    audit = AppendAudit(ShelfStore(spark, new_folder(spark), SHELVES), FACT_ROWS)
+    late = F.coalesce(day.isin(*LOADED_DAYS), F.lit(False))
+    audit.append(dated.where(~late), 0)
+    first, second, third = LOADED_DAYS
+    for load, one in ((3, third), (1, first), (2, second), (1, first)):
+        audit.append(dated.where(day == F.lit(one)), load)
+    broken = audit.violations().where(F.col("n_rows") > 1).drop("has_null")
+    return audit.store.result(broken, *audit.tables)
+
+
 def actor_name_audit(table: Reader) -> DataFrame:
     return quality.name_audit(views.actor_films(table), "actorid", "actor")
 
@@ -96,6 +114,18 @@ def rolling_wins_corrected(table: Reader) -> DataFrame:
     return sequences.rolling_wins_of_games(views.games(table))
 
 
+def rolling_wins_yearly(table: Reader) -> DataFrame:
+    """As rolling_wins_corrected, by one stored step per season; no game is read again."""
+    games = views.games(table).checkpoint()
+    store = BucketedStore(games.sparkSession, new_folder(games.sparkSession), BUCKETS)
+    for season in range(FIRST, LAST + 1):
+        today = games.where(F.col("season") == season)
+        state = sequences.window_step(store.read(TEAM_WINDOWS, season - 1), today)
+        store.replace(TEAM_WINDOWS, state.withColumn("season", F.lit(season)))
+    best = sequences.top_windows(store.read(TEAM_WINDOWS, LAST))
+    return store.result(best, TEAM_WINDOWS)
+
+
 def _hits(details: DataFrame, games: DataFrame) -> DataFrame:
     """Of several rows of a player and game the one with most points counts."""
     played = details.groupBy("player_id", "game_id").agg(F.max("pts").alias("pts"))
@@ -153,6 +183,7 @@ QUERIES = {
         fact_game_details,
         fact_game_details_stored,
         duplicate_keys,
+        duplicate_keys_appended,
         actor_name_audit,
         actor_name_audit_corrected,
         actor_film_pairs,
@@ -164,6 +195,7 @@ QUERIES = {
         team_wins_corrected,
         rolling_wins,
         rolling_wins_corrected,
+        rolling_wins_yearly,
         longest_streak,
         longest_streak_yearly,
         period_range,

@@ -36,6 +36,7 @@ TYPES = {
     "boolean": T.BooleanType(),
     "date": T.DateType(),
     "dates": T.ArrayType(T.DateType()),
+    "booleans": T.ArrayType(T.BooleanType()),
     "ints": T.ArrayType(T.IntegerType()),
     "films": T.ArrayType(FILM),
     "seasons": T.ArrayType(SEASON_STATS),
@@ -287,6 +288,19 @@ STREAKS = Table(
     "season",
 )
 
+# Last outcomes of each team as of a season, and the most wins of a window so far.
+TEAM_WINDOWS = Table(
+    "team_windows",
+    _schema("team_id int, ring booleans, most_wins bigint, season int"),
+    ("team_id", "season"),
+    "season",
+)
+
+# Shelves that each load of an audited table has rows of keys on.
+LOAD_SHELVES = Table(
+    "load_shelves", _schema("shelf int, load int"), ("load", "shelf"), "load"
+)
+
 VERTICES = Table(
     "vertices",
     _schema("identifier string, type string, properties string"),

@@ -261,10 +261,10 @@ class ShelfStore(SnapshotStore):
         super().__init__(spark, folder)
         self.shelves = self._agreed("shelves", shelves)
 
-    def on_shelves(self, rows: DataFrame, key: str) -> DataFrame:
+    def on_shelves(self, rows: DataFrame, *key: str) -> DataFrame:
         """Rows with the shelf of their key; those of no key have one too."""
         return rows.withColumn(
-            "shelf", F.pmod(F.xxhash64(F.col(key)), F.lit(self.shelves)).cast("int")
+            "shelf", F.pmod(F.xxhash64(*key), F.lit(self.shelves)).cast("int")
         )
 
     def touched(self, rows: DataFrame) -> list[int]:
