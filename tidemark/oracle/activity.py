@@ -259,5 +259,6 @@ ORACLES["host_activity_rewritten"] = _reduced(
     "DATE '2024-01-11'", "day(s.day) IN (1, 2, 3, 4, 5, 9, 11)"
 )
 ORACLES["user_devices_daily"] = ORACLES["user_devices_cumulated"]
+ORACLES["retention_curve_daily"] = ORACLES["retention_curve"]
 ORACLES["growth_accounting_daily"] = ORACLES["growth_accounting"]
 ORACLES["device_hits_dashboard_stored"] = ORACLES["device_hits_dashboard"]

@@ -8,14 +8,16 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import cubes, datelist, growth, monthly, quality, sequences
+from tidemark.operators import cohorts, cubes, datelist, growth, monthly, quality, sequences
 from tidemark.plans.flat import flat_dates
 from tidemark.sources import views
 from tidemark.sources.schemas import (
+    COHORT_DAYS,
     DEVICE_HITS_DASHBOARD,
     HOST_ACTIVITY_CALENDAR,
     HOST_DAYS,
     HOSTS_CUMULATED,
+    USER_COHORTS,
     USER_DEVICES_CUMULATED,
     USERS_CUMULATED,
     USERS_GROWTH_ACCOUNTING,
@@ -30,6 +32,8 @@ LAST = date(2024, 1, 30)
 #: Days in the order they are written, with gaps, and the one written again.
 WRITTEN = [date(2024, 1, n) for n in (1, 2, 3, 5, 11, 4, 9)]
 REWRITTEN = date(2024, 1, 3)
+#: Days that cohorts are stepped through after one pass, one of them made again.
+COHORT_STEPS = [date(2024, 1, n) for n in (26, 27, 28, 28, 29, 30)]
 LATE_HOSTS = ("host0", "host3")
 LOGIN = "/api/v1/login"
 SIGNUP = "/signup"
@@ -260,6 +264,22 @@ def retention_curve(table: Reader) -> DataFrame:
     )
 
 
+def retention_curve_daily(table: Reader) -> DataFrame:
+    """As retention_curve, from a stored matrix to which each of the last days adds."""
+    active = _active(table).checkpoint()
+    store = BucketedStore(active.sparkSession, new_folder(active.sparkSession), BUCKETS)
+    firsts, matrix = cohorts.cohorts_through(active, COHORT_STEPS[0] - timedelta(days=1))
+    store.replace(USER_COHORTS, firsts, gather=True)
+    store.replace(COHORT_DAYS, matrix, gather=True)
+    for day in COHORT_STEPS:
+        before = store.read(COHORT_DAYS, day - timedelta(days=1))
+        new, column = cohorts.cohort_step(store.read(USER_COHORTS), before, active, day)
+        store.replace(COHORT_DAYS, column)
+        store.replace(USER_COHORTS, new)
+    curve = cohorts.cohort_curve(store.read(COHORT_DAYS))
+    return store.result(flat_dates(curve), USER_COHORTS, COHORT_DAYS)
+
+
 def user_activity_count(table: Reader) -> DataFrame:
     return growth.activity_count(growth.growth_as_of(_active(table), LAST), LAST)
 
@@ -317,6 +337,7 @@ QUERIES = {
         growth_accounting_daily,
         growth_state_counts,
         retention_curve,
+        retention_curve_daily,
         user_activity_count,
         funnel_conversion,
         funnel_conversion_corrected,

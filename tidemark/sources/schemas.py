@@ -225,6 +225,21 @@ USERS_GROWTH_ACCOUNTING = Table(
     "date",
 )
 
+# First active day of each user, and what each cohort of such a day does day by day.
+USER_COHORTS = Table(
+    "user_cohorts",
+    _schema("user_id string, first_active_date date"),
+    ("user_id",),
+    "first_active_date",
+)
+
+COHORT_DAYS = Table(
+    "cohort_days",
+    _schema("first_active_date date, active_users bigint, total_users bigint, date date"),
+    ("first_active_date", "date"),
+    "date",
+)
+
 FACT_GAME_DETAILS = Table(
     "fact_game_details",
     _schema(
