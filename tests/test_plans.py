@@ -6,7 +6,11 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from tidemark.operators import late
+from tidemark.operators.scd import PLAYER_SCD
 from tidemark.plans import QUERIES
+from tidemark.sources.schemas import PLAYER_COVERS
+from tidemark.sources.store import ShelfStore, shelved
 
 FOLDER = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="no test data")
@@ -27,7 +31,8 @@ def plan_of(spark, name):
 
 
 # A stored query's plan reads its checkpoint; its steps are those of other queries.
-PLANNED = sorted(n for n in QUERIES if not n.endswith(("_daily", "_yearly", "_stored")))
+STORED = ("_daily", "_yearly", "_stored", "_repaired", "_appended", "_any_order")
+PLANNED = sorted(n for n in QUERIES if not n.endswith(STORED))
 
 
 @pytest.mark.parametrize("name", PLANNED)
@@ -99,6 +104,24 @@ def test_players_backfill_has_one_exchange(spark, frame):
     assert plan.toString().count("Exchange hashpartitioning") == 1
 
 
+def test_late_periods_are_spliced_without_pairing_everything(no_broadcast, frame):
+    ddl = "player_name string, scoring_class string, is_active boolean"
+    spans = frame(f"{ddl}, start_season int, end_season int", [("p", "star", True, 2000, 2004)])
+    told = frame(f"{ddl}, current_season int", [("p", "bad", True, 2002)])
+    plan = late.splice(spans, told, PLAYER_SCD)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    assert "Python" not in plan
+
+
+def test_other_shelves_are_not_listed(spark, frame, tmp_path):
+    store, covers = ShelfStore(spark, str(tmp_path / "s"), 8), shelved(PLAYER_COVERS)
+    rows = [(f"p{n}", "star", True, 2000, 2004) for n in range(40)]
+    told = store.on_shelves(frame(PLAYER_COVERS.schema, rows), "player_name")
+    store.rewrite(covers, told, range(8))
+    plan = store.read_shelves(covers, [3])._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*shelf#\d+ = 3", plan)
+
+
 def test_streaks_shuffle_the_rows_once(spark, frame):
     from tidemark.operators.sequences import longest_streak
 
