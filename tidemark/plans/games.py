@@ -12,7 +12,7 @@ from tidemark.plans.snapshots import FIRST, LAST, SHELVES
 from tidemark.sources import views
 from tidemark.sources.appends import AppendAudit
 from tidemark.sources.schemas import FACT_GAME_DETAILS, FACT_ROWS, STREAKS, TEAM_WINDOWS
-from tidemark.sources.store import BucketedStore, ShelfStore, new_folder
+from tidemark.sources.store import BucketedStore, ShelfStore, new_folder, new_store
 from tidemark.sources.views import Reader
 
 STREAK_POINTS = 10
@@ -28,7 +28,7 @@ def fact_game_details_stored(table: Reader) -> DataFrame:
     """The fact kept by increments and stored: all games but those of a few days, then
     these days one at a time, out of order and one of them twice."""
     details, games = views.game_details(table), views.games(table)
-    store = BucketedStore(details.sparkSession, new_folder(details.sparkSession), BUCKETS)
+    store = new_store(details.sparkSession, BUCKETS)
     late = F.coalesce(F.col("game_date_est").isin(*LOADED_DAYS), F.lit(False))
     store.replace(FACT_ROWS, facts.fact_rows(details, games.where(~late)), gather=True)
     first, second, third = LOADED_DAYS
@@ -144,7 +144,7 @@ def longest_streak(table: Reader) -> DataFrame:
 def longest_streak_yearly(table: Reader) -> DataFrame:
     """As longest_streak, by one stored step per season; no earlier game is read again."""
     hits = _hits(views.game_details(table, names=False), views.games(table)).checkpoint()
-    store = BucketedStore(hits.sparkSession, new_folder(hits.sparkSession), BUCKETS)
+    store = new_store(hits.sparkSession, BUCKETS)
     for season in range(FIRST, LAST + 1):
         today = sequences.run_summaries(hits.where(F.col("season") == season), *STREAK)
         before = sequences.runs_of_stored(store.read(STREAKS, season - 1), "player_id")

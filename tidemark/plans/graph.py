@@ -11,10 +11,10 @@ from tidemark.functions.scalars import json_fields
 from tidemark.operators import graph
 from tidemark.sources import views
 from tidemark.sources.schemas import EDGES, PAIR_CHANGES, PLAYER_GAMES, VERTICES
-from tidemark.sources.store import BucketedStore, SnapshotStore, new_folder
+from tidemark.sources.store import BucketedStore, SnapshotStore, new_folder, new_store
 from tidemark.sources.views import Reader
 
-#: Buckets of the stored tables: a fact of the tables, whatever the session.
+#: Least buckets of the stored tables; a larger input has more.
 BUCKETS = 2
 #: Days that are loaded one at a time, after everything else.
 LOADED_DAYS = [date(1998, 3, 30), date(1998, 3, 31), date(1998, 4, 1)]
@@ -111,7 +111,7 @@ def edges_stored(table: Reader) -> DataFrame:
     time and out of order; one comes with some of its players first and whole later.
     """
     details, games = views.game_details(table), views.games(table)
-    store = BucketedStore(details.sparkSession, new_folder(details.sparkSession), BUCKETS)
+    store = new_store(details.sparkSession, BUCKETS)
     first, second, _ = LOADED_DAYS
     is_late = F.coalesce(F.col("game_date_est").isin(first, second), F.lit(False))
     loads = [(~is_late, None)] + [

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark.functions.scalars import all_of
-from tidemark.session import shared_folder
+from tidemark.session import buckets_for, shared_folder
 from tidemark.sources.schemas import Table
 
 def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -237,6 +237,11 @@ class BucketedStore(SnapshotStore):
         super().drop(table)
 
 
+def new_store(spark: SparkSession, least: int) -> BucketedStore:
+    """Store in a new folder, with more buckets than ``least`` where the input is large."""
+    return BucketedStore(spark, new_folder(spark), buckets_for(spark, least))
+
+
 def shelved(table: Table) -> Table:
     """The table with its keys dealt onto shelves, which it is partitioned by.
 
