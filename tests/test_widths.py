@@ -3,9 +3,12 @@
 import re
 
 import pytest
+from conftest import rows_of
 
 from tidemark import session
 from tidemark.sources import store
+from tidemark.sources.schemas import PLAYER_SEASONS
+from tidemark.sources.store import ShelfStore, shelved
 from tidemark.sources.views import parquet_reader
 
 NAMES = (*session.INPUT_SETTINGS, session.INITIAL_WIDTH, session.INPUT_READ)
@@ -48,3 +51,26 @@ def test_stores_have_more_buckets_for_a_larger_input(spark, tmp_path, settings,
     assert store.new_store(spark, 2).buckets == 2
     monkeypatch.setattr(session, "BUCKET_BYTES", 1000)
     assert store.new_store(spark, 2).buckets > 5
+
+
+def test_rewriting_shelves_makes_the_rows_once(spark, frame, tmp_path):
+    """Rows come from the shelves they replace, in one job; emptied shelves go."""
+    kept, table = ShelfStore(spark, str(tmp_path), 4), shelved(PLAYER_SEASONS)
+    made = spark.sparkContext.accumulator(0)
+    told = [(f"p{n}", 2000, *[None] * (len(PLAYER_SEASONS.schema) - 2)) for n in range(20)]
+    rows = kept.on_shelves(frame(PLAYER_SEASONS.schema, told), "player_name")
+    kept.rewrite(table, rows, range(4))
+    gone = kept.touched(rows)[0]
+
+    def seen(row):
+        made.add(1)
+        return row
+
+    left = kept.read(table).where(f"shelf <> {gone}")
+    counted = spark.createDataFrame(left.rdd.map(seen), left.schema)
+    n_left = left.count()
+    expected = rows_of(left)
+    kept.rewrite(table, counted, range(4))
+    assert rows_of(kept.read(table)) == expected
+    assert made.value == n_left
+    assert not (tmp_path / table.name / f"shelf={gone}").exists()

@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from dataclasses import replace
 from datetime import date
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -281,12 +282,28 @@ class ShelfStore(SnapshotStore):
         return self._rows(table).where(F.col("shelf").isin(list(shelves)))
 
     def rewrite(self, table: Table, rows: DataFrame, shelves: Sequence[int]) -> None:
-        """Put rows in place of all that stands on the shelves; no other is touched."""
+        """Put rows in place of all that stands on the shelves; no other is touched.
+
+        Rows may be made from what the shelves hold: that goes when the job commits.
+        They are made once, in the job that writes them.
+        """
         self._tell("shelves", self.shelves)
-        rows = rows.checkpoint()
-        held = set(self.touched(rows))
-        if not held <= set(shelves):
-            raise ValueError(f"rows of {table.name} stand on shelves that were not named")
-        self.replace(table, rows, gather=True)
-        for shelf in set(shelves) - held:
-            _remove(self.spark, f"{self.path(table)}/shelf={shelf}")
+        stray = f"rows of {table.name} stand on shelves that were not named"
+        named = F.when(F.col("shelf").isin(list(shelves)), F.col("shelf"))
+        checked = rows.withColumn("shelf", named.otherwise(F.raise_error(F.lit(stray)).cast("int")))
+        before = self._file_names(table)
+        try:
+            self.replace(table, checked, gather=True)
+        except (PySparkException, Py4JJavaError) as error:
+            if stray not in str(error):
+                raise
+            raise ValueError(stray) from error
+        # A shelf that got no rows still has the files it had.
+        stale = before & self._file_names(table)
+        for shelf in set(shelves):
+            if any(f"/shelf={shelf}/" in name for name in stale):
+                _remove(self.spark, f"{self.path(table)}/shelf={shelf}")
+
+    def _file_names(self, table: Table) -> set[str]:
+        files = self._files(table)
+        return set() if files is None else set(files.inputFiles())
