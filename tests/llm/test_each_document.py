@@ -192,6 +192,50 @@ def test_pieces_are_those_of_the_library(rows):
             assert decoded == library.decode(expected) == pieces.decode(expected)
 
 
+def traced(work):
+    """Bytes still held after the work, and the most held meanwhile."""
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+
+
+def test_stretches_are_remembered_once():
+    pieces = Pieces(PIECE_BPE)
+    texts = [" ".join(f"w{i * 97 + j}" for j in range(500)) for i in range(0, 200, 6)]
+
+    def learn():
+        pieces.round_trip(texts)
+        pieces.pairs.clear()
+
+    held, _ = traced(learn)
+    assert len(pieces.known) > 10_000 and not pieces.said
+    assert held < 220 * len(pieces.known)
+
+
+def test_decoded_text_is_told_apart_where_it_differs():
+    pieces = Pieces(PIECE_BPE, remembered=4)
+    texts = ["a\u2581b  c", "\x02a \x02 b", "see. it, \x02", "\x02\x02. x.", "plain one. two", "", None]
+    for _ in range(3):
+        for ids, decoded in zip(*pieces.round_trip(texts)):
+            assert decoded == pieces.decode(ids.tolist())
+        assert pieces.said.keys() <= pieces.known.keys()
+
+
+def test_measures_need_little_memory_at_a_time():
+    from tidemark.llm.quality_rules import _measures
+
+    text = " ".join(f"word{i % 900} of{i % 77}" for i in range(200))
+    batch = pa.record_batch({"doc_id": list(range(900)), "text": [text] * 900})
+    assert batch.nbytes > 2 << 20
+    _, most = traced(lambda: [None for _ in _measures(iter([batch]))])
+    assert most < 64 << 20
+
+
 def test_round_trip(docs, clashing, no_docs):
     assert sorted_rows(round_trip(docs, PIECE_BPE)) == sorted_rows(round_trip(clashing, PIECE_BPE))
     assert round_trip(no_docs, PIECE_BPE).count() == 0

@@ -36,6 +36,9 @@ from tidemark.llm.common import (
     words_of,
 )
 
+#: Bytes of text measured at a time: a slice's arrays hold some 60 bytes for each, which a
+#: Python worker keeps for the operators after this one.
+MEASURED_BYTES = 512 << 10
 MIN_WORDS = 10
 BASE_LENGTH = 5
 BASE_PERCENT = 20
@@ -120,7 +123,7 @@ def _measure(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def _measures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
+    for batch in slices(batches, limit=MEASURED_BYTES):
         yield _measure(batch)
 
 
@@ -152,7 +155,7 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, MEASURED_BYTES):
             found = _measure(
                 pa.record_batch({"doc_id": batch.column(by_name["doc_id"]), "text": batch.column(text)})
             )

@@ -53,6 +53,11 @@ SHORT = 64
 ENCODED = "doc_id long, ids array<int>, decoded string"
 
 
+def _own_text(stretch: str) -> str:
+    """The text that a stretch stands for, with the space put before it."""
+    return stretch[1:] if stretch[:1] == JOINED else " " + stretch
+
+
 class Pieces:
     """Pieces of a merge-type model and the two directions."""
 
@@ -93,7 +98,9 @@ class Pieces:
         }
         self.pairs: dict[tuple[str, str], bool] = {}
         self.remembered = remembered
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.known: dict[str, bytes] = {}
+        #: What stretches decode to, where that is not their own text.
+        self.said: dict[str, str] = {}
 
     def merged(self, text: str) -> list[str]:
         """Pieces by merging: the best-scored pair first, of equals the leftmost."""
@@ -221,7 +228,21 @@ class Pieces:
     def _learn(self, stretch: str) -> None:
         """Remember a stretch, which begins with a space mark unless told otherwise."""
         ids = self.ids_of(stretch[1:] if stretch[:1] == JOINED else SPACE + stretch)
-        self.known[stretch] = array("i", ids).tobytes(), self.spoken(ids)
+        self.known[stretch] = array("i", ids).tobytes()
+        if (spoken := self.spoken(ids)) != _own_text(stretch):
+            self.said[stretch] = spoken
+
+    def _decoded(self, part: list[str]) -> str:
+        """What known stretches decode to, one after another."""
+        if not part:
+            return ""
+        if self.said.keys().isdisjoint(part):
+            # A mark within a stretch is of the text; before one it says that no space was there.
+            text = " " + " ".join(part)
+            if text.count(JOINED) == text.count(" " + JOINED):
+                return text.replace(" " + JOINED, "")
+        own = map(_own_text, part)
+        return "".join(map(self.said.get, part, own))
 
     def round_trip(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[str]]:
         """Ids of each text, the end id last, and the text they decode to."""
@@ -229,23 +250,24 @@ class Pieces:
         ids, decoded, long = [], [], []
         for text in texts:
             part = self._stretches(text or "")
-            got = list(map(self.known.get, part))
-            if None in got:
-                for i, x in enumerate(got):
+            numbers = list(map(self.known.get, part))
+            if None in numbers:
+                for i, x in enumerate(numbers):
                     if x is None:
                         if (s := part[i]) not in self.known:
                             self._learn(s)
                             if len(s) > LONGEST_KEPT:
                                 long.append(s)
-                        got[i] = self.known[s]
-            numbers, said = zip(*got) if got else ((), ())
+                        numbers[i] = self.known[s]
             ids.append(np.frombuffer(b"".join((*numbers, end)), np.int32))
-            decoded.append("".join(said).removeprefix(" "))
+            decoded.append(self._decoded(part).removeprefix(" "))
         for s in long:
             del self.known[s]
+            self.said.pop(s, None)
         if len(self.known) > self.remembered:
             # What came first is what comes often.
             self.known = dict(islice(self.known.items(), self.remembered // 2))
+            self.said = {s: said for s, said in self.said.items() if s in self.known}
         return ids, decoded
 
     def _stretches(self, text: str) -> list[str]:
