@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import clock_minutes, percent_change, ratio_or_whole
 from tidemark.operators import quality
 from tidemark.operators.facts import MEASURES, build_fact, fact_rows, merge_facts, shape_fact
-from tidemark.sources.schemas import DECLARED, PLAYERS_SCD
+from tidemark.sources.schemas import DECLARED, EDGES, PLAYERS_SCD
 
 
 @pytest.fixture
@@ -133,6 +133,23 @@ def test_table_audit(frame):
     ]
 
 
+def test_parts_audit_is_that_of_all_rows(frame):
+    rows = [
+        ("player", "1", "game", "2", "plays_in"),
+        ("player", "1", "game", "2", "plays_in"),
+        ("player", None, "player", "2", "shares_team"),
+        ("player", "1", "player", "2", "friends"),
+    ]
+    ddl = "subject_type string, subject_identifier string, object_type string, "
+    ddl += "object_identifier string, edge_type string"
+    parts = [frame(ddl, [r for r in rows if r[2] == kind]) for kind in ("game", "player")]
+    audit = quality.parts_audit(parts, EDGES)
+    assert rows_of(audit) == rows_of(quality.table_audit(frame(ddl, rows), EDGES))
+    assert sum(r.n_violations for r in audit.collect()) == 3
+    empty = quality.parts_audit([part.where("false") for part in parts], EDGES)
+    assert [r.n_violations for r in empty.collect()] == [0] * (1 + len(EDGES.domains))
+
+
 def test_declared_tables_have_columns_for_keys_and_domains():
     for table in DECLARED:
         names = set(table.schema.names)

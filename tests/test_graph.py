@@ -6,6 +6,7 @@ import pytest
 from conftest import rows_of
 
 from tidemark.operators import graph
+from tidemark.sources.schemas import EDGES
 
 DETAILS = (
     "game_id int, team_id int, team_abbreviation string, player_id int, player_name string, "
@@ -184,3 +185,21 @@ def test_a_pair_that_no_longer_met_goes(frame):
     second = graph.pair_changes(*graph.changed_games(one, batch))
     (pair,) = graph.summed_pairs(first.unionByName(second)).collect()
     assert (pair.edge_type, pair.num_games, pair.subject_points) == ("plays_against", 1, 7)
+
+
+def test_pairs_are_shuffled_once_for_both_sides_and_edges_not_again(spark, frame):
+    shown = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in shown}
+    for name, value in shown.items():
+        spark.conf.set(name, value)
+    try:
+        edges = graph.player_edges(frame(DETAILS, many_rows()))
+        plan = edges.groupBy(*EDGES.key).count()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    dealt = [line for line in plan.splitlines() if "- Exchange hashpartitioning" in line]
+    # By player and game, by game for rows and for counts, by blocks, and by pair.
+    assert len(dealt) == 5, plan
+    assert sum("_low" in line for line in dealt) == 1
+    assert "ReusedExchange" in plan
