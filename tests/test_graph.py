@@ -1,5 +1,6 @@
 import json
 import random
+import re
 from collections import defaultdict
 
 import pytest
@@ -203,3 +204,13 @@ def test_pairs_are_shuffled_once_for_both_sides_and_edges_not_again(spark, frame
     assert len(dealt) == 5, plan
     assert sum("_low" in line for line in dealt) == 1
     assert "ReusedExchange" in plan
+
+
+def test_changes_of_a_first_load_are_grouped_once(frame, spark):
+    """Nothing was stored: pairs gained are summed and dealt once, and nothing is taken back."""
+    after = frame(LOADS, [(p, 1, "G", 2, 1, "T1", f"p{p}") for p in range(5)])
+    changes = graph.pair_changes(after.where("false"), after)
+    plan = changes._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(subject_id", plan)) == 1
+    assert plan.count("functions=[sum(") == 1 and "Union" not in plan
+    assert changes.count() == 10

@@ -4,13 +4,18 @@ import re
 from pathlib import Path
 
 import pytest
+from conftest import rows_of
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tidemark.operators import late
 from tidemark.operators.scd import PLAYER_SCD
 from tidemark.plans import QUERIES
+from tidemark.session import shared_folder
+from tidemark.sources import views
 from tidemark.sources.schemas import PLAYER_COVERS
 from tidemark.sources.store import ShelfStore, shelved
+from tidemark.sources.views import parquet_reader
 
 FOLDER = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="no test data")
@@ -162,3 +167,28 @@ def test_busy_key_of_a_join_is_split(spark, frame):
     finally:
         for name, value in old.items():
             spark.conf.set(name, value)
+
+
+def test_details_of_some_games_are_chosen_before_items_are_read_into_them(no_broadcast):
+    """Also of a game that is given twice with other teams; the rows are the same."""
+    reader = parquet_reader(no_broadcast, str(FOLDER))
+    twice = reader("orders").limit(40).withColumn("o_custkey", F.col("o_custkey") + 1)
+    orders = reader("orders").unionByName(twice).localCheckpoint()
+    table = lambda name: orders if name == "orders" else reader(name)
+    chosen = views.games(table).where("home_team_id % 5 = 1")
+    some = views.game_details(table, of=chosen)
+    all_of_them = views.game_details(table)
+    want = all_of_them.join(chosen.select("game_id"), "game_id", "left_semi")
+    assert rows_of(some) == rows_of(want) != []
+    plan = some._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner, (l_partkey") < plan.index("Join LeftSemi")
+    assert plan.index("Join Inner, (l_orderkey") < plan.index("Join LeftSemi")
+
+
+def test_stored_edges_are_not_copied(spark, tmp_path):
+    """What is returned is read from the stored edges, and games are kept once a load."""
+    kept = set(Path(shared_folder(spark)).glob("**/rdd-*"))
+    edges = entry.queries()["edges_stored"](spark, str(FOLDER))
+    plan = edges._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "ExistingRDD" not in plan
+    assert len(set(Path(shared_folder(spark)).glob("**/rdd-*")) - kept) <= 4

@@ -1,11 +1,13 @@
 import os
 import subprocess
 import sys
+import time
 from datetime import date
 from pathlib import Path
 
 import pytest
 from conftest import rows_of
+from pyspark.sql import functions as F
 
 from tidemark import session
 from tidemark.operators import datelist
@@ -270,3 +272,65 @@ def test_backfill_into_buckets(spark, tmp_path, frame, gather):
     assert rows_of(store.read(USERS_CUMULATED)) == sorted(rows, key=repr)
     files = list((tmp_path / "users_cumulated").glob("date=*/*.parquet"))
     assert len(files) == 6
+
+
+def shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+    files = manager.diskBlockManager().getAllFiles()
+    names = [files.apply(i).getName() for i in range(files.size())]
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_a_write_leaves_no_shuffle_on_disk(spark, any_store, frame):
+    rows = [(str(u), [date(2024, 1, 1)], date(2024, 1, 1)) for u in range(50)]
+    dealt = frame(USERS_CUMULATED.schema, rows).repartition(3, "user_id")
+    before, until = shuffle_files(spark), time.time() + 20
+    any_store.replace(USERS_CUMULATED, dealt, gather=True)
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert any_store.read(USERS_CUMULATED).count() == 50
+    assert dealt.count() == 50
+
+
+def test_a_table_never_written_is_known_to_be_empty(any_store):
+    empty = any_store.read(USERS_CUMULATED)
+    assert empty.columns == USERS_CUMULATED.schema.names and empty.count() == 0
+    plan = empty.join(empty.sparkSession.range(3), F.lit(True), "left")
+    assert "Join" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_gathered_upsert_has_one_file_per_bucket_and_period(spark, tmp_path, frame):
+    store = BucketedStore(spark, str(tmp_path), 2)
+    schema = HOST_ACTIVITY_REDUCED.schema
+    first = [(m, f"h{n}", [n], [n]) for m in (1, 2) for n in range(20)]
+    more = [(1, f"h{n}", [n, n], [n]) for n in range(10, 30)]
+    for rows in (first, more):
+        source = frame(schema, rows).repartition(4)
+        store.upsert(HOST_ACTIVITY_REDUCED, source, sorted({r[0] for r in rows}), gather=True)
+    want = {(r[0], r[1]): r for r in first + more}
+    assert rows_of(store.read(HOST_ACTIVITY_REDUCED)) == sorted(want.values(), key=repr)
+    assert len(list((tmp_path / HOST_ACTIVITY_REDUCED.name).glob("month=*/*.parquet"))) == 4
+
+
+def test_a_table_handed_over_is_not_copied(spark, tmp_path, frame):
+    """Its files stay, those of other tables go."""
+    folder = tmp_path / "store"
+    store = SnapshotStore(spark, str(folder))
+    store.replace(VERTICES, frame(VERTICES.schema, [("1", "team", "{}"), ("2", "game", "{}")]))
+    store.replace(PLAYERS_SCD, frame(PLAYERS_SCD.schema, [("p", "star", True, 2001, 2000, 2001)]))
+    found = store.handed_over(store.read(VERTICES), VERTICES, PLAYERS_SCD)
+    assert [p.name for p in folder.iterdir()] == [VERTICES.name]
+    assert all(str(folder) in name for name in found.inputFiles())
+    assert rows_of(found) == [("1", "team", "{}"), ("2", "game", "{}")]
+
+
+def test_kinds_have_a_file_each_and_settings_are_put_back(spark, tmp_path, frame):
+    """A period of few declared kinds: each task keeps a file open for each."""
+    store = SnapshotStore(spark, str(tmp_path))
+    rows = [(str(n), ("team", "game", "player")[n % 3], "{}") for n in range(30)]
+    seen = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    store.replace(VERTICES, frame(VERTICES.schema, rows).coalesce(1))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == seen
+    assert rows_of(store.read(VERTICES)) == sorted(((a, b, c) for a, b, c in rows), key=repr)
+    assert len(list((tmp_path / "vertices").glob("type=*/*.parquet"))) == 3

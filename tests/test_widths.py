@@ -68,3 +68,11 @@ def test_rewriting_shelves_writes_no_checkpoint(spark, frame, tmp_path):
     assert rows_of(kept.read(table)) == expected
     assert not (tmp_path / table.name / f"shelf={gone}").exists()
     assert set(Path(session.shared_folder(spark)).glob("**/rdd-*")) == written
+
+
+def test_widths_are_a_multiple_of_the_buckets(spark, settings):
+    spark.conf.set(session.INITIAL_WIDTH, "100")
+    spark.conf.set(session.INPUT_READ, str(33 * session.BUCKET_BYTES))
+    assert session.buckets_for(spark, 2) == 50
+    spark.conf.set(session.INPUT_READ, str(200 * session.BUCKET_BYTES))
+    assert session.buckets_for(spark, 2) == 200

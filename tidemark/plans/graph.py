@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import json_fields
-from tidemark.operators import graph
+from tidemark.operators import facts, graph
 from tidemark.sources import views
 from tidemark.sources.schemas import EDGES, PAIR_CHANGES, PLAYER_GAMES, VERTICES
 from tidemark.sources.store import BucketedStore, SnapshotStore, new_folder, new_store
@@ -91,17 +91,17 @@ def _load_games(store: BucketedStore, load: int, details: DataFrame, games: Data
     Changes of pairs are written first: where a load stops in between, the same load
     finds them again from players of games that are still as before.
     """
-    month = F.coalesce(F.year("game_date_est") * 100 + F.month("game_date_est"), F.lit(0))
-    dated = games.select("game_id", month.alias("month"))
-    # Read several times below: kept, so that inputs are scanned once a load.
-    played = graph.player_games(details, "player_name").join(dated, "game_id").checkpoint()
+    dated = games.select("game_id", facts.game_month().alias("month"))
+    played = graph.player_games(details, "player_name").join(dated, "game_id")
     months = [r.month for r in dated.select("month").distinct().collect()]
     stored = store.read(PLAYER_GAMES).where(F.col("month").isin(months))
-    before, after = graph.changed_games(stored, played)
+    before, after = graph.changed_games(stored, played, dated)
+    # Read twice below: kept, so that inputs are scanned once a load.
     after = after.checkpoint()
     changes = graph.pair_changes(before, after).withColumn("load", F.lit(load))
-    store.replace(PAIR_CHANGES, changes, gather=True)
-    store.upsert(PLAYER_GAMES, after, months)
+    # Grouped by pair, as buckets are: written as they come.
+    store.replace(PAIR_CHANGES, changes)
+    store.upsert(PLAYER_GAMES, after, months, gather=True)
 
 
 def edges_stored(table: Reader) -> DataFrame:
@@ -110,8 +110,9 @@ def edges_stored(table: Reader) -> DataFrame:
     The first load holds all games but those of two days. These come one day at a
     time and out of order; one comes with some of its players first and whole later.
     """
-    details, games = views.game_details(table), views.games(table)
-    store = new_store(details.sparkSession, BUCKETS)
+    games = views.games(table)
+    views.game_details(table)  # all tables are looked up: their size says how many buckets
+    store = new_store(games.sparkSession, BUCKETS)
     first, second, _ = LOADED_DAYS
     is_late = F.coalesce(F.col("game_date_est").isin(first, second), F.lit(False))
     loads = [(~is_late, None)] + [
@@ -124,15 +125,16 @@ def edges_stored(table: Reader) -> DataFrame:
     ]
     for load, (days, part) in enumerate(loads):
         chosen = games.where(days)
-        rows = details if part is None else details.where(part)
-        held = rows.join(chosen.select("game_id"), "game_id", "left_semi")
-        _load_games(store, load, held, chosen)
+        held = views.game_details(table, of=chosen)
+        _load_games(store, load, held if part is None else held.where(part), chosen)
     edges = graph.plays_in_of(store.read(PLAYER_GAMES)).unionByName(
         graph.pair_edges_of(graph.summed_pairs(store.read(PAIR_CHANGES)))
     )
-    store.replace(EDGES, edges)
-    found = _with_fields(store.read(EDGES), *EDGE_FIELDS)
-    return store.result(found, EDGES, PLAYER_GAMES, PAIR_CHANGES)
+    # No step joins edges by key: they are kept by kind, without buckets.
+    kept = SnapshotStore(store.spark, store.folder)
+    kept.replace(EDGES, edges)
+    found = _with_fields(kept.read(EDGES), *EDGE_FIELDS)
+    return store.handed_over(found, EDGES, PLAYER_GAMES, PAIR_CHANGES)
 
 
 def best_game(table: Reader) -> DataFrame:

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import replace
 from datetime import date
 
@@ -23,6 +24,32 @@ from tidemark.functions.scalars import all_of
 from tidemark.session import buckets_for, shared_folder
 from tidemark.sources.schemas import Table
 
+# While a store writes: shuffles of the job go when it ends, as nobody reads them again,
+# and what lies together by part of a key is not moved for a join on the whole key.
+WRITE_SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+}
+# So many files a task may hold open, so that its rows need no sort by period.
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def _set(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings of the session that hold within, and are put back."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target with the source's rows added, replacing rows of the same key.
 
@@ -98,14 +125,16 @@ class SnapshotStore:
 
     def _rows(self, table: Table, period: object = None) -> DataFrame:
         files = self._files(table, period)
-        return self.spark.createDataFrame([], table.schema) if files is None else files
+        return _no_rows(self.spark, table) if files is None else files
 
     def _write(self, table: Table, rows: DataFrame) -> None:
         writer = rows.write.mode("overwrite")
         if table.period is not None:
             writer = writer.option("partitionOverwriteMode", "dynamic")
             writer = writer.partitionBy(table.period)
-        writer.parquet(self.path(table))
+        kinds = table.domains.get(table.period)
+        with _set(self.spark, WRITE_SETTINGS | ({OPEN_FILES: str(len(kinds))} if kinds else {})):
+            writer.parquet(self.path(table))
 
     def read(self, table: Table, period: object = None) -> DataFrame:
         """The table, or one period of it (a pruned read); empty if never written."""
@@ -132,11 +161,15 @@ class SnapshotStore:
         self._write(table, rows)
 
     def upsert(
-        self, table: Table, source: DataFrame, periods: Sequence[object] | None = None
+        self,
+        table: Table,
+        source: DataFrame,
+        periods: Sequence[object] | None = None,
+        gather: bool = False,
     ) -> None:
         """Insert or replace by the declared key, rewriting only the periods touched.
 
-        Naming the source's periods saves finding them.
+        Naming the source's periods saves finding them. Rows are gathered as by ``replace``.
         """
         target = self.read(table)
         if periods is None:
@@ -144,7 +177,7 @@ class SnapshotStore:
             target = target.join(touched, table.period, "left_semi")
         else:
             target = target.where(F.col(table.period).isin(list(periods)))
-        self.replace(table, upsert_rows(target, source, table.key))
+        self.replace(table, upsert_rows(target, source, table.key), gather)
 
     def create_as(self, name: str, rows: DataFrame) -> DataFrame:
         """Store a query result as a catalog table, and read it."""
@@ -166,12 +199,35 @@ class SnapshotStore:
         _remove(self.spark, self.folder)
         return kept
 
+    def handed_over(self, rows: DataFrame, table: Table, *others: Table) -> DataFrame:
+        """Rows read from a plain stored table, whose files stay until the process ends.
+
+        Nothing is copied, as ``result`` does; ``others`` are removed at once.
+        """
+        for other in others:
+            self.drop(other)
+        _remove(self.spark, self._layout)
+        _file_system(self.spark, self.path(table)).deleteOnExit(_path(self.spark, self.folder))
+        return rows
+
+
+def _no_rows(spark: SparkSession, table: Table) -> DataFrame:
+    """Rows known to be none when a step is planned, so that nothing is joined with them."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema.fields]
+    return spark.range(1).select(*columns).where(F.lit(False))
+
+
+def _path(spark: SparkSession, folder: str):  # noqa: ANN202
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+
+
+def _file_system(spark: SparkSession, folder: str):  # noqa: ANN202
+    return _path(spark, folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
 
 def _remove(spark: SparkSession, folder: str) -> None:
     """Delete a folder wherever it is, if it is there."""
-    jvm, context = spark.sparkContext._jvm, spark.sparkContext._jsc
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(context.hadoopConfiguration()).delete(path, True)
+    _file_system(spark, folder).delete(_path(spark, folder), True)
 
 
 class BucketedStore(SnapshotStore):
@@ -217,8 +273,14 @@ class BucketedStore(SnapshotStore):
     def _rows(self, table: Table, period: object = None) -> DataFrame:
         if table.period is None:
             return super()._rows(table)
+        if not _file_system(self.spark, self.folder).exists(_path(self.spark, self.path(table))):
+            return _no_rows(self.spark, table)
         return self.spark.table(self._open(table))
 
+    def dealt(self, table: Table, rows: DataFrame) -> DataFrame:
+        """Rows dealt as the table's buckets are, to be joined with it or written to it."""
+        return self._gathered(table, rows)
+
     def _gathered(self, table: Table, rows: DataFrame) -> DataFrame:
         """Rows together by bucket: a task then writes one file per period."""
         return rows.repartition(self.buckets, *table.bucket_key)
@@ -230,7 +292,8 @@ class BucketedStore(SnapshotStore):
         self._tell("buckets", self.buckets)
         name = self._open(table)
         # Inserting takes columns by position, in the table's own order.
-        rows.select(*self.spark.table(name).columns).write.insertInto(name, overwrite=True)
+        with _set(self.spark, WRITE_SETTINGS):
+            rows.select(*self.spark.table(name).columns).write.insertInto(name, overwrite=True)
 
     def drop(self, table: Table) -> None:
         """Remove a table's name in the catalog and its files."""
