@@ -1,6 +1,7 @@
 """Physical plans: what is pushed down, split, shared, and never used."""
 
 import re
+from datetime import date
 from pathlib import Path
 
 import pytest
@@ -8,13 +9,14 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tidemark.operators import late
+from tidemark import session
+from tidemark.operators import facts, late
 from tidemark.operators.scd import PLAYER_SCD
 from tidemark.plans import QUERIES
-from tidemark.session import shared_folder
+from tidemark.plans.games import _months_apart
 from tidemark.sources import views
-from tidemark.sources.schemas import PLAYER_COVERS
-from tidemark.sources.store import ShelfStore, shelved
+from tidemark.sources.schemas import FACT_ROWS, PLAYER_COVERS
+from tidemark.sources.store import WRITE_SETTINGS, BucketedStore, ShelfStore, shelved
 from tidemark.sources.views import parquet_reader
 
 FOLDER = Path("/root/testdata/sf0.001")
@@ -187,8 +189,58 @@ def test_details_of_some_games_are_chosen_before_items_are_read_into_them(no_bro
 
 def test_stored_edges_are_not_copied(spark, tmp_path):
     """What is returned is read from the stored edges, and games are kept once a load."""
-    kept = set(Path(shared_folder(spark)).glob("**/rdd-*"))
+    kept = set(Path(session.shared_folder(spark)).glob("**/rdd-*"))
     edges = entry.queries()["edges_stored"](spark, str(FOLDER))
     plan = edges._jdf.queryExecution().executedPlan().toString()
     assert "FileScan parquet" in plan and "ExistingRDD" not in plan
-    assert len(set(Path(shared_folder(spark)).glob("**/rdd-*")) - kept) <= 4
+    assert len(set(Path(session.shared_folder(spark)).glob("**/rdd-*")) - kept) <= 4
+
+
+def test_stored_fact_in_parts_is_the_whole_and_not_copied(spark, monkeypatch):
+    """A part of about 20 KB: months are stored some at a time, with no checkpoint of rows."""
+    monkeypatch.setattr(session, "PART_BYTES", 20_000)
+    written = []
+    replace = BucketedStore.replace
+    monkeypatch.setattr(
+        BucketedStore, "replace", lambda s, t, *a, **k: written.append(t.name) or replace(s, t, *a, **k)
+    )
+    kept = set(Path(session.shared_folder(spark)).glob("**/rdd-*"))
+    found = entry.queries()["fact_game_details_stored"](spark, str(FOLDER))
+    assert written.count("fact_rows") > 4 + 3
+    assert rows_of(found) == rows_of(entry.queries()["fact_game_details"](spark, str(FOLDER)))
+    assert "ExistingRDD" not in found._jdf.queryExecution().executedPlan().toString()
+    assert set(Path(session.shared_folder(spark)).glob("**/rdd-*")) == kept
+
+
+def test_parts_are_of_whole_months(frame):
+    days = [date(2000, m, d) for m in range(1, 13) for d in range(1, m + 1)] + [None] * 5
+    games = frame("game_id int, game_date_est date", list(enumerate(days)))
+    parts = [[r.game_date_est for r in p.collect()] for p in _months_apart(games, 3)]
+    assert len(parts) == 3 and all(len(p) < 40 for p in parts)
+    assert sorted(map(str, sum(parts, []))) == sorted(map(str, days))
+    months = [{d and d.month for d in p} for p in parts]
+    assert sum(map(len, months)) == len(set.union(*months)) == 13
+    assert _months_apart(games, 1) == [games]
+    assert _months_apart(games.where("false"), 3) == []
+
+
+def test_a_stored_month_of_facts_is_not_moved_to_be_merged(no_broadcast, frame, tmp_path):
+    """Only the batch is dealt; fact rows of the month lie by game already."""
+    spark, store = no_broadcast, BucketedStore(no_broadcast, str(tmp_path), 3)
+    width = len(FACT_ROWS.schema)
+    rows = [(g, 1, p, *[None] * (width - 4), 200001) for g in range(9) for p in (1, 2)]
+    held = frame(FACT_ROWS.schema, rows)
+    store.replace(FACT_ROWS, store.dealt(FACT_ROWS, held))
+    merged = facts.merge_facts(store.read(FACT_ROWS, 200001), store.dealt(FACT_ROWS, held))
+    for name, value in WRITE_SETTINGS.items():
+        spark.conf.set(name, value)
+    try:
+        plan = merged.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in WRITE_SETTINGS:
+            spark.conf.unset(name)
+    assert plan.count("Exchange hashpartitioning(game_id") == plan.count("Exchange") == 1
+    assert merged.count() == 18
+    store.replace(FACT_ROWS, merged)
+    assert store.read(FACT_ROWS).count() == 18
+    assert len(list((tmp_path / "fact_rows" / "month=200001").glob("*.parquet"))) <= 3

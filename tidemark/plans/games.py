@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from tidemark.operators import cubes, facts, quality, sequences
 from tidemark.plans.flat import flat_dates
 from tidemark.plans.graph import BUCKETS, LOADED_DAYS
 from tidemark.plans.snapshots import FIRST, LAST, SHELVES
+from tidemark.session import parts_for
 from tidemark.sources import views
 from tidemark.sources.appends import AppendAudit
 from tidemark.sources.schemas import FACT_GAME_DETAILS, FACT_ROWS, STREAKS, TEAM_WINDOWS
@@ -24,22 +27,44 @@ def fact_game_details(table: Reader) -> DataFrame:
     return flat_dates(facts.build_fact(views.game_details(table), views.games(table)))
 
 
+def _months_apart(games: DataFrame, parts: int) -> list[DataFrame]:
+    """Games in so many parts at most, of whole months and about as many games each."""
+    if parts == 1:
+        return [games]
+    month, seen, months = facts.game_month(), 0, defaultdict(list)
+    counts = games.groupBy(month.alias("month")).agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.orderBy("month").collect()
+    total = sum(r.n for r in counts)
+    for r in counts:
+        months[seen * parts // total].append(r.month)
+        seen += r.n
+    return [games.where(month.isin(some)) for some in months.values()]
+
+
 def fact_game_details_stored(table: Reader) -> DataFrame:
     """The fact kept by increments and stored: all games but those of a few days, then
-    these days one at a time, out of order and one of them twice."""
-    details, games = views.game_details(table), views.games(table)
-    store = new_store(details.sparkSession, BUCKETS)
+    these days one at a time, out of order and one of them twice.
+
+    All games are stored some months at a time, so that the shuffles of one part only are
+    on disk. Rows are dealt by game as buckets are, before their copies are dropped, and
+    stay so until they are written.
+    """
+    games = views.games(table)
+    views.game_details(table)  # all tables are looked up: their size says how many parts
+    store = new_store(games.sparkSession, BUCKETS)
     late = F.coalesce(F.col("game_date_est").isin(*LOADED_DAYS), F.lit(False))
-    store.replace(FACT_ROWS, facts.fact_rows(details, games.where(~late)), gather=True)
+    for chosen in _months_apart(games.where(~late), parts_for(store.spark)):
+        held = store.dealt(FACT_ROWS, views.game_details(table, of=chosen))
+        store.replace(FACT_ROWS, facts.fact_rows(held, chosen))
     first, second, third = LOADED_DAYS
     for day in (third, first, second, first):
         chosen = games.where(F.col("game_date_est") == F.lit(day))
-        held = details.join(chosen.select("game_id"), "game_id", "left_semi")
+        batch = facts.fact_rows(views.game_details(table, of=chosen), chosen)
         stored = store.read(FACT_ROWS, day.year * 100 + day.month)
-        store.replace(FACT_ROWS, facts.merge_facts(stored, facts.fact_rows(held, chosen)))
+        store.replace(FACT_ROWS, facts.merge_facts(stored, store.dealt(FACT_ROWS, batch)))
     store.replace(FACT_GAME_DETAILS, facts.shape_fact(store.read(FACT_ROWS)))
     found = flat_dates(store.read(FACT_GAME_DETAILS))
-    return store.result(found, FACT_GAME_DETAILS, FACT_ROWS)
+    return store.handed_over(found, FACT_GAME_DETAILS, FACT_ROWS)
 
 
 def duplicate_keys(table: Reader) -> DataFrame:
