@@ -16,7 +16,7 @@ from tidemark.plans import QUERIES
 from tidemark.plans.games import _months_apart
 from tidemark.sources import views
 from tidemark.sources.schemas import FACT_ROWS, PLAYER_COVERS
-from tidemark.sources.store import WRITE_SETTINGS, BucketedStore, ShelfStore, shelved
+from tidemark.sources.store import BUCKET_SETTINGS, BucketedStore, ShelfStore, shelved
 from tidemark.sources.views import parquet_reader
 
 FOLDER = Path("/root/testdata/sf0.001")
@@ -232,12 +232,12 @@ def test_a_stored_month_of_facts_is_not_moved_to_be_merged(no_broadcast, frame,
     held = frame(FACT_ROWS.schema, rows)
     store.replace(FACT_ROWS, store.dealt(FACT_ROWS, held))
     merged = facts.merge_facts(store.read(FACT_ROWS, 200001), store.dealt(FACT_ROWS, held))
-    for name, value in WRITE_SETTINGS.items():
+    for name, value in BUCKET_SETTINGS.items():
         spark.conf.set(name, value)
     try:
         plan = merged.select("*")._jdf.queryExecution().executedPlan().toString()
     finally:
-        for name in WRITE_SETTINGS:
+        for name in BUCKET_SETTINGS:
             spark.conf.unset(name)
     assert plan.count("Exchange hashpartitioning(game_id") == plan.count("Exchange") == 1
     assert merged.count() == 18

@@ -24,12 +24,10 @@ from tidemark.functions.scalars import all_of
 from tidemark.session import buckets_for, shared_folder
 from tidemark.sources.schemas import Table
 
-# While a store writes: shuffles of the job go when it ends, as nobody reads them again,
-# and what lies together by part of a key is not moved for a join on the whole key.
-WRITE_SETTINGS = {
-    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
-}
+# While a store writes: shuffles of the job go when it ends, as nobody reads them again.
+WRITE_SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+# Into buckets: what lies together by part of a key is not moved for a join on the whole key.
+BUCKET_SETTINGS = WRITE_SETTINGS | {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
 # So many files a task may hold open, so that its rows need no sort by period.
 OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 
@@ -292,7 +290,7 @@ class BucketedStore(SnapshotStore):
         self._tell("buckets", self.buckets)
         name = self._open(table)
         # Inserting takes columns by position, in the table's own order.
-        with _set(self.spark, WRITE_SETTINGS):
+        with _set(self.spark, BUCKET_SETTINGS):
             rows.select(*self.spark.table(name).columns).write.insertInto(name, overwrite=True)
 
     def drop(self, table: Table) -> None:
